@@ -82,3 +82,356 @@ def _duplicate_hashes(spark, sf):
 @register("new_hash_counts")
 def _new_hash_counts(spark, sf):
     return D.new_hash_counts(_detect_changes(spark, sf))
+
+
+# ---- scalar functions --------------------------------------------------------
+
+from ..functions import hashing as H  # noqa: E402
+from ..functions import paths as PT  # noqa: E402
+from ..functions import text as TX  # noqa: E402
+from ..operators import embed as EM  # noqa: E402
+from ..operators import extract as EX  # noqa: E402
+from ..operators import index as IX  # noqa: E402
+from ..operators import lookups as Q  # noqa: E402
+from ..operators import mirror as MR  # noqa: E402
+from ..operators import mutations as U  # noqa: E402
+from ..operators import pages as PG  # noqa: E402
+from ..operators import queues as W  # noqa: E402
+from ..operators import situate as SI  # noqa: E402
+from ..operators import stats as A  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+
+
+@register("list_files")
+def _list_files(spark, sf):
+    return FS.list_files(fx.listing(spark, sf))
+
+
+@register("content_hash")
+def _content_hash(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return d.select("doc_id", H.content_hash("text").alias("content_hash"))
+
+
+@register("doc_hash")
+def _doc_hash(spark, sf):
+    s = fx.storage(spark, sf)
+    return s.select("path", H.doc_hash("content", "path").alias("doc_hash"))
+
+
+@register("file_hash_algo")
+def _file_hash_algo(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return d.select("doc_id", H.file_hash("text", "md5").alias("md5"),
+                    H.file_hash("text", "sha1").alias("sha1"),
+                    H.file_hash("text", "sha256").alias("sha256"),
+                    H.file_hash("text", "sha256", extra="source").alias("sha256_with_source"))
+
+
+@register("split_path")
+def _split_path(spark, sf):
+    s = fx.listing(spark, sf)
+    return s.select("path", PT.parent_dir("path").alias("parent"),
+                    PT.file_name("path").alias("file"),
+                    PT.strip_extension(PT.file_name("path")).alias("stem"))
+
+
+@register("page_paths")
+def _page_paths(spark, sf):
+    p = fx.pages_f3(spark, sf)
+    return p.select("page_id", PT.page_object_path("gcs_pdf_path", "page_number").alias("gcs_path"))
+
+
+@register("page_ids")
+def _page_ids(spark, sf):
+    p = fx.page_texts(spark, sf)
+    return p.select(PT.page_id("doc_id", "n").alias("page_id"),
+                    PT.pad5("n").alias("page_number"))
+
+
+@register("path_description")
+def _path_description(spark, sf):
+    s = fx.scan_f1(spark, sf)
+    return s.select("path", PT.path_description("path").alias("description"))
+
+
+def _folder_descriptions(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    src = d.select(F.col("source").alias("path_key"),
+                   F.concat(F.lit("Documents from "), F.col("source")).alias("description"))
+    lang = d.select(F.col("lang").alias("path_key"),
+                    F.concat(F.lit("Written in "), F.col("lang")).alias("description"))
+    return src.unionByName(lang).distinct()
+
+
+@register("path_description_table")
+def _path_description_table(spark, sf):
+    s = fx.scan_f1(spark, sf).select("path")
+    return PT.path_description_join(s, "path", _folder_descriptions(spark, sf))
+
+
+@register("combined_text")
+def _combined_text(spark, sf):
+    p = fx.pages_f3(spark, sf)
+    return p.select("page_id", TX.combined_text("summary", "extracted_text").alias("combined_text"),
+                    TX.is_blank(TX.combined_text("summary", "extracted_text")).alias("blank"))
+
+
+@register("embedding_json")
+def _embedding_json(spark, sf):
+    e = fx.table(spark, sf, "embeddings")
+    back = F.from_json(F.to_json("embedding"), "array<float>")
+    return e.select("vec_id", F.size("embedding").alias("dims"),
+                    (back == F.col("embedding")).alias("roundtrip_equal"))
+
+
+# ---- lookups -----------------------------------------------------------------
+
+@register("all_doc_ids")
+def _all_doc_ids(spark, sf):
+    return Q.all_doc_ids(fx.registry_f2(spark, sf))
+
+
+@register("exists_document")
+def _exists_document(spark, sf):
+    keys = fx.scan_f1(spark, sf).select("doc_id", "path")
+    return Q.exists_document(keys, fx.registry_f2(spark, sf))
+
+
+@register("docs_by_content_hash")
+def _docs_by_content_hash(spark, sf):
+    return Q.docs_by_content_hash(fx.scan_f1(spark, sf), fx.registry_f2(spark, sf))
+
+
+@register("doc_id_by_content_hash")
+def _doc_id_by_content_hash(spark, sf):
+    return Q.doc_id_by_content_hash(fx.registry_f2(spark, sf))
+
+
+@register("active_doc_ids")
+def _active_doc_ids(spark, sf):
+    return Q.active_doc_ids(fx.registry_f2(spark, sf))
+
+
+@register("document_pages")
+def _document_pages(spark, sf):
+    return Q.document_pages(fx.registry_f2(spark, sf), fx.pages_f3(spark, sf))
+
+
+@register("queue_breakdown")
+def _queue_breakdown(spark, sf):
+    return W.queue_breakdown(fx.pages_f3(spark, sf))
+
+
+# ---- queues ------------------------------------------------------------------
+
+def _queue(name, stage):
+    def run(spark, sf):
+        return W.queue(fx.pages_f3(spark, sf), name).select(
+            "page_id", "doc_id", "page_number", "gcs_path", stage)
+    return run
+
+
+for _n, _s in (("extract", "extracted"), ("summary", "summarized"),
+               ("embed", "embedded"), ("index", "indexed")):
+    register(f"queue_{_n}")(_queue(_n, _s))
+
+
+def synced_registry(spark, sf):
+    """The registry after this run's compat sync (D6 applied by U3/U4/U1)."""
+    reg = fx.registry_f2(spark, sf)
+    return U.apply_changes(reg, D.detect_changes(fx.scan_f1(spark, sf), reg), fx.run_ts())
+
+
+@register("queue_split")
+def _queue_split(spark, sf):
+    return W.queue_split(synced_registry(spark, sf), fx.pages_f3(spark, sf))
+
+
+# ---- aggregates, top-k -------------------------------------------------------
+
+@register("processing_complete")
+def _processing_complete(spark, sf):
+    return A.processing_complete(fx.pages_f3(spark, sf))
+
+
+@register("processing_stats")
+def _processing_stats(spark, sf):
+    return A.processing_stats(fx.pages_f3(spark, sf))
+
+
+@register("stage_progress")
+def _stage_progress(spark, sf):
+    return A.stage_progress(fx.pages_f3(spark, sf))
+
+
+@register("first_n_pages")
+def _first_n_pages(spark, sf):
+    return PG.first_n_pages(fx.pages_f3(spark, sf)).select(
+        "page_id", "doc_id", "page_number", "gcs_path")
+
+
+# ---- pages -------------------------------------------------------------------
+
+@register("paginate")
+def _paginate(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    bp = fx.base_path(d)
+    docs = d.select(H.doc_hash("text", bp).alias("doc_id"), bp.alias("path"),
+                    F.col("text").alias("content"))
+    return PG.paginate(docs)
+
+
+# ---- mutations ---------------------------------------------------------------
+
+@register("register_documents")
+def _register_documents(spark, sf):
+    reg = fx.registry_f2(spark, sf)
+    new = D.detect_changes(fx.scan_f1(spark, sf), reg).filter(F.col("change") == D.NEW)
+    return U.register_documents(reg, new, fx.run_ts())
+
+
+@register("apply_deleted")
+def _apply_deleted(spark, sf):
+    reg = fx.registry_f2(spark, sf)
+    return U.apply_deleted(reg, D.changes_deleted(fx.scan_f1(spark, sf), reg), fx.run_ts())
+
+
+@register("apply_moved")
+def _apply_moved(spark, sf):
+    reg = fx.registry_f2(spark, sf)
+    return U.apply_moved(reg, D.changes_moved(fx.scan_f1(spark, sf), reg), fx.run_ts())
+
+
+@register("apply_changes")
+def _apply_changes(spark, sf):
+    return synced_registry(spark, sf)
+
+
+@register("register_pages")
+def _register_pages(spark, sf):
+    s = fx.storage(spark, sf)
+    docs = s.select(H.doc_hash("content", "path").alias("doc_id"), "path", "content")
+    split = PG.paginate(docs)
+    return PG.register_pages(fx.pages_f3(spark, sf), split, fx.run_ts())
+
+
+def extraction_patches(spark, sf):
+    """Two patch rounds for the extraction queue: every page extracted, then a
+    failed retry (``""`` text, an error) for pages of German documents."""
+    pages = W.queue(fx.pages_f3(spark, sf), "extract").select("page_id")
+    pay = fx.payload(spark, sf).select("page_id", "text")
+    first = pages.join(pay, "page_id").select(
+        "page_id", F.lit(1).cast("long").alias("seq"), F.col("text").alias("extracted_text"),
+        F.lit("SUCCESS").alias("extracted"), F.lit(None).cast("string").alias("error_message"),
+        fx.run_ts().alias("updated_at"))
+    d = fx.table(spark, sf, "documents")
+    lang = d.select(H.doc_hash("text", fx.base_path(d)).alias("doc_id"), "lang")
+    de = fx.payload(spark, sf).select("page_id", "doc_id").join(
+        lang.filter(F.col("lang") == "de"), "doc_id").select("page_id")
+    second = pages.join(de, "page_id").select(
+        "page_id", F.lit(2).cast("long").alias("seq"), F.lit("").alias("extracted_text"),
+        F.lit("FAILED").alias("extracted"), F.lit("retry failed").alias("error_message"),
+        fx.run_ts().alias("updated_at"))
+    return first.unionByName(second)
+
+
+@register("patch_pages")
+def _patch_pages(spark, sf):
+    return U.patch_pages(fx.pages_f3(spark, sf), extraction_patches(spark, sf)).select(
+        "page_id", "extracted_text", "extracted", "error_message", "updated_at")
+
+
+@register("sync_page_status")
+def _sync_page_status(spark, sf):
+    synced = U.sync_page_status(fx.pages_f3(spark, sf), synced_registry(spark, sf), fx.run_ts())
+    return synced.select("page_id", "doc_id", "status", "updated_at")
+
+
+@register("sync_page_status_counts")
+def _sync_page_status_counts(spark, sf):
+    synced = U.sync_page_status(fx.pages_f3(spark, sf), synced_registry(spark, sf), fx.run_ts())
+    return U.sync_page_status_counts(synced)
+
+
+@register("cascade_delete")
+def _cascade_delete(spark, sf):
+    return U.cascade_delete(fx.pages_f3(spark, sf), fx.registry_f2(spark, sf)).select(
+        "page_id", "doc_id")
+
+
+# ---- text rules and page jobs ------------------------------------------------
+
+def _html(spark, sf):
+    return fx.table(spark, sf, "pages")
+
+
+@register("text_strip_filler")
+def _text_strip_filler(spark, sf):
+    return _html(spark, sf).select("page_id", TX.strip_filler(F.col("html")).alias("text"))
+
+
+@register("text_collapse_ws")
+def _text_collapse_ws(spark, sf):
+    return _html(spark, sf).select("page_id", TX.collapse_whitespace(F.col("html")).alias("text"))
+
+
+@register("text_markdown")
+def _text_markdown(spark, sf):
+    return _html(spark, sf).select("page_id", TX.markdown_blocks(F.col("html")).alias("text"))
+
+
+@register("text_tables")
+def _text_tables(spark, sf):
+    return _html(spark, sf).select("page_id", TX.tables_to_blocks(F.col("html")).alias("text"))
+
+
+@register("text_images")
+def _text_images(spark, sf):
+    return _html(spark, sf).select("page_id", TX.images_to_blocks(F.col("html")).alias("text"))
+
+
+@register("text_finalize")
+def _text_finalize(spark, sf):
+    return _html(spark, sf).select("page_id", TX.finalize(F.col("html")).alias("text"))
+
+
+@register("extract_text")
+def _extract_text(spark, sf):
+    h = _html(spark, sf).select(F.col("page_id").cast("string").alias("page_id"),
+                                F.col("html").alias("payload"))
+    return EX.extract(h)
+
+
+@register("situate_pages")
+def _situate_pages(spark, sf):
+    targets = W.queue(fx.pages_f3(spark, sf), "summary").select("page_id")
+    return SI.situate(targets, fx.payload(spark, sf))
+
+
+@register("embed_buckets")
+def _embed_buckets(spark, sf):
+    return EM.embed_buckets(W.queue(fx.pages_f3(spark, sf), "embed"))
+
+
+@register("embed_pages")
+def _embed_pages(spark, sf):
+    return EM.embed(W.queue(fx.pages_f3(spark, sf), "embed"))
+
+
+@register("index_documents")
+def _index_documents(spark, sf):
+    q = W.queue(fx.pages_f3(spark, sf), "index").drop("embedding")
+    return IX.index_documents(q.join(fx.page_vectors(spark, sf), "page_id", "left"))
+
+
+# ---- mirror ------------------------------------------------------------------
+
+@register("mirror_plan")
+def _mirror_plan(spark, sf):
+    return MR.mirror_plan(fx.scan_f1(spark, sf), fx.registry_f2(spark, sf))
+
+
+@register("mirror_plan_counts")
+def _mirror_plan_counts(spark, sf):
+    return MR.mirror_plan_counts(_mirror_plan(spark, sf))

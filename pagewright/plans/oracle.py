@@ -68,3 +68,381 @@ FROM scan s JOIN (SELECT content_hash, count(*) AS copies FROM scan
 ORACLE["new_hash_counts"] = q("""
 SELECT count(*) AS n_new, count(DISTINCT content_hash) AS n_distinct_hashes
 FROM detected WHERE change = 'new'""", _NEW_PATHS, _DETECT)
+
+
+# ---- helpers for the statements below ----------------------------------------
+
+from ..functions.paths import DESCRIPTIONS  # noqa: E402  (fixed values, shared data)
+from .oracle_fixtures import sql_file, sql_page_path, sql_pad5, sql_parent, sql_stem  # noqa: E402
+
+RUN = "TIMESTAMP '2024-06-01 00:00:00'"
+NL = "chr(10)"
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def tokens(x: str) -> str:
+    return f"list_filter(string_split_regex(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
+
+
+def blank(x: str) -> str:
+    return f"(({x}) IS NULL OR NOT regexp_matches({x}, '[^\\t\\n\\x{{0b}}\\f\\r\\x{{85}}\\pZ\\x{{1c}}-\\x{{1f}}]'))"
+
+
+def describe(p: str) -> str:
+    cases = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in DESCRIPTIONS.items())
+    return (f"array_to_string(list_transform(string_split({p}, '/'), "
+            f"lambda k: CASE k {cases} ELSE '' END), {NL})")
+
+
+def rr(x: str, pattern: str, repl: str = "''") -> str:
+    return f"regexp_replace({x}, {lit(pattern)}, {repl}, 'g')"
+
+
+def rep(x: str, a: str, b: str) -> str:
+    return f"replace({x}, {a}, {b})"
+
+
+def strip_hidden(t):
+    t = rr(t, r"(?is)<head(\s[^>]*)?>.*?</head\s*>")
+    t = rr(t, r"(?is)<(script|style|nav|footer)(\s[^>]*)?>.*?</(script|style|nav|footer)\s*>")
+    return rr(t, r"(?s)<!--.*?-->")
+
+
+def tables(t):
+    t = rr(t, r"(?is)<table(\s[^>]*)?>", f"{NL} || chr(1) || 'table' || chr(2) || {NL}")
+    t = rr(t, r"(?is)</table\s*>", f"{NL} || chr(1) || '/table' || chr(2) || {NL}")
+    t = rr(t, r"(?is)<caption(\s[^>]*)?>(.*?)</caption\s*>", f"'\\2' || {NL}")
+    t = rr(t, r"(?is)<tr(\s[^>]*)?>", f"{NL} || '|'")
+    t = rr(t, r"(?is)</t[hd]\s*>", "' |'")
+    t = rr(t, r"(?is)<t[hd](\s[^>]*)?>", "' '")
+    return rr(t, r"(?is)</tr\s*>")
+
+
+def images(t):
+    def blk(inner):
+        return f"{NL} || chr(1) || 'image' || chr(2) || {inner} || chr(1) || '/image' || chr(2) || {NL}"
+    t = rr(t, r"(?is)<figcaption(\s[^>]*)?>(.*?)</figcaption\s*>", blk("'\\2'"))
+    t = rr(t, r'(?is)<img\s[^>]*alt="([^"]*)"[^>]*>', blk("'\\1'"))
+    return rr(t, r"(?is)<img(\s[^>]*)?>", blk("''"))
+
+
+def filler(t):
+    return rr(rep(t, "'&amp;'", "'&'"), r"[._#*$%&]{3,}")
+
+
+def markdown(t):
+    t = rr(t, r"(?i)<li(\s[^>]*)?>", f"{NL} || '- '")
+    for n in range(1, 7):
+        t = rr(t, rf"(?i)<h{n}(\s[^>]*)?>", f"{NL} || '{'#' * n} '")
+    return rr(t, r"(?i)</?(p|h[1-6]|div|ul|ol|article|section|br)(\s[^>]*)?/?>", NL)
+
+
+def tags(t):
+    t = rr(t, r"(?s)<[^>]+>")
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
+        t = rep(t, lit(a), lit(b))
+    return rep(rep(t, "chr(1)", "'<'"), "chr(2)", "'>'")
+
+
+def collapse(t):
+    t = rr(t, r"[ \t\r\f]+", "' '")
+    t = rr(t, r" ?\n ?", NL)
+    t = rr(t, r"\n{3,}", f"{NL} || {NL}")
+    return rr(t, r"^\s+|\s+$")
+
+
+def finalize(t):
+    return f"coalesce({rr(t, r'(?m)^```[^\n]*\n?')}, '')"
+
+
+def chain(t):
+    return finalize(collapse(tags(markdown(filler(images(tables(strip_hidden(t))))))))
+
+
+QUEUE = {
+    "extract": "status = 'ACTIVE' AND extracted IN ('PENDING', 'FAILED')",
+    "summary": "status = 'ACTIVE' AND summarized IN ('PENDING', 'FAILED')",
+    "embed": ("status = 'ACTIVE' AND extracted = 'SUCCESS' AND summarized = 'SUCCESS' "
+              "AND embedded IN ('PENDING', 'FAILED')"),
+    "index": "status = 'ACTIVE' AND embedded = 'SUCCESS' AND indexed IN ('PENDING', 'FAILED')",
+}
+STAGE_OF = {"extract": "extracted", "summary": "summarized", "embed": "embedded", "index": "indexed"}
+
+_LISTING = "listing AS (SELECT path FROM storage UNION ALL SELECT path || '.txt' FROM storage)"
+_PAY = f"pay AS (SELECT doc_id || '_' || {sql_pad5('n')} AS page_id, doc_id, n AS page_number, pdf_path AS gcs_pdf_path, text FROM page_texts)"
+
+
+def _set_status(src: str, ids: str) -> str:
+    hit = f"(doc_id IN (SELECT doc_id FROM {ids}) AND status <> 'INACTIVE')"
+    return (f"SELECT doc_id, path, content_hash, CASE WHEN {hit} THEN 'INACTIVE' ELSE status END AS status, "
+            f"created_at, CASE WHEN {hit} THEN {RUN} ELSE updated_at END AS updated_at FROM {src}")
+
+
+def _register(src: str, cand: str) -> str:
+    return (f"SELECT * FROM {src} UNION ALL SELECT DISTINCT doc_id, path, content_hash, 'ACTIVE', {RUN}, {RUN} "
+            f"FROM {cand} c WHERE c.doc_id NOT IN (SELECT doc_id FROM {src})")
+
+
+# compat sync of the registry: deleted, moved, new (over `detected`)
+_SYNC = [
+    "del_ids AS (SELECT doc_id FROM detected WHERE change = 'deleted')",
+    f"reg1 AS ({_set_status('registry', 'del_ids')})",
+    "mv AS (SELECT old_path, path AS new_path, content_hash, doc_id FROM detected WHERE change = 'moved')",
+    """src_ids AS (SELECT r.doc_id FROM reg1 r WHERE r.status = 'ACTIVE' AND EXISTS
+      (SELECT 1 FROM mv WHERE mv.old_path = r.path AND mv.content_hash = r.content_hash))""",
+    f"reg2 AS ({_set_status('reg1', 'src_ids')})",
+    "mv_cand AS (SELECT doc_id, new_path AS path, content_hash FROM mv)",
+    f"reg3 AS ({_register('reg2', 'mv_cand')})",
+    "new_cand AS (SELECT doc_id, path, content_hash FROM detected WHERE change = 'new')",
+    f"synced AS ({_register('reg3', 'new_cand')})",
+]
+_SYNCED = [_NEW_PATHS, _DETECT] + _SYNC
+
+# ---- sources and scalar functions --------------------------------------------
+
+ORACLE["list_files"] = q("SELECT path FROM listing WHERE lower(path) LIKE '%.pdf'", _LISTING)
+
+ORACLE["content_hash"] = q("SELECT doc_id, sha256(text) AS content_hash FROM documents")
+
+ORACLE["doc_hash"] = q("SELECT path, sha256(content || path) AS doc_hash FROM storage")
+
+ORACLE["file_hash_algo"] = q("""
+SELECT doc_id, md5(text) AS md5, sha1(text) AS sha1, sha256(text) AS sha256,
+       sha256(text || coalesce(source, '')) AS sha256_with_source FROM documents""")
+
+ORACLE["split_path"] = q(f"""
+SELECT path, {sql_parent('path')} AS parent, {sql_file('path')} AS file,
+       {sql_stem(sql_file('path'))} AS stem FROM listing""", _LISTING)
+
+ORACLE["page_paths"] = q(f"SELECT page_id, {sql_page_path('gcs_pdf_path', 'page_number')} AS gcs_path FROM pages_f3")
+
+ORACLE["page_ids"] = q(f"SELECT doc_id || '_' || {sql_pad5('n')} AS page_id, {sql_pad5('n')} AS page_number FROM page_texts")
+
+ORACLE["path_description"] = q(f"SELECT path, {describe('path')} AS description FROM scan")
+
+ORACLE["path_description_table"] = q(f"""
+SELECT p.path, string_agg(coalesce(d.description, ''), {NL} ORDER BY p.pos) AS description
+FROM parts p LEFT JOIN descs d ON d.path_key = p.k GROUP BY p.path""",
+    """parts AS (SELECT s.path, g.pos, string_split(s.path, '/')[g.pos] AS k
+      FROM (SELECT DISTINCT path FROM scan) s, generate_series(1, len(string_split(s.path, '/'))) AS g(pos))""",
+    """descs AS (SELECT path_key, max(description) AS description FROM (
+      SELECT source AS path_key, 'Documents from ' || source AS description FROM documents
+      UNION SELECT lang, 'Written in ' || lang FROM documents) x GROUP BY path_key)""")
+
+_COMBINED = f"coalesce(summary, '') || {NL} || {NL} || coalesce(extracted_text, '')"
+ORACLE["combined_text"] = q(f"SELECT page_id, {_COMBINED} AS combined_text, {blank(_COMBINED)} AS blank FROM pages_f3")
+
+ORACLE["embedding_json"] = q("""
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims,
+       CAST(to_json(embedding) AS FLOAT[]) = embedding AS roundtrip_equal FROM embeddings""")
+
+# ---- lookups -----------------------------------------------------------------
+
+ORACLE["all_doc_ids"] = q("SELECT DISTINCT doc_id FROM registry")
+
+ORACLE["exists_document"] = q("""
+SELECT s.doc_id, s.path, EXISTS (SELECT 1 FROM registry r WHERE r.doc_id = s.doc_id) AS "exists"
+FROM scan s""")
+
+ORACLE["docs_by_content_hash"] = q("""
+SELECT content_hash, doc_id, path FROM registry
+WHERE status = 'ACTIVE' AND content_hash IN (SELECT content_hash FROM scan)""")
+
+ORACLE["doc_id_by_content_hash"] = q("""
+SELECT content_hash, min(doc_id) AS doc_id FROM registry
+WHERE status = 'ACTIVE' AND content_hash <> '' GROUP BY content_hash""")
+
+ORACLE["active_doc_ids"] = q("SELECT doc_id FROM registry WHERE status = 'ACTIVE'")
+
+ORACLE["document_pages"] = q("""
+SELECT p.page_id, p.doc_id, p.page_number, r.path AS doc_path, r.status AS doc_status
+FROM pages_f3 p JOIN registry r ON r.doc_id = p.doc_id""")
+
+ORACLE["queue_breakdown"] = q(" UNION ALL ".join(
+    f"SELECT '{k}' AS queue, {STAGE_OF[k]} AS stage_status, count(*) AS n FROM pages_f3 "
+    f"WHERE {c} GROUP BY {STAGE_OF[k]}" for k, c in QUEUE.items()))
+
+for _k, _c in QUEUE.items():
+    ORACLE[f"queue_{_k}"] = q(f"SELECT page_id, doc_id, page_number, gcs_path, {STAGE_OF[_k]} FROM pages_f3 WHERE {_c}")
+
+ORACLE["queue_split"] = q("""
+SELECT doc_id, path, content_hash FROM synced
+WHERE status = 'ACTIVE' AND doc_id NOT IN (SELECT doc_id FROM pages_f3)""", *_SYNCED)
+
+# ---- aggregates, top-k -------------------------------------------------------
+
+_NOT_DONE = " OR ".join(f"{s} <> 'SUCCESS'" for s in STAGE_OF.values())
+_DONE = " AND ".join(f"{s} = 'SUCCESS'" for s in STAGE_OF.values())
+
+ORACLE["processing_complete"] = q(f"""
+SELECT pending_pages, pending_pages = 0 AS complete FROM (
+  SELECT count(*) FILTER (WHERE coalesce({_NOT_DONE}, false)) AS pending_pages
+  FROM pages_f3 WHERE status = 'ACTIVE') t""")
+
+ORACLE["processing_stats"] = q(f"""
+SELECT total_active_pages, completed_pages, total_active_pages - completed_pages AS remaining_pages,
+       CASE WHEN total_active_pages > 0 THEN completed_pages / total_active_pages * 100 ELSE 0.0 END
+       AS completion_rate
+FROM (SELECT count(*) AS total_active_pages,
+             count(*) FILTER (WHERE coalesce({_DONE}, false)) AS completed_pages
+      FROM pages_f3 WHERE status = 'ACTIVE') t""")
+
+ORACLE["stage_progress"] = q(" UNION ALL ".join(
+    f"SELECT '{s}' AS stage, {s} AS stage_status, count(*) AS n FROM pages_f3 WHERE status = 'ACTIVE' GROUP BY {s}"
+    for s in STAGE_OF.values()))
+
+ORACLE["first_n_pages"] = q("""
+SELECT page_id, doc_id, page_number, gcs_path FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_number, page_id) AS rn FROM pages_f3) t
+WHERE rn <= 5""")
+
+# ---- pages -------------------------------------------------------------------
+
+_SPLIT_ALL = f"""split_all AS (
+  SELECT s.doc_id || '_' || {sql_pad5('g.n')} AS page_id, s.doc_id, CAST(g.n AS INTEGER) AS page_number,
+         {sql_page_path('s.path', 'g.n')} AS gcs_path, s.path AS gcs_pdf_path,
+         substr(s.content, CAST((g.n - 1) * 1000 + 1 AS INTEGER), 1000) AS text
+  FROM docs_in s, generate_series(1, greatest(1, CAST(ceil(length(s.content) / 1000.0) AS BIGINT))) AS g(n))"""
+
+ORACLE["paginate"] = q("SELECT page_id, doc_id, page_number, gcs_path, gcs_pdf_path, text FROM split_all",
+                       "docs_in AS (SELECT sha256(text || bp) AS doc_id, bp AS path, text AS content FROM docs_bp)",
+                       _SPLIT_ALL)
+
+# ---- mutations ---------------------------------------------------------------
+
+ORACLE["register_documents"] = q(
+    "SELECT doc_id, path, content_hash, status, created_at, updated_at FROM reg_new",
+    _NEW_PATHS, _DETECT, "new_cand AS (SELECT doc_id, path, content_hash FROM detected WHERE change = 'new')",
+    f"reg_new AS ({_register('registry', 'new_cand')})")
+
+ORACLE["apply_deleted"] = q(
+    "SELECT * FROM reg_del",
+    """del_ids AS (SELECT r.doc_id FROM snap r WHERE r.content_hash <> ''
+      AND NOT EXISTS (SELECT 1 FROM scan s WHERE s.path = r.path)
+      AND NOT EXISTS (SELECT 1 FROM scan s WHERE s.content_hash = r.content_hash))""",
+    f"reg_del AS ({_set_status('registry', 'del_ids')})")
+
+ORACLE["apply_moved"] = q(
+    "SELECT * FROM reg_mv",
+    _NEW_PATHS,
+    "mv AS (SELECT h.old_path, f.path AS new_path, f.content_hash, f.doc_id FROM fresh f JOIN holders h ON h.content_hash = f.content_hash)",
+    """src_ids AS (SELECT r.doc_id FROM registry r WHERE r.status = 'ACTIVE' AND EXISTS
+      (SELECT 1 FROM mv WHERE mv.old_path = r.path AND mv.content_hash = r.content_hash))""",
+    f"reg_off AS ({_set_status('registry', 'src_ids')})",
+    "mv_cand AS (SELECT doc_id, new_path AS path, content_hash FROM mv)",
+    f"reg_mv AS ({_register('reg_off', 'mv_cand')})")
+
+ORACLE["apply_changes"] = q("SELECT * FROM synced", *_SYNCED)
+
+ORACLE["register_pages"] = q(f"""
+SELECT * FROM pages_f3 UNION ALL
+SELECT page_id, doc_id, page_number, gcs_path, gcs_pdf_path, NULL, NULL, CAST(NULL AS FLOAT[]),
+       'PENDING', 'PENDING', 'PENDING', 'PENDING', NULL, 'ACTIVE', {RUN}, {RUN}
+FROM split_all WHERE page_id NOT IN (SELECT page_id FROM pages_f3)""",
+    "docs_in AS (SELECT sha256(content || path) AS doc_id, path, content FROM storage)", _SPLIT_ALL)
+
+ORACLE["patch_pages"] = q("""
+SELECT p.page_id, coalesce(f.extracted_text, p.extracted_text) AS extracted_text,
+       coalesce(f.extracted, p.extracted) AS extracted,
+       coalesce(f.error_message, p.error_message) AS error_message,
+       coalesce(f.updated_at, p.updated_at) AS updated_at
+FROM pages_f3 p LEFT JOIN folded f ON f.page_id = p.page_id""",
+    f"q_ext AS (SELECT page_id FROM pages_f3 WHERE {QUEUE['extract']})",
+    _PAY,
+    "de_docs AS (SELECT sha256(text || bp) AS doc_id FROM docs_bp WHERE lang = 'de')",
+    f"""patches AS (
+      SELECT q.page_id, 1 AS seq, p.text AS extracted_text, 'SUCCESS' AS extracted,
+             CAST(NULL AS VARCHAR) AS error_message, {RUN} AS updated_at
+      FROM q_ext q JOIN pay p ON p.page_id = q.page_id
+      UNION ALL
+      SELECT q.page_id, 2, '', 'FAILED', 'retry failed', {RUN}
+      FROM q_ext q JOIN pay p ON p.page_id = q.page_id WHERE p.doc_id IN (SELECT doc_id FROM de_docs))""",
+    """folded AS (SELECT page_id,
+      arg_max(extracted_text, seq) FILTER (WHERE extracted_text IS NOT NULL) AS extracted_text,
+      arg_max(extracted, seq) FILTER (WHERE extracted IS NOT NULL) AS extracted,
+      arg_max(error_message, seq) FILTER (WHERE error_message IS NOT NULL) AS error_message,
+      arg_max(updated_at, seq) FILTER (WHERE updated_at IS NOT NULL) AS updated_at
+      FROM patches GROUP BY page_id)""")
+
+_FLIPPED = """flipped AS (
+  SELECT p.*, r.status AS d_status,
+         coalesce(r.status IN ('ACTIVE', 'INACTIVE') AND p.status IN ('ACTIVE', 'INACTIVE')
+                  AND r.status <> p.status, false) AS flip
+  FROM pages_f3 p LEFT JOIN synced r ON r.doc_id = p.doc_id)"""
+
+ORACLE["sync_page_status"] = q(f"""
+SELECT page_id, doc_id, CASE WHEN flip THEN d_status ELSE status END AS status,
+       CASE WHEN flip THEN {RUN} ELSE updated_at END AS updated_at FROM flipped""", *_SYNCED, _FLIPPED)
+
+ORACLE["sync_page_status_counts"] = q("""
+SELECT count(*) FILTER (WHERE flip AND d_status = 'INACTIVE') AS to_inactive,
+       count(*) FILTER (WHERE flip AND d_status = 'ACTIVE') AS to_active FROM flipped""", *_SYNCED, _FLIPPED)
+
+ORACLE["cascade_delete"] = q("SELECT page_id, doc_id FROM pages_f3 WHERE doc_id IN (SELECT doc_id FROM registry)")
+
+# ---- text rules and page jobs ------------------------------------------------
+
+ORACLE["text_strip_filler"] = q(f"SELECT page_id, {filler('html')} AS text FROM pages")
+ORACLE["text_collapse_ws"] = q(f"SELECT page_id, {collapse('html')} AS text FROM pages")
+ORACLE["text_markdown"] = q(f"SELECT page_id, {markdown('html')} AS text FROM pages")
+ORACLE["text_tables"] = q(f"SELECT page_id, {tables('html')} AS text FROM pages")
+ORACLE["text_images"] = q(f"SELECT page_id, {images('html')} AS text FROM pages")
+ORACLE["text_finalize"] = q(f"SELECT page_id, {finalize('html')} AS text FROM pages")
+ORACLE["extract_text"] = q(f"""
+SELECT CAST(page_id AS VARCHAR) AS page_id, {chain('html')} AS value,
+       CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status FROM pages""")
+
+_WORDS = "string_split_regex(summary, '\\s+')"
+ORACLE["situate_pages"] = q(f"""
+SELECT page_id,
+       CASE WHEN summary IS NULL THEN ''
+            WHEN len({_WORDS}) > 512 THEN array_to_string(list_slice({_WORDS}, 1, 512), ' ')
+            ELSE summary END AS value,
+       CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status
+FROM (SELECT t.page_id, b.gcs_pdf_path || {NL} || {describe('b.gcs_pdf_path')} || {NL} || b.sentence AS summary
+      FROM targets t LEFT JOIN best b ON b.page_id = t.page_id) x""",
+    _PAY,
+    f"targets AS (SELECT DISTINCT page_id FROM pages_f3 WHERE {QUEUE['summary']})",
+    """ctx AS (SELECT doc_id, page_id, text FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_number, page_id) AS rn FROM pay) t
+      WHERE rn <= 5)""",
+    f"""ctx_tok AS (SELECT doc_id, tok, count(*) AS w FROM (
+      SELECT doc_id, page_id, unnest(list_distinct({tokens('text')})) AS tok FROM ctx) t GROUP BY doc_id, tok)""",
+    """tp AS (SELECT p.page_id, p.doc_id, p.gcs_pdf_path,
+             string_split_regex(coalesce(p.text, ''), '[.!?]+\\s+|\\n+') AS arr
+      FROM targets t JOIN pay p ON p.page_id = t.page_id)""",
+    """sents AS (SELECT tp.page_id, tp.doc_id, tp.gcs_pdf_path, g.pos, tp.arr[g.pos] AS sentence
+      FROM tp, generate_series(1, len(tp.arr)) AS g(pos)
+      WHERE regexp_matches(tp.arr[g.pos], '[\\p{L}\\p{N}]'))""",
+    f"""scored AS (SELECT st.page_id, st.pos, sum(coalesce(c.w, 0)) AS score FROM (
+      SELECT page_id, doc_id, pos, unnest(list_distinct({tokens('sentence')})) AS tok FROM sents) st
+      LEFT JOIN ctx_tok c ON c.doc_id = st.doc_id AND c.tok = st.tok GROUP BY st.page_id, st.pos)""",
+    """best AS (SELECT page_id, gcs_pdf_path, sentence FROM (
+      SELECT s.page_id, s.gcs_pdf_path, s.sentence,
+             row_number() OVER (PARTITION BY s.page_id ORDER BY sc.score DESC, s.pos ASC) AS rn
+      FROM sents s JOIN scored sc ON sc.page_id = s.page_id AND sc.pos = s.pos) t WHERE rn = 1)""")
+
+ORACLE["embed_buckets"] = q("""
+SELECT page_id, CAST(CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 768 AS INTEGER) AS bucket,
+       CAST(count(*) AS INTEGER) AS n
+FROM toks GROUP BY ALL""",
+    f"eq AS (SELECT page_id, {_COMBINED} AS txt FROM pages_f3 WHERE {QUEUE['embed']})",
+    f"toks AS (SELECT page_id, unnest({tokens('txt')}) AS tok FROM eq WHERE NOT {blank('txt')})")
+
+ORACLE["index_documents"] = q(f"""
+SELECT q.page_id, q.doc_id, {sql_pad5('q.page_number')} AS page_number, q.status, q.gcs_path,
+       q.gcs_pdf_path, q.extracted_text, q.summary, v.embedding, 'hashed-bow-768' AS model
+FROM pages_f3 q JOIN page_vectors v ON v.page_id = q.page_id WHERE {QUEUE['index'].replace('status', 'q.status', 1)}""")
+
+# ---- mirror ------------------------------------------------------------------
+
+_MIRROR = """plan AS (
+  SELECT coalesce(s.path, t.path) AS path,
+         CASE WHEN t.content_hash IS NULL THEN 'COPY' WHEN s.content_hash IS NULL THEN 'DELETE'
+              WHEN s.content_hash <> t.content_hash THEN 'UPDATE' ELSE 'SKIP' END AS action
+  FROM scan s FULL OUTER JOIN registry t ON s.path = t.path)"""
+ORACLE["mirror_plan"] = q("SELECT path, action FROM plan", _MIRROR)
+ORACLE["mirror_plan_counts"] = q("SELECT action, count(*) AS n FROM plan GROUP BY action", _MIRROR)

@@ -119,3 +119,26 @@ def page_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = _stage_status(p["src_id"], p["n"], 3)
     pv = p.filter(emb == SUCCESS).select(page_id("doc_id", "n").alias("page_id"), "src_id")
     return pv.join(e, pv["src_id"] == e["vec_id"], "inner").select("page_id", "embedding")
+
+
+# Fixed value: time stamp given to rows written by the simulated current run.
+RUN_TS = "2024-06-01 00:00:00"
+
+
+def run_ts() -> Column:
+    return F.lit(RUN_TS).cast("timestamp_ntz")
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw object listing: every stored PDF plus a ``.txt`` sidecar per file."""
+    s = storage(spark, sf_dir).select("path")
+    return s.unionByName(s.select(F.concat("path", F.lit(".txt")).alias("path")))
+
+
+def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page objects written at split time: ``page_id, doc_id, page_number,
+    gcs_pdf_path, text``."""
+    p = page_texts(spark, sf_dir)
+    return p.select(page_id("doc_id", "n").alias("page_id"), "doc_id",
+                    F.col("n").cast("int").alias("page_number"),
+                    F.col("pdf_path").alias("gcs_pdf_path"), "text")
