@@ -132,3 +132,85 @@ def new_hash_counts(changes: DataFrame) -> DataFrame:
     new = changes.filter(F.col("change") == NEW)
     return new.agg(F.count(F.lit(1)).alias("n_new"),
                    F.countDistinct("content_hash").alias("n_distinct_hashes"))
+
+
+# ---- D10: strict classes ----------------------------------------
+
+UNCHANGED_S, MODIFIED, RESURRECTED = "UNCHANGED", "MODIFIED", "RESURRECTED"
+MOVED_S, COPIED, NEW_S = "MOVED", "COPIED", "NEW"
+ERROR, ORPHANED, DELETED_S = "ERROR", "ORPHANED", "DELETED"
+
+_STRICT_OUT = ["change", "path", "old_path", "doc_id", "old_doc_id", "content_hash"]
+
+
+def detect_changes_strict(scan: DataFrame, registry: DataFrame,
+                          scan_errors: DataFrame | None = None) -> DataFrame:
+    """Every scanned path and every vanished registry path gets a class.
+
+    Output ``change, path, old_path, doc_id, old_doc_id, content_hash``:
+    ``doc_id`` is the scanned document, ``old_doc_id`` the registry document
+    the change acts on (deactivated, or hash filled in for UNCHANGED).
+
+    New paths with registered content and vacated holders of that content
+    are paired by path order within the hash; the numbering is
+    :func:`row_number_within`, which splits a hot hash over many tasks.
+    """
+    from .rank import row_number_within
+
+    spark = scan.sparkSession
+    if scan_errors is None:
+        scan_errors = spark.createDataFrame([], "path string, error string")
+    err = scan_errors.select("path").distinct()
+    snap = registry_snapshot(registry)
+    inactive = registry.filter(F.col("status") == "INACTIVE").select("doc_id").distinct() \
+        .withColumn("_inactive", F.lit(True))
+    held = snap.filter(F.col("content_hash") != "").select("content_hash").distinct() \
+        .withColumn("_held", F.lit(True))
+
+    s = _scan(scan)
+    r = snap.select("path", F.col("doc_id").alias("old_doc_id"), F.col("content_hash").alias("_r_hash"))
+    j = s.join(r, "path", "left").join(inactive, "doc_id", "left").join(held, "content_hash", "left")
+    in_r = F.col("old_doc_id").isNotNull()
+    pre = (F.when(in_r & ((F.col("_r_hash") == F.col("content_hash")) | (F.col("_r_hash") == "")),
+                  F.lit(UNCHANGED_S))
+           .when(in_r, F.lit(MODIFIED))
+           .when(F.col("_inactive"), F.lit(RESURRECTED))
+           .when(F.col("_held"), F.lit("_CAND"))
+           .otherwise(F.lit(NEW_S)))
+    j = j.select("path", "doc_id", "content_hash", "old_doc_id", pre.alias("change"))
+    settled = j.filter(F.col("change") != "_CAND").select(
+        "change", "path", F.lit(None).cast("string").alias("old_path"), "doc_id",
+        F.when(F.col("change").isin(UNCHANGED_S, MODIFIED), F.col("old_doc_id")).alias("old_doc_id"),
+        "content_hash")
+
+    # candidates and vacated holders, numbered by path within the hash
+    cand = row_number_within(j.filter(F.col("change") == "_CAND")
+                             .select("content_hash", "path", "doc_id"), "content_hash", "path")
+    holders = snap.filter(F.col("content_hash") != "")
+    vacated = (holders.join(s.select("path", "content_hash"), ["path", "content_hash"], "left_anti")
+               .join(err, "path", "left_anti"))
+    vac = row_number_within(vacated.select("content_hash", F.col("path").alias("old_path"),
+                                           F.col("doc_id").alias("old_doc_id")),
+                            "content_hash", "old_path")
+    paired = cand.join(vac, ["content_hash", "rn"], "left")
+    moved = paired.select(
+        F.when(F.col("old_path").isNotNull(), F.lit(MOVED_S)).otherwise(F.lit(COPIED)).alias("change"),
+        "path", "old_path", "doc_id", "old_doc_id", "content_hash")
+
+    # registry paths that vanished
+    sources = vac.join(cand.select("content_hash", "rn"), ["content_hash", "rn"], "left_semi") \
+        .select(F.col("old_path").alias("path"), F.lit(True).alias("_src"))
+    present = s.select(F.col("content_hash").alias("_h")).distinct().withColumn("_seen", F.lit(True))
+    gone = (snap.join(s.select("path"), "path", "left_anti")
+            .join(err.withColumn("_err", F.lit(True)), "path", "left")
+            .join(sources, "path", "left")
+            .join(present, F.col("content_hash") == F.col("_h"), "left"))
+    gcls = (F.when(F.col("_err"), F.lit(ERROR))
+            .when(F.col("_src"), F.lit(None))
+            .when((F.col("content_hash") != "") & F.col("_seen"), F.lit(ORPHANED))
+            .otherwise(F.lit(DELETED_S)))
+    gone = gone.select(gcls.alias("change"), "path", F.lit(None).cast("string").alias("old_path"),
+                       F.lit(None).cast("string").alias("doc_id"),
+                       F.col("doc_id").alias("old_doc_id"), "content_hash") \
+        .filter(F.col("change").isNotNull())
+    return settled.select(*_STRICT_OUT).unionByName(moved.select(*_STRICT_OUT)).unionByName(gone)

@@ -198,3 +198,38 @@ def run_state(run_log: DataFrame) -> DataFrame:
     return agg.filter(F.col("id").isNotNull()).select(
         "id", "status", "stage", "started_at",
         F.col("_end").alias("completed_at"), *extra)
+
+
+def apply_changes_strict(registry: DataFrame, changes: DataFrame, now) -> DataFrame:
+    """Actions of SURVEY 2.5.1 for :func:`detect_changes_strict` output, in
+    one rewrite of the registry plus an append of new documents.
+
+    Deactivate ``old_doc_id`` of MODIFIED, MOVED, ORPHANED and DELETED;
+    activate ``doc_id`` of RESURRECTED (and of MODIFIED when it exists);
+    fill the empty hash of UNCHANGED; register MODIFIED, MOVED, COPIED, NEW.
+    """
+    c = changes
+    off = c.filter(F.col("change").isin("MODIFIED", "MOVED", "ORPHANED", "DELETED")) \
+        .select(F.col("old_doc_id").alias("doc_id"), F.lit(INACTIVE).alias("_to"),
+                F.lit(None).cast("string").alias("_fill"), F.lit(1).alias("_prio"))
+    on = c.filter(F.col("change").isin("RESURRECTED", "MODIFIED")) \
+        .select("doc_id", F.lit(ACTIVE).alias("_to"), F.lit(None).cast("string").alias("_fill"),
+                F.lit(2).alias("_prio"))
+    fill = c.filter(F.col("change") == "UNCHANGED") \
+        .select(F.col("old_doc_id").alias("doc_id"), F.lit(None).cast("string").alias("_to"),
+                F.col("content_hash").alias("_fill"), F.lit(0).alias("_prio"))
+    acts = off.unionByName(on).unionByName(fill).groupBy("doc_id").agg(
+        F.max_by("_to", F.when(F.col("_to").isNotNull(), F.col("_prio"))).alias("_to"),
+        F.max("_fill").alias("_fill"))
+    j = registry.select(*DOC_COLS).join(acts, "doc_id", "left")
+    new_status = F.coalesce(F.col("_to"), F.col("status"))
+    new_hash = F.when((F.coalesce(F.col("content_hash"), F.lit("")) == "") & F.col("_fill").isNotNull(),
+                      F.col("_fill")).otherwise(F.col("content_hash"))
+    changed = (new_status != F.col("status")) | (F.coalesce(new_hash, F.lit("")) !=
+                                                 F.coalesce(F.col("content_hash"), F.lit("")))
+    upd = j.select("doc_id", "path", new_hash.alias("content_hash"), new_status.alias("status"),
+                   "created_at",
+                   F.when(changed, _now(now)).otherwise(F.col("updated_at")).alias("updated_at"))
+    reg = c.filter(F.col("change").isin("MODIFIED", "MOVED", "COPIED", "NEW")) \
+        .select("doc_id", "path", "content_hash")
+    return register_documents(upd, reg, now)

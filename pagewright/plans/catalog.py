@@ -435,3 +435,20 @@ def _mirror_plan(spark, sf):
 @register("mirror_plan_counts")
 def _mirror_plan_counts(spark, sf):
     return MR.mirror_plan_counts(_mirror_plan(spark, sf))
+
+
+@register("detect_changes_strict")
+def _detect_changes_strict(spark, sf):
+    return D.detect_changes_strict(fx.scan_f1(spark, sf), fx.registry_f2(spark, sf))
+
+
+@register("change_counts_strict")
+def _change_counts_strict(spark, sf):
+    return D.change_counts(_detect_changes_strict(spark, sf))
+
+
+@register("apply_changes_strict")
+def _apply_changes_strict(spark, sf):
+    reg = fx.registry_f2(spark, sf)
+    ch = D.detect_changes_strict(fx.scan_f1(spark, sf), reg)
+    return U.apply_changes_strict(reg, ch, fx.run_ts())

@@ -446,3 +446,63 @@ _MIRROR = """plan AS (
   FROM scan s FULL OUTER JOIN registry t ON s.path = t.path)"""
 ORACLE["mirror_plan"] = q("SELECT path, action FROM plan", _MIRROR)
 ORACLE["mirror_plan_counts"] = q("SELECT action, count(*) AS n FROM plan GROUP BY action", _MIRROR)
+
+# ---- D10 strict classes --------------------------------------------------------
+
+_STRICT = [
+    """s_cls AS (
+  SELECT s.path, s.doc_id, s.content_hash, r.doc_id AS r_doc,
+    CASE WHEN r.doc_id IS NOT NULL AND (r.content_hash = s.content_hash OR r.content_hash = '') THEN 'UNCHANGED'
+         WHEN r.doc_id IS NOT NULL THEN 'MODIFIED'
+         WHEN s.doc_id IN (SELECT doc_id FROM registry WHERE status = 'INACTIVE') THEN 'RESURRECTED'
+         WHEN s.content_hash IN (SELECT content_hash FROM snap WHERE content_hash <> '') THEN '_CAND'
+         ELSE 'NEW' END AS change
+  FROM scan s LEFT JOIN snap r ON r.path = s.path)""",
+    """cand AS (SELECT content_hash, path, doc_id,
+         row_number() OVER (PARTITION BY content_hash ORDER BY path) AS rn
+  FROM s_cls WHERE change = '_CAND')""",
+    """vac AS (SELECT content_hash, path AS old_path, doc_id AS old_doc_id,
+         row_number() OVER (PARTITION BY content_hash ORDER BY path) AS rn
+  FROM snap h WHERE content_hash <> ''
+    AND NOT EXISTS (SELECT 1 FROM scan s WHERE s.path = h.path AND s.content_hash = h.content_hash))""",
+    """strict AS (
+  SELECT change, path, CAST(NULL AS VARCHAR) AS old_path, doc_id,
+         CASE WHEN change IN ('UNCHANGED', 'MODIFIED') THEN r_doc END AS old_doc_id, content_hash
+  FROM s_cls WHERE change <> '_CAND'
+  UNION ALL
+  SELECT CASE WHEN v.old_path IS NOT NULL THEN 'MOVED' ELSE 'COPIED' END, c.path, v.old_path, c.doc_id,
+         v.old_doc_id, c.content_hash
+  FROM cand c LEFT JOIN vac v ON v.content_hash = c.content_hash AND v.rn = c.rn
+  UNION ALL
+  SELECT CASE WHEN g.content_hash <> '' AND g.content_hash IN (SELECT content_hash FROM scan)
+              THEN 'ORPHANED' ELSE 'DELETED' END,
+         g.path, NULL, NULL, g.doc_id, g.content_hash
+  FROM snap g WHERE g.path NOT IN (SELECT path FROM scan)
+    AND NOT EXISTS (SELECT 1 FROM vac v JOIN cand c ON c.content_hash = v.content_hash AND c.rn = v.rn
+                    WHERE v.old_path = g.path))""",
+]
+
+ORACLE["detect_changes_strict"] = q(
+    "SELECT change, path, old_path, doc_id, old_doc_id, content_hash FROM strict", *_STRICT)
+
+ORACLE["change_counts_strict"] = q("SELECT change, count(*) AS n FROM strict GROUP BY change", *_STRICT)
+
+ORACLE["apply_changes_strict"] = q(
+    "SELECT doc_id, path, content_hash, status, created_at, updated_at FROM strict_reg",
+    *_STRICT,
+    """acts AS (SELECT doc_id, arg_max(to_s, prio) FILTER (WHERE to_s IS NOT NULL) AS to_s, max(fill) AS fill
+  FROM (SELECT old_doc_id AS doc_id, 'INACTIVE' AS to_s, CAST(NULL AS VARCHAR) AS fill, 1 AS prio FROM strict
+        WHERE change IN ('MODIFIED', 'MOVED', 'ORPHANED', 'DELETED')
+        UNION ALL SELECT doc_id, 'ACTIVE', NULL, 2 FROM strict WHERE change IN ('RESURRECTED', 'MODIFIED')
+        UNION ALL SELECT old_doc_id, NULL, content_hash, 0 FROM strict WHERE change = 'UNCHANGED') x
+  GROUP BY doc_id)""",
+    f"""upd AS (SELECT doc_id, path, new_hash AS content_hash, new_status AS status, created_at,
+         CASE WHEN new_status <> status OR coalesce(new_hash, '') <> coalesce(content_hash, '')
+              THEN {RUN} ELSE updated_at END AS updated_at
+  FROM (SELECT r.*, coalesce(a.to_s, r.status) AS new_status,
+               CASE WHEN coalesce(r.content_hash, '') = '' AND a.fill IS NOT NULL THEN a.fill
+                    ELSE r.content_hash END AS new_hash
+        FROM registry r LEFT JOIN acts a ON a.doc_id = r.doc_id) y)""",
+    """reg_cand AS (SELECT doc_id, path, content_hash FROM strict
+  WHERE change IN ('MODIFIED', 'MOVED', 'COPIED', 'NEW'))""",
+    f"strict_reg AS ({_register('upd', 'reg_cand')})")
