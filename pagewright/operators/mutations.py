@@ -22,15 +22,19 @@ def _now(now) -> Column:
     return F.lit(now).cast("timestamp_ntz")
 
 
+def new_document_rows(registry: DataFrame, candidates: DataFrame, now) -> DataFrame:
+    """Registry rows for ``candidates`` (``doc_id, path, content_hash``) whose
+    doc id is unknown: ACTIVE, with their hash in the same row."""
+    return (candidates.select("doc_id", "path", "content_hash")
+            .dropDuplicates(["doc_id"])
+            .join(registry.select("doc_id"), "doc_id", "left_anti")
+            .select("doc_id", "path", "content_hash", F.lit(ACTIVE).alias("status"),
+                    _now(now).alias("created_at"), _now(now).alias("updated_at")))
+
+
 def register_documents(registry: DataFrame, candidates: DataFrame, now) -> DataFrame:
-    """U1+U2: add ``candidates`` (``doc_id, path, content_hash``) whose doc id
-    is unknown, ACTIVE and with their hash in the same row."""
-    fresh = (candidates.select("doc_id", "path", "content_hash")
-             .dropDuplicates(["doc_id"])
-             .join(registry.select("doc_id"), "doc_id", "left_anti")
-             .select("doc_id", "path", "content_hash", F.lit(ACTIVE).alias("status"),
-                     _now(now).alias("created_at"), _now(now).alias("updated_at")))
-    return registry.select(*DOC_COLS).unionByName(fresh)
+    """U1+U2: the registry plus :func:`new_document_rows` (idempotent)."""
+    return registry.select(*DOC_COLS).unionByName(new_document_rows(registry, candidates, now))
 
 
 def set_document_status(registry: DataFrame, keys: DataFrame, status: str, now) -> DataFrame:

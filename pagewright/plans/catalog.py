@@ -6,6 +6,7 @@ Every query reads the driver tables (through the fixtures of
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -452,3 +453,48 @@ def _apply_changes_strict(spark, sf):
     reg = fx.registry_f2(spark, sf)
     ch = D.detect_changes_strict(fx.scan_f1(spark, sf), reg)
     return U.apply_changes_strict(reg, ch, fx.run_ts())
+
+
+# ---- whole runs ----------------------------------------------------------------
+
+import tempfile  # noqa: E402
+
+from . import pipeline as PL  # noqa: E402
+from ..streaming import incremental as INC  # noqa: E402
+
+
+def run_context(spark):
+    """Stage tables go below spark.checkpoint.dir; a scratch folder is used
+    only when the session names none (local runs and tests)."""
+    fallback = None
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        fallback = tempfile.mkdtemp(prefix="pagewright-")
+    return PL.RunContext.create(spark, fx.run_ts(), fallback_dir=fallback)
+
+
+@register("run_pipeline")
+def _run_pipeline(spark, sf):
+    ctx = run_context(spark)
+    out = PL.run_pipeline(ctx, fx.storage(spark, sf), fx.registry_f2(spark, sf),
+                          fx.pages_f3(spark, sf), payload=fx.payload(spark, sf))
+    return out["index"]
+
+
+@register("sync_run")
+def _sync_run(spark, sf):
+    ctx = run_context(spark)
+    out = PL.sync(ctx, fx.storage(spark, sf), fx.registry_f2(spark, sf), fx.pages_f3(spark, sf),
+                  target=fx.registry_f2(spark, sf).select("path", "content_hash"))
+    return out["stats"]
+
+
+@register("incremental_ingest")
+def _incremental_ingest(spark, sf):
+    ctx = run_context(spark)
+    path = os.path.join(sf, "documents.parquet")
+    # the driver tables are single files: stream the folder, keep that file name
+    d = spark.readStream.schema(spark.read.parquet(path).schema) \
+        .option("pathGlobFilter", "documents.parquet").parquet(sf)
+    files = d.select(fx.base_path(d).alias("path"), F.col("text").alias("content"))
+    return INC.ingest_files(spark, files, os.path.join(ctx.root, "registry"),
+                            os.path.join(ctx.root, "_stream_checkpoint"), fx.run_ts())

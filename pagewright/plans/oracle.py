@@ -506,3 +506,23 @@ ORACLE["apply_changes_strict"] = q(
     """reg_cand AS (SELECT doc_id, path, content_hash FROM strict
   WHERE change IN ('MODIFIED', 'MOVED', 'COPIED', 'NEW'))""",
     f"strict_reg AS ({_register('upd', 'reg_cand')})")
+
+# ---- whole runs ------------------------------------------------------------------
+
+ORACLE["sync_run"] = q(f"""
+SELECT count(*) AS total_active_pages,
+       count(*) FILTER (WHERE coalesce({_DONE}, false)) AS completed_pages,
+       count(*) - count(*) FILTER (WHERE coalesce({_DONE}, false)) AS remaining_pages,
+       CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE coalesce({_DONE}, false)) / count(*) * 100
+            ELSE 0.0 END AS completion_rate
+FROM (SELECT p.* REPLACE (CASE WHEN coalesce(r.status IN ('ACTIVE', 'INACTIVE') AND p.status IN ('ACTIVE', 'INACTIVE')
+                                             AND r.status <> p.status, false)
+                               THEN r.status ELSE p.status END AS status)
+      FROM pages_f3 p LEFT JOIN strict_reg r ON r.doc_id = p.doc_id) t
+WHERE status = 'ACTIVE'""",
+    *_STRICT,
+    ORACLE["apply_changes_strict"].split("strict AS (", 1)[0] and "acts AS (" + ORACLE["apply_changes_strict"].split("acts AS (", 1)[1].split("\nSELECT doc_id, path, content_hash, status, created_at, updated_at FROM strict_reg")[0])
+
+ORACLE["incremental_ingest"] = q(f"""
+SELECT sha256(text || bp) AS doc_id, bp AS path, sha256(text) AS content_hash, 'ACTIVE' AS status,
+       {RUN} AS created_at, {RUN} AS updated_at FROM docs_bp""")
