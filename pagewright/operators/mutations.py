@@ -94,6 +94,15 @@ def fold_patches(patches: DataFrame) -> DataFrame:
     """
     cols = [c for c in PATCHABLE + ("updated_at",) if c in patches.columns]
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in cols]
+    stages = [c for c in ("extracted", "summarized", "embedded", "indexed") if c in patches.columns]
+    if stages and "error_message" in patches.columns:
+        ok = None
+        for c in stages:
+            t = F.col(c) == "SUCCESS"
+            ok = t if ok is None else (ok | t)
+        # did the latest patch report a success without an error?
+        clean = F.coalesce(ok, F.lit(False)) & F.col("error_message").isNull()
+        aggs.append(F.max_by(clean, F.col("seq")).alias("_clean_success"))
     return patches.groupBy("page_id").agg(*aggs)
 
 
@@ -107,22 +116,17 @@ def patch_pages(pages: DataFrame, patches: DataFrame,
     as in the reference.
     """
     folded = fold_patches(patches)
-    pcols = [c for c in folded.columns if c != "page_id"]
-    f = folded.select("page_id", *[F.col(c).alias(f"_p_{c}") for c in pcols])
+    pcols = [c for c in folded.columns if c not in ("page_id", "_clean_success")]
+    extra = ["_clean_success"] if "_clean_success" in folded.columns else []
+    f = folded.select("page_id", *[F.col(c).alias(f"_p_{c}") for c in pcols], *extra)
     j = pages.join(f, "page_id", "left")
     out = []
     for c in pages.columns:
         if c in pcols:
             v = F.coalesce(F.col(f"_p_{c}"), F.col(c))
-            if c == "error_message" and clear_error_on_success:
-                stage_ok = None
-                for s in ("extracted", "summarized", "embedded", "indexed"):
-                    if s in pcols:
-                        t = F.col(f"_p_{s}") == "SUCCESS"
-                        stage_ok = t if stage_ok is None else (stage_ok | t)
-                if stage_ok is not None:
-                    v = F.when(F.coalesce(stage_ok, F.lit(False)) & F.col("_p_error_message").isNull(),
-                               F.lit(None).cast("string")).otherwise(v)
+            if c == "error_message" and clear_error_on_success and extra:
+                v = F.when(F.coalesce(F.col("_clean_success"), F.lit(False)),
+                           F.lit(None).cast("string")).otherwise(v)
             out.append(v.alias(c))
         else:
             out.append(F.col(c))

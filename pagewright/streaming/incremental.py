@@ -21,6 +21,9 @@ from ..operators.mutations import new_document_rows
 from ..schemas import DOCUMENTS_STATE
 from ..sources.files import PDF_GLOB
 
+# schema of Spark's binaryFile source (streams need it up front)
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def _register_batch(registry_path: str, now):
     def write(batch: DataFrame, epoch_id: int):
@@ -49,7 +52,7 @@ def ingest_files(spark: SparkSession, source: DataFrame, registry_path: str,
 
 def binary_file_stream(spark: SparkSession, root: str, glob: str = PDF_GLOB) -> DataFrame:
     """New files below ``root`` as ``path, content`` (paths relative to root)."""
-    s = (spark.readStream.format("binaryFile")
+    s = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
          .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
          .load(root))
     rel = F.regexp_extract("path", r"^.*?\Q" + root.rstrip("/") + r"\E/(.*)$", 1)

@@ -1,0 +1,115 @@
+"""Upserts, the patch fold, page sync, run log: inline rows and idempotence."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from pagewright.operators import index as IX
+from pagewright.operators import mutations as U
+from pagewright.operators import pages as PG
+from pagewright.operators import stats as A
+from pagewright.schemas import PAGES_STATE, RUN_LOG
+from pagewright.sources import fixtures as fx
+
+NOW = "2024-06-01 00:00:00"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def page_rows(spark, rows):
+    """rows: dicts with page fields; missing ones NULL."""
+    names = PAGES_STATE.fieldNames()
+    base = {"doc_id": "d", "page_number": 1, "gcs_path": "g", "gcs_pdf_path": "p", "status": "ACTIVE",
+            "created_at": T0, "updated_at": T0}
+    return spark.createDataFrame([tuple({**base, **r}.get(n) for n in names) for r in rows], PAGES_STATE)
+
+
+def patches_of(spark, rows):
+    return spark.createDataFrame(rows, "page_id string, seq long, extracted_text string, extracted string, "
+                                       "error_message string")
+
+
+def test_patch_fold_semantics(spark):
+    pages = page_rows(spark, [{"page_id": "a", "extracted_text": "old", "extracted": "PENDING"},
+                              {"page_id": "b", "extracted_text": "old", "extracted": "PENDING"},
+                              {"page_id": "c", "extracted": "PENDING"},
+                              {"page_id": "d", "extracted": "PENDING"}])
+    patches = patches_of(spark, [
+        ("a", 1, "new", "SUCCESS", None), ("a", 2, None, None, None),        # NULL after value keeps it
+        ("b", 1, "new", "SUCCESS", None), ("b", 2, "", "FAILED", "boom"),     # '' after value overwrites
+        ("c", 1, "", "FAILED", "boom"), ("c", 2, "txt", "SUCCESS", None),     # error then success
+        ("d", 1, "x", "SUCCESS", None), ("d", 1, None, None, "e"),            # two patches, one key
+        ("zz", 1, "ghost", "SUCCESS", None)])                                 # unknown page ignored
+    got = {r.page_id: (r.extracted_text, r.extracted, r.error_message)
+           for r in U.patch_pages(pages, patches).collect()}
+    assert got == {"a": ("new", "SUCCESS", None), "b": ("", "FAILED", "boom"),
+                   "c": ("txt", "SUCCESS", "boom"), "d": ("x", "SUCCESS", "e")}
+    cleared = {r.page_id: r.error_message
+               for r in U.patch_pages(pages, patches, clear_error_on_success=True).collect()}
+    assert cleared["c"] is None
+
+
+def test_register_documents_idempotent(spark, sf):
+    reg, scan = fx.registry_f2(spark, sf), fx.scan_f1(spark, sf)
+    once = U.register_documents(reg, scan, NOW)
+    twice = U.register_documents(once, scan, NOW)
+    assert sorted(once.collect()) == sorted(twice.collect())
+    assert once.select("doc_id").distinct().count() == once.count()
+
+
+def test_register_pages_idempotent(spark, sf):
+    pages = fx.pages_f3(spark, sf)
+    s = fx.storage(spark, sf)
+    from pagewright.functions.hashing import doc_hash
+    split = PG.paginate(s.select(doc_hash("content", "path").alias("doc_id"), "path", "content"))
+    once = PG.register_pages(pages, split, F.lit(NOW).cast("timestamp_ntz"))
+    twice = PG.register_pages(once, split, F.lit(NOW).cast("timestamp_ntz"))
+    assert once.count() == twice.count()
+    assert once.select("page_id").distinct().count() == once.count()
+
+
+def test_sync_page_status_both_directions_and_idempotent(spark):
+    pages = page_rows(spark, [{"page_id": "1", "doc_id": "x", "status": "ACTIVE"},
+                              {"page_id": "2", "doc_id": "y", "status": "INACTIVE"},
+                              {"page_id": "3", "doc_id": "z", "status": None}])
+    reg = spark.createDataFrame([("x", "INACTIVE"), ("y", "ACTIVE"), ("z", "ACTIVE")], "doc_id string, status string")
+    s1 = U.sync_page_status(pages, reg, NOW)
+    assert {r.page_id: r.status for r in s1.collect()} == {"1": "INACTIVE", "2": "ACTIVE", "3": None}
+    c = U.sync_page_status_counts(s1).first()
+    assert (c.to_inactive, c.to_active) == (1, 1)
+    s2 = U.sync_page_status(s1.drop("_flip"), reg, NOW)
+    assert U.sync_page_status_counts(s2).first().asDict() == {"to_inactive": 0, "to_active": 0}
+
+
+def test_upsert_index_twice_equals_once(spark):
+    rows = spark.createDataFrame([("p1", "v1"), ("p2", "v2")], "page_id string, v string")
+    old = spark.createDataFrame([("p1", "old"), ("p3", "keep")], "page_id string, v string")
+    once = IX.upsert_index(old, rows)
+    assert sorted(IX.upsert_index(once, rows).collect()) == sorted(once.collect())
+    assert sorted(tuple(r) for r in once.collect()) == [("p1", "v1"), ("p2", "v2"), ("p3", "keep")]
+
+
+def test_null_statuses_complete_vs_stats(spark):
+    pages = page_rows(spark, [
+        {"page_id": "1", "extracted": "SUCCESS", "summarized": "SUCCESS", "embedded": "SUCCESS", "indexed": None},
+        {"page_id": "2", "extracted": "SUCCESS", "summarized": "SUCCESS", "embedded": "SUCCESS", "indexed": "SUCCESS"}])
+    assert A.processing_complete(pages).first().complete is True     # NULL != SUCCESS is unknown
+    st = A.processing_stats(pages).first()
+    assert (st.total_active_pages, st.completed_pages, st.remaining_pages) == (2, 1, 1)
+    assert st.completion_rate == 50.0
+    empty = A.processing_stats(pages.limit(0)).first()
+    assert empty.completion_rate == 0.0
+
+
+def _log(spark, rows):
+    return spark.createDataFrame([(i, s, st, dt.datetime(2024, 1, 1, 0, i), None, None, None)
+                                  for i, s, st in rows], RUN_LOG)
+
+
+def test_run_log_fold(spark):
+    assert A.current_run_status(_log(spark, [])).first().status == "IDLE"
+    assert U.run_state(_log(spark, [])).count() == 0
+    r = U.run_state(_log(spark, [(1, "RUNNING", "split"), (2, "RUNNING", "extract")])).first()
+    assert (r.status, r.stage, r.started_at, r.completed_at) == ("RUNNING", "extract", dt.datetime(2024, 1, 1, 0, 1), None)
+    r = U.run_state(_log(spark, [(1, "RUNNING", "split"), (2, "FAILED", None)])).first()
+    assert (r.status, r.stage, r.completed_at) == ("FAILED", "split", dt.datetime(2024, 1, 1, 0, 2))
+    assert A.current_run_status(_log(spark, [(1, "RUNNING", "a"), (2, "COMPLETED", "a")])).first().status == "COMPLETED"
