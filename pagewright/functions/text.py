@@ -104,12 +104,19 @@ def finalize(t: Column) -> Column:
 
 
 def html_to_markdown(html: Column | str) -> Column:
-    """P3 default: the fixed chain of SURVEY 2.9.1 on one HTML column."""
-    t = strip_hidden(_c(html))
+    """P3 default: the fixed chain of SURVEY 2.9.1 on one HTML column.
+
+    The markup rules only change text that holds ``<`` or ``&``; for plain
+    text the same result comes from the filler and whitespace rules alone,
+    so those rows skip the markup passes.
+    """
+    h = _c(html)
+    t = strip_hidden(h)
     t = tables_to_blocks(t)
     t = images_to_blocks(t)
     t = strip_filler(t)
     t = markdown_blocks(t)
     t = strip_tags(t)
-    t = collapse_whitespace(t)
-    return finalize(t)
+    marked = h.contains("<") | h.contains("&")
+    t = F.when(marked, t).otherwise(F.regexp_replace(h, r"[._#*$%&]{3,}", ""))
+    return finalize(collapse_whitespace(t))

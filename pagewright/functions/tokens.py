@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,8 +19,7 @@ def _c(c: Column | str) -> Column:
 
 def tokens(text: Column | str) -> Column:
     """Lower-cased runs of letters and digits, empties dropped."""
-    return F.filter(F.split(F.lower(F.coalesce(_c(text), F.lit(""))), TOKEN_SPLIT, -1),
-                    lambda x: x != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(_c(text), F.lit(""))), TOKEN_SPLIT, -1), "")
 
 
 def sentences(text: Column | str) -> Column:
@@ -56,3 +56,41 @@ def unit_vector(dense: Column | str, dim: int = EMBED_DIM) -> Column:
     norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda a, c: a + c * c))
     return F.zip_with(d, F.array_repeat(norm, dim),
                       lambda c, n: F.when(n > 0, c / n).otherwise(F.lit(0.0)).cast("float"))
+
+
+def token_buckets(text: Column | str) -> Column:
+    """``array<int>``: the bucket of every token, in text order."""
+    return F.transform(tokens(text), bucket)
+
+
+def _unit_vectors_arrow(dim: int):
+    @F.pandas_udf("array<float>")
+    def unit_vectors(buckets: pd.Series) -> pd.Series:
+        # one Arrow batch at a time: scatter-add every (row, bucket) pair,
+        # then L2-normalise each row; no Python loop over tokens
+        import numpy as np
+        lens = buckets.map(len).to_numpy()
+        flat = np.concatenate(buckets.to_numpy()).astype(np.int64) if lens.sum() else np.zeros(0, np.int64)
+        rows = np.repeat(np.arange(len(buckets)), lens)
+        dense = np.zeros((len(buckets), dim), dtype=np.float64)
+        np.add.at(dense, (rows, flat), 1.0)
+        norm = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
+        dense = np.divide(dense, norm, out=np.zeros_like(dense), where=norm > 0)
+        return pd.Series(list(dense.astype(np.float32)))
+
+    return unit_vectors
+
+
+_UNIT = {}
+
+
+def unit_vector_arrow(buckets: Column | str, dim: int = EMBED_DIM) -> Column:
+    """Bucket ids to an L2-normalised ``array<float>`` in Arrow batches.
+
+    Spark evaluates higher-order-function lambdas without code generation,
+    so counting into 768 slots per row natively costs tokens x 768 lambda
+    calls; the vectorised scatter-add does the same arithmetic per batch.
+    """
+    if dim not in _UNIT:
+        _UNIT[dim] = _unit_vectors_arrow(dim)
+    return _UNIT[dim](_c(buckets))

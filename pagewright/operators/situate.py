@@ -6,11 +6,14 @@ that contain it. The page's best sentence (highest total weight of its
 distinct tokens, then the earliest) follows the file name and the path
 description.
 
-Plan: the first pages are picked with ``WindowGroupLimit`` (one shuffle by
-``doc_id``); the token weights of a document are folded into one map in
-the same partitioning, bounded by ``n`` pages of text. Each target page
-gets its document's map by an equi-join and scores its sentences inside
-the row with higher-order functions, so no token-level shuffle happens.
+Plan: the first pages are picked with ``WindowGroupLimit`` and counted per
+``(doc_id, token)`` in the same partitioning. Target sentences are exploded
+to ``(page, position, token)`` rows and joined to those weights on
+``(doc_id, token)``; scores are summed per sentence and the best one is
+chosen per page with ``max_by``. Every step is a codegen'd equi-join or
+partial aggregate: the work is linear in the tokens, no per-row lookup in
+a map of the document's vocabulary, and a document holding a third of all
+pages spreads over its distinct tokens instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -27,17 +30,14 @@ from .plugins import run_plugin
 
 
 def context_weights(pages: DataFrame, n: int = CONTEXT_PAGES) -> DataFrame:
-    """``doc_id, weights map<string,bigint>`` from the first ``n`` pages' text.
+    """``doc_id, tok, w``: in how many of the first ``n`` pages each token occurs.
 
-    After the window (hash-partitioned by ``doc_id``) both aggregations
-    below are satisfied by that partitioning: no further shuffle. The map
-    of a document is bounded by ``n`` pages of tokens.
+    The window leaves the rows hash-partitioned by ``doc_id``, which already
+    satisfies the ``(doc_id, tok)`` aggregation: one shuffle in all.
     """
     first = first_n_pages(pages.select("doc_id", "page_id", "page_number", "text"), n)
     toks = first.select("doc_id", F.explode(F.array_distinct(tokens("text"))).alias("tok"))
-    per_tok = toks.groupBy("doc_id", "tok").agg(F.count(F.lit(1)).alias("w"))
-    return per_tok.groupBy("doc_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("tok", "w"))).alias("weights"))
+    return toks.groupBy("doc_id", "tok").agg(F.count(F.lit(1)).alias("w"))
 
 
 def limit_words(text, max_words: int = SUMMARY_MAX_WORDS):
@@ -74,19 +74,24 @@ def situate(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES,
                          "error", "status")
         return out.unionByName(missing)
 
-    w = context_weights(pages, n)
-    j = found.join(w, "doc_id", "left")
-    sents = F.filter(sentences("text"), lambda s: s.rlike(HAS_TOKEN))
-    scores = F.transform(sents, lambda s: F.aggregate(
-        F.array_distinct(tokens(s)), F.lit(0).cast("bigint"),
-        lambda acc, t: acc + F.coalesce(F.col("weights")[t], F.lit(0)).cast("bigint")))
-    j = j.select("page_id", "gcs_pdf_path", sents.alias("_s"), scores.alias("_sc"))
-    best = F.array_max(F.zip_with("_sc", F.sequence(F.lit(1), F.greatest(F.size("_s"), F.lit(1))),
-                                  lambda sc, i: F.struct(sc.alias("sc"), (-i).alias("ni"))))
-    sentence = F.try_element_at("_s", -best["ni"])
+    # sentences with at least one token, numbered within the page
+    sents = found.select("page_id", "doc_id", "gcs_pdf_path",
+                         F.posexplode(sentences("text")).alias("pos", "sentence")) \
+        .filter(F.col("sentence").rlike(HAS_TOKEN))
+    # score = sum of context weights over the sentence's distinct tokens; an
+    # equi-join on (doc_id, tok), so a hot document spreads over its tokens
+    toks = sents.select("page_id", "doc_id", "pos",
+                        F.explode(F.array_distinct(tokens("sentence"))).alias("tok"))
+    scored = toks.join(context_weights(pages, n), ["doc_id", "tok"], "left") \
+        .groupBy("page_id", "pos").agg(F.sum(F.coalesce("w", F.lit(0))).alias("score"))
+    best = scored.groupBy("page_id").agg(
+        F.max_by("pos", F.struct(F.col("score"), -F.col("pos"))).alias("pos"))
+    chosen = sents.join(best, ["page_id", "pos"], "inner")
     summary = F.concat_ws("\n", F.col("gcs_pdf_path"),
-                          path_description("gcs_pdf_path", descriptions), sentence)
-    value = F.when(F.size("_s") == 0, F.lit("")).otherwise(limit_words(summary))
-    out = j.select("page_id", value.alias("value"), F.lit(None).cast("string").alias("error"),
-                   F.lit(SUCCESS).alias("status"))
+                          path_description("gcs_pdf_path", descriptions), F.col("sentence"))
+    with_text = chosen.select("page_id", limit_words(summary).alias("value"))
+    # pages without any sentence get "" and SUCCESS
+    out = found.select("page_id").join(with_text, "page_id", "left").select(
+        "page_id", F.coalesce("value", F.lit("")).alias("value"),
+        F.lit(None).cast("string").alias("error"), F.lit(SUCCESS).alias("status"))
     return out.unionByName(missing)

@@ -32,7 +32,7 @@ def test_native_stages_stay_in_the_jvm(spark, sf):
     pages = fx.pages_f3(spark, sf)
     html = fx.table(spark, sf, "pages").selectExpr("cast(page_id as string) page_id", "html as payload")
     dfs = [EX.extract(html), SI.situate(W.queue(pages, "summary").select("page_id"), fx.payload(spark, sf)),
-           EM.embed(W.queue(pages, "embed"))]
+           EM.embed(W.queue(pages, "embed"), vectorized=False)]
     for df in dfs:
         p = plan(df)
         assert not any(n in p for n in PY_NODES), p
@@ -44,3 +44,8 @@ def test_queue_scan_reads_only_needed_columns(spark, sf):
     p = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,de)]" in p
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in p
+
+
+def test_vectorized_embed_uses_arrow_batches_only(spark, sf):
+    p = plan(EM.embed(W.queue(fx.pages_f3(spark, sf), "embed")))
+    assert "ArrowEvalPython" in p and "BatchEvalPython" not in p

@@ -67,3 +67,13 @@ def test_plugin_output_schema(spark):
     out = run_plugin(df, lambda p: p.assign(value=[[1.0, 2.0]] * len(p), error=None), T.ArrayType(T.FloatType()))
     r = out.first()
     assert r.value == [1.0, 2.0] and r.status == "SUCCESS"
+
+
+def test_vectorized_embed_equals_native(spark, sf):
+    from pagewright.operators.queues import queue
+    q = queue(fx.pages_f3(spark, sf), "embed").select("page_id", "summary", "extracted_text")
+    a = {r.page_id: r.value for r in EM.embed(q).collect()}
+    b = {r.page_id: r.value for r in EM.embed(q, vectorized=False).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert (a[k] is None and b[k] is None) or all(math.isclose(x, y, abs_tol=1e-6) for x, y in zip(a[k], b[k]))
