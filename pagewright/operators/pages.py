@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import page_id, page_object_path
@@ -52,6 +52,8 @@ def first_n_pages(pages: DataFrame, n: int = CONTEXT_PAGES) -> DataFrame:
 
 def new_page_rows(split: DataFrame, now) -> DataFrame:
     """Page-state rows for freshly split pages: every stage PENDING, ACTIVE."""
+    if not isinstance(now, Column):
+        now = F.lit(now).cast("timestamp_ntz")
     return split.select(
         "page_id", "doc_id", "page_number", "gcs_path", "gcs_pdf_path",
         F.lit(None).cast("string").alias("extracted_text"),

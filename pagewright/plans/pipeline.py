@@ -10,6 +10,7 @@ idempotent: re-running a step rewrites the same folder.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass, field
 
@@ -26,6 +27,7 @@ from ..operators import pages as PG
 from ..operators import queues as W
 from ..operators import situate as SI
 from ..operators import stats as A
+from ..schemas import COMPLETED, FAILED, RUN_LOG, RUNNING
 from ..session import new_run_id, work_path
 from ..sources.files import scan_manifest
 
@@ -49,11 +51,21 @@ class RunContext:
         root = work_path(spark, run_id or new_run_id(), fallback=fallback_dir)
         return cls(spark, root, now)
 
+    events: list = field(default_factory=list)
+
     def save(self, name: str, df: DataFrame) -> DataFrame:
         out = materialize(df, os.path.join(self.root, name))
         self.tables[name] = out
         return out
 
+    def log(self, status: str, stage: str | None = None, error: str | None = None):
+        """Append a run event (a handful per run, kept on the driver)."""
+        ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        self.events.append((len(self.events) + 1, status, stage, ts, None, None, error))
+
+    def run_log(self) -> DataFrame:
+        return self.save("run_log", self.spark.createDataFrame(self.events, RUN_LOG))
+
 
 def sync(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFrame,
          target: DataFrame | None = None, scan_errors: DataFrame | None = None,
@@ -99,11 +111,26 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
     current page state, appends its results as patches, and the state is
     folded and written before the next stage.
     """
-    opts = plugin_opts or {}
+    try:
+        out = _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn,
+                          summary_fn, embed_fn, plugin_opts or {})
+    except Exception as e:
+        ctx.log(FAILED, error=f"{type(e).__name__}: {e}"[:1000])
+        ctx.run_log()
+        raise
+    ctx.log(COMPLETED)
+    out["run_state"] = U.run_state(ctx.run_log())
+    return out
+
+
+def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, summary_fn,
+                embed_fn, opts):
+    ctx.log(RUNNING, "sync")
     s = sync(ctx, files, registry, pages, mode=mode)
     reg, state = s["registry"], s["pages"]
 
     # split: ACTIVE documents without pages, content read once by path
+    ctx.log(RUNNING, "split")
     todo = W.queue_split(reg, state)
     docs = todo.join(files.select("path", "content"), "path", "inner") \
         .select("doc_id", "path", "content")
@@ -116,6 +143,7 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
     state = ctx.save("pages_split", PG.register_pages(state, split, ctx.now))
 
     # extract
+    ctx.log(RUNNING, "extract")
     q = W.queue(state, "extract").select("page_id")
     res = EX.extract(q.join(pay.select("page_id", F.col("text").alias("payload")), "page_id"),
                      extract_fn, **opts)
@@ -124,18 +152,21 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
         state, U.stage_patches(res, "extracted", "extracted_text", 1, ctx.now)))
 
     # situate
+    ctx.log(RUNNING, "summary")
     q = W.queue(state, "summary").select("page_id")
     res = ctx.save("summary_results", SI.situate(q, pay, summary_fn=summary_fn, **opts))
     state = ctx.save("pages_summarized", U.patch_pages(
         state, U.stage_patches(res, "summarized", "summary", 2, ctx.now)))
 
     # embed
+    ctx.log(RUNNING, "embed")
     q = W.queue(state, "embed").select("page_id", "summary", "extracted_text")
     res = ctx.save("embed_results", EM.embed(q, embed_fn, **opts))
     state = ctx.save("pages_embedded", U.patch_pages(
         state, U.stage_patches(res, "embedded", "embedding", 3, ctx.now)))
 
     # index
+    ctx.log(RUNNING, "index")
     q = W.queue(state, "index")
     rows = IX.index_documents(q)
     new_index = ctx.save("index", IX.upsert_index(index, rows))
