@@ -38,6 +38,18 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a Parquet table bucketed by ``key`` at ``path``.
+
+    Joins of two such tables on ``key`` need no shuffle, and a join with an
+    unbucketed side shuffles only that side into the same buckets: the
+    large page state stays in place while the (smaller) patches move.
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 @dataclass
 class RunContext:
     spark: SparkSession
@@ -45,16 +57,24 @@ class RunContext:
     now: object
     tables: dict = field(default_factory=dict)
 
-    @classmethod
-    def create(cls, spark: SparkSession, now, run_id: str | None = None,
-               fallback_dir: str | None = None):
-        root = work_path(spark, run_id or new_run_id(), fallback=fallback_dir)
-        return cls(spark, root, now)
-
+    run_id: str = ""
+    buckets: int = 0
     events: list = field(default_factory=list)
 
-    def save(self, name: str, df: DataFrame) -> DataFrame:
-        out = materialize(df, os.path.join(self.root, name))
+    @classmethod
+    def create(cls, spark: SparkSession, now, run_id: str | None = None,
+               fallback_dir: str | None = None, buckets: int | None = None):
+        rid = run_id or new_run_id()
+        root = work_path(spark, rid, fallback=fallback_dir)
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return cls(spark, root, now, run_id=rid, buckets=n)
+
+    def save(self, name: str, df: DataFrame, bucket_by: str | None = None) -> DataFrame:
+        path = os.path.join(self.root, name)
+        if bucket_by:
+            out = materialize_bucketed(df, path, f"pw_{self.run_id}_{name}", bucket_by, self.buckets)
+        else:
+            out = materialize(df, path)
         self.tables[name] = out
         return out
 
@@ -92,7 +112,7 @@ def sync(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFram
         raise ValueError(f"unknown sync mode {mode}")
     new_reg = ctx.save("registry", new_reg)
     synced = U.sync_page_status(pages, new_reg, ctx.now)
-    new_pages = ctx.save("pages_synced", synced.drop("_flip"))
+    new_pages = ctx.save("pages_synced", synced.drop("_flip"), bucket_by="page_id")
     out.update(scan=scan, changes=changes, change_counts=D.change_counts(changes),
                registry=new_reg, pages=new_pages,
                page_status_counts=U.sync_page_status_counts(synced),
@@ -139,40 +159,40 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     if payload is not None:
         pay = payload.select(*pay.columns).join(split.select("page_id"), "page_id", "left_anti") \
             .unionByName(pay)
-    pay = ctx.save("payload", pay)
-    state = ctx.save("pages_split", PG.register_pages(state, split, ctx.now))
+    pay = ctx.save("payload", pay, bucket_by="page_id")
+    state = ctx.save("pages_split", PG.register_pages(state, split, ctx.now), bucket_by="page_id")
 
     # extract
     ctx.log(RUNNING, "extract")
     q = W.queue(state, "extract").select("page_id")
     res = EX.extract(q.join(pay.select("page_id", F.col("text").alias("payload")), "page_id"),
                      extract_fn, **opts)
-    res = ctx.save("extract_results", res)
+    res = ctx.save("extract_results", res, bucket_by="page_id")
     state = ctx.save("pages_extracted", U.patch_pages(
-        state, U.stage_patches(res, "extracted", "extracted_text", 1, ctx.now)))
+        state, U.stage_patches(res, "extracted", "extracted_text", 1, ctx.now)), bucket_by="page_id")
 
     # situate
     ctx.log(RUNNING, "summary")
     q = W.queue(state, "summary").select("page_id")
-    res = ctx.save("summary_results", SI.situate(q, pay, summary_fn=summary_fn, **opts))
+    res = ctx.save("summary_results", SI.situate(q, pay, summary_fn=summary_fn, **opts), bucket_by="page_id")
     state = ctx.save("pages_summarized", U.patch_pages(
-        state, U.stage_patches(res, "summarized", "summary", 2, ctx.now)))
+        state, U.stage_patches(res, "summarized", "summary", 2, ctx.now)), bucket_by="page_id")
 
     # embed
     ctx.log(RUNNING, "embed")
     q = W.queue(state, "embed").select("page_id", "summary", "extracted_text")
-    res = ctx.save("embed_results", EM.embed(q, embed_fn, **opts))
+    res = ctx.save("embed_results", EM.embed(q, embed_fn, **opts), bucket_by="page_id")
     state = ctx.save("pages_embedded", U.patch_pages(
-        state, U.stage_patches(res, "embedded", "embedding", 3, ctx.now)))
+        state, U.stage_patches(res, "embedded", "embedding", 3, ctx.now)), bucket_by="page_id")
 
     # index
     ctx.log(RUNNING, "index")
     q = W.queue(state, "index")
     rows = IX.index_documents(q)
-    new_index = ctx.save("index", IX.upsert_index(index, rows))
+    new_index = ctx.save("index", IX.upsert_index(index, rows), bucket_by="page_id")
     res = IX.index_results(q)
     state = ctx.save("pages_indexed", U.patch_pages(
-        state, U.stage_patches(res, "indexed", None, 4, ctx.now)))
+        state, U.stage_patches(res, "indexed", None, 4, ctx.now)), bucket_by="page_id")
 
     s.update(registry=reg, pages=state, payload=pay, index=new_index,
              stats=A.processing_stats(state), complete=A.processing_complete(state))
