@@ -147,18 +147,30 @@ def stage_patches(results: DataFrame, stage: str, value_col: str | None, seq: in
     return results.select(*cols)
 
 
-def sync_page_status(pages: DataFrame, registry: DataFrame, now) -> DataFrame:
-    """A page takes its document's status when both are ACTIVE/INACTIVE
-    and they differ; ``updated_at`` is set on changed rows."""
+def page_status_flips(pages: DataFrame, registry: DataFrame) -> DataFrame:
+    """``page_id, status`` for pages whose document status differs.
+
+    Computed on the narrow ``(page_id, doc_id, status)`` projection, so the
+    join by ``doc_id`` never moves page text or vectors.
+    """
     docs = registry.select("doc_id", F.col("status").alias("_d"))
-    j = pages.join(docs, "doc_id", "left")
+    narrow = pages.select("page_id", "doc_id", "status").join(docs, "doc_id", "inner")
     flip = (F.col("_d").isin(*DOC_STATUSES) & F.col("status").isin(*DOC_STATUSES)
             & (F.col("_d") != F.col("status")))
-    flip = F.coalesce(flip, F.lit(False))
+    return narrow.filter(flip).select("page_id", F.col("_d").alias("_new_status"))
+
+
+def sync_page_status(pages: DataFrame, registry: DataFrame, now) -> DataFrame:
+    """A page takes its document's status when both are ACTIVE/INACTIVE
+    and they differ; ``updated_at`` is set on changed rows. The flips are
+    applied by ``page_id`` (free on a state bucketed by page_id, a broadcast
+    when few pages change)."""
+    j = pages.join(page_status_flips(pages, registry), "page_id", "left")
+    flip = F.col("_new_status").isNotNull()
     cols = []
     for c in pages.columns:
         if c == "status":
-            cols.append(F.when(flip, F.col("_d")).otherwise(F.col("status")).alias("status"))
+            cols.append(F.when(flip, F.col("_new_status")).otherwise(F.col("status")).alias("status"))
         elif c == "updated_at":
             cols.append(F.when(flip, _now(now)).otherwise(F.col("updated_at")).alias("updated_at"))
         else:
