@@ -49,3 +49,19 @@ def test_queue_scan_reads_only_needed_columns(spark, sf):
 def test_vectorized_embed_uses_arrow_batches_only(spark, sf):
     p = plan(EM.embed(W.queue(fx.pages_f3(spark, sf), "embed")))
     assert "ArrowEvalPython" in p and "BatchEvalPython" not in p
+
+
+def test_patch_step_on_bucketed_state_shuffles_only_patches(spark, sf):
+    from pagewright.operators import mutations as U
+    from pagewright.plans import pipeline as PL
+    ctx = PL.RunContext.create(spark, "2024-06-01 00:00:00")
+    state = ctx.save("state", fx.pages_f3(spark, sf), bucket_by="page_id")
+    res = ctx.save("res", state.selectExpr("page_id", "'x' AS value", "CAST(NULL AS STRING) AS error",
+                                           "'SUCCESS' AS status"), bucket_by="page_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = U.patch_pages(state, U.stage_patches(res, "extracted", "extracted_text", 1, ctx.now)) \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert p.count("Exchange") <= 1
