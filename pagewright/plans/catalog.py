@@ -480,6 +480,25 @@ def _run_pipeline(spark, sf):
     return out["index"]
 
 
+@register("run_status")
+def _run_status(spark, sf):
+    """The run row folded from the event log the pipeline wrote while
+    processing the tables."""
+    ctx = run_context(spark)
+    PL.run_pipeline(ctx, fx.storage(spark, sf), fx.registry_f2(spark, sf), fx.pages_f3(spark, sf),
+                    payload=fx.payload(spark, sf))
+    return U.run_state(ctx.tables["run_log"]).select("id", "status", "stage")
+
+
+@register("current_run_status")
+def _current_run_status(spark, sf):
+    """K2: latest status of that run's log (IDLE for an empty log)."""
+    ctx = run_context(spark)
+    PL.run_pipeline(ctx, fx.storage(spark, sf), fx.registry_f2(spark, sf), fx.pages_f3(spark, sf),
+                    payload=fx.payload(spark, sf))
+    return A.current_run_status(ctx.tables["run_log"])
+
+
 @register("sync_run")
 def _sync_run(spark, sf):
     ctx = run_context(spark)
