@@ -183,22 +183,25 @@ def detect_changes_strict(scan: DataFrame, registry: DataFrame,
         F.when(F.col("change").isin(UNCHANGED_S, MODIFIED), F.col("old_doc_id")).alias("old_doc_id"),
         "content_hash")
 
-    # candidates and vacated holders, numbered by path within the hash
-    cand = row_number_within(j.filter(F.col("change") == "_CAND")
-                             .select("content_hash", "path", "doc_id"), "content_hash", "path")
+    # candidates and vacated holders, numbered by path within (side, hash)
+    # in one skew-safe ranking, then paired on equal numbers
     holders = snap.filter(F.col("content_hash") != "")
     vacated = (holders.join(s.select("path", "content_hash"), ["path", "content_hash"], "left_anti")
                .join(err, "path", "left_anti"))
-    vac = row_number_within(vacated.select("content_hash", F.col("path").alias("old_path"),
-                                           F.col("doc_id").alias("old_doc_id")),
-                            "content_hash", "old_path")
+    sides = (j.filter(F.col("change") == "_CAND")
+             .select(F.lit("c").alias("_side"), "content_hash", "path", "doc_id")
+             .unionByName(vacated.select(F.lit("v").alias("_side"), "content_hash", "path", "doc_id")))
+    ranked = row_number_within(sides, ["_side", "content_hash"], "path")
+    cand = ranked.filter(F.col("_side") == "c").drop("_side")
+    vac = ranked.filter(F.col("_side") == "v").select(
+        "content_hash", "rn", F.col("path").alias("old_path"), F.col("doc_id").alias("old_doc_id"))
     paired = cand.join(vac, ["content_hash", "rn"], "left")
     moved = paired.select(
         F.when(F.col("old_path").isNotNull(), F.lit(MOVED_S)).otherwise(F.lit(COPIED)).alias("change"),
         "path", "old_path", "doc_id", "old_doc_id", "content_hash")
 
-    # registry paths that vanished
-    sources = vac.join(cand.select("content_hash", "rn"), ["content_hash", "rn"], "left_semi") \
+    # registry paths that vanished; the paired holders are move sources
+    sources = paired.filter(F.col("old_path").isNotNull()) \
         .select(F.col("old_path").alias("path"), F.lit(True).alias("_src"))
     present = s.select(F.col("content_hash").alias("_h")).distinct().withColumn("_seen", F.lit(True))
     gone = (snap.join(s.select("path"), "path", "left_anti")

@@ -16,18 +16,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_number_within(df: DataFrame, group: str, order: str, out: str = "rn",
+def row_number_within(df: DataFrame, group, order: str, out: str = "rn",
                       partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY group ORDER BY order)``, skew-safe.
+
+    ``group``: a column name or a list of them.
+    """
     spark = df.sparkSession
+    g = [group] if isinstance(group, str) else list(group)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(group), F.col(order)) \
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in g + [order]]) \
         .withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy("_pid", group).orderBy(order)))
-    pieces = local.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        "_lrn", F.row_number().over(Window.partitionBy("_pid", *g).orderBy(order)))
+    pieces = local.groupBy(*g, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))) \
-        .select(group, "_pid", "_off")
-    return local.join(offsets, [group, "_pid"], "inner") \
+        .select(*g, "_pid", "_off")
+    return local.join(offsets, g + ["_pid"], "inner") \
         .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long")) \
         .drop("_pid", "_lrn", "_off")

@@ -7,14 +7,31 @@ Every query reads the driver tables (through the fixtures of
 from __future__ import annotations
 
 import os
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import hashing as H
+from ..functions import paths as PT
+from ..functions import text as TX
 from ..operators import changes as D
+from ..operators import embed as EM
+from ..operators import extract as EX
+from ..operators import index as IX
+from ..operators import lookups as Q
+from ..operators import mirror as MR
+from ..operators import mutations as U
+from ..operators import pages as PG
+from ..operators import queues as W
+from ..operators import situate as SI
+from ..operators import stats as A
+from ..sources import files as FS
 from ..sources import fixtures as fx
 from ..sources.registry import registry_snapshot
+from ..streaming import incremental as INC
+from . import pipeline as PL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -87,20 +104,6 @@ def _new_hash_counts(spark, sf):
 
 # ---- scalar functions --------------------------------------------------------
 
-from ..functions import hashing as H  # noqa: E402
-from ..functions import paths as PT  # noqa: E402
-from ..functions import text as TX  # noqa: E402
-from ..operators import embed as EM  # noqa: E402
-from ..operators import extract as EX  # noqa: E402
-from ..operators import index as IX  # noqa: E402
-from ..operators import lookups as Q  # noqa: E402
-from ..operators import mirror as MR  # noqa: E402
-from ..operators import mutations as U  # noqa: E402
-from ..operators import pages as PG  # noqa: E402
-from ..operators import queues as W  # noqa: E402
-from ..operators import situate as SI  # noqa: E402
-from ..operators import stats as A  # noqa: E402
-from ..sources import files as FS  # noqa: E402
 
 
 @register("list_files")
@@ -457,10 +460,7 @@ def _apply_changes_strict(spark, sf):
 
 # ---- whole runs ----------------------------------------------------------------
 
-import tempfile  # noqa: E402
 
-from . import pipeline as PL  # noqa: E402
-from ..streaming import incremental as INC  # noqa: E402
 
 
 def run_context(spark):

@@ -6,7 +6,8 @@ derivations); column names equal the Spark aliases.
 
 from __future__ import annotations
 
-from .oracle_fixtures import q
+from ..functions.paths import DESCRIPTIONS  # fixed values shared as data
+from .oracle_fixtures import q, sql_file, sql_page_path, sql_pad5, sql_parent, sql_stem
 
 ORACLE: dict[str, str] = {}
 
@@ -72,8 +73,6 @@ FROM detected WHERE change = 'new'""", _NEW_PATHS, _DETECT)
 
 # ---- helpers for the statements below ----------------------------------------
 
-from ..functions.paths import DESCRIPTIONS  # noqa: E402  (fixed values, shared data)
-from .oracle_fixtures import sql_file, sql_page_path, sql_pad5, sql_parent, sql_stem  # noqa: E402
 
 RUN = "TIMESTAMP '2024-06-01 00:00:00'"
 NL = "chr(10)"

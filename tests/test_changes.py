@@ -108,3 +108,27 @@ def test_row_number_within_equals_window_with_hot_group(spark):
     got = row_number_within(df, "g", "k", partitions=16)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k")).cast("long"))
     assert sorted(got.collect()) == sorted(want.select("g", "k", "rn").collect())
+
+
+def test_hot_hash_holding_a_third_of_all_files(spark):
+    """One content shared by a third of the files: classes stay exact, no
+    per-hash list is built, and pairing spreads over many partitions."""
+    import hashlib
+    n = 3000
+    files = [(f"f{i:05d}.pdf", "HOT" if i % 3 == 0 else f"c{i}") for i in range(n)]
+    # registry: the hot content held by 400 old paths that are now gone, plus the current files
+    reg_rows = [(f"old{i:04d}.pdf", "HOT", "ACTIVE") for i in range(400)] + \
+               [(p, c, "ACTIVE") for p, c in files[:1500]]
+    reg = reg_of(spark, reg_rows)
+    scan = scan_of(spark, files)
+    ch = D.detect_changes_strict(scan, reg).checkpoint()
+    counts = dict((r.change, r.n) for r in D.change_counts(ch).collect())
+    hot_new = sum(1 for i, (p, c) in enumerate(files) if c == "HOT" and i >= 1500)
+    assert counts["UNCHANGED"] == 1500
+    assert counts["MOVED"] == min(400, hot_new)
+    assert counts["COPIED"] == hot_new - min(400, hot_new)
+    assert counts["NEW"] == sum(1 for i, (p, c) in enumerate(files) if c != "HOT" and i >= 1500)
+    dup = D.duplicate_hashes(scan)
+    hot = hashlib.sha256(b"HOT").hexdigest()
+    assert dup.filter(F.col("content_hash") == hot).count() == n // 3
+    assert dup.filter(F.col("content_hash") == hot).select("copies").distinct().first()[0] == n // 3
