@@ -51,3 +51,14 @@ def queue_split(registry: DataFrame, pages: DataFrame) -> DataFrame:
     """ACTIVE documents that have no page rows yet."""
     act = registry.filter(F.col("status") == ACTIVE).select("doc_id", "path", "content_hash")
     return act.join(pages.select("doc_id"), "doc_id", "left_anti")
+
+
+def queue_index_for_model(pages: DataFrame, index: DataFrame, model: str) -> DataFrame:
+    """W4 scoped to an embedding model: the index queue plus
+    ACTIVE embedded pages whose index row is missing or was written by
+    another model, even though their ``indexed`` says SUCCESS."""
+    current = index.filter(F.col("model") == model).select("page_id")
+    stale = (pages.filter((F.col("status") == ACTIVE) & (F.col("embedded") == SUCCESS)
+                          & (F.col("indexed") == SUCCESS))
+             .join(current, "page_id", "left_anti"))
+    return queue(pages, "index").unionByName(stale)

@@ -112,3 +112,16 @@ def test_finalize_fences_and_null(spark):
     df = spark.createDataFrame([("```markdown\nx\n```",), (None,)], "t string")
     got = [r[0] for r in df.select(T.finalize(F.col("t"))).collect()]
     assert got == ["x\n", ""]
+
+
+def test_random_paths_follow_python_semantics(spark):
+    import random
+    rnd = random.Random(3)
+    alphabet = ["a", "b", ".", ".", "/", " ", "é", "x.pdf", "..", "_"]
+    paths = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 12))) for _ in range(400)]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = df.select("path", P.parent_dir("path").alias("parent"), P.file_name("path").alias("f"),
+                    P.strip_extension(P.file_name("path")).alias("stem")).collect()
+    for r in got:
+        assert (r.parent, r.f) == py_split(r.path), r.path
+        assert r.stem == (os.path.splitext(r.f)[0] or r.f), r.path

@@ -113,3 +113,14 @@ def test_run_log_fold(spark):
     r = U.run_state(_log(spark, [(1, "RUNNING", "split"), (2, "FAILED", None)])).first()
     assert (r.status, r.stage, r.completed_at) == ("FAILED", "split", dt.datetime(2024, 1, 1, 0, 2))
     assert A.current_run_status(_log(spark, [(1, "RUNNING", "a"), (2, "COMPLETED", "a")])).first().status == "COMPLETED"
+
+
+def test_reindex_for_new_model(spark):
+    from pagewright.operators.queues import queue_index_for_model
+    pages = page_rows(spark, [
+        {"page_id": "a", "embedded": "SUCCESS", "indexed": "SUCCESS"},
+        {"page_id": "b", "embedded": "SUCCESS", "indexed": "SUCCESS"},
+        {"page_id": "c", "embedded": "SUCCESS", "indexed": "PENDING"}])
+    index = spark.createDataFrame([("a", "m2"), ("b", "m1")], "page_id string, model string")
+    got = sorted(r.page_id for r in queue_index_for_model(pages, index, "m2").collect())
+    assert got == ["b", "c"]
