@@ -144,76 +144,106 @@ _STRICT_OUT = ["change", "path", "old_path", "doc_id", "old_doc_id", "content_ha
 
 
 def detect_changes_strict(scan: DataFrame, registry: DataFrame,
-                          scan_errors: DataFrame | None = None) -> DataFrame:
+                          scan_errors: DataFrame | None = None,
+                          checkpoint: bool = True) -> DataFrame:
     """Every scanned path and every vanished registry path gets a class.
 
     Output ``change, path, old_path, doc_id, old_doc_id, content_hash``:
     ``doc_id`` is the scanned document, ``old_doc_id`` the registry document
     the change acts on (deactivated, or hash filled in for UNCHANGED).
 
-    New paths with registered content and vacated holders of that content
-    are paired by path order within the hash; the numbering is
-    :func:`row_number_within`, which splits a hot hash over many tasks.
+    Plan: one full outer join of scan and snapshot on ``path``; every row is
+    tagged with the facts it needs (read error, INACTIVE doc id, content held
+    in the registry, content present in the scan) by three equi-joins, and
+    the tagged table is written once (narrow rows, Parquet below the shared
+    checkpoint folder) because every class reads it. New paths with
+    held content and vacated holders are numbered by path within (side,
+    hash) in one skew-safe ranking (:func:`row_number_within`) and paired by
+    an aggregate on (hash, number) whose groups hold at most one row per
+    side; the pairs are written too, since the ranking uses the partition id
+    and Spark would otherwise compute it once per reader. ``checkpoint=False``
+    keeps everything lazy.
     """
+    from ..session import write_through
     from .rank import row_number_within
 
     spark = scan.sparkSession
     if scan_errors is None:
         scan_errors = spark.createDataFrame([], "path string, error string")
-    err = scan_errors.select("path").distinct()
+    err = scan_errors.select("path").distinct().withColumn("_err", F.lit(True))
     snap = registry_snapshot(registry)
+    s = _scan(scan).withColumn("_in_scan", F.lit(True))
+    r = snap.select("path", F.col("doc_id").alias("old_doc_id"),
+                    F.col("content_hash").alias("_r_hash"), F.lit(True).alias("_in_reg"))
+    full = s.join(r, "path", "full_outer").join(err, "path", "left").select(
+        "path", "doc_id", "content_hash", "old_doc_id", "_r_hash",
+        F.coalesce("_in_scan", F.lit(False)).alias("_in_scan"),
+        F.coalesce("_in_reg", F.lit(False)).alias("_in_reg"),
+        F.coalesce("_err", F.lit(False)).alias("_err"))
+
+    # per hash: held by a registry holder, present in the scan (partial aggregate)
+    facts = (full.select(F.explode(F.array(
+                F.when(F.col("_in_scan"), F.struct(F.col("content_hash").alias("k"),
+                                                   F.lit(True).alias("present"), F.lit(False).alias("held"))),
+                F.when(F.col("_in_reg") & (F.col("_r_hash") != ""),
+                       F.struct(F.col("_r_hash").alias("k"), F.lit(False).alias("present"),
+                                F.lit(True).alias("held"))))).alias("f"))
+             .filter(F.col("f").isNotNull())
+             .groupBy(F.col("f.k").alias("_k"))
+             .agg(F.bool_or("f.present").alias("_present"), F.bool_or("f.held").alias("_held")))
     inactive = registry.filter(F.col("status") == "INACTIVE").select("doc_id").distinct() \
         .withColumn("_inactive", F.lit(True))
-    held = snap.filter(F.col("content_hash") != "").select("content_hash").distinct() \
-        .withColumn("_held", F.lit(True))
-
-    s = _scan(scan)
-    r = snap.select("path", F.col("doc_id").alias("old_doc_id"), F.col("content_hash").alias("_r_hash"))
-    j = s.join(r, "path", "left").join(inactive, "doc_id", "left").join(held, "content_hash", "left")
-    in_r = F.col("old_doc_id").isNotNull()
-    pre = (F.when(in_r & ((F.col("_r_hash") == F.col("content_hash")) | (F.col("_r_hash") == "")),
-                  F.lit(UNCHANGED_S))
-           .when(in_r, F.lit(MODIFIED))
-           .when(F.col("_inactive"), F.lit(RESURRECTED))
-           .when(F.col("_held"), F.lit("_CAND"))
-           .otherwise(F.lit(NEW_S)))
-    j = j.select("path", "doc_id", "content_hash", "old_doc_id", pre.alias("change"))
-    settled = j.filter(F.col("change") != "_CAND").select(
-        "change", "path", F.lit(None).cast("string").alias("old_path"), "doc_id",
-        F.when(F.col("change").isin(UNCHANGED_S, MODIFIED), F.col("old_doc_id")).alias("old_doc_id"),
-        "content_hash")
-
-    # candidates and vacated holders, numbered by path within (side, hash)
-    # in one skew-safe ranking, then paired on equal numbers
-    holders = snap.filter(F.col("content_hash") != "")
-    vacated = (holders.join(s.select("path", "content_hash"), ["path", "content_hash"], "left_anti")
-               .join(err, "path", "left_anti"))
-    sides = (j.filter(F.col("change") == "_CAND")
-             .select(F.lit("c").alias("_side"), "content_hash", "path", "doc_id")
-             .unionByName(vacated.select(F.lit("v").alias("_side"), "content_hash", "path", "doc_id")))
+    # a scanned row looks up its own content, a vanished row its registry content
+    tagged = (full.join(inactive, "doc_id", "left")
+              .withColumn("_k", F.coalesce("content_hash", "_r_hash"))
+              .join(facts, "_k", "left")
+              .select("path", "doc_id", "content_hash", "old_doc_id", "_r_hash", "_in_scan", "_in_reg",
+                      "_err", F.coalesce("_inactive", F.lit(False)).alias("_inactive"),
+                      F.coalesce("_held", F.lit(False)).alias("_held"),
+                      F.coalesce("_present", F.lit(False)).alias("_present")))
+    if checkpoint:
+        tagged = write_through(tagged, "changes_tagged")
+    c = F.col
+    both, fresh, gone = c("_in_scan") & c("_in_reg"), c("_in_scan") & ~c("_in_reg"), ~c("_in_scan") & c("_in_reg")
+    nul = F.lit(None).cast("string")
+    same = (c("_r_hash") == c("content_hash")) | (c("_r_hash") == "")
+    cls = (F.when(both & same, F.lit(UNCHANGED_S))
+           .when(both, F.lit(MODIFIED))
+           .when(fresh & c("_inactive"), F.lit(RESURRECTED))
+           .when(fresh & c("_held"), F.lit("_CAND"))
+           .when(fresh, F.lit(NEW_S))
+           .when(gone & c("_err"), F.lit(ERROR))
+           .when(gone & (c("_r_hash") == ""), F.lit(DELETED_S))
+           .when(gone, F.lit("_VAC")))
+    t = tagged.withColumn("change", cls)
+    settled = t.filter(~c("change").isin("_CAND", "_VAC")).select(
+        "change", "path", nul.alias("old_path"), "doc_id",
+        F.when(c("_in_reg"), c("old_doc_id")).alias("old_doc_id"),
+        F.coalesce("content_hash", "_r_hash").alias("content_hash"))
+
+    # ranking sides: candidates, and holders whose path lost that content
+    # (vanished, or now holding other content: those are MODIFIED above)
+    vacated = c("_in_reg") & ~c("_err") & (c("_r_hash") != "") & \
+        (~c("_in_scan") | (c("_r_hash") != c("content_hash")))
+    sides = t.filter((c("change") == "_CAND") | vacated).select(
+        F.when(c("change") == "_CAND", F.lit("c")).otherwise(F.lit("v")).alias("_side"),
+        F.when(c("change") == "_CAND", c("content_hash")).otherwise(c("_r_hash")).alias("content_hash"),
+        "path",
+        F.when(c("change") == "_CAND", c("doc_id")).otherwise(c("old_doc_id")).alias("doc_id"),
+        (~c("_in_scan")).alias("_gone"), "_present")
     ranked = row_number_within(sides, ["_side", "content_hash"], "path")
-    cand = ranked.filter(F.col("_side") == "c").drop("_side")
-    vac = ranked.filter(F.col("_side") == "v").select(
-        "content_hash", "rn", F.col("path").alias("old_path"), F.col("doc_id").alias("old_doc_id"))
-    paired = cand.join(vac, ["content_hash", "rn"], "left")
-    moved = paired.select(
-        F.when(F.col("old_path").isNotNull(), F.lit(MOVED_S)).otherwise(F.lit(COPIED)).alias("change"),
-        "path", "old_path", "doc_id", "old_doc_id", "content_hash")
-
-    # registry paths that vanished; the paired holders are move sources
-    sources = paired.filter(F.col("old_path").isNotNull()) \
-        .select(F.col("old_path").alias("path"), F.lit(True).alias("_src"))
-    present = s.select(F.col("content_hash").alias("_h")).distinct().withColumn("_seen", F.lit(True))
-    gone = (snap.join(s.select("path"), "path", "left_anti")
-            .join(err.withColumn("_err", F.lit(True)), "path", "left")
-            .join(sources, "path", "left")
-            .join(present, F.col("content_hash") == F.col("_h"), "left"))
-    gcls = (F.when(F.col("_err"), F.lit(ERROR))
-            .when(F.col("_src"), F.lit(None))
-            .when((F.col("content_hash") != "") & F.col("_seen"), F.lit(ORPHANED))
-            .otherwise(F.lit(DELETED_S)))
-    gone = gone.select(gcls.alias("change"), "path", F.lit(None).cast("string").alias("old_path"),
-                       F.lit(None).cast("string").alias("doc_id"),
-                       F.col("doc_id").alias("old_doc_id"), "content_hash") \
-        .filter(F.col("change").isNotNull())
-    return settled.select(*_STRICT_OUT).unionByName(moved.select(*_STRICT_OUT)).unionByName(gone)
+    row = F.struct("path", "doc_id", "_gone", "_present")
+    pairs = ranked.groupBy("content_hash", "rn").agg(
+        F.max_by(row, F.when(c("_side") == "c", F.lit(1))).alias("c"),
+        F.max_by(row, F.when(c("_side") == "v", F.lit(1))).alias("v"))
+    if checkpoint:
+        pairs = write_through(pairs, "changes_pairs")
+    moved = pairs.filter(c("c").isNotNull()).select(
+        F.when(c("v").isNotNull(), F.lit(MOVED_S)).otherwise(F.lit(COPIED)).alias("change"),
+        c("c.path").alias("path"), c("v.path").alias("old_path"),
+        c("c.doc_id").alias("doc_id"), c("v.doc_id").alias("old_doc_id"), "content_hash")
+    unpaired = pairs.filter(c("c").isNull() & c("v._gone")).select(
+        F.when(c("v._present"), F.lit(ORPHANED)).otherwise(F.lit(DELETED_S)).alias("change"),
+        c("v.path").alias("path"), nul.alias("old_path"), nul.alias("doc_id"),
+        c("v.doc_id").alias("old_doc_id"), "content_hash")
+    return settled.unionByName(moved).unionByName(unpaired)

@@ -441,8 +441,17 @@ def _mirror_plan_counts(spark, sf):
     return MR.mirror_plan_counts(_mirror_plan(spark, sf))
 
 
+def ensure_checkpoint_dir(spark):
+    """Strict detection checkpoints; on a cluster the session names the
+    shared folder, locally (unset) a scratch folder is used."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        from ..session import checkpoint_dir
+        checkpoint_dir(spark, tempfile.mkdtemp(prefix="pagewright-ckpt-"))
+
+
 @register("detect_changes_strict")
 def _detect_changes_strict(spark, sf):
+    ensure_checkpoint_dir(spark)
     return D.detect_changes_strict(fx.scan_f1(spark, sf), fx.registry_f2(spark, sf))
 
 
@@ -453,6 +462,7 @@ def _change_counts_strict(spark, sf):
 
 @register("apply_changes_strict")
 def _apply_changes_strict(spark, sf):
+    ensure_checkpoint_dir(spark)
     reg = fx.registry_f2(spark, sf)
     ch = D.detect_changes_strict(fx.scan_f1(spark, sf), reg)
     return U.apply_changes_strict(reg, ch, fx.run_ts())

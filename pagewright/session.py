@@ -63,3 +63,14 @@ def work_path(spark: SparkSession, *parts: str, fallback: str | None = None) ->
 
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
+
+
+def write_through(df, name: str):
+    """Write ``df`` once as Parquet below the shared checkpoint folder and
+    read it back: cuts the lineage and lets several readers share one
+    computation (``DataFrame.checkpoint`` would compute an unpersisted plan
+    twice, once to count and once to write)."""
+    spark = df.sparkSession
+    path = work_path(spark, "tmp", uuid.uuid4().hex, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
