@@ -33,3 +33,28 @@ def test_pipeline_runs_and_rerun_is_stable(spark, sf):
     assert ctx2.tables["split"].count() == 0
     assert out2["index"].count() == out["index"].count()
     assert out2["registry"].count() == out["registry"].count()
+
+
+def test_pipeline_with_failing_embed_plugin(spark, sf):
+    """A model that fails on some pages fails only those pages; the run completes."""
+    def embed_fn(pdf):
+        import pandas as pd
+        bad = pdf["text"].str.contains("é", regex=False)
+        if bad.any() and len(pdf) == 1:
+            raise RuntimeError("model rejected the page")
+        if bad.any():
+            raise RuntimeError("batch rejected")
+        return pd.DataFrame({"page_id": pdf["page_id"], "value": [[0.5, 0.5]] * len(pdf), "error": None})
+
+    ctx = PL.RunContext.create(spark, NOW)
+    out = PL.run_pipeline(ctx, fx.storage(spark, sf), fx.registry_f2(spark, sf), fx.pages_f3(spark, sf),
+                          payload=fx.payload(spark, sf), embed_fn=embed_fn)
+    assert out["run_state"].first().status == "COMPLETED"
+    res = {r.page_id: r for r in ctx.tables["embed_results"].collect()}
+    failed = [r for r in res.values() if r.status == "FAILED"]
+    ok = [r for r in res.values() if r.status == "SUCCESS"]
+    assert failed and ok
+    assert all("rejected" in r.error or "empty" in r.error for r in failed)
+    assert all(list(r.value) == [0.5, 0.5] for r in ok)
+    idx = {r.page_id for r in out["index"].select("page_id").collect()}
+    assert not idx & {r.page_id for r in failed}
