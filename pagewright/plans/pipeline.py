@@ -29,7 +29,7 @@ from ..operators import situate as SI
 from ..operators import stats as A
 from ..schemas import COMPLETED, FAILED, RUN_LOG, RUNNING
 from ..session import new_run_id, work_path
-from ..sources.files import scan_manifest
+from ..sources.files import scan_errors_of, scan_manifest
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -99,6 +99,9 @@ def sync(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFram
     """
     out = {}
     scan = ctx.save("scan", scan_manifest(files))
+    if scan_errors is None:
+        # unreadable files (NULL content) are errors, not deletions
+        scan_errors = ctx.save("scan_errors", scan_errors_of(files))
     if target is not None:
         plan = ctx.save("mirror_plan", MR.mirror_plan(scan, target))
         out["mirror_counts"] = MR.mirror_plan_counts(plan)

@@ -58,3 +58,17 @@ def test_pipeline_with_failing_embed_plugin(spark, sf):
     assert all(list(r.value) == [0.5, 0.5] for r in ok)
     idx = {r.page_id for r in out["index"].select("page_id").collect()}
     assert not idx & {r.page_id for r in failed}
+
+
+def test_sync_keeps_unreadable_files_registered(spark):
+    import hashlib
+    ts = __import__("datetime").datetime(2024, 1, 1)
+    reg = spark.createDataFrame(
+        [(hashlib.sha256(b"xa.pdf").hexdigest(), "a.pdf", hashlib.sha256(b"x").hexdigest(), "ACTIVE", ts, ts),
+         (hashlib.sha256(b"yb.pdf").hexdigest(), "b.pdf", hashlib.sha256(b"y").hexdigest(), "ACTIVE", ts, ts)],
+        "doc_id string, path string, content_hash string, status string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    files = spark.createDataFrame([("a.pdf", "x"), ("b.pdf", None)], "path string, content string")
+    pages = spark.createDataFrame([], fx.pages_f3(spark, "/root/testdata/sf0.001").schema)
+    out = PL.sync(PL.RunContext.create(spark, NOW), files, reg, pages)
+    assert sorted((r.change, r.path) for r in out["changes"].collect()) == [("ERROR", "b.pdf"), ("UNCHANGED", "a.pdf")]
+    assert {r.path: r.status for r in out["registry"].collect()} == {"a.pdf": "ACTIVE", "b.pdf": "ACTIVE"}
