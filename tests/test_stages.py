@@ -77,3 +77,31 @@ def test_vectorized_embed_equals_native(spark, sf):
     assert a.keys() == b.keys()
     for k in a:
         assert (a[k] is None and b[k] is None) or all(math.isclose(x, y, abs_tol=1e-6) for x, y in zip(a[k], b[k]))
+
+
+def test_summary_plugin_gets_ordered_context(spark):
+    pages = spark.createDataFrame(
+        [(f"p{i}", "d", i, "s/doc.pdf", f"text{i}") for i in range(1, 8)],
+        "page_id string, doc_id string, page_number int, gcs_pdf_path string, text string")
+    targets = spark.createDataFrame([("p7",), ("p2",)], "page_id string")
+
+    def summary_fn(pdf):
+        import pandas as pd
+        return pd.DataFrame({"page_id": pdf["page_id"],
+                             "value": ["|".join(c) + ">" + t for c, t in zip(pdf["context"], pdf["text"])],
+                             "error": None})
+
+    got = {r.page_id: r.value for r in SI.situate(targets, pages, summary_fn=summary_fn).collect()}
+    ctx = "|".join(f"text{i}" for i in range(1, 6))
+    assert got == {"p7": ctx + ">text7", "p2": ctx + ">text2"}
+
+
+def test_plugin_concurrency_cap(spark):
+    df = spark.range(100).selectExpr("cast(id as string) page_id", "cast(id as string) text")
+
+    def fn(pdf):
+        return pdf.assign(value=pdf["text"], error=None)
+
+    out = run_plugin(df, fn, T.StringType(), max_concurrency=3)
+    assert out.rdd.getNumPartitions() == 3
+    assert out.count() == 100 and out.filter("status = 'SUCCESS'").count() == 100
