@@ -29,7 +29,7 @@ from ..operators import situate as SI
 from ..operators import stats as A
 from ..schemas import COMPLETED, FAILED, RUN_LOG, RUNNING
 from ..session import new_run_id, work_path
-from ..sources.files import scan_errors_of, scan_manifest
+from ..sources.files import scan_with_errors
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -98,10 +98,12 @@ def sync(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFram
     ``compat`` (D6 and the reference's actions).
     """
     out = {}
-    scan = ctx.save("scan", scan_manifest(files))
+    # one pass over the bytes; unreadable files (NULL content) become scan
+    # errors, not deletions
+    scanned = ctx.save("scan_all", scan_with_errors(files))
+    scan = scanned.filter(F.col("error").isNull()).drop("error")
     if scan_errors is None:
-        # unreadable files (NULL content) are errors, not deletions
-        scan_errors = ctx.save("scan_errors", scan_errors_of(files))
+        scan_errors = scanned.filter(F.col("error").isNotNull()).select("path", "error")
     if target is not None:
         plan = ctx.save("mirror_plan", MR.mirror_plan(scan, target))
         out["mirror_counts"] = MR.mirror_plan_counts(plan)
@@ -170,21 +172,26 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     q = W.queue(state, "extract").select("page_id")
     res = EX.extract(q.join(pay.select("page_id", F.col("text").alias("payload")), "page_id"),
                      extract_fn, **opts)
-    res = ctx.save("extract_results", res, bucket_by="page_id")
+    if extract_fn is not None:
+        res = ctx.save("extract_results", res, bucket_by="page_id")
     state = ctx.save("pages_extracted", U.patch_pages(
         state, U.stage_patches(res, "extracted", "extracted_text", 1, ctx.now)), bucket_by="page_id")
 
     # situate
     ctx.log(RUNNING, "summary")
     q = W.queue(state, "summary").select("page_id")
-    res = ctx.save("summary_results", SI.situate(q, pay, summary_fn=summary_fn, **opts), bucket_by="page_id")
+    res = SI.situate(q, pay, summary_fn=summary_fn, **opts)
+    if summary_fn is not None:
+        res = ctx.save("summary_results", res, bucket_by="page_id")
     state = ctx.save("pages_summarized", U.patch_pages(
         state, U.stage_patches(res, "summarized", "summary", 2, ctx.now)), bucket_by="page_id")
 
     # embed
     ctx.log(RUNNING, "embed")
     q = W.queue(state, "embed").select("page_id", "summary", "extracted_text")
-    res = ctx.save("embed_results", EM.embed(q, embed_fn, **opts), bucket_by="page_id")
+    res = EM.embed(q, embed_fn, **opts)
+    if embed_fn is not None:
+        res = ctx.save("embed_results", res, bucket_by="page_id")
     state = ctx.save("pages_embedded", U.patch_pages(
         state, U.stage_patches(res, "embedded", "embedding", 3, ctx.now)), bucket_by="page_id")
 
