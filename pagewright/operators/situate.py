@@ -30,16 +30,37 @@ from .plugins import run_plugin
 
 
 def context_weights(pages: DataFrame, n: int = CONTEXT_PAGES) -> DataFrame:
-    """``doc_id, tok, w``: in how many of the first ``n`` pages each token occurs.
+    """``doc_id, tok, w``: in how many of the first ``n`` pages each token occurs."""
+    return _weights(first_n_pages(pages.select("doc_id", "page_id", "page_number", "text"), n))
 
-    The window leaves the rows hash-partitioned by ``doc_id``, which already
-    satisfies the ``(doc_id, tok)`` aggregation: one shuffle in all.
-    """
-    first = first_n_pages(pages.select("doc_id", "page_id", "page_number", "text"), n)
+
+def _weights(first: DataFrame) -> DataFrame:
+    # rows arrive hash-partitioned by doc_id (window), which already
+    # satisfies the (doc_id, tok) aggregation: no further shuffle
     toks = first.select("doc_id", F.explode(F.array_distinct(tokens("text"))).alias("tok"))
     return toks.groupBy("doc_id", "tok").agg(F.count(F.lit(1)).alias("w"))
 
 
+def _target_docs(targets: DataFrame, pages: DataFrame) -> DataFrame:
+    """Distinct doc ids of the targets (narrow ``page_id, doc_id`` join)."""
+    return targets.select("page_id").join(pages.select("page_id", "doc_id"), "page_id") \
+        .select("doc_id").distinct()
+
+
+def _context_pages(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES) -> DataFrame:
+    """First ``n`` pages of the documents that have a target. The window's
+    partial top-k runs before its shuffle, and the semi-join on ``doc_id``
+    reuses that partitioning (AQE broadcasts the ids when few), so pages
+    of documents without targets are never tokenized."""
+    first = first_n_pages(pages.select("doc_id", "page_id", "page_number", "text"), n)
+    return first.join(_target_docs(targets, pages), "doc_id", "left_semi")
+
+
+def context_weights_for(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES) -> DataFrame:
+    """:func:`context_weights` restricted to the documents of ``targets``."""
+    return _weights(_context_pages(targets, pages, n))
+
+
 def limit_words(text, max_words: int = SUMMARY_MAX_WORDS):
     words = F.split(text, r"\s+", -1)
     return F.when(F.size(words) > max_words,
@@ -62,7 +83,7 @@ def situate(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES,
         F.lit(FAILED).alias("status"))
     found = known.filter(F.col("doc_id").isNotNull())
     if summary_fn is not None:
-        ctx = first_n_pages(pages.select("doc_id", "page_id", "page_number", "text"), n) \
+        ctx = _context_pages(targets, pages, n) \
             .groupBy("doc_id").agg(F.array_sort(F.collect_list(
                 F.struct("page_number", "text"))).alias("_c"))
         batch = found.join(ctx, "doc_id", "left").select(
@@ -82,7 +103,7 @@ def situate(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES,
     # equi-join on (doc_id, tok), so a hot document spreads over its tokens
     toks = sents.select("page_id", "doc_id", "pos",
                         F.explode(F.array_distinct(tokens("sentence"))).alias("tok"))
-    scored = toks.join(context_weights(pages, n), ["doc_id", "tok"], "left") \
+    scored = toks.join(context_weights_for(targets, pages, n), ["doc_id", "tok"], "left") \
         .groupBy("page_id", "pos").agg(F.sum(F.coalesce("w", F.lit(0))).alias("score"))
     best = scored.groupBy("page_id").agg(
         F.max_by("pos", F.struct(F.col("score"), -F.col("pos"))).alias("pos"))
