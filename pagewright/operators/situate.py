@@ -61,6 +61,13 @@ def context_weights_for(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_P
     return _weights(_context_pages(targets, pages, n))
 
 
+def context_header(path, descriptions: dict | None = None):
+    """H9: what a model is told about the document: its file name and the
+    description of its folders."""
+    return F.format_string("file_name: %s\ndescription: %s", F.col(path),
+                           path_description(path, descriptions))
+
+
 def limit_words(text, max_words: int = SUMMARY_MAX_WORDS):
     words = F.split(text, r"\s+", -1)
     return F.when(F.size(words) > max_words,
@@ -88,6 +95,7 @@ def situate(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES,
                 F.struct("page_number", "text"))).alias("_c"))
         batch = found.join(ctx, "doc_id", "left").select(
             "page_id", "gcs_pdf_path", "text",
+            context_header("gcs_pdf_path", descriptions).alias("header"),
             F.transform("_c", lambda c: c["text"]).alias("context"))
         out = run_plugin(batch, summary_fn, T.StringType(), **plugin_opts)
         out = out.select("page_id", F.when(F.col("status") == FAILED, F.lit(""))

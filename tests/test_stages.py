@@ -87,6 +87,7 @@ def test_summary_plugin_gets_ordered_context(spark):
 
     def summary_fn(pdf):
         import pandas as pd
+        assert all(h.startswith("file_name: s/doc.pdf\ndescription: ") for h in pdf["header"])
         return pd.DataFrame({"page_id": pdf["page_id"],
                              "value": ["|".join(c) + ">" + t for c, t in zip(pdf["context"], pdf["text"])],
                              "error": None})
