@@ -128,7 +128,7 @@ def sync(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFram
 def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFrame,
                  payload: DataFrame | None = None, index: DataFrame | None = None,
                  mode: str = "strict", extract_fn=None, summary_fn=None, embed_fn=None,
-                 plugin_opts: dict | None = None) -> dict:
+                 plugin_opts: dict | None = None, clear_error_on_success: bool = False) -> dict:
     """Detect, split, extract, situate, embed, index.
 
     ``payload``: page objects of earlier runs (``page_id, doc_id,
@@ -138,7 +138,7 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
     """
     try:
         out = _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn,
-                          summary_fn, embed_fn, plugin_opts or {})
+                          summary_fn, embed_fn, plugin_opts or {}, clear_error_on_success)
     except Exception as e:
         ctx.log(FAILED, error=f"{type(e).__name__}: {e}"[:1000])
         ctx.run_log()
@@ -149,7 +149,7 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
 
 
 def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, summary_fn,
-                embed_fn, opts):
+                embed_fn, opts, clear_errors):
     ctx.log(RUNNING, "sync")
     s = sync(ctx, files, registry, pages, mode=mode)
     reg, state = s["registry"], s["pages"]
@@ -175,7 +175,7 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     if extract_fn is not None:
         res = ctx.save("extract_results", res, bucket_by="page_id")
     state = ctx.save("pages_extracted", U.patch_pages(
-        state, U.stage_patches(res, "extracted", "extracted_text", 1, ctx.now)), bucket_by="page_id")
+        state, U.stage_patches(res, "extracted", "extracted_text", 1, ctx.now), clear_errors), bucket_by="page_id")
 
     # situate
     ctx.log(RUNNING, "summary")
@@ -184,7 +184,7 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     if summary_fn is not None:
         res = ctx.save("summary_results", res, bucket_by="page_id")
     state = ctx.save("pages_summarized", U.patch_pages(
-        state, U.stage_patches(res, "summarized", "summary", 2, ctx.now)), bucket_by="page_id")
+        state, U.stage_patches(res, "summarized", "summary", 2, ctx.now), clear_errors), bucket_by="page_id")
 
     # embed
     ctx.log(RUNNING, "embed")
@@ -193,7 +193,7 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     if embed_fn is not None:
         res = ctx.save("embed_results", res, bucket_by="page_id")
     state = ctx.save("pages_embedded", U.patch_pages(
-        state, U.stage_patches(res, "embedded", "embedding", 3, ctx.now)), bucket_by="page_id")
+        state, U.stage_patches(res, "embedded", "embedding", 3, ctx.now), clear_errors), bucket_by="page_id")
 
     # index
     ctx.log(RUNNING, "index")
@@ -202,7 +202,7 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     new_index = ctx.save("index", IX.upsert_index(index, rows), bucket_by="page_id")
     res = IX.index_results(q)
     state = ctx.save("pages_indexed", U.patch_pages(
-        state, U.stage_patches(res, "indexed", None, 4, ctx.now)), bucket_by="page_id")
+        state, U.stage_patches(res, "indexed", None, 4, ctx.now), clear_errors), bucket_by="page_id")
 
     s.update(registry=reg, pages=state, payload=pay, index=new_index,
              stats=A.processing_stats(state), complete=A.processing_complete(state))
