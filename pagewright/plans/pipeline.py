@@ -45,7 +45,11 @@ def materialize_bucketed(df: DataFrame, path: str, table: str, key: str, buckets
     unbucketed side shuffles only that side into the same buckets: the
     large page state stays in place while the (smaller) patches move.
     """
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    # Rows are hash-partitioned by the bucket key first, so every task holds
+    # one bucket and writes one file (unaligned input would write up to
+    # tasks x buckets files). Spark drops this shuffle when the input is
+    # already partitioned that way, e.g. the output of a bucketed join.
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
 
