@@ -161,8 +161,9 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     # split: ACTIVE documents without pages, content read once by path
     ctx.log(RUNNING, "split")
     todo = W.queue_split(reg, state)
+    # binary file contents are read as UTF-8 text (string input is unchanged)
     docs = todo.join(files.select("path", "content"), "path", "inner") \
-        .select("doc_id", "path", "content")
+        .select("doc_id", "path", F.col("content").cast("string").alias("content"))
     split = ctx.save("split", PG.paginate(docs))
     pay = split.select("page_id", "doc_id", "page_number", "gcs_pdf_path", "text")
     if payload is not None:

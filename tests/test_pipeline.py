@@ -72,3 +72,32 @@ def test_sync_keeps_unreadable_files_registered(spark):
     out = PL.sync(PL.RunContext.create(spark, NOW), files, reg, pages)
     assert sorted((r.change, r.path) for r in out["changes"].collect()) == [("ERROR", "b.pdf"), ("UNCHANGED", "a.pdf")]
     assert {r.path: r.status for r in out["registry"].collect()} == {"a.pdf": "ACTIVE", "b.pdf": "ACTIVE"}
+
+
+def test_readme_usage_on_a_real_tree(spark, tmp_path):
+    import os
+    from pagewright.sources.files import read_tree
+    from pagewright.sources.registry import initialize_tables
+    src, root = str(tmp_path / "pdf"), str(tmp_path / "state")
+    os.makedirs(os.path.join(src, "a"))
+    for rel, text in {"a/one.pdf": "First page. " * 200, "two.PDF": "Zwei Seiten hier. " * 30}.items():
+        with open(os.path.join(src, rel), "w", encoding="utf-8") as f:
+            f.write(text)
+    initialize_tables(spark, root)
+
+    def run(reg, pages, index, payload=None):
+        ctx = PL.RunContext.create(spark, NOW)
+        return PL.run_pipeline(ctx, read_tree(spark, src).select("path", "content"), reg, pages,
+                               payload=payload, index=index)
+
+    out = run(spark.read.parquet(f"{root}/documents_state"), spark.read.parquet(f"{root}/pages_state"),
+              spark.read.parquet(f"{root}/page_index"))
+    assert sorted(r.change for r in out["changes"].collect()) == ["NEW", "NEW"]
+    assert out["pages"].count() == 4            # 2400 chars -> 3 pages, 540 chars -> 1 page
+    assert out["index"].count() == 4
+    assert out["run_state"].first().status == "COMPLETED"
+    with open(os.path.join(src, "a", "three.pdf"), "w", encoding="utf-8") as f:
+        f.write("Third document.")
+    out2 = run(out["registry"], out["pages"], out["index"], out["payload"])
+    assert sorted(r.change for r in out2["changes"].collect()) == ["NEW", "UNCHANGED", "UNCHANGED"]
+    assert out2["index"].count() == 5
