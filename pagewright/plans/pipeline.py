@@ -54,6 +54,25 @@ def materialize_bucketed(df: DataFrame, path: str, table: str, key: str, buckets
     return df.sparkSession.table(table)
 
 
+def open_bucketed(spark: SparkSession, path: str, key: str = "page_id",
+                  buckets: int | None = None, table: str | None = None) -> DataFrame:
+    """Read a page-keyed table written by an earlier run *as bucketed*.
+
+    A plain ``read.parquet`` forgets the bucketing, so the next run's first
+    join would shuffle the whole state. Registering an external table over
+    the same files with its bucket spec (no data is rewritten) lets joins on
+    ``key`` use the existing layout. ``buckets`` must be the count the files
+    were written with (the run's ``spark.sql.shuffle.partitions`` by default).
+    """
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = table or f"pw_prev_{new_run_id()}"
+    schema = spark.read.parquet(path).schema
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+              f"INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 @dataclass
 class RunContext:
     spark: SparkSession

@@ -65,3 +65,24 @@ def test_patch_step_on_bucketed_state_shuffles_only_patches(spark, sf):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert p.count("Exchange") <= 1
+
+
+def test_previous_run_state_reopened_as_bucketed(spark, sf):
+    import os
+    from pagewright.operators import mutations as U
+    from pagewright.plans import pipeline as PL
+    ctx = PL.RunContext.create(spark, "2024-06-01 00:00:00")
+    ctx.save("state", fx.pages_f3(spark, sf), bucket_by="page_id")
+    prev = PL.open_bucketed(spark, os.path.join(ctx.root, "state"), buckets=ctx.buckets)
+    patches = prev.selectExpr("page_id", "1L AS seq", "'x' AS extracted_text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = U.patch_pages(prev, patches)
+        df.collect()
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    if "== Final Plan ==" in p:
+        p = p.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    assert "Bucketed: true" in p
+    assert p.count("Exchange hashpartitioning") <= 1
