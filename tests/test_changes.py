@@ -132,3 +132,11 @@ def test_hot_hash_holding_a_third_of_all_files(spark):
     hot = hashlib.sha256(b"HOT").hexdigest()
     assert dup.filter(F.col("content_hash") == hot).count() == n // 3
     assert dup.filter(F.col("content_hash") == hot).select("copies").distinct().first()[0] == n // 3
+
+
+def test_inplace_edit_compat_unchanged_strict_modified(spark):
+    """SURVEY 2.11-a: the reference calls an in-place edit unchanged."""
+    reg = reg_of(spark, [("a.pdf", "v1", "ACTIVE")])
+    scan = scan_of(spark, [("a.pdf", "v2")])
+    assert classes(D.detect_changes(scan, reg)) == [("unchanged", "a.pdf")]
+    assert classes(D.detect_changes_strict(scan, reg)) == [("MODIFIED", "a.pdf")]

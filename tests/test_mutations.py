@@ -74,6 +74,9 @@ def test_sync_page_status_both_directions_and_idempotent(spark):
     reg = spark.createDataFrame([("x", "INACTIVE"), ("y", "ACTIVE"), ("z", "ACTIVE")], "doc_id string, status string")
     s1 = U.sync_page_status(pages, reg, NOW)
     assert {r.page_id: r.status for r in s1.collect()} == {"1": "INACTIVE", "2": "ACTIVE", "3": None}
+    # SURVEY 2.11-q: changed rows get a new updated_at, others keep theirs
+    assert {r.page_id: r.updated_at for r in s1.collect()} == {
+        "1": dt.datetime(2024, 6, 1), "2": dt.datetime(2024, 6, 1), "3": T0}
     c = U.sync_page_status_counts(s1).first()
     assert (c.to_inactive, c.to_active) == (1, 1)
     s2 = U.sync_page_status(s1.drop("_flip"), reg, NOW)
