@@ -8,6 +8,8 @@ locally (pieces are bounded by the partition size), the piece sizes are
 counted (one small row per piece) and turned into offsets with a running
 sum per group, and the offset is added back with an equi-join on
 ``(g, partition)``. Ties in ``k`` must not occur (``k`` unique in ``g``).
+The numbered pieces are written once below the checkpoint folder, since
+range partitioning is not guaranteed to repeat itself across evaluations.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_through
+
 
 def row_number_within(df: DataFrame, group, order: str, out: str = "rn",
                       partitions: int | None = None) -> DataFrame:
@@ -29,6 +33,11 @@ def row_number_within(df: DataFrame, group, order: str, out: str = "rn",
         .withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid", *g).orderBy(order)))
+    # Range bounds come from sampling, and Spark re-samples imbalanced inputs
+    # with a seed taken from the RDD id: two evaluations of ``ranged`` may
+    # put a row in different partitions. The numbered rows are therefore
+    # written once and both the piece counts and the final join read them.
+    local = write_through(local, "rank_local")
     pieces = local.groupBy(*g, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))) \

@@ -140,3 +140,18 @@ def test_inplace_edit_compat_unchanged_strict_modified(spark):
     scan = scan_of(spark, [("a.pdf", "v2")])
     assert classes(D.detect_changes(scan, reg)) == [("unchanged", "a.pdf")]
     assert classes(D.detect_changes_strict(scan, reg)) == [("MODIFIED", "a.pdf")]
+
+
+def test_row_number_within_stable_on_imbalanced_input(spark):
+    """Imbalanced input partitions make Spark re-sample range bounds with an
+    RDD-id seed; the numbering must still be exact and complete."""
+    from pyspark.sql import Window
+    big = spark.range(0, 30000, numPartitions=1).selectExpr("concat('g', cast(id % 7 as string)) g",
+                                                             "concat('k', lpad(cast(id as string), 6, '0')) k")
+    small = spark.range(30000, 30050, numPartitions=6).selectExpr("concat('g', cast(id % 7 as string)) g",
+                                                                   "concat('k', lpad(cast(id as string), 6, '0')) k")
+    df = big.unionByName(small).filter("k is not null")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k")).cast("long"))
+    w = sorted(want.collect())
+    for _ in range(2):
+        assert sorted(row_number_within(df, "g", "k", partitions=8).collect()) == w
