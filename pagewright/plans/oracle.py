@@ -525,3 +525,22 @@ WHERE status = 'ACTIVE'""",
 ORACLE["incremental_ingest"] = q(f"""
 SELECT sha256(text || bp) AS doc_id, bp AS path, sha256(text) AS content_hash, 'ACTIVE' AS status,
        {RUN} AS created_at, {RUN} AS updated_at FROM docs_bp""")
+
+# ---- embedding vectors (exact: integer counts, IEEE double division, float cast) ----------
+
+ORACLE["embed_pages"] = q("""
+SELECT page_id, value, CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status FROM vec
+UNION ALL
+SELECT page_id, CAST(NULL AS FLOAT[]), 'text to embed is empty', 'FAILED' FROM eq WHERE is_blank""",
+    f"eq AS (SELECT page_id, {_COMBINED} AS txt, {blank(_COMBINED)} AS is_blank FROM pages_f3 WHERE {QUEUE['embed']})",
+    f"toks AS (SELECT page_id, unnest({tokens('txt')}) AS tok FROM eq WHERE NOT is_blank)",
+    """cnt AS (SELECT page_id, CAST(CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 768 AS INTEGER) AS b,
+       count(*) AS n FROM toks GROUP BY ALL)""",
+    "nrm AS (SELECT page_id, sqrt(CAST(sum(n * n) AS DOUBLE)) AS nrm FROM cnt GROUP BY page_id)",
+    """vec AS (SELECT e.page_id,
+       list(CAST(CASE WHEN nr.nrm > 0 THEN CAST(coalesce(c.n, 0) AS DOUBLE) / nr.nrm ELSE 0.0 END AS FLOAT)
+            ORDER BY r.i) AS value
+  FROM eq e CROSS JOIN range(768) r(i)
+  LEFT JOIN cnt c ON c.page_id = e.page_id AND c.b = r.i
+  LEFT JOIN nrm nr ON nr.page_id = e.page_id
+  WHERE NOT e.is_blank GROUP BY e.page_id)""")
