@@ -544,3 +544,119 @@ SELECT page_id, CAST(NULL AS FLOAT[]), 'text to embed is empty', 'FAILED' FROM e
   LEFT JOIN cnt c ON c.page_id = e.page_id AND c.b = r.i
   LEFT JOIN nrm nr ON nr.page_id = e.page_id
   WHERE NOT e.is_blank GROUP BY e.page_id)""")
+
+# ---- whole pipeline run (P7): the stages above composed over the run's state ----------
+
+
+def _situate_ctes(p: str, targets: str, pay: str) -> list[str]:
+    """Situate of SURVEY 2.9.2 as CTEs named with prefix ``p``; output ``{p}_res``."""
+    return [
+        f"""{p}_known AS (SELECT t.page_id, y.doc_id, y.gcs_pdf_path, y.text
+  FROM (SELECT DISTINCT page_id FROM {targets}) t LEFT JOIN {pay} y ON y.page_id = t.page_id)""",
+        f"""{p}_ctx AS (SELECT doc_id, page_id, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_number, page_id) AS rn FROM {pay}
+  WHERE doc_id IN (SELECT doc_id FROM {p}_known WHERE doc_id IS NOT NULL)) t WHERE rn <= 5)""",
+        f"""{p}_w AS (SELECT doc_id, tok, count(*) AS w FROM (
+  SELECT doc_id, page_id, unnest(list_distinct({tokens('text')})) AS tok FROM {p}_ctx) t GROUP BY doc_id, tok)""",
+        f"""{p}_tp AS (SELECT page_id, doc_id, gcs_pdf_path,
+  string_split_regex(coalesce(text, ''), '[.!?]+\\s+|\\n+') AS arr FROM {p}_known WHERE doc_id IS NOT NULL)""",
+        f"""{p}_s AS (SELECT tp.page_id, tp.doc_id, tp.gcs_pdf_path, g.pos, tp.arr[g.pos] AS sentence
+  FROM {p}_tp tp, generate_series(1, len(tp.arr)) AS g(pos) WHERE regexp_matches(tp.arr[g.pos], '[\\p{{L}}\\p{{N}}]'))""",
+        f"""{p}_sc AS (SELECT st.page_id, st.pos, sum(coalesce(c.w, 0)) AS score FROM (
+  SELECT page_id, doc_id, pos, unnest(list_distinct({tokens('sentence')})) AS tok FROM {p}_s) st
+  LEFT JOIN {p}_w c ON c.doc_id = st.doc_id AND c.tok = st.tok GROUP BY st.page_id, st.pos)""",
+        f"""{p}_best AS (SELECT page_id, gcs_pdf_path || {NL} || {describe('gcs_pdf_path')} || {NL} || sentence AS summary FROM (
+  SELECT s.page_id, s.gcs_pdf_path, s.sentence,
+         row_number() OVER (PARTITION BY s.page_id ORDER BY sc.score DESC, s.pos ASC) AS rn
+  FROM {p}_s s JOIN {p}_sc sc ON sc.page_id = s.page_id AND sc.pos = s.pos) t WHERE rn = 1)""",
+        f"""{p}_res AS (
+  SELECT k.page_id,
+         CASE WHEN b.summary IS NULL THEN ''
+              WHEN len(string_split_regex(b.summary, '\\s+')) > 512
+                THEN array_to_string(list_slice(string_split_regex(b.summary, '\\s+'), 1, 512), ' ')
+              ELSE b.summary END AS value,
+         CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status
+  FROM {p}_known k LEFT JOIN {p}_best b ON b.page_id = k.page_id WHERE k.doc_id IS NOT NULL
+  UNION ALL
+  SELECT page_id, NULL, 'no page row for ' || page_id, 'FAILED' FROM {p}_known WHERE doc_id IS NULL)""",
+    ]
+
+
+def _embed_ctes(p: str, queue: str) -> list[str]:
+    comb = f"coalesce(summary, '') || {NL} || {NL} || coalesce(extracted_text, '')"
+    return [
+        f"{p}_eq AS (SELECT page_id, {comb} AS txt, {blank(comb)} AS is_blank FROM {queue})",
+        f"{p}_tk AS (SELECT page_id, unnest({tokens('txt')}) AS tok FROM {p}_eq WHERE NOT is_blank)",
+        f"""{p}_cnt AS (SELECT page_id, CAST(CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 768 AS INTEGER) AS b,
+  count(*) AS n FROM {p}_tk GROUP BY ALL)""",
+        f"{p}_nrm AS (SELECT page_id, sqrt(CAST(sum(n * n) AS DOUBLE)) AS nrm FROM {p}_cnt GROUP BY page_id)",
+        f"""{p}_res AS (
+  SELECT e.page_id,
+         list(CAST(CASE WHEN nr.nrm > 0 THEN CAST(coalesce(c.n, 0) AS DOUBLE) / nr.nrm ELSE 0.0 END AS FLOAT)
+              ORDER BY r.i) AS value, CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status
+  FROM {p}_eq e CROSS JOIN range(768) r(i)
+  LEFT JOIN {p}_cnt c ON c.page_id = e.page_id AND c.b = r.i
+  LEFT JOIN {p}_nrm nr ON nr.page_id = e.page_id
+  WHERE NOT e.is_blank GROUP BY e.page_id
+  UNION ALL
+  SELECT page_id, CAST(NULL AS FLOAT[]), 'text to embed is empty', 'FAILED' FROM {p}_eq WHERE is_blank)""",
+    ]
+
+
+_PAGE_COLS = ("page_id, doc_id, page_number, gcs_path, gcs_pdf_path, extracted_text, summary, embedding, "
+              "extracted, summarized, embedded, indexed, error_message, status, created_at, updated_at")
+
+
+def _patch(out: str, state: str, res: str, stage: str, value_col: str | None) -> str:
+    """One stage's results applied to the state: NULL values leave the old ones."""
+    cols = []
+    for c in [x.strip() for x in _PAGE_COLS.split(",")]:
+        if c == stage:
+            cols.append(f"coalesce(r.status, s.{c}) AS {c}")
+        elif c == value_col:
+            cols.append(f"coalesce(r.value, s.{c}) AS {c}")
+        elif c == "error_message":
+            cols.append(f"coalesce(r.error, s.{c}) AS {c}")
+        elif c == "updated_at":
+            cols.append(f"CASE WHEN r.page_id IS NOT NULL THEN {RUN} ELSE s.{c} END AS {c}")
+        else:
+            cols.append(f"s.{c}")
+    return f"{out} AS (SELECT {', '.join(cols)} FROM {state} s LEFT JOIN {res} r ON r.page_id = s.page_id)"
+
+
+_PIPE = [
+    _FLIPPED.replace("LEFT JOIN synced r", "LEFT JOIN strict_reg r"),
+    f"""synced_pages AS (SELECT page_id, doc_id, page_number, gcs_path, gcs_pdf_path, extracted_text, summary,
+  embedding, extracted, summarized, embedded, indexed, error_message,
+  CASE WHEN flip THEN d_status ELSE status END AS status, created_at,
+  CASE WHEN flip THEN {RUN} ELSE updated_at END AS updated_at FROM flipped)""",
+    """todo AS (SELECT doc_id, path FROM strict_reg
+  WHERE status = 'ACTIVE' AND doc_id NOT IN (SELECT doc_id FROM synced_pages))""",
+    "docs_in AS (SELECT t.doc_id, t.path, s.content FROM todo t JOIN storage s ON s.path = t.path)",
+    _SPLIT_ALL,
+    _PAY.replace("pay AS", "old_pay AS"),
+    """pay AS (SELECT page_id, doc_id, page_number, gcs_pdf_path, text FROM old_pay
+  WHERE page_id NOT IN (SELECT page_id FROM split_all)
+  UNION ALL SELECT page_id, doc_id, page_number, gcs_pdf_path, text FROM split_all)""",
+    f"""st0 AS (SELECT * FROM synced_pages UNION ALL
+  SELECT page_id, doc_id, page_number, gcs_path, gcs_pdf_path, NULL, NULL, CAST(NULL AS FLOAT[]),
+         'PENDING', 'PENDING', 'PENDING', 'PENDING', NULL, 'ACTIVE', {RUN}, {RUN}
+  FROM split_all WHERE page_id NOT IN (SELECT page_id FROM synced_pages))""",
+    f"""ex_res AS (SELECT q.page_id, {chain('y.text')} AS value, CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status
+  FROM (SELECT page_id FROM st0 WHERE {QUEUE['extract']}) q JOIN pay y ON y.page_id = q.page_id)""",
+    _patch("st1", "st0", "ex_res", "extracted", "extracted_text"),
+    f"su_q AS (SELECT page_id FROM st1 WHERE {QUEUE['summary']})",
+    *_situate_ctes("su", "su_q", "pay"),
+    _patch("st2", "st1", "su_res", "summarized", "summary"),
+    f"em_q AS (SELECT * FROM st2 WHERE {QUEUE['embed']})",
+    *_embed_ctes("em", "em_q"),
+    _patch("st3", "st2", "em_res", "embedded", "embedding"),
+]
+
+ORACLE["run_pipeline"] = q(f"""
+SELECT page_id, doc_id, {sql_pad5('page_number')} AS page_number, status, gcs_path, gcs_pdf_path,
+       extracted_text, summary, embedding, 'hashed-bow-768' AS model
+FROM st3 WHERE {QUEUE['index']} AND embedding IS NOT NULL""",
+    *_STRICT,
+    ORACLE["apply_changes_strict"].split("acts AS (", 1)[0] and "acts AS (" + ORACLE["apply_changes_strict"].split("acts AS (", 1)[1].split("\nSELECT doc_id, path, content_hash, status, created_at, updated_at FROM strict_reg")[0],
+    *_PIPE)
