@@ -106,7 +106,8 @@ def finalize(t: Column) -> Column:
 def html_to_markdown(html: Column | str) -> Column:
     """P3 default: the fixed chain of SURVEY 2.9.1 on one HTML column.
 
-    The markup rules only change text that holds ``<`` or ``&``; for plain
+    The markup rules only change text that holds ``<``, ``&`` or a marker
+    character; for plain
     text the same result comes from the filler and whitespace rules alone,
     so those rows skip the markup passes.
     """
@@ -117,6 +118,6 @@ def html_to_markdown(html: Column | str) -> Column:
     t = strip_filler(t)
     t = markdown_blocks(t)
     t = strip_tags(t)
-    marked = h.contains("<") | h.contains("&")
+    marked = h.contains("<") | h.contains("&") | h.contains(LT) | h.contains(GT)
     t = F.when(marked, t).otherwise(F.regexp_replace(h, r"[._#*$%&]{3,}", ""))
     return finalize(collapse_whitespace(t))

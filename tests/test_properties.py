@@ -16,7 +16,8 @@ PIECES = ["<p>", "</p>", "<h1 class='x'>", "</h1>", "<h3>", "<li>", "<ul>", "</u
           "<img src='a' alt=\"fig\">", "<img src=b>", "<figcaption>c</figcaption>", "<script>x</script>",
           "<!-- n -->", "&amp;", "&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;", "...", "___", "###", "$$$",
           "```", "\n", "\n\n\n", "  ", "\t", "word", "Éte", "ß", "x.y", "a", " ", "<link rel=x>",
-          "<header>h</header>", "<pre>p</pre>", "<nav>n</nav>", "<footer>f</footer>", "<head><title>t</title></head>"]
+          "<header>h</header>", "<pre>p</pre>", "<nav>n</nav>", "<footer>f</footer>", "<head><title>t</title></head>",
+          "\x01", "\x02", "plain text only. ", "no markup here"]
 
 
 def _docs(n=300, seed=7):
