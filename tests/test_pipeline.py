@@ -101,3 +101,13 @@ def test_readme_usage_on_a_real_tree(spark, tmp_path):
     out2 = run(out["registry"], out["pages"], out["index"], out["payload"])
     assert sorted(r.change for r in out2["changes"].collect()) == ["NEW", "UNCHANGED", "UNCHANGED"]
     assert out2["index"].count() == 5
+
+
+def test_compat_sync_matches_reference_order(spark, sf):
+    """mode='compat': the reference's four classes and its action order
+    (deleted, moved, new) give the registry of the `apply_changes` query."""
+    from pagewright.plans.catalog import synced_registry
+    out = PL.sync(PL.RunContext.create(spark, NOW), fx.storage(spark, sf), fx.registry_f2(spark, sf),
+                  fx.pages_f3(spark, sf), mode="compat")
+    assert {r.change for r in out["changes"].collect()} <= {"new", "moved", "deleted", "unchanged"}
+    assert sorted(out["registry"].collect()) == sorted(synced_registry(spark, sf).collect())
