@@ -32,13 +32,23 @@ def pad5(n: Column | str) -> Column:
     return F.format_string("%05d", _c(n))
 
 
-def page_object_path(pdf_path: Column | str, page_number: Column | str) -> Column:
-    """H6: ``{parent}/{base}/{base}-page-{n:05d}.png`` (no parent: ``{base}/...``)."""
+def page_path_prefix(pdf_path: Column | str) -> Column:
+    """H6 up to the page number: ``{parent}/{base}/{base}-page-``. Depends on
+    the document only, so it is computed once before pages are generated."""
     p = _c(pdf_path)
     parent = parent_dir(p)
     base = strip_extension(file_name(p))
     folder = F.when(parent == "", base).otherwise(F.concat(parent, F.lit("/"), base))
-    return F.concat(folder, F.lit("/"), base, F.lit("-page-"), pad5(page_number), F.lit(".png"))
+    return F.concat(folder, F.lit("/"), base, F.lit("-page-"))
+
+
+def page_path_from_prefix(prefix: Column | str, page_number: Column | str) -> Column:
+    return F.concat(_c(prefix), pad5(page_number), F.lit(".png"))
+
+
+def page_object_path(pdf_path: Column | str, page_number: Column | str) -> Column:
+    """H6: ``{parent}/{base}/{base}-page-{n:05d}.png`` (no parent: ``{base}/...``)."""
+    return page_path_from_prefix(page_path_prefix(pdf_path), page_number)
 
 
 def page_id(doc_id: Column | str, page_number: Column | str) -> Column:

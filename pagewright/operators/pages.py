@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.paths import page_id, page_object_path
+from ..functions.paths import page_id, page_path_from_prefix, page_path_prefix
 from ..schemas import ACTIVE, CONTEXT_PAGES, PENDING, STAGES
 
 PAGE_CHARS = 1000
@@ -18,24 +18,25 @@ def paginate(docs: DataFrame, page_chars: int = PAGE_CHARS, mode: str = "chars")
     of ``page_chars`` characters (an empty document still has page 1);
     ``mode="formfeed"`` splits on form feeds. Output ``page_id, doc_id,
     page_number, gcs_path, gcs_pdf_path, text``. Rows are generated inside
-    the task that holds the document; nothing is shuffled.
+    the task that holds the document; nothing is shuffled. Everything of the
+    object path but the page number is computed once per document.
     """
     if mode == "chars":
         n_pages = F.greatest(F.lit(1), F.ceil(F.length("content") / page_chars)).cast("int")
-        exploded = docs.select("doc_id", "path", "content",
+        exploded = docs.select("doc_id", "path", "content", page_path_prefix("path").alias("_pp"),
                                F.explode(F.sequence(F.lit(1), n_pages)).alias("n"))
         text = F.substring("content", (F.col("n") - 1) * page_chars + 1, page_chars)
-        pages = exploded.select("doc_id", "path", F.col("n"), text.alias("text"))
+        pages = exploded.select("doc_id", "path", "_pp", F.col("n"), text.alias("text"))
     elif mode == "formfeed":
-        pages = docs.select("doc_id", "path", F.posexplode(F.split("content", "\f", -1))
-                            .alias("i", "text")).select("doc_id", "path",
-                                                       (F.col("i") + 1).alias("n"), "text")
+        pages = docs.select("doc_id", "path", page_path_prefix("path").alias("_pp"),
+                            F.posexplode(F.split("content", "\f", -1)).alias("i", "text")) \
+            .select("doc_id", "path", "_pp", (F.col("i") + 1).alias("n"), "text")
     else:
         raise ValueError(f"unknown pagination mode {mode}")
     return pages.select(
         page_id("doc_id", "n").alias("page_id"), "doc_id",
         F.col("n").cast("int").alias("page_number"),
-        page_object_path("path", "n").alias("gcs_path"),
+        page_path_from_prefix("_pp", "n").alias("gcs_path"),
         F.col("path").alias("gcs_pdf_path"), "text")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash, doc_hash
-from ..functions.paths import page_id, page_object_path
+from ..functions.paths import page_id, page_path_from_prefix, page_path_prefix
 from ..schemas import ACTIVE, INACTIVE, PENDING, FAILED, SUCCESS, STAGES
 
 # Fixed value: timestamp of the simulated earlier runs.
@@ -73,14 +73,15 @@ def _stage_status(src_id: Column, n: Column, m: int) -> Column:
 
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document cut into 1,000-character pages: ``src_id, doc_id, n, pdf_path, text``."""
+    """Every document cut into 1,000-character pages:
+    ``src_id, doc_id, n, pdf_path, path_prefix, text``."""
     d = table(spark, sf_dir, "documents")
     bp = base_path(d)
     n_pages = F.greatest(F.lit(1), F.ceil(d["n_chars"] / PAGE_CHARS)).cast("int")
     return (d.select(d["doc_id"].alias("src_id"), doc_hash(d["text"], bp).alias("doc_id"),
-                     bp.alias("pdf_path"), "text",
+                     bp.alias("pdf_path"), page_path_prefix(bp).alias("path_prefix"), "text",
                      F.explode(F.sequence(F.lit(1), n_pages)).alias("n"))
-            .select("src_id", "doc_id", "n", "pdf_path",
+            .select("src_id", "doc_id", "n", "pdf_path", "path_prefix",
                     F.substring("text", (F.col("n") - 1) * PAGE_CHARS + 1, PAGE_CHARS)
                     .alias("text")))
 
@@ -99,7 +100,7 @@ def pages_f3(spark: SparkSession, sf_dir: str) -> DataFrame:
         page_id(p["doc_id"], n).alias("page_id"),
         p["doc_id"],
         n.cast("int").alias("page_number"),
-        page_object_path(p["pdf_path"], n).alias("gcs_path"),
+        page_path_from_prefix(p["path_prefix"], n).alias("gcs_path"),
         p["pdf_path"].alias("gcs_pdf_path"),
         text_by("extracted", p["text"]).alias("extracted_text"),
         text_by("summarized", F.substring(p["text"], 1, 200)).alias("summary"),
