@@ -110,20 +110,28 @@ class RunContext:
         return self.save("run_log", self.spark.createDataFrame(self.events, RUN_LOG))
 
 
-def sync(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFrame,
+def sync(ctx: RunContext, files: DataFrame | None, registry: DataFrame, pages: DataFrame,
          target: DataFrame | None = None, scan_errors: DataFrame | None = None,
-         mode: str = "strict") -> dict:
+         mode: str = "strict", scan: DataFrame | None = None) -> dict:
     """Mirror plan, detect, apply, page sync and statistics, in order.
 
     ``files``: the current tree as ``path, content`` (the bytes are hashed
     once and dropped). ``target``: ``path, content_hash`` of the mirror
     target, if a mirror plan is wanted. ``mode``: ``strict`` (D10) or
-    ``compat`` (D6 and the reference's actions).
+    ``compat`` (D6 and the reference's actions). ``scan``: a scan computed
+    elsewhere (``path, content_hash, doc_id, length``), e.g. by
+    ``scan_tree_incremental``, which re-reads only changed files; ``files``
+    is then not read here.
     """
     out = {}
     # one pass over the bytes; unreadable files (NULL content) become scan
     # errors, not deletions
-    scanned = ctx.save("scan_all", scan_with_errors(files))
+    if scan is None:
+        scanned = ctx.save("scan_all", scan_with_errors(files))
+    else:
+        err = F.col("error") if "error" in scan.columns else F.lit(None).cast("string")
+        scanned = ctx.save("scan_all", scan.select("path", "content_hash", "doc_id", "length",
+                                                     err.alias("error")))
     scan = scanned.filter(F.col("error").isNull()).drop("error")
     if scan_errors is None:
         scan_errors = scanned.filter(F.col("error").isNotNull()).select("path", "error")
@@ -151,17 +159,25 @@ def sync(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFram
 def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFrame,
                  payload: DataFrame | None = None, index: DataFrame | None = None,
                  mode: str = "strict", extract_fn=None, summary_fn=None, embed_fn=None,
-                 plugin_opts: dict | None = None, clear_error_on_success: bool = False) -> dict:
+                 plugin_opts: dict | None = None, clear_error_on_success: bool = False,
+                 scan: DataFrame | None = None, contents=None) -> dict:
     """Detect, split, extract, situate, embed, index.
 
     ``payload``: page objects of earlier runs (``page_id, doc_id,
     page_number, gcs_pdf_path, text``). Each stage reads its queue from the
-    current page state, appends its results as patches, and the state is
-    folded and written before the next stage.
+    current page state, applies its results as patches, and the state is
+    written before the next stage. Results of a stage that calls a model
+    plug-in are written first, so the model is called once per page even if
+    a later job needs them again; native results feed the state rewrite
+    directly. ``clear_error_on_success`` drops a page's old error text when
+    a stage succeeds (the reference keeps it). ``scan`` and ``contents``
+    (``paths -> path, content``, e.g. ``read_contents``) let an incremental
+    run read the bytes of changed and newly split files only.
     """
     try:
         out = _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn,
-                          summary_fn, embed_fn, plugin_opts or {}, clear_error_on_success)
+                          summary_fn, embed_fn, plugin_opts or {}, clear_error_on_success,
+                          scan, contents)
     except Exception as e:
         ctx.log(FAILED, error=f"{type(e).__name__}: {e}"[:1000])
         ctx.run_log()
@@ -172,16 +188,17 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
 
 
 def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, summary_fn,
-                embed_fn, opts, clear_errors):
+                embed_fn, opts, clear_errors, scan=None, contents=None):
     ctx.log(RUNNING, "sync")
-    s = sync(ctx, files, registry, pages, mode=mode)
+    s = sync(ctx, files, registry, pages, mode=mode, scan=scan)
     reg, state = s["registry"], s["pages"]
 
     # split: ACTIVE documents without pages, content read once by path
     ctx.log(RUNNING, "split")
     todo = W.queue_split(reg, state)
     # binary file contents are read as UTF-8 text (string input is unchanged)
-    docs = todo.join(files.select("path", "content"), "path", "inner") \
+    source = contents(todo.select("path")) if contents is not None else files.select("path", "content")
+    docs = todo.join(source, "path", "inner") \
         .select("doc_id", "path", F.col("content").cast("string").alias("content"))
     split = ctx.save("split", PG.paginate(docs))
     pay = split.select("page_id", "doc_id", "page_number", "gcs_pdf_path", "text")

@@ -111,3 +111,31 @@ def test_compat_sync_matches_reference_order(spark, sf):
                   fx.pages_f3(spark, sf), mode="compat")
     assert {r.change for r in out["changes"].collect()} <= {"new", "moved", "deleted", "unchanged"}
     assert sorted(out["registry"].collect()) == sorted(synced_registry(spark, sf).collect())
+
+
+def test_incremental_tree_run_reads_only_changed_files(spark, tmp_path):
+    import os
+    import time
+    from pagewright.sources import files as FS
+    from pagewright.sources.registry import initialize_tables
+    src, root = str(tmp_path / "pdf"), str(tmp_path / "state")
+    os.makedirs(src)
+    for name, text in {"one.pdf": "Alpha beta. " * 100, "two.pdf": "Gamma delta. " * 10}.items():
+        with open(os.path.join(src, name), "w") as f:
+            f.write(text)
+    initialize_tables(spark, root)
+    contents = lambda paths: FS.read_contents(spark, src, paths)
+    scan1 = FS.scan_tree_incremental(spark, src, None)
+    out1 = PL.run_pipeline(PL.RunContext.create(spark, NOW), None,
+                           spark.read.parquet(f"{root}/documents_state"), spark.read.parquet(f"{root}/pages_state"),
+                           index=spark.read.parquet(f"{root}/page_index"), scan=scan1, contents=contents)
+    assert out1["index"].count() == 3
+    time.sleep(1.1)
+    with open(os.path.join(src, "three.pdf"), "w") as f:
+        f.write("Epsilon.")
+    prev = spark.createDataFrame(scan1.collect(), scan1.schema)
+    scan2 = FS.scan_tree_incremental(spark, src, prev)
+    out2 = PL.run_pipeline(PL.RunContext.create(spark, NOW), None, out1["registry"], out1["pages"],
+                           payload=out1["payload"], index=out1["index"], scan=scan2, contents=contents)
+    assert sorted(r.change for r in out2["changes"].collect()) == ["NEW", "UNCHANGED", "UNCHANGED"]
+    assert out2["index"].count() == 4

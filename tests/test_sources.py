@@ -3,6 +3,8 @@
 import hashlib
 import os
 
+from pyspark.sql import functions as F
+
 from pagewright.sources import files as FS
 from pagewright.sources import registry as R
 from pagewright.streaming import incremental as INC
@@ -54,3 +56,26 @@ def test_incremental_ingest_only_new_files(spark, tmp_path):
     out = INC.ingest_files(spark, INC.binary_file_stream(spark, root), reg, ckpt, "2024-06-01 00:00:00")
     assert sorted(r.path for r in out.collect()) == ["a.pdf", "c.pdf", "d/b.pdf"]
     assert out.select("doc_id").distinct().count() == 3
+
+
+def test_incremental_scan_reuses_hashes_of_unchanged_files(spark, tmp_path):
+    import time
+    root = str(tmp_path / "inc")
+    _tree(root, {"a.pdf": b"A", "d/b.pdf": b"B", "x [1].pdf": b"X"})
+    first = FS.scan_tree_incremental(spark, root, None)
+    full = {r.path: (r.content_hash, r.doc_id) for r in FS.scan_tree(spark, root)[0].collect()}
+    assert {r.path: (r.content_hash, r.doc_id) for r in first.collect()} == full
+    prev = spark.createDataFrame(first.collect(), first.schema)
+    time.sleep(1.1)
+    _tree(root, {"d/b.pdf": b"B2", "c.pdf": b"C"})            # one edit, one new file
+    # a planted wrong hash for an unchanged file proves it was not re-read
+    planted = prev.withColumn("content_hash", F.when(F.col("path") == "a.pdf", F.lit("kept"))
+                              .otherwise(F.col("content_hash")))
+    second = {r.path: r.content_hash for r in FS.scan_tree_incremental(spark, root, planted).collect()}
+    assert second["a.pdf"] == "kept"
+    assert second["d/b.pdf"] == hashlib.sha256(b"B2").hexdigest()
+    assert second["c.pdf"] == hashlib.sha256(b"C").hexdigest()
+    assert second["x [1].pdf"] == hashlib.sha256(b"X").hexdigest()
+    # above the listing bound the whole tree is read and semi-joined: same answer
+    third = {r.path: r.content_hash for r in FS.scan_tree_incremental(spark, root, None, max_paths=1).collect()}
+    assert third["c.pdf"] == hashlib.sha256(b"C").hexdigest() and len(third) == 4
