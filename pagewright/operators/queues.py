@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import ACTIVE, FAILED, PENDING, SUCCESS
 
-TODO = (PENDING, FAILED)
+WAITING = (PENDING, FAILED)  # statuses that put a page in a queue
 
 # stage column of each queue and the stages that must have succeeded first
 QUEUES = {
@@ -24,7 +24,7 @@ QUEUES = {
 
 def queue_condition(name: str) -> F.Column:
     stage, needs = QUEUES[name]
-    cond = (F.col("status") == ACTIVE) & F.col(stage).isin(*TODO)
+    cond = (F.col("status") == ACTIVE) & F.col(stage).isin(*WAITING)
     for n in needs:
         cond = cond & (F.col(n) == SUCCESS)
     return cond
