@@ -50,9 +50,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return d
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
-    spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return spark.sparkContext.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, *parts: str, fallback: str | None = None) -> str:
