@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .simhash import op2_simhash
+from .toxicity import op8_toxicity
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
