@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .bpe import op6_bpe
 from .simhash import op2_simhash
 from .toxicity import op8_toxicity
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op6_bpe": op6_bpe,
     "op8_toxicity": op8_toxicity,
 }
 
