@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .bpe import op6_bpe
+from .secrets import op1_secrets
 from .simhash import op2_simhash
 from .toxicity import op8_toxicity
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
     "op6_bpe": op6_bpe,
     "op8_toxicity": op8_toxicity,
