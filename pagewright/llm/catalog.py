@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op6_bpe
+from .quality_rules import op5_quality_rules
 from .secrets import op1_secrets
 from .simhash import op2_simhash
 from .toxicity import op8_toxicity
@@ -10,6 +11,7 @@ from .toxicity import op8_toxicity
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
+    "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
     "op8_toxicity": op8_toxicity,
 }
