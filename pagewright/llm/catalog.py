@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op6_bpe
+from .decontaminate import op7_decontaminate
 from .quality_rules import op5_quality_rules
 from .secrets import op1_secrets
 from .simhash import op2_simhash
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
+    "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
 }
 
