@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op6_bpe
 from .decontaminate import op7_decontaminate
+from .quality_classifier import op9_quality_classifier
 from .quality_rules import op5_quality_rules
 from .secrets import op1_secrets
 from .simhash import op2_simhash
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
