@@ -8,11 +8,15 @@ from .quality_classifier import op9_quality_classifier
 from .quality_rules import op5_quality_rules
 from .secrets import op1_secrets
 from .simhash import op2_simhash
+from .token_counts import op3_token_counts
 from .toxicity import op8_toxicity
+from .warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
+    "op3_token_counts": op3_token_counts,
+    "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
     "op7_decontaminate": op7_decontaminate,
@@ -20,4 +24,6 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_warc": OP4_SQL,
+}
