@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op6_bpe
 from .decontaminate import op7_decontaminate
+from .html_extract import op10_html_extract
 from .quality_classifier import op9_quality_classifier
 from .quality_rules import op5_quality_rules
 from .secrets import op1_secrets
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_html_extract": op10_html_extract,
 }
 
 ORACLE: dict[str, str] = {
