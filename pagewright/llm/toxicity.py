@@ -53,10 +53,13 @@ def fold(doc_id="doc_id"):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``text, y`` of the labelled rows of folds 2 to 4; repeated labels of an id count once, the larger wins."""
+    """``text, y`` of the labelled rows of folds 2 to 4; repeated labels of an id count once, the larger wins.
+
+    Labels grow with the documents, so they are merged with them at any size.
+    """
     y = (labels.filter(fold() >= 2).filter(F.col(label).isNotNull())
          .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y")))
-    return docs.filter(fold() >= 2).select("doc_id", "text").join(y, "doc_id").select("text", "y")
+    return docs.filter(fold() >= 2).select("doc_id", "text").join(y.hint("merge"), "doc_id").select("text", "y")
 
 
 def count_ngrams(rows: DataFrame) -> DataFrame:
@@ -102,10 +105,9 @@ def _shared(top: DataFrame) -> DataFrame:
     types = {ORDER - 1: top.groupBy(F.substring("g", 2, ORDER - 1).alias("g")).agg(F.count(F.lit(1)).alias("c"))}
     for k in range(ORDER - 2, 0, -1):
         types[k] = types[k + 1].groupBy(F.substring("g", 2, k).alias("g")).agg(F.count(F.lit(1)).alias("c"))
-    all1 = types[1].agg(F.sum("c").alias("t"), F.count(F.lit(1)).alias("v"))
-    p = types[1].join(F.broadcast(all1)).select(
-        "g", (F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.col("t")
-              + DISCOUNT * F.col("v") / F.col("t") / (F.col("v") + 1)).alias("p"))
+    t, v = types[1].agg(F.coalesce(F.sum("c"), F.lit(1)), F.count(F.lit(1))).first()
+    p = types[1].select("g", (F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / t
+                              + DISCOUNT * v / t / (v + 1)).alias("p"))
     for k in range(2, ORDER):
         of = Window.partitionBy("h")
         t = (types[k].withColumn("h", F.substring("g", 1, k - 1))
