@@ -183,14 +183,13 @@ def decode(rows: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> Da
     return rows.select(*dict.fromkeys([*keep, "ids"])).mapInArrow(run, full)
 
 
-def digests(rows: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded documents."""
-    both = decode(rows, ["doc_id", "ids"])
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+def digest_columns() -> list:
+    """``ids_sha256, decoded_sha256`` of rows with ``ids`` and ``decoded``."""
+    return [F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+            F.sha2("decoded", 256).alias("decoded_sha256")]
 
 
 def op6_bpe(spark, sf_dir):
     """Query: every document encoded and decoded."""
-    return digests(encode(table(spark, sf_dir, "documents"), ["doc_id"]))
+    both = decode(encode(table(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id", "ids"])
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *digest_columns())
