@@ -1,0 +1,114 @@
+import random
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from pagewright.llm import simhash as S
+from pagewright.llm.components import components
+
+
+def brute_fingerprint(text, k=4):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        low = low.replace(c, " ")
+    words = [w for w in low.split(" ") if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))]
+    h = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(fps, distance):
+    """Smallest id reachable, by depth-first search over all pairs."""
+    ids, out = list(fps), {}
+    for start in sorted(ids):
+        if start in out:
+            continue
+        work = [start]
+        while work:
+            a = work.pop()
+            if a in out:
+                continue
+            out[a] = start
+            work += [b for b in ids if b not in out and (fps[a] ^ fps[b]).bit_count() <= distance]
+    return out
+
+
+def test_fingerprint_is_the_defined_one():
+    rng = random.Random(3)
+    for t in ["", " \n", "One", "A b C", "Ünï É Z z", *(" ".join(rng.choices(["Aa", "b", "çc", "dd x", "E"], k=n))
+                                                   for n in (3, 4, 5, 40, 700))]:
+        assert S.fingerprint(t.encode()) == brute_fingerprint(t)
+        assert S.fingerprint(t.encode(), 2) == brute_fingerprint(t, 2)
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("distance,hot", [(4, S.HOT_POINT), (4, 3), (1, S.HOT_POINT), (2, 5), (6, S.HOT_POINT)])
+def test_links_are_all_pairs_within_the_distance(spark, distance, hot):
+    rng = random.Random(distance)
+    fps = {rng.getrandbits(64) for _ in range(150)}
+    for f in list(fps):
+        for _ in range(3):
+            fps.add(f ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 8))))
+    centre = rng.getrandbits(64)
+    fps |= {centre ^ (1 << b) ^ (1 << c) for b in range(12) for c in range(12)}
+    want = {frozenset((signed(a), signed(b))) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= distance}
+    df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    got = {frozenset(r) for r in S.links(df, distance, hot).collect()}
+    assert got == want
+
+
+def test_components_match_a_search(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1060)]
+    edges += [(7, 7), edges[0]]
+    root = {}
+    for a, b in edges:
+        for x in (a, b):
+            root.setdefault(x, x)
+
+    def top(x):
+        return x if root[x] == x else top(root[x])
+    for a, b in edges:
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    want = {x: top(x) for e in edges if e[0] != e[1] for x in e}
+    got = components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()
+    assert {r.node: r.root for r in got} == want and len(got) == len(want)
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
+
+
+def test_documents_match_brute_force(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    fps = {r.doc_id: brute_fingerprint(r.text) for r in rows}
+    want = brute_components(fps, 4)
+    got = S.op2_simhash(spark, sf).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert {r.doc_id: r.fingerprint for r in got} == {i: f"{f:016x}" for i, f in fps.items()}
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    got = S.near_duplicates(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    of = [(r.doc_id, r.component_id) for r in got]
+    assert sorted(c for i, c in of if i in (0, 1, 2)) == [0, 0, 0]  # null, empty and blank share fingerprint zero
+    assert sorted(c for i, c in of if i in (4, 5)) == [4, 4, 4]
+    assert sorted((c for i, c in of if i is None), key=str) == [0, None]
+    assert S.near_duplicates(no_docs).count() == 0 and S.representatives(no_docs).count() == 0
+
+
+def test_one_row_of_each_group_stays(odd_docs):
+    kept = S.representatives(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = sorted((r.doc_id for r in kept.collect()), key=str)
+    assert ids == sorted([0, 3, 4, 6, 7, 8, 9, None], key=str)
+    assert kept.filter(F.col("doc_id").isNull()).first().text == "no id here"
