@@ -132,7 +132,7 @@ class Stream:
     def until(self, mark: bytes, most: int) -> bytes | None:
         """The bytes before ``mark``, which is passed; None if ``most`` bytes or the stream end without it."""
         while (at := self.held.find(mark, 0, most + len(mark))) < 0:
-            if len(self.held) > most or not self.more():
+            if len(self.held) >= most + len(mark) or not self.more():
                 return None
         out, self.held = self.held[:at], self.held[at + len(mark):]
         return out
