@@ -258,8 +258,12 @@ def _listed(col: str):
                                                                    s["end"].cast("string"))))
 
 
+def _count(col: str, kind: str):
+    return F.size(F.filter(col, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op1_secrets(spark, sf_dir):
     """Query: counts and digest of the base findings and the list of all findings of every document."""
     found = secrets(table(spark, sf_dir, "documents"), ["doc_id"])
-    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    n = [_count("base", k).alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *n, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
