@@ -10,8 +10,9 @@ is in at least half of the host's pages and its tokens close as they open.
 Valid classes nest by their paths into the host's template.
 
 A slot is an element of the template that is in each of its pages once. The
-main slots of a host are its ``article`` or ``main`` elements; without any,
-the deepest slot that holds three quarters of the text. Text outside the main
+main slots of a host are its ``article`` or ``main`` elements, else containers
+named like one, else the deepest container that holds three quarters of the
+text. Text outside the main
 slots is left out, and so are menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts and styles inside them. A page without the
 template's main slots is judged alone by the same rules.
@@ -75,8 +76,9 @@ class Element:
         words = " ".join(v for _, v in marks)
         self.out = bool(parent and parent.out) or name in LEFT_OUT or (
             name not in ("html", "body", "article", "main") and bool(_NOT_MAIN.search(words)))
-        #: 2: article or main, 1: named like one
-        self.main = 2 if name in ("article", "main") or "main" in words.split() else 1 if _MAIN.search(words) else 0
+        #: 2: article or main, 1: named like one, 0: another container, -1: none
+        self.main = (2 if name in ("article", "main") or "main" in words.split() else -1 if name not in CONTAINERS
+                     else 1 if _MAIN.search(words) else 0)
 
 
 def events(page: str) -> Iterator[tuple]:
@@ -284,8 +286,9 @@ def main_slots(template: DataFrame) -> DataFrame:
     slots = template.filter("slot")
     best = slots.groupBy("host").agg(F.max("main").alias("rank"), F.max("letters").alias("all"))
     ranked = slots.join(best, "host")
-    named = ranked.filter((F.col("rank") == 2) & (F.col("main") == 2))
-    deep = (ranked.filter((F.col("rank") < 2) & (F.col("letters") >= MAIN_SHARE * F.col("all")) & (F.col("all") > 0))
+    named = ranked.filter((F.col("rank") > 0) & (F.col("main") == F.col("rank")))
+    deep = (ranked.filter((F.col("rank") == 0) & (F.col("main") == 0) & (F.col("all") > 0)
+                          & (F.col("letters") >= MAIN_SHARE * F.col("all")))
             .groupBy("host").agg(F.max_by("path", F.struct("depth", "path")).alias("path")))
     return (named.select("host", "path").union(deep).groupBy("host")
             .agg(F.array_sort(F.collect_list("path")).alias("slots")))
