@@ -40,10 +40,15 @@ def status_from_error(error: Column | str) -> Column:
     return F.when(_c(error).isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAILED))
 
 
+# Elements whose text is not part of a page, in the order of removal.
+HIDDEN = ("script", "style", "nav", "footer")
+
+
 def strip_hidden(t: Column) -> Column:
     """Drop script/style/nav/footer blocks and comments."""
     t = F.regexp_replace(t, r"(?is)<head(\s[^>]*)?>.*?</head\s*>", "")
-    t = F.regexp_replace(t, r"(?is)<(script|style|nav|footer)(\s[^>]*)?>.*?</(script|style|nav|footer)\s*>", "")
+    for name in HIDDEN:  # one pass per element: a block ends with its own closing tag
+        t = F.regexp_replace(t, rf"(?is)<{name}(\s[^>]*)?>.*?</{name}\s*>", "")
     return F.regexp_replace(t, r"(?s)<!--.*?-->", "")
 
 
@@ -63,12 +68,13 @@ def images_to_blocks(t: Column) -> Column:
     blk = lambda inner: NL + LT + "image" + GT + inner + LT + "/image" + GT + NL
     t = F.regexp_replace(t, r"(?is)<figcaption(\s[^>]*)?>(.*?)</figcaption\s*>", blk("$2"))
     t = F.regexp_replace(t, r"(?is)<img\s[^>]*alt=\"([^\"]*)\"[^>]*>", blk("$1"))
+    t = F.regexp_replace(t, r"(?is)<img\s[^>]*alt='([^']*)'[^>]*>", blk("$1"))
     return F.regexp_replace(t, r"(?is)<img(\s[^>]*)?>", blk(""))
 
 
 def strip_filler(t: Column) -> Column:
-    """Decode ``&amp;``, then drop runs of 3+ filler characters."""
-    return F.regexp_replace(F.replace(t, F.lit("&amp;"), F.lit("&")), r"[._#*$%&]{3,}", "")
+    """Drop runs of 3+ filler characters, ``&amp;`` counting as one."""
+    return F.regexp_replace(t, r"(?:&amp;|[._#*$%&]){3,}", "")
 
 
 def markdown_blocks(t: Column) -> Column:
@@ -79,8 +85,13 @@ def markdown_blocks(t: Column) -> Column:
     return F.regexp_replace(t, r"(?i)</?(p|h[1-6]|div|ul|ol|article|section|br)(\s[^>]*)?/?>", NL)
 
 
-# Entities decoded after tags are removed (&amp; goes first, in T1).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "))
+# Entities decoded after tags are removed; &amp; goes last, so
+# that no text is decoded twice.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
+            ("&nbsp;", " "), ("&#160;", " "), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&ndash;", "\u2013"),
+            ("&mdash;", "\u2014"), ("&hellip;", "\u2026"), ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"),
+            ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"), ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"),
+            ("&euro;", "\u20ac"), ("&amp;", "&"))
 
 
 def strip_tags(t: Column) -> Column:

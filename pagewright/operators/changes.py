@@ -79,36 +79,28 @@ def changes_unchanged(scan: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def detect_changes(scan: DataFrame, registry: DataFrame) -> DataFrame:
-    """All four classes from one full outer join on path.
-
-    Output ``change, path, old_path, doc_id, content_hash``. Registry paths
-    that vanished while their content lives on elsewhere, or whose hash is
-    empty, get no class, as in the reference (D10 names them).
+    """All four classes.
+
+    Output ``change, path, old_path, doc_id, content_hash``. Paths are
+    settled first; only scan rows with an unknown path and registry rows
+    whose path is gone look their content up, so no join key is NULL. Scan
+    and snapshot are shuffled by path once for all three path joins (Spark
+    reuses the exchanges). Registry paths that vanished while their content
+    lives on elsewhere, or whose hash is empty, get no class, as in the
+    reference (D10 names them).
     """
     snap = registry_snapshot(registry)
-    holders = hash_holders(snap)
-    present = scan.select(F.col("content_hash").alias("_sh")).distinct() \
-        .withColumn("_seen", F.lit(True))
-    s = _scan(scan).withColumn("_in_scan", F.lit(True))
-    r = snap.select("path", F.col("doc_id").alias("_r_doc"), F.col("content_hash").alias("_r_hash"),
-                    F.lit(True).alias("_in_reg"))
-    j = s.join(r, "path", "full_outer")
-    # a scan-only row looks its content up among registry holders
-    j = j.join(holders.withColumnRenamed("content_hash", "_hh"),
-               (F.col("_in_reg").isNull()) & (F.col("content_hash") == F.col("_hh")), "left")
-    # a registry-only row looks its content up in the scan
-    j = j.join(present, (F.col("_in_scan").isNull()) & (F.col("_r_hash") == F.col("_sh")), "left")
-    change = (F.when(F.col("_in_scan") & F.col("_in_reg"), F.lit(UNCHANGED))
-              .when(F.col("_in_scan") & F.col("_hh").isNull(), F.lit(NEW))
-              .when(F.col("_in_scan"), F.lit(MOVED))
-              .when((F.col("_r_hash") != "") & F.col("_seen").isNull(), F.lit(DELETED)))
-    out = j.select(
-        change.alias("change"), "path",
-        F.when(F.col("_in_scan") & F.col("_in_reg").isNull(), F.col("old_path")).alias("old_path"),
-        F.coalesce("doc_id", "_r_doc").alias("doc_id"),
-        F.coalesce("content_hash", "_r_hash").alias("content_hash"),
-    )
-    return out.filter(F.col("change").isNotNull())
+    s, r = _scan(scan), snap.select("path", "doc_id", "content_hash")
+    none = F.lit(None).cast("string")
+    same = s.join(r.select("path"), "path", "left_semi").select(
+        F.lit(UNCHANGED).alias("change"), "path", none.alias("old_path"), "doc_id", "content_hash")
+    fresh = s.join(r.select("path"), "path", "left_anti").join(hash_holders(snap), "content_hash", "left").select(
+        F.when(F.col("old_path").isNull(), F.lit(NEW)).otherwise(F.lit(MOVED)).alias("change"),
+        "path", "old_path", "doc_id", "content_hash")
+    gone = (r.filter(F.col("content_hash") != "").join(s.select("path"), "path", "left_anti")
+            .join(s.select("content_hash").distinct(), "content_hash", "left_anti")
+            .select(F.lit(DELETED).alias("change"), "path", none.alias("old_path"), "doc_id", "content_hash"))
+    return same.unionByName(fresh).unionByName(gone)
 
 
 def change_counts(changes: DataFrame) -> DataFrame:
@@ -162,7 +154,8 @@ def detect_changes_strict(scan: DataFrame, registry: DataFrame,
     an aggregate on (hash, number) whose groups hold at most one row per
     side; the pairs are written too, since the ranking uses the partition id
     and Spark would otherwise compute it once per reader. ``checkpoint=False``
-    keeps everything lazy.
+    writes nothing: the plan is recomputed per class, and a hash is numbered
+    by one task.
     """
     from ..session import write_through
     from .rank import row_number_within
@@ -194,7 +187,9 @@ def detect_changes_strict(scan: DataFrame, registry: DataFrame,
     inactive = registry.filter(F.col("status") == "INACTIVE").select("doc_id").distinct() \
         .withColumn("_inactive", F.lit(True))
     # a scanned row looks up its own content, a vanished row its registry content
-    tagged = (full.join(inactive, "doc_id", "left")
+    # vanished rows have no scanned doc id: their own path spreads them
+    key = F.coalesce("doc_id", F.concat(F.lit("\x00"), "path"))
+    tagged = (full.withColumn("_d", key).join(inactive.withColumnRenamed("doc_id", "_d"), "_d", "left")
               .withColumn("_k", F.coalesce("content_hash", "_r_hash"))
               .join(facts, "_k", "left")
               .select("path", "doc_id", "content_hash", "old_doc_id", "_r_hash", "_in_scan", "_in_reg",
@@ -231,7 +226,7 @@ def detect_changes_strict(scan: DataFrame, registry: DataFrame,
         "path",
         F.when(c("change") == "_CAND", c("doc_id")).otherwise(c("old_doc_id")).alias("doc_id"),
         (~c("_in_scan")).alias("_gone"), "_present")
-    ranked = row_number_within(sides, ["_side", "content_hash"], "path")
+    ranked = row_number_within(sides, ["_side", "content_hash"], "path", write=checkpoint)
     row = F.struct("path", "doc_id", "_gone", "_present")
     pairs = ranked.groupBy("content_hash", "rn").agg(
         F.max_by(row, F.when(c("_side") == "c", F.lit(1))).alias("c"),

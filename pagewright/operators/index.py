@@ -9,7 +9,7 @@ external client when one is configured.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import pad5
@@ -18,13 +18,25 @@ from .embed import MODEL
 
 
 def index_documents(pages: DataFrame, model: str = MODEL) -> DataFrame:
-    """Index rows for pages that have an embedding."""
+    """Index rows for pages that have an embedding; of rows that repeat a
+    page_id the latest ``updated_at`` counts (then the greatest row)."""
+    pages = latest(pages)
     return pages.filter(F.col("embedding").isNotNull()).select(
         "page_id", "doc_id", pad5("page_number").alias("page_number"), "status",
         "gcs_path", "gcs_pdf_path", "extracted_text", "summary", "embedding",
         F.lit(model).alias("model"))
 
 
+def latest(pages: DataFrame) -> DataFrame:
+    """One row per page_id: the latest by ``updated_at`` where there is such a
+    column, then by the text columns. No shuffle on a state bucketed by page_id."""
+    order = [F.col(c).desc_nulls_last() for c in ("updated_at", "extracted_text", "summary", "doc_id") if c in pages.columns]
+    if not order:
+        return pages.dropDuplicates(["page_id"])
+    first = F.row_number().over(Window.partitionBy("page_id").orderBy(*order))
+    return pages.withColumn("_first", first).filter("_first = 1").drop("_first")
+
+
 def index_results(pages: DataFrame) -> DataFrame:
     """Stage result per page: a missing embedding fails only that page."""
     ok = F.col("embedding").isNotNull()
@@ -35,7 +47,8 @@ def index_results(pages: DataFrame) -> DataFrame:
 
 
 def upsert_index(existing: DataFrame | None, rows: DataFrame) -> DataFrame:
-    """Replace by ``page_id``; ``rows`` must hold one row per page_id."""
+    """Replace by ``page_id``; ``rows`` hold one row per page_id (as
+    :func:`index_documents` gives them)."""
     if existing is None:
         return rows
     return existing.join(rows.select("page_id"), "page_id", "left_anti").unionByName(rows)

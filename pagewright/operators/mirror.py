@@ -3,8 +3,9 @@
 The reference shells out to a single-machine rsync tool (dry run, then the
 real run). Here the plan is a full outer join of the two manifests on path:
 COPY (source only), UPDATE (both, content differs), DELETE (target only,
-unmatched objects are removed) and SKIP (same content). Applying it is a
-write of the COPY/UPDATE rows; counting it is one aggregate.
+unmatched objects are removed), SKIP (same content) and ERROR (the source
+could not be read: the target stays). Copying the files of a plan is left to
+the storage's own tool; counting it is one aggregate.
 """
 
 from __future__ import annotations
@@ -12,17 +13,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-COPY, UPDATE, DELETE, SKIP = "COPY", "UPDATE", "DELETE", "SKIP"
+COPY, UPDATE, DELETE, SKIP, ERROR = "COPY", "UPDATE", "DELETE", "SKIP", "ERROR"
 
 
-def mirror_plan(source: DataFrame, target: DataFrame) -> DataFrame:
-    """``source``/``target``: ``path, content_hash``. Output ``path, action``."""
-    s = source.select("path", F.col("content_hash").alias("_s"))
-    t = target.select("path", F.col("content_hash").alias("_t"))
+def mirror_plan(source: DataFrame, target: DataFrame, scan_errors: DataFrame | None = None) -> DataFrame:
+    """``source``/``target``: ``path, content_hash``; ``scan_errors``: ``path``
+    of unreadable sources. Output ``path, action``.
+
+    Presence is the row, not the hash: a NULL hash is present and equals only NULL.
+    """
+    s = source.select("path", F.col("content_hash").alias("_s"), F.lit(False).alias("_bad"))
+    if scan_errors is not None:
+        bad = scan_errors.select("path", F.lit(None).cast("string").alias("_s"), F.lit(True).alias("_bad"))
+        s = s.join(bad.select("path"), "path", "left_anti").unionByName(bad.distinct())
+    s = s.withColumn("_in_s", F.lit(True))
+    t = target.select("path", F.col("content_hash").alias("_t"), F.lit(True).alias("_in_t"))
     j = s.join(t, "path", "full_outer")
-    action = (F.when(F.col("_t").isNull(), F.lit(COPY))
-              .when(F.col("_s").isNull(), F.lit(DELETE))
-              .when(F.col("_s") != F.col("_t"), F.lit(UPDATE))
+    action = (F.when(F.col("_bad"), F.lit(ERROR))
+              .when(F.col("_in_t").isNull(), F.lit(COPY))
+              .when(F.col("_in_s").isNull(), F.lit(DELETE))
+              .when(~F.col("_s").eqNullSafe(F.col("_t")), F.lit(UPDATE))
               .otherwise(F.lit(SKIP)))
     return j.select("path", action.alias("action"))
 

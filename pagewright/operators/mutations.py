@@ -235,7 +235,9 @@ def apply_changes_strict(registry: DataFrame, changes: DataFrame, now) -> DataFr
     on = c.filter(F.col("change").isin("RESURRECTED", "MODIFIED")) \
         .select("doc_id", F.lit(ACTIVE).alias("_to"), F.lit(None).cast("string").alias("_fill"),
                 F.lit(2).alias("_prio"))
-    fill = c.filter(F.col("change") == "UNCHANGED") \
+    # of the unchanged documents, nearly all rows, only those without a hash
+    empty = registry.filter(F.coalesce("content_hash", F.lit("")) == "").select(F.col("doc_id").alias("old_doc_id"))
+    fill = c.filter(F.col("change") == "UNCHANGED").join(empty, "old_doc_id", "left_semi") \
         .select(F.col("old_doc_id").alias("doc_id"), F.lit(None).cast("string").alias("_to"),
                 F.col("content_hash").alias("_fill"), F.lit(0).alias("_prio"))
     acts = off.unionByName(on).unionByName(fill).groupBy("doc_id").agg(

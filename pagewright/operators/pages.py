@@ -11,6 +11,13 @@ from ..schemas import ACTIVE, CONTEXT_PAGES, PENDING, STAGES
 PAGE_CHARS = 1000
 
 
+def page_texts(content: Column | str, page_chars: int = PAGE_CHARS) -> Column:
+    """The text cut into pieces of ``page_chars`` characters; an empty or NULL text is one page."""
+    c = F.col(content) if isinstance(content, str) else content
+    pieces = F.regexp_extract_all(c, F.lit(f"(?s).{{1,{page_chars}}}"), F.lit(0))
+    return F.when(F.length(c) > 0, pieces).otherwise(F.array(c))
+
+
 def paginate(docs: DataFrame, page_chars: int = PAGE_CHARS, mode: str = "chars") -> DataFrame:
     """Cut each document into pages numbered from 1.
 
@@ -19,20 +26,18 @@ def paginate(docs: DataFrame, page_chars: int = PAGE_CHARS, mode: str = "chars")
     ``mode="formfeed"`` splits on form feeds. Output ``page_id, doc_id,
     page_number, gcs_path, gcs_pdf_path, text``. Rows are generated inside
     the task that holds the document; nothing is shuffled. Everything of the
-    object path but the page number is computed once per document.
+    object path but the page number is computed once per document, and the
+    text is cut in one pass over it.
     """
     if mode == "chars":
-        n_pages = F.greatest(F.lit(1), F.ceil(F.length("content") / page_chars)).cast("int")
-        exploded = docs.select("doc_id", "path", "content", page_path_prefix("path").alias("_pp"),
-                               F.explode(F.sequence(F.lit(1), n_pages)).alias("n"))
-        text = F.substring("content", (F.col("n") - 1) * page_chars + 1, page_chars)
-        pages = exploded.select("doc_id", "path", "_pp", F.col("n"), text.alias("text"))
+        parts = page_texts("content", page_chars)
     elif mode == "formfeed":
-        pages = docs.select("doc_id", "path", page_path_prefix("path").alias("_pp"),
-                            F.posexplode(F.split("content", "\f", -1)).alias("i", "text")) \
-            .select("doc_id", "path", "_pp", (F.col("i") + 1).alias("n"), "text")
+        parts = F.split("content", "\f", -1)
     else:
         raise ValueError(f"unknown pagination mode {mode}")
+    pages = docs.select("doc_id", "path", page_path_prefix("path").alias("_pp"),
+                        F.posexplode(parts).alias("i", "text")) \
+        .select("doc_id", "path", "_pp", (F.col("i") + 1).alias("n"), "text")
     return pages.select(
         page_id("doc_id", "n").alias("page_id"), "doc_id",
         F.col("n").cast("int").alias("page_number"),

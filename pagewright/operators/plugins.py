@@ -5,7 +5,8 @@ batch of input rows (always with ``page_id``) and returns ``page_id, value,
 error``. It runs through ``mapInPandas`` (Arrow batches, one Python worker
 per task). Failures become values: if a batch raises, each row is retried
 alone, and a row that still raises is returned with its error text, so one
-bad page never stops a stage. Results are keyed by ``page_id``, so a task
+bad page never stops a stage. A page that the plug-in leaves out is FAILED; a
+page it returns twice, or was never given, is an error of its batch. Results are keyed by ``page_id``, so a task
 retried after a lost executor writes the same keys again.
 """
 
@@ -36,8 +37,15 @@ def run_plugin(df: DataFrame, fn: Callable, value_type: T.DataType,
         import pandas as pd
 
         def call(pdf):
-            out = fn(pdf)
-            return out[["page_id", "value", "error"]]
+            out = fn(pdf)[["page_id", "value", "error"]]
+            if out["page_id"].duplicated().any() or not out["page_id"].isin(pdf["page_id"]).all():
+                raise ValueError("the plug-in returned repeated or unknown pages")
+            left = pdf.loc[~pdf["page_id"].isin(out["page_id"]), "page_id"].drop_duplicates()
+            if len(left):
+                lost = pd.DataFrame({"page_id": left.values, "value": [None] * len(left),
+                                     "error": ["the plug-in returned no row for this page"] * len(left)})
+                out = lost if out.empty else pd.concat([out, lost], ignore_index=True)
+            return out
 
         for pdf in batches:
             try:
@@ -55,7 +63,8 @@ def run_plugin(df: DataFrame, fn: Callable, value_type: T.DataType,
                     parts.append(pd.DataFrame({"page_id": one["page_id"].values,
                                                "value": [None],
                                                "error": [f"{type(e).__name__}: {e}"]}))
-            yield pd.concat(parts, ignore_index=True) if parts else pdf.iloc[0:0][["page_id"]]
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
 
     src = df.repartition(max_concurrency) if max_concurrency else df
     out = src.mapInPandas(apply, schema)

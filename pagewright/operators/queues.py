@@ -50,7 +50,7 @@ def queue_breakdown(pages: DataFrame) -> DataFrame:
 def queue_split(registry: DataFrame, pages: DataFrame) -> DataFrame:
     """ACTIVE documents that have no page rows yet."""
     act = registry.filter(F.col("status") == ACTIVE).select("doc_id", "path", "content_hash")
-    return act.join(pages.select("doc_id"), "doc_id", "left_anti")
+    return act.join(pages.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
 def queue_index_for_model(pages: DataFrame, index: DataFrame, model: str) -> DataFrame:

@@ -21,13 +21,16 @@ from ..session import write_through
 
 
 def row_number_within(df: DataFrame, group, order: str, out: str = "rn",
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, write: bool = True) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)``, skew-safe.
 
-    ``group``: a column name or a list of them.
+    ``group``: a column name or a list of them. ``write=False`` writes
+    nothing and uses the plain window instead, one task per group.
     """
     spark = df.sparkSession
     g = [group] if isinstance(group, str) else list(group)
+    if not write:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*g).orderBy(order)).cast("long"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(c) for c in g + [order]]) \
         .withColumn("_pid", F.spark_partition_id())

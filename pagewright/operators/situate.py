@@ -6,41 +6,29 @@ that contain it. The page's best sentence (highest total weight of its
 distinct tokens, then the earliest) follows the file name and the path
 description.
 
-Plan: the first pages are picked with ``WindowGroupLimit`` and counted per
-``(doc_id, token)`` in the same partitioning. Target sentences are exploded
-to ``(page, position, token)`` rows and joined to those weights on
-``(doc_id, token)``; scores are summed per sentence and the best one is
-chosen per page with ``max_by``. Every step is a codegen'd equi-join or
-partial aggregate: the work is linear in the tokens, no per-row lookup in
-a map of the document's vocabulary, and a document holding a third of all
-pages spreads over its distinct tokens instead of landing in one task.
+Plan: the first pages are picked with ``WindowGroupLimit`` and gathered per
+document, a row of ``n`` texts at most. Target pages are joined to it by
+``doc_id`` (AQE splits a document that holds a large share of the pages), and
+each page picks its sentence in the same task, from Arrow batches. No token
+ever becomes a row, so nothing but pages and contexts is shuffled.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import path_description
-from ..functions.tokens import HAS_TOKEN, sentences, tokens
-from ..schemas import CONTEXT_PAGES, FAILED, SUCCESS, SUMMARY_MAX_WORDS
+from ..schemas import CONTEXT_PAGES, FAILED, SUCCESS
 from .pages import first_n_pages
 from .plugins import run_plugin
 
 
-def context_weights(pages: DataFrame, n: int = CONTEXT_PAGES) -> DataFrame:
-    """``doc_id, tok, w``: in how many of the first ``n`` pages each token occurs."""
-    return _weights(first_n_pages(pages.select("doc_id", "page_id", "page_number", "text"), n))
-
-
-def _weights(first: DataFrame) -> DataFrame:
-    # rows arrive hash-partitioned by doc_id (window), which already
-    # satisfies the (doc_id, tok) aggregation: no further shuffle
-    toks = first.select("doc_id", F.explode(F.array_distinct(tokens("text"))).alias("tok"))
-    return toks.groupBy("doc_id", "tok").agg(F.count(F.lit(1)).alias("w"))
-
-
 def _target_docs(targets: DataFrame, pages: DataFrame) -> DataFrame:
     """Distinct doc ids of the targets (narrow ``page_id, doc_id`` join)."""
     return targets.select("page_id").join(pages.select("page_id", "doc_id"), "page_id") \
@@ -56,11 +44,6 @@ def _context_pages(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES)
     return first.join(_target_docs(targets, pages), "doc_id", "left_semi")
 
 
-def context_weights_for(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES) -> DataFrame:
-    """:func:`context_weights` restricted to the documents of ``targets``."""
-    return _weights(_context_pages(targets, pages, n))
-
-
 def context_header(path, descriptions: dict | None = None):
     """H9: what a model is told about the document: its file name and the
     description of its folders."""
@@ -68,10 +51,41 @@ def context_header(path, descriptions: dict | None = None):
                            path_description(path, descriptions))
 
 
-def limit_words(text, max_words: int = SUMMARY_MAX_WORDS):
-    words = F.split(text, r"\s+", -1)
-    return F.when(F.size(words) > max_words,
-                  F.array_join(F.slice(words, 1, max_words), " ")).otherwise(text)
+# Java's reading of the patterns in functions/tokens.py
+_SENTENCE_END = re.compile("[.!?]+[ \\t\\n\\x0b\\f\\r]+|\\n+")
+_TOKEN = re.compile(r"[^\W_]+")
+
+
+def token_weights(texts) -> Counter:
+    """In how many of the (lower-cased) texts each token occurs."""
+    weights: Counter = Counter()
+    for t in texts:
+        weights.update(set(_TOKEN.findall(t or "")))
+    return weights
+
+
+def best_sentence(text: str, low: str, weights: Counter) -> str | None:
+    """The sentence whose distinct tokens weigh most, the earliest of equal
+    ones; None without a token. ``low`` is ``text`` in lower case."""
+    best, score = None, -1
+    for sentence, words in zip(_SENTENCE_END.split(text), _SENTENCE_END.split(low)):
+        found = set(_TOKEN.findall(words))
+        if found:
+            total = sum(map(weights.__getitem__, found))
+            if total > score:
+                best, score = sentence, total
+    return best
+
+
+@F.pandas_udf(T.StringType())
+def _best_sentences(doc_id: pd.Series, text: pd.Series, low: pd.Series, context: pd.Series) -> pd.Series:
+    weights: dict = {}  # of the documents in this batch
+    out = []
+    for d, t, x, c in zip(doc_id, text, low, context):
+        if d not in weights:
+            weights[d] = token_weights([] if c is None else c)
+        out.append(best_sentence(t, x, weights[d]))
+    return pd.Series(out, dtype=object)
 
 
 def situate(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES,
@@ -89,11 +103,11 @@ def situate(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES,
         F.concat(F.lit("no page row for "), F.col("page_id")).alias("error"),
         F.lit(FAILED).alias("status"))
     found = known.filter(F.col("doc_id").isNotNull())
+    ctx = _context_pages(targets, pages, n) \
+        .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_number", "text"))).alias("_c"))
+    batch = found.join(ctx, "doc_id", "left")
     if summary_fn is not None:
-        ctx = _context_pages(targets, pages, n) \
-            .groupBy("doc_id").agg(F.array_sort(F.collect_list(
-                F.struct("page_number", "text"))).alias("_c"))
-        batch = found.join(ctx, "doc_id", "left").select(
+        batch = batch.select(
             "page_id", "gcs_pdf_path", "text",
             context_header("gcs_pdf_path", descriptions).alias("header"),
             F.transform("_c", lambda c: c["text"]).alias("context"))
@@ -103,24 +117,12 @@ def situate(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES,
                          "error", "status")
         return out.unionByName(missing)
 
-    # sentences with at least one token, numbered within the page
-    sents = found.select("page_id", "doc_id", "gcs_pdf_path",
-                         F.posexplode(sentences("text")).alias("pos", "sentence")) \
-        .filter(F.col("sentence").rlike(HAS_TOKEN))
-    # score = sum of context weights over the sentence's distinct tokens; an
-    # equi-join on (doc_id, tok), so a hot document spreads over its tokens
-    toks = sents.select("page_id", "doc_id", "pos",
-                        F.explode(F.array_distinct(tokens("sentence"))).alias("tok"))
-    scored = toks.join(context_weights_for(targets, pages, n), ["doc_id", "tok"], "left") \
-        .groupBy("page_id", "pos").agg(F.sum(F.coalesce("w", F.lit(0))).alias("score"))
-    best = scored.groupBy("page_id").agg(
-        F.max_by("pos", F.struct(F.col("score"), -F.col("pos"))).alias("pos"))
-    chosen = sents.join(best, ["page_id", "pos"], "inner")
-    summary = F.concat_ws("\n", F.col("gcs_pdf_path"),
-                          path_description("gcs_pdf_path", descriptions), F.col("sentence"))
-    with_text = chosen.select("page_id", limit_words(summary).alias("value"))
+    text = F.coalesce("text", F.lit(""))
+    sentence = _best_sentences("doc_id", text, F.lower(text), F.transform("_c", lambda c: F.lower(c["text"])))
+    picked = batch.select("page_id", "gcs_pdf_path", sentence.alias("sentence"))
     # pages without any sentence get "" and SUCCESS
-    out = found.select("page_id").join(with_text, "page_id", "left").select(
-        "page_id", F.coalesce("value", F.lit("")).alias("value"),
+    summary = F.concat_ws("\n", "gcs_pdf_path", path_description("gcs_pdf_path", descriptions), "sentence")
+    out = picked.select(
+        "page_id", F.when(F.col("sentence").isNull(), F.lit("")).otherwise(summary).alias("value"),
         F.lit(None).cast("string").alias("error"), F.lit(SUCCESS).alias("status"))
     return out.unionByName(missing)

@@ -44,6 +44,14 @@ def processing_stats(pages: DataFrame) -> DataFrame:
         .otherwise(F.lit(0.0)).alias("completion_rate"))
 
 
+def all_done():
+    """Whether every stage of a page succeeded; a NULL status has not."""
+    done = F.lit(True)
+    for s in STAGES:
+        done = done & F.coalesce(F.col(s) == SUCCESS, F.lit(False))
+    return done
+
+
 def stage_progress(pages: DataFrame) -> DataFrame:
     """A3: ACTIVE pages per (stage, status), the four stage columns unpivoted."""
     act = pages.filter(F.col("status") == ACTIVE).select(*STAGES)

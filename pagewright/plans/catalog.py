@@ -7,7 +7,6 @@ Every query reads the driver tables (through the fixtures of
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +46,7 @@ def register(name: str):
 
 @register("scan_manifest")
 def _scan_manifest(spark, sf):
-    return fx.scan_f1(spark, sf)
+    return FS.scan_manifest(fx.all_files(spark, sf))
 
 
 @register("registry_snapshot")
@@ -94,7 +93,7 @@ def _change_counts(spark, sf):
 
 @register("duplicate_hashes")
 def _duplicate_hashes(spark, sf):
-    return D.duplicate_hashes(fx.scan_f1(spark, sf))
+    return D.duplicate_hashes(FS.scan_manifest(fx.all_files(spark, sf)))
 
 
 @register("new_hash_counts")
@@ -104,8 +103,6 @@ def _new_hash_counts(spark, sf):
 
 # ---- scalar functions --------------------------------------------------------
 
-
-
 @register("list_files")
 def _list_files(spark, sf):
     return FS.list_files(fx.listing(spark, sf))
@@ -119,7 +116,7 @@ def _content_hash(spark, sf):
 
 @register("doc_hash")
 def _doc_hash(spark, sf):
-    s = fx.storage(spark, sf)
+    s = fx.all_files(spark, sf)
     return s.select("path", H.doc_hash("content", "path").alias("doc_hash"))
 
 
@@ -155,7 +152,7 @@ def _page_ids(spark, sf):
 
 @register("path_description")
 def _path_description(spark, sf):
-    s = fx.scan_f1(spark, sf)
+    s = fx.described_files(spark, sf)
     return s.select("path", PT.path_description("path").alias("description"))
 
 
@@ -170,7 +167,7 @@ def _folder_descriptions(spark, sf):
 
 @register("path_description_table")
 def _path_description_table(spark, sf):
-    s = fx.scan_f1(spark, sf).select("path")
+    s = fx.all_files(spark, sf).select("path")
     return PT.path_description_join(s, "path", _folder_descriptions(spark, sf))
 
 
@@ -185,8 +182,7 @@ def _combined_text(spark, sf):
 def _embedding_json(spark, sf):
     e = fx.table(spark, sf, "embeddings")
     back = F.from_json(F.to_json("embedding"), "array<float>")
-    return e.select("vec_id", F.size("embedding").alias("dims"),
-                    (back == F.col("embedding")).alias("roundtrip_equal"))
+    return e.select("vec_id", F.size("embedding").alias("dims"), back.alias("embedding"))
 
 
 # ---- lookups -----------------------------------------------------------------
@@ -387,17 +383,17 @@ def _text_markdown(spark, sf):
 
 @register("text_tables")
 def _text_tables(spark, sf):
-    return _html(spark, sf).select("page_id", TX.tables_to_blocks(F.col("html")).alias("text"))
+    return fx.marked_up(spark, sf).select("page_id", TX.tables_to_blocks(F.col("html")).alias("text"))
 
 
 @register("text_images")
 def _text_images(spark, sf):
-    return _html(spark, sf).select("page_id", TX.images_to_blocks(F.col("html")).alias("text"))
+    return fx.marked_up(spark, sf).select("page_id", TX.images_to_blocks(F.col("html")).alias("text"))
 
 
 @register("text_finalize")
 def _text_finalize(spark, sf):
-    return _html(spark, sf).select("page_id", TX.finalize(F.col("html")).alias("text"))
+    return fx.marked_up(spark, sf).select("page_id", TX.finalize(F.col("html")).alias("text"))
 
 
 @register("extract_text")
@@ -433,7 +429,7 @@ def _index_documents(spark, sf):
 
 @register("mirror_plan")
 def _mirror_plan(spark, sf):
-    return MR.mirror_plan(fx.scan_f1(spark, sf), fx.registry_f2(spark, sf))
+    return MR.mirror_plan(fx.scan_f1(spark, sf), registry_snapshot(fx.registry_f2(spark, sf)))
 
 
 @register("mirror_plan_counts")
@@ -441,17 +437,8 @@ def _mirror_plan_counts(spark, sf):
     return MR.mirror_plan_counts(_mirror_plan(spark, sf))
 
 
-def ensure_checkpoint_dir(spark):
-    """Strict detection checkpoints; on a cluster the session names the
-    shared folder, locally (unset) a scratch folder is used."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        from ..session import checkpoint_dir
-        checkpoint_dir(spark, tempfile.mkdtemp(prefix="pagewright-ckpt-"))
-
-
 @register("detect_changes_strict")
 def _detect_changes_strict(spark, sf):
-    ensure_checkpoint_dir(spark)
     return D.detect_changes_strict(fx.scan_f1(spark, sf), fx.registry_f2(spark, sf))
 
 
@@ -462,7 +449,6 @@ def _change_counts_strict(spark, sf):
 
 @register("apply_changes_strict")
 def _apply_changes_strict(spark, sf):
-    ensure_checkpoint_dir(spark)
     reg = fx.registry_f2(spark, sf)
     ch = D.detect_changes_strict(fx.scan_f1(spark, sf), reg)
     return U.apply_changes_strict(reg, ch, fx.run_ts())
@@ -470,16 +456,9 @@ def _apply_changes_strict(spark, sf):
 
 # ---- whole runs ----------------------------------------------------------------
 
-
-
-
 def run_context(spark):
-    """Stage tables go below spark.checkpoint.dir; a scratch folder is used
-    only when the session names none (local runs and tests)."""
-    fallback = None
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        fallback = tempfile.mkdtemp(prefix="pagewright-")
-    return PL.RunContext.create(spark, fx.run_ts(), fallback_dir=fallback)
+    """Stage tables go below the session's shared folder (``session.checkpoint_dir``)."""
+    return PL.RunContext.create(spark, fx.run_ts())
 
 
 @register("run_pipeline")
@@ -490,30 +469,11 @@ def _run_pipeline(spark, sf):
     return out["index"]
 
 
-@register("run_status")
-def _run_status(spark, sf):
-    """The run row folded from the event log the pipeline wrote while
-    processing the tables."""
-    ctx = run_context(spark)
-    PL.run_pipeline(ctx, fx.storage(spark, sf), fx.registry_f2(spark, sf), fx.pages_f3(spark, sf),
-                    payload=fx.payload(spark, sf))
-    return U.run_state(ctx.tables["run_log"]).select("id", "status", "stage")
-
-
-@register("current_run_status")
-def _current_run_status(spark, sf):
-    """K2: latest status of that run's log (IDLE for an empty log)."""
-    ctx = run_context(spark)
-    PL.run_pipeline(ctx, fx.storage(spark, sf), fx.registry_f2(spark, sf), fx.pages_f3(spark, sf),
-                    payload=fx.payload(spark, sf))
-    return A.current_run_status(ctx.tables["run_log"])
-
-
 @register("sync_run")
 def _sync_run(spark, sf):
     ctx = run_context(spark)
     out = PL.sync(ctx, fx.storage(spark, sf), fx.registry_f2(spark, sf), fx.pages_f3(spark, sf),
-                  target=fx.registry_f2(spark, sf).select("path", "content_hash"))
+                  target=registry_snapshot(fx.registry_f2(spark, sf)).select("path", "content_hash"))
     return out["stats"]
 
 

@@ -7,13 +7,15 @@ derivations); column names equal the Spark aliases.
 from __future__ import annotations
 
 from ..functions.paths import DESCRIPTIONS  # fixed values shared as data
+from ..functions.text import ENTITIES, HIDDEN
 from .oracle_fixtures import q, sql_file, sql_page_path, sql_pad5, sql_parent, sql_stem
 
 ORACLE: dict[str, str] = {}
 
 _NEW_PATHS = "fresh AS (SELECT s.* FROM scan s WHERE NOT EXISTS (SELECT 1 FROM snap r WHERE r.path = s.path))"
 
-ORACLE["scan_manifest"] = q("SELECT path, content_hash, doc_id, length FROM scan")
+ORACLE["scan_manifest"] = q("SELECT path, content_hash, doc_id, length FROM all_scan", """all_scan AS (
+  SELECT bp AS path, sha256(text) AS content_hash, sha256(text || bp) AS doc_id, n_chars AS length FROM docs_bp)""")
 
 ORACLE["registry_snapshot"] = q("SELECT path, doc_id, content_hash FROM snap")
 
@@ -62,8 +64,9 @@ ORACLE["change_counts"] = q("SELECT change, count(*) AS n FROM detected GROUP BY
 
 ORACLE["duplicate_hashes"] = q("""
 SELECT s.content_hash, s.path, c.copies
-FROM scan s JOIN (SELECT content_hash, count(*) AS copies FROM scan
-                  GROUP BY content_hash HAVING count(*) > 1) c
+FROM (SELECT sha256(text) AS content_hash, bp AS path FROM docs_bp) s
+JOIN (SELECT sha256(text) AS content_hash, count(*) AS copies FROM docs_bp
+      GROUP BY sha256(text) HAVING count(*) > 1) c
   ON c.content_hash = s.content_hash""")
 
 ORACLE["new_hash_counts"] = q("""
@@ -106,7 +109,8 @@ def rep(x: str, a: str, b: str) -> str:
 
 def strip_hidden(t):
     t = rr(t, r"(?is)<head(\s[^>]*)?>.*?</head\s*>")
-    t = rr(t, r"(?is)<(script|style|nav|footer)(\s[^>]*)?>.*?</(script|style|nav|footer)\s*>")
+    for name in HIDDEN:
+        t = rr(t, rf"(?is)<{name}(\s[^>]*)?>.*?</{name}\s*>")
     return rr(t, r"(?s)<!--.*?-->")
 
 
@@ -125,11 +129,12 @@ def images(t):
         return f"{NL} || chr(1) || 'image' || chr(2) || {inner} || chr(1) || '/image' || chr(2) || {NL}"
     t = rr(t, r"(?is)<figcaption(\s[^>]*)?>(.*?)</figcaption\s*>", blk("'\\2'"))
     t = rr(t, r'(?is)<img\s[^>]*alt="([^"]*)"[^>]*>', blk("'\\1'"))
+    t = rr(t, r"(?is)<img\s[^>]*alt='([^']*)'[^>]*>", blk("'\\1'"))
     return rr(t, r"(?is)<img(\s[^>]*)?>", blk("''"))
 
 
 def filler(t):
-    return rr(rep(t, "'&amp;'", "'&'"), r"[._#*$%&]{3,}")
+    return rr(t, r"(?:&amp;|[._#*$%&]){3,}")
 
 
 def markdown(t):
@@ -141,7 +146,7 @@ def markdown(t):
 
 def tags(t):
     t = rr(t, r"(?s)<[^>]+>")
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
+    for a, b in ENTITIES:
         t = rep(t, lit(a), lit(b))
     return rep(rep(t, "chr(1)", "'<'"), "chr(2)", "'>'")
 
@@ -170,7 +175,18 @@ QUEUE = {
 }
 STAGE_OF = {"extract": "extracted", "summary": "summarized", "embed": "embedded", "index": "indexed"}
 
-_LISTING = "listing AS (SELECT path FROM storage UNION ALL SELECT path || '.txt' FROM storage)"
+_LISTING = "listing AS (SELECT bp AS path FROM docs_bp UNION ALL SELECT bp || '.txt' FROM docs_bp)"
+# every document as a file, none deleted
+_ALL = """all_scan AS (SELECT bp AS path, sha256(text) AS content_hash, sha256(text || bp) AS doc_id, n_chars AS length
+  FROM docs_bp)"""
+_FOLDERS = "[" + ", ".join(lit(k) for k in DESCRIPTIONS) + "]"
+_DESCRIBED = f"""described AS (SELECT {_FOLDERS}[doc_id % {len(DESCRIPTIONS)} + 1] || '/'
+  || {_FOLDERS}[(doc_id * 7 + 3) % {len(DESCRIPTIONS)} + 1] || '/' || bp AS path FROM docs_bp)"""
+_MARKED = """marked AS (SELECT page_id, html || chr(10) || '<table class="t"><caption>page ' || page_id
+  || '</caption><tr><th>url</th><th>n</th></tr><tr><td>' || url || '</td><td>' || page_id || '</td></tr></table>' || chr(10)
+  || '<figure><img src=' || chr(39) || 'a.png' || chr(39) || ' alt=' || chr(39) || 'photo ' || page_id || chr(39) || '><figcaption>from ' || url
+  || '</figcaption></figure><img alt="plan ' || page_id || '" src=b.png><img src=c.png>' || chr(10) || '```html' || chr(10)
+  || 'code ' || page_id || chr(10) || '```' || chr(10) || 'end' AS html FROM pages)"""
 _PAY = f"pay AS (SELECT doc_id || '_' || {sql_pad5('n')} AS page_id, doc_id, n AS page_number, pdf_path AS gcs_pdf_path, text FROM page_texts)"
 
 
@@ -206,7 +222,7 @@ ORACLE["list_files"] = q("SELECT path FROM listing WHERE lower(path) LIKE '%.pdf
 
 ORACLE["content_hash"] = q("SELECT doc_id, sha256(text) AS content_hash FROM documents")
 
-ORACLE["doc_hash"] = q("SELECT path, sha256(content || path) AS doc_hash FROM storage")
+ORACLE["doc_hash"] = q("SELECT bp AS path, sha256(text || bp) AS doc_hash FROM docs_bp")
 
 ORACLE["file_hash_algo"] = q("""
 SELECT doc_id, md5(text) AS md5, sha1(text) AS sha1, sha256(text) AS sha256,
@@ -220,13 +236,13 @@ ORACLE["page_paths"] = q(f"SELECT page_id, {sql_page_path('gcs_pdf_path', 'page_
 
 ORACLE["page_ids"] = q(f"SELECT doc_id || '_' || {sql_pad5('n')} AS page_id, {sql_pad5('n')} AS page_number FROM page_texts")
 
-ORACLE["path_description"] = q(f"SELECT path, {describe('path')} AS description FROM scan")
+ORACLE["path_description"] = q(f"SELECT path, {describe('path')} AS description FROM described", _DESCRIBED)
 
 ORACLE["path_description_table"] = q(f"""
 SELECT p.path, string_agg(coalesce(d.description, ''), {NL} ORDER BY p.pos) AS description
 FROM parts p LEFT JOIN descs d ON d.path_key = p.k GROUP BY p.path""",
     """parts AS (SELECT s.path, g.pos, string_split(s.path, '/')[g.pos] AS k
-      FROM (SELECT DISTINCT path FROM scan) s, generate_series(1, len(string_split(s.path, '/'))) AS g(pos))""",
+      FROM (SELECT DISTINCT bp AS path FROM docs_bp) s, generate_series(1, len(string_split(s.path, '/'))) AS g(pos))""",
     """descs AS (SELECT path_key, max(description) AS description FROM (
       SELECT source AS path_key, 'Documents from ' || source AS description FROM documents
       UNION SELECT lang, 'Written in ' || lang FROM documents) x GROUP BY path_key)""")
@@ -235,8 +251,7 @@ _COMBINED = f"coalesce(summary, '') || {NL} || {NL} || coalesce(extracted_text,
 ORACLE["combined_text"] = q(f"SELECT page_id, {_COMBINED} AS combined_text, {blank(_COMBINED)} AS blank FROM pages_f3")
 
 ORACLE["embedding_json"] = q("""
-SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims,
-       CAST(to_json(embedding) AS FLOAT[]) = embedding AS roundtrip_equal FROM embeddings""")
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, embedding FROM embeddings""")
 
 # ---- lookups -----------------------------------------------------------------
 
@@ -387,18 +402,16 @@ ORACLE["cascade_delete"] = q("SELECT page_id, doc_id FROM pages_f3 WHERE doc_id
 ORACLE["text_strip_filler"] = q(f"SELECT page_id, {filler('html')} AS text FROM pages")
 ORACLE["text_collapse_ws"] = q(f"SELECT page_id, {collapse('html')} AS text FROM pages")
 ORACLE["text_markdown"] = q(f"SELECT page_id, {markdown('html')} AS text FROM pages")
-ORACLE["text_tables"] = q(f"SELECT page_id, {tables('html')} AS text FROM pages")
-ORACLE["text_images"] = q(f"SELECT page_id, {images('html')} AS text FROM pages")
-ORACLE["text_finalize"] = q(f"SELECT page_id, {finalize('html')} AS text FROM pages")
+ORACLE["text_tables"] = q(f"SELECT page_id, {tables('html')} AS text FROM marked", _MARKED)
+ORACLE["text_images"] = q(f"SELECT page_id, {images('html')} AS text FROM marked", _MARKED)
+ORACLE["text_finalize"] = q(f"SELECT page_id, {finalize('html')} AS text FROM marked", _MARKED)
 ORACLE["extract_text"] = q(f"""
 SELECT CAST(page_id AS VARCHAR) AS page_id, {chain('html')} AS value,
        CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status FROM pages""")
 
-_WORDS = "string_split_regex(summary, '\\s+')"
 ORACLE["situate_pages"] = q(f"""
 SELECT page_id,
        CASE WHEN summary IS NULL THEN ''
-            WHEN len({_WORDS}) > 512 THEN array_to_string(list_slice({_WORDS}, 1, 512), ' ')
             ELSE summary END AS value,
        CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status
 FROM (SELECT t.page_id, b.gcs_pdf_path || {NL} || {describe('b.gcs_pdf_path')} || {NL} || b.sentence AS summary
@@ -440,9 +453,9 @@ FROM pages_f3 q JOIN page_vectors v ON v.page_id = q.page_id WHERE {QUEUE['index
 
 _MIRROR = """plan AS (
   SELECT coalesce(s.path, t.path) AS path,
-         CASE WHEN t.content_hash IS NULL THEN 'COPY' WHEN s.content_hash IS NULL THEN 'DELETE'
-              WHEN s.content_hash <> t.content_hash THEN 'UPDATE' ELSE 'SKIP' END AS action
-  FROM scan s FULL OUTER JOIN registry t ON s.path = t.path)"""
+         CASE WHEN t.path IS NULL THEN 'COPY' WHEN s.path IS NULL THEN 'DELETE'
+              WHEN s.content_hash IS DISTINCT FROM t.content_hash THEN 'UPDATE' ELSE 'SKIP' END AS action
+  FROM scan s FULL OUTER JOIN snap t ON s.path = t.path)"""
 ORACLE["mirror_plan"] = q("SELECT path, action FROM plan", _MIRROR)
 ORACLE["mirror_plan_counts"] = q("SELECT action, count(*) AS n FROM plan GROUP BY action", _MIRROR)
 
@@ -572,8 +585,6 @@ def _situate_ctes(p: str, targets: str, pay: str) -> list[str]:
         f"""{p}_res AS (
   SELECT k.page_id,
          CASE WHEN b.summary IS NULL THEN ''
-              WHEN len(string_split_regex(b.summary, '\\s+')) > 512
-                THEN array_to_string(list_slice(string_split_regex(b.summary, '\\s+'), 1, 512), ' ')
               ELSE b.summary END AS value,
          CAST(NULL AS VARCHAR) AS error, 'SUCCESS' AS status
   FROM {p}_known k LEFT JOIN {p}_best b ON b.page_id = k.page_id WHERE k.doc_id IS NOT NULL

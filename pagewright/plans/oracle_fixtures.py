@@ -71,7 +71,7 @@ _CTES = {
   SELECT doc_id || '_' || {sql_pad5('n')} AS page_id, doc_id, n AS page_number,
          {sql_page_path('pdf_path', 'n')} AS gcs_path, pdf_path AS gcs_pdf_path,
          CASE {sql_stage(1)} WHEN 'SUCCESS' THEN text WHEN 'FAILED' THEN '' END AS extracted_text,
-         CASE {sql_stage(2)} WHEN 'SUCCESS' THEN substr(text, 1, 200) WHEN 'FAILED' THEN '' END AS summary,
+         CASE {sql_stage(2)} WHEN 'SUCCESS' THEN text WHEN 'FAILED' THEN '' END AS summary,
          CAST(NULL AS FLOAT[]) AS embedding,
          {sql_stage(1)} AS extracted, {sql_stage(2)} AS summarized,
          {sql_stage(3)} AS embedded, {sql_stage(4)} AS indexed,

@@ -14,7 +14,7 @@ import datetime as dt
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import changes as D
@@ -27,8 +27,8 @@ from ..operators import pages as PG
 from ..operators import queues as W
 from ..operators import situate as SI
 from ..operators import stats as A
-from ..schemas import COMPLETED, FAILED, RUN_LOG, RUNNING
-from ..session import new_run_id, work_path
+from ..schemas import ACTIVE, COMPLETED, FAILED, RUN_LOG, RUNNING, STAGES
+from ..session import drop_temporary, new_run_id, temporary_count, work_path
 from ..sources.files import scan_with_errors
 
 
@@ -51,7 +51,10 @@ def materialize_bucketed(df: DataFrame, path: str, table: str, key: str, buckets
     # already partitioned that way, e.g. the output of a bucketed join.
     (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))
-    return df.sparkSession.table(table)
+    spark = df.sparkSession
+    (spark.createDataFrame([(key, buckets)], "key string, buckets int").coalesce(1)
+     .write.mode("overwrite").parquet(_layout_path(path)))
+    return spark.table(table)
 
 
 def open_bucketed(spark: SparkSession, path: str, key: str = "page_id",
@@ -61,16 +64,24 @@ def open_bucketed(spark: SparkSession, path: str, key: str = "page_id",
     A plain ``read.parquet`` forgets the bucketing, so the next run's first
     join would shuffle the whole state. Registering an external table over
     the same files with its bucket spec (no data is rewritten) lets joins on
-    ``key`` use the existing layout. ``buckets`` must be the count the files
-    were written with (the run's ``spark.sql.shuffle.partitions`` by default).
+    ``key`` use the existing layout. The key and the bucket count are those
+    that were stored when the table was written; a different ``key`` or
+    ``buckets`` is an error, since joins would silently lose rows.
     """
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layout = spark.read.parquet(_layout_path(path)).first()
+    if key != layout["key"] or buckets not in (None, layout["buckets"]):
+        raise ValueError(f"{path} has {layout['buckets']} buckets of {layout['key']}, not {buckets} of {key}")
     name = table or f"pw_prev_{new_run_id()}"
-    schema = spark.read.parquet(path).schema
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
-              f"INTO {n} BUCKETS LOCATION '{path}'")
-    return spark.table(name)
+    quoted = lambda x: "`" + x.replace("`", "``") + "`"
+    cols = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {quoted(name)} ({cols}) USING parquet CLUSTERED BY ({quoted(key)}) "
+              f"SORTED BY ({quoted(key)}) INTO {layout['buckets']} BUCKETS LOCATION '{place}'")
+    return spark.table(quoted(name))
+
+
+def _layout_path(path: str) -> str:
+    return path.rstrip("/") + "-layout"
 
 
 @dataclass
@@ -83,6 +94,7 @@ class RunContext:
     run_id: str = ""
     buckets: int = 0
     events: list = field(default_factory=list)
+    entries: list = field(default_factory=list)
 
     @classmethod
     def create(cls, spark: SparkSession, now, run_id: str | None = None,
@@ -95,16 +107,24 @@ class RunContext:
     def save(self, name: str, df: DataFrame, bucket_by: str | None = None) -> DataFrame:
         path = os.path.join(self.root, name)
         if bucket_by:
-            out = materialize_bucketed(df, path, f"pw_{self.run_id}_{name}", bucket_by, self.buckets)
+            entry = f"pw_{self.run_id}_{name}"
+            out = materialize_bucketed(df, path, entry, bucket_by, self.buckets)
+            self.entries.append(entry)
         else:
             out = materialize(df, path)
         self.tables[name] = out
         return out
 
-    def log(self, status: str, stage: str | None = None, error: str | None = None):
+    def close(self):
+        """Drop the run's catalog entries; its files stay, see :func:`open_bucketed`."""
+        while self.entries:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.entries.pop()}")
+
+    def log(self, status: str, stage: str | None = None, error: str | None = None,
+            total: int | None = None, processed: int | None = None):
         """Append a run event (a handful per run, kept on the driver)."""
         ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self.events.append((len(self.events) + 1, status, stage, ts, None, None, error))
+        self.events.append((len(self.events) + 1, status, stage, ts, total, processed, error))
 
     def run_log(self) -> DataFrame:
         return self.save("run_log", self.spark.createDataFrame(self.events, RUN_LOG))
@@ -132,12 +152,13 @@ def sync(ctx: RunContext, files: DataFrame | None, registry: DataFrame, pages: D
         err = F.col("error") if "error" in scan.columns else F.lit(None).cast("string")
         scanned = ctx.save("scan_all", scan.select("path", "content_hash", "doc_id", "length",
                                                      err.alias("error")))
-    scan = scanned.filter(F.col("error").isNull()).drop("error")
-    if scan_errors is None:
-        scan_errors = scanned.filter(F.col("error").isNotNull()).select("path", "error")
+    own_errors = scanned.filter(F.col("error").isNotNull()).select("path", "error")
+    scan_errors = own_errors if scan_errors is None else own_errors.unionByName(scan_errors.select("path", "error"))
+    scan = scanned.filter(F.col("error").isNull()).drop("error").join(scan_errors.select("path"), "path", "left_anti")
     if target is not None:
-        plan = ctx.save("mirror_plan", MR.mirror_plan(scan, target))
+        plan = ctx.save("mirror_plan", MR.mirror_plan(scan, target, scan_errors))
         out["mirror_counts"] = MR.mirror_plan_counts(plan)
+    before = temporary_count()
     if mode == "strict":
         changes = ctx.save("changes", D.detect_changes_strict(scan, registry, scan_errors))
         new_reg = U.apply_changes_strict(registry, changes, ctx.now)
@@ -147,55 +168,101 @@ def sync(ctx: RunContext, files: DataFrame | None, registry: DataFrame, pages: D
     else:
         raise ValueError(f"unknown sync mode {mode}")
     new_reg = ctx.save("registry", new_reg)
-    synced = U.sync_page_status(pages, new_reg, ctx.now)
-    new_pages = ctx.save("pages_synced", synced.drop("_flip"), bucket_by="page_id")
+    drop_temporary(ctx.spark, before)
+    flips = ctx.save("page_status_flips", U.page_status_flips(pages, new_reg))
+    state = PageState(pages)
+    state.patch(flips.select("page_id", F.lit(0).cast("long").alias("seq"), F.col("_new_status").alias("status"),
+                             F.lit(ctx.now).cast("timestamp_ntz").alias("updated_at")
+                             if not isinstance(ctx.now, Column) else ctx.now.alias("updated_at")))
     out.update(scan=scan, changes=changes, change_counts=D.change_counts(changes),
-               registry=new_reg, pages=new_pages,
-               page_status_counts=U.sync_page_status_counts(synced),
-               stats=A.processing_stats(new_pages))
+               registry=new_reg, state=state, pages=state.view(),
+               page_status_counts=U.sync_page_status_counts(
+                   flips.select(F.col("_new_status").alias("status"), F.lit(True).alias("_flip"))),
+               stats=A.processing_stats(state.narrow()))
     return out
 
 
+class PageState:
+    """The page table of earlier runs, rows registered since, and a log of patches.
+
+    A run appends to the log and never rewrites the table: what it writes is
+    as large as what changed. :meth:`narrow` has the status columns with the
+    patches so far (queues read only those), :meth:`view` everything.
+    """
+
+    STATUS = ("page_id", "doc_id", "status", *STAGES)
+
+    def __init__(self, base: DataFrame):
+        self.base, self.log = base, None
+
+    def add(self, rows: DataFrame) -> None:
+        self.base = self.base.unionByName(rows)
+
+    def patch(self, patches: DataFrame) -> None:
+        self.log = patches if self.log is None else self.log.unionByName(patches, allowMissingColumns=True)
+
+    def _patched(self, base: DataFrame, clear_errors: bool = False) -> DataFrame:
+        if self.log is None:
+            return base
+        kept = [c for c in self.log.columns if c == "seq" or c in base.columns]
+        return U.patch_pages(base, self.log.select(*kept), clear_errors)
+
+    def narrow(self) -> DataFrame:
+        return self._patched(self.base.select(*self.STATUS))
+
+    def of(self, ids: DataFrame, *columns: str) -> DataFrame:
+        """``page_id`` and ``columns`` of the pages in ``ids``."""
+        return self._patched(self.base.select("page_id", *columns).join(ids.select("page_id"), "page_id", "left_semi"))
+
+    def view(self, clear_errors: bool = False) -> DataFrame:
+        return self._patched(self.base, clear_errors)
+
+
 def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFrame,
                  payload: DataFrame | None = None, index: DataFrame | None = None,
                  mode: str = "strict", extract_fn=None, summary_fn=None, embed_fn=None,
                  plugin_opts: dict | None = None, clear_error_on_success: bool = False,
-                 scan: DataFrame | None = None, contents=None) -> dict:
+                 scan: DataFrame | None = None, contents=None,
+                 scan_errors: DataFrame | None = None) -> dict:
     """Detect, split, extract, situate, embed, index.
 
     ``payload``: page objects of earlier runs (``page_id, doc_id,
     page_number, gcs_pdf_path, text``). Each stage reads its queue from the
-    current page state, applies its results as patches, and the state is
-    written before the next stage. Results of a stage that calls a model
-    plug-in are written first, so the model is called once per page even if
-    a later job needs them again; native results feed the state rewrite
-    directly. ``clear_error_on_success`` drops a page's old error text when
-    a stage succeeds (the reference keeps it). ``scan`` and ``contents``
+    narrow status columns and writes its results, one row per queued page;
+    they are the patches of the next stages. So text and vectors are written
+    once, for changed pages only, and a model is called once per page. The
+    returned ``pages``, ``payload`` and ``index`` are the earlier tables with
+    the run's rows over them; :func:`compact` rewrites them when the log has
+    grown. ``clear_error_on_success`` drops a page's old error text when a
+    stage succeeds (the reference keeps it). ``scan`` and ``contents``
     (``paths -> path, content``, e.g. ``read_contents``) let an incremental
-    run read the bytes of changed and newly split files only.
+    run read the bytes of changed and newly split files only; ``scan_errors``
+    (``path, error``) are files that the caller could not read.
     """
     try:
         out = _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn,
                           summary_fn, embed_fn, plugin_opts or {}, clear_error_on_success,
-                          scan, contents)
+                          scan, contents, scan_errors)
     except Exception as e:
-        ctx.log(FAILED, error=f"{type(e).__name__}: {e}"[:1000])
+        ctx.log(FAILED, error=f"{type(e).__name__}: {e}")
         ctx.run_log()
         raise
-    ctx.log(COMPLETED)
+    total = out["registry"].filter(F.col("status") == ACTIVE).count()
+    open_docs = out["state"].narrow().filter((F.col("status") == ACTIVE) & ~A.all_done()).select("doc_id").distinct().count()
+    ctx.log(COMPLETED, total=total, processed=total - open_docs)
     out["run_state"] = U.run_state(ctx.run_log())
     return out
 
 
 def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, summary_fn,
-                embed_fn, opts, clear_errors, scan=None, contents=None):
+                embed_fn, opts, clear_errors, scan=None, contents=None, scan_errors=None):
     ctx.log(RUNNING, "sync")
-    s = sync(ctx, files, registry, pages, mode=mode, scan=scan)
-    reg, state = s["registry"], s["pages"]
+    s = sync(ctx, files, registry, pages, mode=mode, scan=scan, scan_errors=scan_errors)
+    reg, state = s["registry"], s["state"]
 
     # split: ACTIVE documents without pages, content read once by path
     ctx.log(RUNNING, "split")
-    todo = W.queue_split(reg, state)
+    todo = W.queue_split(reg, state.base)
     # binary file contents are read as UTF-8 text (string input is unchanged)
     source = contents(todo.select("path")) if contents is not None else files.select("path", "content")
     docs = todo.join(source, "path", "inner") \
@@ -205,46 +272,40 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     if payload is not None:
         pay = payload.select(*pay.columns).join(split.select("page_id"), "page_id", "left_anti") \
             .unionByName(pay)
-    pay = ctx.save("payload", pay, bucket_by="page_id")
-    state = ctx.save("pages_split", PG.register_pages(state, split, ctx.now), bucket_by="page_id")
+    # the split queue holds documents without pages, so none is there yet
+    state.add(PG.new_page_rows(split, ctx.now))
+
+    def done(name: str, res: DataFrame, stage: str, value_col: str | None, seq: int):
+        state.patch(U.stage_patches(ctx.save(f"{name}_results", res), stage, value_col, seq, ctx.now))
 
-    # extract
     ctx.log(RUNNING, "extract")
-    q = W.queue(state, "extract").select("page_id")
-    res = EX.extract(q.join(pay.select("page_id", F.col("text").alias("payload")), "page_id"),
-                     extract_fn, **opts)
-    if extract_fn is not None:
-        res = ctx.save("extract_results", res, bucket_by="page_id")
-    state = ctx.save("pages_extracted", U.patch_pages(
-        state, U.stage_patches(res, "extracted", "extracted_text", 1, ctx.now), clear_errors), bucket_by="page_id")
-
-    # situate
+    q = W.queue(state.narrow(), "extract").select("page_id")
+    done("extract", EX.extract(q.join(pay.select("page_id", F.col("text").alias("payload")), "page_id"),
+                               extract_fn, **opts), "extracted", "extracted_text", 1)
+
     ctx.log(RUNNING, "summary")
-    q = W.queue(state, "summary").select("page_id")
-    res = SI.situate(q, pay, summary_fn=summary_fn, **opts)
-    if summary_fn is not None:
-        res = ctx.save("summary_results", res, bucket_by="page_id")
-    state = ctx.save("pages_summarized", U.patch_pages(
-        state, U.stage_patches(res, "summarized", "summary", 2, ctx.now), clear_errors), bucket_by="page_id")
-
-    # embed
+    q = ctx.save("summary_queue", W.queue(state.narrow(), "summary").select("page_id"))
+    done("summary", SI.situate(q, pay, summary_fn=summary_fn, **opts), "summarized", "summary", 2)
+
     ctx.log(RUNNING, "embed")
-    q = W.queue(state, "embed").select("page_id", "summary", "extracted_text")
-    res = EM.embed(q, embed_fn, **opts)
-    if embed_fn is not None:
-        res = ctx.save("embed_results", res, bucket_by="page_id")
-    state = ctx.save("pages_embedded", U.patch_pages(
-        state, U.stage_patches(res, "embedded", "embedding", 3, ctx.now), clear_errors), bucket_by="page_id")
-
-    # index
+    q = W.queue(state.narrow(), "embed").select("page_id")
+    done("embed", EM.embed(state.of(q, "summary", "extracted_text"), embed_fn, **opts), "embedded", "embedding", 3)
+
     ctx.log(RUNNING, "index")
-    q = W.queue(state, "index")
-    rows = IX.index_documents(q)
-    new_index = ctx.save("index", IX.upsert_index(index, rows), bucket_by="page_id")
-    res = IX.index_results(q)
-    state = ctx.save("pages_indexed", U.patch_pages(
-        state, U.stage_patches(res, "indexed", None, 4, ctx.now), clear_errors), bucket_by="page_id")
-
-    s.update(registry=reg, pages=state, payload=pay, index=new_index,
-             stats=A.processing_stats(state), complete=A.processing_complete(state))
+    narrow = state.narrow()
+    waiting = W.queue(narrow, "index") if index is None else W.queue_index_for_model(narrow, index, EM.MODEL)
+    wide = state.of(waiting, *[c for c in state.base.columns if c != "page_id"])
+    rows = ctx.save("index_rows", IX.index_documents(wide))
+    done("index", IX.index_results(IX.latest(wide.select("page_id", "embedding", "updated_at"))), "indexed", None, 4)
+
+    s.update(pages=state.view(clear_errors), payload=pay, index=IX.upsert_index(index, rows),
+             stats=A.processing_stats(state.narrow()), complete=A.processing_complete(state.narrow()))
     return s
+
+
+def compact(ctx: RunContext, out: dict) -> dict:
+    """The page state, payload and index of a run as new tables bucketed by
+    page_id, with the patch log folded in: the one rewrite of the whole state."""
+    for name in ("pages", "payload", "index"):
+        out[name] = ctx.save(name, out[name], bucket_by="page_id")
+    return out

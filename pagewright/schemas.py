@@ -17,8 +17,6 @@ STAGES = ("extracted", "summarized", "embedded", "indexed")
 
 # Fixed value: embedding width of the reference model.
 EMBED_DIM = 768
-# Fixed value: the summary output limit (words).
-SUMMARY_MAX_WORDS = 512
 # Fixed value: number of leading pages used as document context.
 CONTEXT_PAGES = 5
 

@@ -16,8 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # one row per file in binaryFile scans; documents above this fail the
-    # read for that file instead of the job
+    # one row per file in binaryFile scans; scans report longer files as errors
     "spark.sql.sources.binaryFile.maxLength": str(2**31 - 1),
 }
 
@@ -42,34 +41,59 @@ def build_session(master: str | None = None, app: str = "pagewright",
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to storage every executor sees.
-    Only when it is unset (tests, local runs) do we set it to ``fallback``.
+    Where it is unset: ``fallback`` if given (tests), else, on a local master
+    only, a folder of the session's warehouse. On a cluster an unset folder
+    is an error, since executors don't see each other's local files.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
     if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that every executor sees")
+        fallback = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "pagewright-checkpoints")
     spark.sparkContext.setCheckpointDir(fallback)
     return spark.sparkContext.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, *parts: str, fallback: str | None = None) -> str:
-    """A fresh folder for written stage tables below the checkpoint dir."""
+    """A folder for written stage tables below the checkpoint dir."""
     base = checkpoint_dir(spark, fallback)
     return os.path.join(base, "pagewright", *parts)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a stage table that this library wrote."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
+_temporary: list[str] = []
+
+
 def write_through(df, name: str):
     """Write ``df`` once as Parquet below the shared checkpoint folder and
     read it back: cuts the lineage and lets several readers share one
     computation (``DataFrame.checkpoint`` would compute an unpersisted plan
-    twice, once to count and once to write)."""
+    twice, once to count and once to write). :func:`drop_temporary` removes
+    what was written, once nothing lazy reads it any more."""
     spark = df.sparkSession
-    path = work_path(spark, "tmp", uuid.uuid4().hex, name)
+    folder = work_path(spark, "tmp", uuid.uuid4().hex)
+    _temporary.append(folder)
+    path = os.path.join(folder, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def temporary_count() -> int:
+    return len(_temporary)
+
+
+def drop_temporary(spark: SparkSession, since: int = 0) -> None:
+    """Remove the tables of :func:`write_through`, those from number ``since`` on."""
+    while len(_temporary) > since:
+        delete_path(spark, _temporary.pop())

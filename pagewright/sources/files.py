@@ -39,26 +39,41 @@ def read_tree(spark: SparkSession, root: str, glob: str = PDF_GLOB) -> DataFrame
     raw = (spark.read.format("binaryFile")
            .option("recursiveFileLookup", "true")
            .option("pathGlobFilter", glob)
+           # a file that fails to read is left out here; scans report it
+           .option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
            .load(root))
     # the source reports unescaped URIs such as file:/dir/a b.pdf
     rel = F.regexp_extract("path", r"^.*?\Q" + root.rstrip("/") + r"\E/(.*)$", 1)
     return raw.withColumn("path", rel)
 
 
+def _limit(spark: SparkSession, max_bytes: int | None) -> int:
+    return max_bytes or int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
+
+
+def _hashed(listing: DataFrame, files: DataFrame, limit: int) -> DataFrame:
+    """Every row of ``listing`` with the hashes of its content in ``files``,
+    or the error: longer than ``limit`` bytes, or listed but not readable."""
+    read = files.select("path", content_hash("content").alias("content_hash"),
+                        doc_hash("content", "path").alias("doc_id"))
+    error = (F.when(F.col("length") > limit, F.format_string("file larger than %d bytes", F.lit(limit)))
+             .when(F.col("content_hash").isNull(), F.lit("unreadable")))
+    return listing.join(read, "path", "left").select(
+        "path", "content_hash", "doc_id", "length", "modificationTime", error.alias("error"))
+
+
 def scan_tree(spark: SparkSession, root: str, max_bytes: int | None = None,
-              glob: str = PDF_GLOB) -> tuple[DataFrame, DataFrame]:
-    """S4 on storage: ``(scan, scan_errors)``.
+              glob: str = PDF_GLOB) -> DataFrame:
+    """S4 on storage: ``path, content_hash, doc_id, length, modificationTime, error``.
 
-    Files above ``max_bytes`` (default: the session's binaryFile limit) are
-    reported in ``scan_errors`` and skipped instead of failing the job.
+    One row per listed file. A file above ``max_bytes`` (default: the
+    session's binaryFile limit) is not read, a file that fails to read stops
+    nothing; both have an ``error`` and NULL hashes.
     """
-    limit = max_bytes or int(spark.conf.get("spark.sql.sources.binaryFile.maxLength",
-                                            str(2**31 - 1)))
-    tree = read_tree(spark, root, glob)
-    errors = tree.filter(F.col("length") > limit).select(
-        "path", F.format_string("file larger than %d bytes", F.lit(limit)).alias("error"))
-    ok = tree.filter(F.col("length") <= limit)
-    return scan_manifest(ok), errors
+    limit = _limit(spark, max_bytes)
+    listing = read_tree(spark, root, glob).select("path", "length", "modificationTime")
+    readable = read_tree(spark, root, glob).filter(F.col("length") <= limit)
+    return _hashed(listing, readable, limit)
 
 
 def scan_manifest(files: DataFrame) -> DataFrame:
@@ -91,58 +106,50 @@ def scan_errors_of(files: DataFrame) -> DataFrame:
         "path", F.lit("unreadable").alias("error"))
 
 
-# Fixed value: most changed files whose names are handed to the reader as a
-# list (file listing is driver-side in Spark anyway); above it the whole tree
-# is read and semi-joined.
-MAX_LISTED_PATHS = 100_000
-_GLOB_SPECIAL = "\\[]{}*?"
-
-
-def _escape_glob(p: str) -> str:
-    return "".join("\\" + ch if ch in _GLOB_SPECIAL else ch for ch in p)
+def read_contents(spark: SparkSession, root: str, paths: DataFrame, max_bytes: int | None = None,
+                  glob: str = PDF_GLOB) -> DataFrame:
+    """``path, content`` for those of the relative ``paths`` that are below ``root``.
 
+    The tree is listed without bytes and joined with ``paths``. The wanted
+    files' range of lengths and modification times is pushed into the
+    reader, which opens no file outside it; the rest is a semi-join. Files
+    changed since the last run are a narrow range of times.
+    """
+    listing = read_tree(spark, root, glob).select("path", "length", "modificationTime")
+    wanted = (listing.filter(F.col("length") <= _limit(spark, max_bytes))
+              .join(paths.select("path").distinct(), "path", "left_semi"))
+    return _read_wanted(spark, root, wanted, glob)
 
-def read_contents(spark: SparkSession, root: str, paths: DataFrame,
-                  max_paths: int = MAX_LISTED_PATHS, glob: str = PDF_GLOB) -> DataFrame:
-    """``path, content`` for the relative ``paths`` below ``root``.
 
-    Up to ``max_paths`` distinct paths (checked with a bounded count) are
-    read by name, so only their bytes are read. Beyond that the whole tree is
-    read and semi-joined.
-    """
-    wanted = paths.select("path").distinct()
-    if wanted.limit(max_paths + 1).count() <= max_paths:
-        rel = [r.path for r in wanted.collect()]          # at most max_paths names
-        if not rel:
-            return spark.createDataFrame([], "path string, content binary")
-        base = root.rstrip("/")
-        raw = spark.read.format("binaryFile").load([_escape_glob(f"{base}/{r}") for r in rel])
-        relp = F.regexp_extract("path", r"^.*?\Q" + base + r"\E/(.*)$", 1)
-        return raw.select(relp.alias("path"), "content")
-    return read_tree(spark, root, glob).join(wanted, "path", "left_semi").select("path", "content")
+def _read_wanted(spark: SparkSession, root: str, wanted: DataFrame, glob: str) -> DataFrame:
+    lo, hi, short, long = wanted.agg(F.min("modificationTime"), F.max("modificationTime"),
+                                     F.min("length"), F.max("length")).first()
+    if lo is None:
+        return spark.createDataFrame([], "path string, content binary")
+    near = read_tree(spark, root, glob).filter(
+        F.col("modificationTime").between(F.lit(lo), F.lit(hi)) & F.col("length").between(short, long))
+    return near.join(wanted.select("path"), "path", "left_semi").select("path", "content")
 
 
 def scan_tree_incremental(spark: SparkSession, root: str, previous: DataFrame | None,
-                          max_paths: int = MAX_LISTED_PATHS, glob: str = PDF_GLOB) -> DataFrame:
+                          max_bytes: int | None = None, glob: str = PDF_GLOB) -> DataFrame:
     """S4 without re-reading unchanged files.
 
     The tree is listed without its bytes. A file whose (path, length,
-    modificationTime) equals a row of the ``previous`` scan keeps that row's
-    hashes; only new or changed files are read and hashed. Output ``path,
-    content_hash, doc_id, length, modificationTime``: keep it as the next
-    run's ``previous``.
+    modificationTime) equals an error-free row of the ``previous`` scan keeps
+    that row's hashes; the others are read and hashed. Output as
+    :func:`scan_tree`: keep it as the next run's ``previous``.
     """
+    limit = _limit(spark, max_bytes)
     listing = read_tree(spark, root, glob).select("path", "length", "modificationTime")
     cols = ["path", "content_hash", "doc_id", "length", "modificationTime"]
+    none = F.lit(None).cast("string")
     if previous is None:
-        kept = listing.limit(0).select("path", F.lit(None).cast("string").alias("content_hash"),
-                                       F.lit(None).cast("string").alias("doc_id"),
+        kept = listing.limit(0).select("path", none.alias("content_hash"), none.alias("doc_id"),
                                        "length", "modificationTime")
     else:
-        kept = listing.join(previous.select(*cols), ["path", "length", "modificationTime"], "inner") \
-            .select(*cols)
+        kept = listing.join(previous.filter(F.col("content_hash").isNotNull()).select(*cols),
+                            ["path", "length", "modificationTime"], "inner").select(*cols)
     todo = listing.join(kept.select("path"), "path", "left_anti")
-    fresh = read_contents(spark, root, todo, max_paths, glob).join(todo, "path", "inner")
-    hashed = fresh.select("path", content_hash("content").alias("content_hash"),
-                          doc_hash("content", "path").alias("doc_id"), "length", "modificationTime")
-    return kept.unionByName(hashed)
+    fresh = _read_wanted(spark, root, todo.filter(F.col("length") <= limit), glob)
+    return kept.withColumn("error", none).unionByName(_hashed(todo, fresh, limit))

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash, doc_hash
-from ..functions.paths import page_id, page_path_from_prefix, page_path_prefix
+from ..functions.paths import DESCRIPTIONS, page_id, page_path_from_prefix, page_path_prefix
+from ..operators.pages import page_texts as cut_pages
 from ..schemas import ACTIVE, INACTIVE, PENDING, FAILED, SUCCESS, STAGES
 
 # Fixed value: timestamp of the simulated earlier runs.
@@ -46,6 +47,33 @@ def storage(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(path.alias("path"), d["text"].alias("content"), d["n_chars"].alias("length")))
 
 
+def all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file, none deleted: ``path, content, length``."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(base_path(d).alias("path"), d["text"].alias("content"), d["n_chars"].alias("length"))
+
+
+def described_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document filed below two of the described folders: ``path``."""
+    d = table(spark, sf_dir, "documents")
+    names = F.array(*[F.lit(k) for k in DESCRIPTIONS])
+    folder = lambda k: F.element_at(names, (F.pmod(k, F.lit(len(DESCRIPTIONS))) + 1).cast("int"))
+    return d.select(F.concat(folder(d["doc_id"]), F.lit("/"), folder(d["doc_id"] * 7 + 3), F.lit("/"), base_path(d)).alias("path"))
+
+
+def marked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as they are, each followed by a table, images and a code fence
+    made of its own columns: ``page_id, html``."""
+    p = table(spark, sf_dir, "pages")
+    i = p["page_id"].cast("string")
+    html = F.concat(
+        p["html"], F.lit("\n<table class=\"t\"><caption>page "), i, F.lit("</caption><tr><th>url</th><th>n</th></tr><tr><td>"),
+        p["url"], F.lit("</td><td>"), i, F.lit("</td></tr></table>\n<figure><img src='a.png' alt='photo "), i,
+        F.lit("'><figcaption>from "), p["url"], F.lit("</figcaption></figure><img alt=\"plan "), i,
+        F.lit("\" src=b.png><img src=c.png>\n```html\ncode "), i, F.lit("\n```\nend"))
+    return p.select("page_id", html.alias("html"))
+
+
 def scan_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, content_hash, doc_id, length`` of the current files."""
     s = storage(spark, sf_dir)
@@ -77,13 +105,10 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``src_id, doc_id, n, pdf_path, path_prefix, text``."""
     d = table(spark, sf_dir, "documents")
     bp = base_path(d)
-    n_pages = F.greatest(F.lit(1), F.ceil(d["n_chars"] / PAGE_CHARS)).cast("int")
     return (d.select(d["doc_id"].alias("src_id"), doc_hash(d["text"], bp).alias("doc_id"),
-                     bp.alias("pdf_path"), page_path_prefix(bp).alias("path_prefix"), "text",
-                     F.explode(F.sequence(F.lit(1), n_pages)).alias("n"))
-            .select("src_id", "doc_id", "n", "pdf_path", "path_prefix",
-                    F.substring("text", (F.col("n") - 1) * PAGE_CHARS + 1, PAGE_CHARS)
-                    .alias("text")))
+                     bp.alias("pdf_path"), page_path_prefix(bp).alias("path_prefix"),
+                     F.posexplode(cut_pages("text", PAGE_CHARS)).alias("i", "text"))
+            .select("src_id", "doc_id", (F.col("i") + 1).alias("n"), "pdf_path", "path_prefix", "text"))
 
 
 def pages_f3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +128,7 @@ def pages_f3(spark: SparkSession, sf_dir: str) -> DataFrame:
         page_path_from_prefix(p["path_prefix"], n).alias("gcs_path"),
         p["pdf_path"].alias("gcs_pdf_path"),
         text_by("extracted", p["text"]).alias("extracted_text"),
-        text_by("summarized", F.substring(p["text"], 1, 200)).alias("summary"),
+        text_by("summarized", p["text"]).alias("summary"),
         F.lit(None).cast("array<float>").alias("embedding"),
         *[st[s].alias(s) for s in STAGES],
         error.alias("error_message"),
@@ -131,8 +156,8 @@ def run_ts() -> Column:
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw object listing: every stored PDF plus a ``.txt`` sidecar per file."""
-    s = storage(spark, sf_dir).select("path")
+    """Raw object listing: every document's PDF plus a ``.txt`` sidecar per file."""
+    s = all_files(spark, sf_dir).select("path")
     return s.unionByName(s.select(F.concat("path", F.lit(".txt")).alias("path")))
 
 

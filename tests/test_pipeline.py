@@ -31,7 +31,10 @@ def test_pipeline_runs_and_rerun_is_stable(spark, sf):
                            index=out["index"])
     assert {r.change for r in out2["changes"].collect()} == {"UNCHANGED"}
     assert ctx2.tables["split"].count() == 0
-    assert out2["index"].count() == out["index"].count()
+    # pages that earlier runs indexed elsewhere are missing in this index and come back
+    ids, ids2 = ({r.page_id for r in o["index"].select("page_id").collect()} for o in (out, out2))
+    embedded = {r.page_id for r in out2["pages"].filter("status = 'ACTIVE' AND embedding IS NOT NULL").select("page_id").collect()}
+    assert ids <= ids2 <= embedded and out2["index"].count() == len(ids2)
     assert out2["registry"].count() == out["registry"].count()
 
 

@@ -31,13 +31,20 @@ def test_change_detection_has_no_cartesian_product(spark, sf):
 def test_native_stages_stay_in_the_jvm(spark, sf):
     pages = fx.pages_f3(spark, sf)
     html = fx.table(spark, sf, "pages").selectExpr("cast(page_id as string) page_id", "html as payload")
-    dfs = [EX.extract(html), SI.situate(W.queue(pages, "summary").select("page_id"), fx.payload(spark, sf)),
+    dfs = [EX.extract(html),
            EM.embed(W.queue(pages, "embed"), vectorized=False)]
     for df in dfs:
         p = plan(df)
         assert not any(n in p for n in PY_NODES), p
 
 
+def test_situate_never_makes_a_row_of_a_token(spark, sf):
+    p = SI.situate(W.queue(fx.pages_f3(spark, sf), "summary").select("page_id"), fx.payload(spark, sf)) \
+        ._jdf.queryExecution().executedPlan().toString()
+    cut = [x for x in p.splitlines() if "Generate" in x]  # pages are cut from documents, nothing else is exploded
+    assert all("regexp_extract_all" in x for x in cut) and "ArrowEvalPython" in p
+
+
 def test_queue_scan_reads_only_needed_columns(spark, sf):
     d = fx.table(spark, sf, "documents")
     q = d.filter(d["lang"] == "de").select("doc_id")

@@ -24,13 +24,13 @@ def test_scan_tree_hashes_and_skips(spark, tmp_path):
              "note.txt": b"no", "_x.pdf": b"hidden", ".x.pdf": b"hidden", "_dir/y.pdf": b"hidden",
              "empty.pdf": b""}
     _tree(root, files)
-    scan, errors = FS.scan_tree(spark, root, max_bytes=10)
-    got = {r.path: r for r in scan.collect()}
+    rows = FS.scan_tree(spark, root, max_bytes=10).collect()
+    got = {r.path: r for r in rows if r.error is None}
     assert set(got) == {"a#1%20.pdf", "한글.pdf", "sub/x.PDF"}
     for p, r in got.items():
         assert r.content_hash == hashlib.sha256(files[p]).hexdigest()
         assert r.doc_id == hashlib.sha256(files[p] + p.encode()).hexdigest()
-    assert [r.path for r in errors.collect()] == ["big.pdf"]
+    assert [(r.path, r.error) for r in rows if r.error] == [("big.pdf", "file larger than 10 bytes")]
 
 
 def test_list_files_on_manifest(spark):
@@ -63,7 +63,7 @@ def test_incremental_scan_reuses_hashes_of_unchanged_files(spark, tmp_path):
     root = str(tmp_path / "inc")
     _tree(root, {"a.pdf": b"A", "d/b.pdf": b"B", "x [1].pdf": b"X"})
     first = FS.scan_tree_incremental(spark, root, None)
-    full = {r.path: (r.content_hash, r.doc_id) for r in FS.scan_tree(spark, root)[0].collect()}
+    full = {r.path: (r.content_hash, r.doc_id) for r in FS.scan_tree(spark, root).collect()}
     assert {r.path: (r.content_hash, r.doc_id) for r in first.collect()} == full
     prev = spark.createDataFrame(first.collect(), first.schema)
     time.sleep(1.1)
@@ -76,6 +76,5 @@ def test_incremental_scan_reuses_hashes_of_unchanged_files(spark, tmp_path):
     assert second["d/b.pdf"] == hashlib.sha256(b"B2").hexdigest()
     assert second["c.pdf"] == hashlib.sha256(b"C").hexdigest()
     assert second["x [1].pdf"] == hashlib.sha256(b"X").hexdigest()
-    # above the listing bound the whole tree is read and semi-joined: same answer
-    third = {r.path: r.content_hash for r in FS.scan_tree_incremental(spark, root, None, max_paths=1).collect()}
+    third = {r.path: r.content_hash for r in FS.scan_tree_incremental(spark, root, None).collect()}
     assert third["c.pdf"] == hashlib.sha256(b"C").hexdigest() and len(third) == 4
