@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -21,10 +20,9 @@ PY = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPanda
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from pagewright.session import build_session, checkpoint_dir
-    import __spark_entry__ as E
+    from pagewright.plans.catalog import QUERIES
     spark = build_session("local[8]", shuffle_partitions=8)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        checkpoint_dir(spark, tempfile.mkdtemp(prefix="pw-plans-"))
+    checkpoint_dir(spark, os.environ.get("WORK_DIR"))  # else the session's warehouse
     print(f"# Physical plans of the registered queries\n\nGenerated by `scripts/plan_report.py {sf}` "
           f"(Spark {spark.version}, AQE final plans, 8 shuffle partitions). "
           "Counts are operators in the final executed plan of the returned DataFrame. At this size AQE "
@@ -33,8 +31,8 @@ def main():
           "before returning (the stage tables of the pipeline runs) are not included.\n")
     print("| Query | shuffles | reused shuffles | broadcasts | sort-merge joins | WindowGroupLimit | Python | cartesian |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for k in sorted(E.queries()):
-        df = E.queries()[k](spark, sf)
+    for k in sorted(QUERIES):
+        df = QUERIES[k](spark, sf)
         df.collect()  # an action on this DataFrame, so its AQE plan is final
         p = df._jdf.queryExecution().executedPlan().toString()
         if "== Final Plan ==" in p:
