@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -22,17 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a scratch one only where none is set (tests, local runs)."""
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return checkpoint_dir(spark)
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor sees")
-    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="pagewright-"))
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), "pagewright-llm", uuid.uuid4().hex, name)
+    """A new folder for a stage table in the cluster's shared folder."""
+    return os.path.join(checkpoint_dir(spark), "pagewright-llm", uuid.uuid4().hex, name)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
