@@ -20,11 +20,12 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh_path, slices, table
+from .common import byte_column, fresh_path, row_per_input, slices, table
 
 #: Archives are whole numbers of blocks; a chunk row has ``CHUNK`` bytes of payload at most.
 BLOCK, CHUNK = 1 << 18, 1 << 16
@@ -44,21 +45,32 @@ CHUNKS = T.StructType([
 
 
 def roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """``page_id, url, html, sha1, refers_to``: null for responses, else the page_id of the response.
+    """``page_id, url, packed, sha1, refers_to``: null for responses, else the page_id of the response.
+
+    ``packed`` is the payload as Zstandard, so that it is shuffled once, and small.
 
     Of equal payloads of ``least_bytes`` or more, that with the largest page_id
     is the response (so are rows that repeat that id); null ids never are,
     unless all are null. Smaller payloads are all responses.
     """
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("sha1", F.sha1("html"))
-    shared = (rows.filter(F.octet_length("html") >= least_bytes).groupBy("sha1")
+    html = F.coalesce("html", F.lit(""))
+    rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("sha1"),
+                        (F.octet_length(html) >= least_bytes).alias("counts"))
+    shared = (rows.filter("counts").groupBy("sha1")
               .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
               .select(F.col("sha1").alias("same"), "first"))
-    both = rows.join(shared, (F.col("sha1") == F.col("same")) & (F.octet_length("html") >= least_bytes), "left")
-    return both.select("page_id", "url", "html", "sha1",
+    both = _packed(rows).join(shared, (F.col("sha1") == F.col("same")) & F.col("counts"), "left")
+    return both.select("page_id", "url", "packed", "sha1",
                        F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    kept = [c for c in rows.columns if c != "html"]
+    packed = T.StructType([T.StructField("packed", T.BinaryType())])
+    return row_per_input(rows, lambda b: {"packed": list(map(zstandard.ZstdCompressor().compress, byte_column(b, "html")))},
+                         packed, kept)
+
+
 def _head(kind: str, page_id, url, digest: str, refers_to, length: int) -> bytes:
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{_ID}{'' if page_id is None else page_id}>",
              f"WARC-Date: {DATE}"]
@@ -94,9 +106,9 @@ def write(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     def run(batches):
         written = 0
         for b in slices(batches):
-            rows = zip(*(b.column(i).to_pylist() for i in (0, 1)), b.column(2).cast(pa.binary()).to_pylist(),
-                       *(b.column(i).to_pylist() for i in (3, 4)))
-            out = [record(*r) for r in rows]
+            unpack = zstandard.ZstdDecompressor().decompress
+            out = [record(i, url, unpack(packed), sha1, first)
+                   for i, url, packed, sha1, first in zip(*(b.column(c).to_pylist() for c in range(5)))]
             written += sum(map(len, out)) + len(END) * len(out)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], ["value"])
         if written:
