@@ -29,18 +29,19 @@ def list_files(manifest: DataFrame, prefix: str = "") -> DataFrame:
     return manifest.filter(cond).select("path")
 
 
-def read_tree(spark: SparkSession, root: str, glob: str = PDF_GLOB) -> DataFrame:
+def read_tree(spark: SparkSession, root: str, glob: str = PDF_GLOB, skip_bad: bool = False) -> DataFrame:
     """S1/S2 on storage: ``path`` (relative to ``root``), ``length``,
     ``modificationTime`` and lazily read ``content``.
 
     ``binaryFile`` reads the bytes only when ``content`` is selected, and
     checks ``length``/``modificationTime`` filters before it opens a file.
+    A file that is too long or can't be read fails the job; with ``skip_bad``
+    an unreadable one has no row, which callers must tell from a deletion.
     """
     raw = (spark.read.format("binaryFile")
            .option("recursiveFileLookup", "true")
            .option("pathGlobFilter", glob)
-           # a file that fails to read is left out here; scans report it
-           .option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+           .option("ignoreCorruptFiles", skip_bad).option("ignoreMissingFiles", skip_bad)
            .load(root))
     # the source reports unescaped URIs such as file:/dir/a b.pdf
     rel = F.regexp_extract("path", r"^.*?\Q" + root.rstrip("/") + r"\E/(.*)$", 1)
@@ -72,7 +73,7 @@ def scan_tree(spark: SparkSession, root: str, max_bytes: int | None = None,
     """
     limit = _limit(spark, max_bytes)
     listing = read_tree(spark, root, glob).select("path", "length", "modificationTime")
-    readable = read_tree(spark, root, glob).filter(F.col("length") <= limit)
+    readable = read_tree(spark, root, glob, skip_bad=True).filter(F.col("length") <= limit)
     return _hashed(listing, readable, limit)
 
 
@@ -126,7 +127,7 @@ def _read_wanted(spark: SparkSession, root: str, wanted: DataFrame, glob: str) -
                                      F.min("length"), F.max("length")).first()
     if lo is None:
         return spark.createDataFrame([], "path string, content binary")
-    near = read_tree(spark, root, glob).filter(
+    near = read_tree(spark, root, glob, skip_bad=True).filter(
         F.col("modificationTime").between(F.lit(lo), F.lit(hi)) & F.col("length").between(short, long))
     return near.join(wanted.select("path"), "path", "left_semi").select("path", "content")
 
