@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, slices, table, text_column
+from .common import arrow_schema, slices, table, text_column, written
 
 #: Share of a host's pages that a template token is in, and of its text that a main slot holds.
 FREQUENT, MAIN_SHARE = 0.5, 0.75
@@ -265,7 +265,7 @@ def templates(pages: DataFrame) -> DataFrame:
     host's pages or more in which every closing tag has its opening tag (an
     element may have no closing tag at all).
     """
-    t = tokens(pages)
+    t = written(tokens(pages), "tokens")  # a row per token of a host, read by every step below
     page_count = (pages.select(_host("url").alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
     both = (t.groupBy("host", "path").agg(
         *(F.max(F.when(~F.col("closing"), F.col(c))).alias(c) for c in ("v1", "v2", "pages", "times", "letters", "depth")),
@@ -300,7 +300,8 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     Null html is empty and gives an empty text; a null url, or one without a
     host, belongs to the host "". Repeated rows come back repeated.
     """
-    slots = main_slots(templates(pages)).withColumnRenamed("host", "__host").withColumnRenamed("slots", "__slots")
+    # a written table has a known size, by which Spark chooses to send it or to shuffle the pages
+    slots = written(main_slots(templates(pages)).toDF("__host", "__slots"), "slots")
     cols = list(dict.fromkeys([*keep, "html"]))
     rows = (pages.select(*cols, _host("url").alias("__h")).join(slots, F.col("__h") == F.col("__host"), "left")
             .select(*cols, "__slots"))
