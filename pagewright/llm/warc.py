@@ -19,16 +19,19 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_column, fresh_path, row_per_input, slices, table
+from .common import byte_column, column, fresh_path, slices, table, written
 
 #: Archives are whole numbers of blocks; a chunk row has ``CHUNK`` bytes of payload at most.
 BLOCK, CHUNK = 1 << 18, 1 << 16
+#: Bits of a digest that the bitmap of shared payloads tells apart (8 MiB).
+DIGEST_BITS = 26
 DATE = "2026-01-01T00:00:00Z"
 #: Profile of revisits and the two ends of a record.
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -44,31 +47,60 @@ CHUNKS = T.StructType([
     T.StructField("data", T.BinaryType())])
 
 
-def roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """``page_id, url, packed, sha1, refers_to``: null for responses, else the page_id of the response.
+def shared_payloads(rows: DataFrame) -> DataFrame:
+    """``same, first``: the digest of each payload that several rows hold, and its largest page_id (written)."""
+    return written(rows.filter("counts").groupBy("sha1")
+                   .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+                   .select(F.col("sha1").alias("same"), "first"), "shared-payloads")
 
-    ``packed`` is the payload as Zstandard, so that it is shuffled once, and small.
 
-    Of equal payloads of ``least_bytes`` or more, that with the largest page_id
+def digest_bits(shared: DataFrame) -> np.ndarray:
+    """A bitmap of ``1 << DIGEST_BITS`` bits, whatever the number of digests: the first bits of those in ``shared``."""
+    at = F.shiftright(F.conv(F.substring("same", 1, 8), 16, 10).cast("long"), 32 - DIGEST_BITS)
+    words = (shared.select(at.alias("at")).groupBy(F.shiftright("at", 3).alias("byte"))
+             .agg(F.expr("bit_or(shiftleft(1, int(at % 8)))").alias("bits")).toArrow())
+    out = np.zeros(1 << (DIGEST_BITS - 3), np.uint8)
+    out[words.column("byte").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def roles(pages: DataFrame, least_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``page_id, url, payload, sha1, refers_to`` of pages that share no payload, and of the others.
+
+    ``refers_to`` is null for responses, else the page_id of the response. Of
+    equal payloads of ``least_bytes`` or more, that with the largest page_id
     is the response (so are rows that repeat that id); null ids never are,
     unless all are null. Smaller payloads are all responses.
+
+    Payloads whose digest isn't in the bitmap of shared ones stay where they
+    are. The others, and the few that it can't tell, are joined with their
+    response; their payload travels as Zstandard.
     """
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("sha1"),
                         (F.octet_length(html) >= least_bytes).alias("counts"))
-    shared = (rows.filter("counts").groupBy("sha1")
-              .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-              .select(F.col("sha1").alias("same"), "first"))
-    both = _packed(rows).join(shared, (F.col("sha1") == F.col("same")) & F.col("counts"), "left")
-    return both.select("page_id", "url", "packed", "sha1",
-                       F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
-
-
-def _packed(rows: DataFrame) -> DataFrame:
-    kept = [c for c in rows.columns if c != "html"]
-    packed = T.StructType([T.StructField("packed", T.BinaryType())])
-    return row_per_input(rows, lambda b: {"packed": list(map(zstandard.ZstdCompressor().compress, byte_column(b, "html")))},
-                         packed, kept)
+    shared = shared_payloads(rows)
+    bits = rows.sparkSession.sparkContext.broadcast(digest_bits(shared))
+
+    def may_share(part: bool):
+        def run(batches):
+            for b in slices(batches):
+                first = np.array([int(x[:8], 16) >> (32 - DIGEST_BITS) for x in column(b, "sha1")], np.int64)
+                hit = (bits.value[first >> 3] >> (first & 7).astype(np.uint8)) & 1 == 1
+                b = b.filter(pa.array(hit == part))
+                raw = byte_column(b, "html")
+                if part:
+                    raw = list(map(zstandard.ZstdCompressor().compress, raw))
+                at = b.schema.get_field_index("html")
+                yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()) if i == at else c for i, c in enumerate(b.columns)],
+                                                 ["page_id", "url", "payload", "sha1", "counts"])
+        return rows.mapInArrow(run, T.StructType([rows.schema["page_id"], rows.schema["url"],
+                                                  T.StructField("payload", T.BinaryType()), *rows.schema.fields[3:]]))
+
+    alone = may_share(False).withColumn("refers_to", F.lit(None).cast(rows.schema["page_id"].dataType)).drop("counts")
+    both = may_share(True).join(shared, (F.col("sha1") == F.col("same")) & F.col("counts"), "left")
+    return alone, both.select("page_id", "url", "payload", "sha1",
+                              F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
 def _head(kind: str, page_id, url, digest: str, refers_to, length: int) -> bytes:
@@ -103,18 +135,21 @@ def padding(written: int) -> bytes:
 def write(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Archives of ``pages`` (``page_id, url, html``; null html is empty) under ``path``, one per task."""
 
-    def run(batches):
-        written = 0
-        for b in slices(batches):
-            unpack = zstandard.ZstdDecompressor().decompress
-            out = [record(i, url, unpack(packed), sha1, first)
-                   for i, url, packed, sha1, first in zip(*(b.column(c).to_pylist() for c in range(5)))]
-            written += sum(map(len, out)) + len(END) * len(out)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], ["value"])
-        if written:
-            yield pa.RecordBatch.from_arrays([pa.array([padding(written).decode()])], ["value"])
-
-    (roles(pages, least_bytes).mapInArrow(run, "value string").write
+    def archived(packed: bool):
+        def run(batches):
+            done = 0
+            unpack = zstandard.ZstdDecompressor().decompress if packed else bytes
+            for b in slices(batches):
+                out = [record(i, url, unpack(payload), sha1, first)
+                       for i, url, payload, sha1, first in zip(*(b.column(c).to_pylist() for c in range(5)))]
+                done += sum(map(len, out)) + len(END) * len(out)
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], ["value"])
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array([padding(done).decode()])], ["value"])
+        return run
+
+    alone, shared = roles(pages, least_bytes)
+    (alone.mapInArrow(archived(False), "value string").union(shared.mapInArrow(archived(True), "value string")).write
      .option("lineSep", END.decode()).option("compression", "none").option("maxRecordsPerFile", 0).text(path))
 
 
