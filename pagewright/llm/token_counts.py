@@ -27,7 +27,7 @@ from .common import arrow_schema, slices, table, text_column
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
-NODES, TERMINALS = 400_000, 400_000
+NODES, TERMINALS = 500_000, 500_000
 #: Longer pre-tokens are scored by the same steps, but not kept in the trie.
 LONGEST_KEPT = 64
 #: How much less probable a byte is than the rarest piece.
@@ -51,55 +51,63 @@ def pieces(vocabulary: str) -> dict[str, float]:
 
 
 class Trie:
-    """Nodes are ``(children, best score, fewest tokens)`` of the prefix they stand for."""
+    """Nodes are ``[children or None, best score, fewest tokens]`` of the prefix they stand for."""
 
     def __init__(self, scores: dict[str, float]):
-        self.scores = scores
+        # every ending of a piece; None for those that aren't pieces themselves
+        self.endings: dict[str, float | None] = {p[i:]: None for p in scores for i in range(1, len(p))}
+        self.endings.update(scores)
         self.longest = max(map(len, scores), default=1)
         self.byte = min(scores.values(), default=0.0) - BYTE_PENALTY
         self.clear()
 
     def clear(self):
-        self.root, self.nodes, self.terminal = ({}, 0.0, 0), 1, {}
+        self.root, self.nodes, self.terminal = [None, 0.0, 0], 1, {}
 
     def _step(self, word: str, best: list) -> tuple[float, int]:
         """Best score and token count of the prefix one letter longer than ``best`` has."""
         end = len(best)
-        n = len(word[end - 1].encode("utf-8", "replace"))
-        score, tokens = best[end - 1][0] + n * self.byte, best[end - 1][1] + n
-        get = self.scores.get
-        for begin in range(max(0, end - self.longest), end):
-            s = get(word[begin:end])
+        _, score, tokens = best[-1]
+        n = 1 if word[end - 1] < "\x80" else len(word[end - 1].encode("utf-8", "replace"))
+        score, tokens = score + n * self.byte, tokens + n
+        endings = self.endings
+        for begin in range(end - 1, -1, -1):
+            ending = word[begin:end]
+            if ending not in endings:
+                break  # nor is any longer one
+            s = endings[ending]
             if s is not None:
-                s += best[begin][0]
-                if s > score or s == score and best[begin][1] + 1 < tokens:
-                    score, tokens = s, best[begin][1] + 1
+                _, before, k = best[begin]
+                s += before
+                if s > score or s == score and k + 1 < tokens:
+                    score, tokens = s, k + 1
         return score, tokens
 
     def insert(self, word: str) -> int:
         """Tokens of a pre-token; its prefixes get nodes where they have none."""
-        node, best = self.root, [(0.0, 0)]
         if len(word) > LONGEST_KEPT:
             return self._alone(word)
+        node = self.root
+        path, step = [node], self._step
         for letter in word:
-            child = node[0].get(letter)
-            if child is None:
-                best.append(self._step(word, best))
-                child = node[0][letter] = ({}, *best[-1])
+            children = node[0]
+            if children is None:
+                children = node[0] = {}
+            node = children.get(letter)
+            if node is None:
+                node = children[letter] = [None, *step(word, path)]
                 self.nodes += 1
-            else:
-                best.append(child[1:])
-            node = child
+            path.append(node)
         self.terminal[word] = node[2]
         return node[2]
 
     def _alone(self, word: str) -> int:
-        best: list = [(0.0, 0)]  # only the last ``longest`` prefixes matter
+        best: list = [(None, 0.0, 0)]  # only the last ``longest`` prefixes matter
         for end in range(1, len(word) + 1):
             lead = max(0, end - 1 - self.longest)
-            best.append(self._step(word[lead:end], best[-(end - lead):]))
+            best.append((None, *self._step(word[lead:end], best[-(end - lead):])))
             del best[:-self.longest - 1]
-        return best[-1][1]
+        return best[-1][2]
 
     def count(self, word: str) -> int:
         n = self.terminal.get(word)
