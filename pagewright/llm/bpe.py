@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ WINDOW = 8
 #: Letters a text is hashed in at a time.
 BLOCK = 1 << 20
 #: Letters of remembered chunks per process (two generations of half of it).
-REMEMBERED = 24 << 20
+REMEMBERED = 12 << 20
 
 #: A visible character before a plain blank.
 _EDGE = re.compile("[^\\s\\x00-\\x1f\\x7f-\\xa0\\xad\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u206f\\u3000\\ufeff]"
@@ -68,23 +68,29 @@ class Codec:
     """A vocabulary file and the chunks encoded so far."""
 
     def __init__(self, vocabulary: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        path = vocabulary if vocabulary.endswith(".json") else public_tokenizers.path(f"{vocabulary}.json")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        with open(path.removesuffix(".json") + ".tiktoken", "rb") as f:
+        self.path = vocabulary if vocabulary.endswith(".json") else public_tokenizers.path(f"{vocabulary}.json")
+        with open(self.path.removesuffix(".json") + ".tiktoken", "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.special = self.tokenizer.token_to_id(SPECIAL)
+        self.special = len(ranks)  # the first id after them
         self.young, self.old, self.room = {}, {}, REMEMBERED // 2
 
+    @cached_property
+    def tokenizer(self):
+        """The library itself, loaded when a text needs it."""
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        return out
+
     def ids(self, text: str) -> list[int]:
         """Ids of a text on its own."""
         if SPECIAL not in text and _PLAIN.fullmatch(text):

@@ -14,7 +14,7 @@ from ..session import checkpoint_dir
 
 #: Rows of one Arrow slice given to a per-batch function: long texts are
 #: turned into Python objects a slice at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -129,7 +129,7 @@ def _forest(a: np.ndarray, b: np.ndarray, seen: set) -> tuple[list, list]:
     """Links not yet sent by this task."""
     x, y = np.minimum(a, b).view(np.int64).tolist(), np.maximum(a, b).view(np.int64).tolist()
     new = [p for p in dict.fromkeys(zip(x, y)) if p not in seen]
-    if len(seen) < 1 << 20:
+    if len(seen) < 1 << 17:
         seen.update(new)
     return [p[0] for p in new], [p[1] for p in new]
 

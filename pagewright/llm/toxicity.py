@@ -31,7 +31,7 @@ DISCOUNT = 0.75
 #: n-grams that are sent to every task at most (16 bytes each); a larger model is joined instead.
 SENT_NGRAMS = 4_000_000
 #: Expressions a task remembers, and n-grams it counts before passing them on.
-KEPT_WORDS, KEPT_NGRAMS = 300_000, 500_000
+KEPT_WORDS, KEPT_NGRAMS = 150_000, 150_000
 #: Width of the bins in which calibration scores are counted.
 BIN = 0.02
 
