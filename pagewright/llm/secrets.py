@@ -3,7 +3,8 @@
 The text itself is scanned first; those findings are the base. Then a work
 list unwraps layers until nothing new appears: URL escapes and Unicode escapes
 of a whole layer, base64 runs inside it, and compressed data inside those. A
-layer whose content was seen before is not unwrapped again (cycles end). Each
+layer whose content was seen before at the same place is not unwrapped again
+(cycles end); equal content at another place is. Each
 layer keeps where its letters came from, so a finding in it is reported at the
 place in the original text that encodes it.
 """
@@ -74,6 +75,13 @@ class Layer:
             return at, at + 1
         return self.start, self.end
 
+    def key(self) -> bytes:
+        """Equal for equal letters from equal places."""
+        h = hashlib.sha256(self.text.encode("utf-8", "surrogatepass"))
+        for at in self.places():
+            h.update(np.ascontiguousarray(at, np.int64))
+        return h.digest()
+
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode, step: str) -> Layer | None:
     """The layer with every match of ``pattern`` decoded to ``(text, first, last letter of the match per letter)``."""
@@ -187,7 +195,9 @@ def scan(text: str) -> tuple[list, list, int]:
     """
     base = findings(text)
     every = {f: "" for f in base}
-    work, seen, oversized = deque([Layer(text)]), {text}, 0
+    work, oversized = deque([Layer(text)]), 0
+    seen = set()  # layers by content and place: equal blobs at two places are two layers
+    within: dict[str, list] = {}  # findings of each distinct content
     while work:
         layer = work.popleft()
         inner, large = _base64(layer)
@@ -197,11 +207,13 @@ def scan(text: str) -> tuple[list, list, int]:
         if "\\" in layer.text or "&#" in layer.text:
             inner.append(_replaced(layer, _ESCAPE, _unicode, "unicode"))
         for new in inner:
-            if new is None or new.text in seen:
+            if new is None or (key := new.key()) in seen:
                 continue
-            seen.add(new.text)
+            seen.add(key)
             work.append(new)
-            for kind, a, z in findings(new.text):
+            if new.text not in within:
+                within[new.text] = findings(new.text)
+            for kind, a, z in within[new.text]:
                 every.setdefault((kind, *new.origin(a, z)), new.path)
     order = lambda f: (f[1], KINDS.index(f[0]), f[2])
     return sorted(base, key=order), [(*f, every[f]) for f in sorted(every, key=order)], oversized

@@ -94,6 +94,20 @@ def test_cycles_and_bombs_end(monkeypatch):
     assert S.scan("z " + b64(zlib.compress(b"a" * 5000)))[2] == 1
 
 
+def test_equal_blobs_are_found_at_every_place():
+    url = "".join(f"%{b:02X}" for b in SECRET.encode())
+    blobs = [b64(SECRET.encode()), b64(gzip.compress(SECRET.encode(), mtime=0)), b64(b64(SECRET.encode()).encode()),
+             b64(zlib.compress(f"{b64(SECRET.encode())} and {b64(SECRET.encode())}".encode())), b64(url.encode())]
+    for blob in blobs:
+        part = blob.rstrip("=")
+        text = f"a {blob} b\n{blob} c {blob}"
+        at = [m.start() for m in re.finditer(re.escape(part), text)]
+        spans = S.scan(text)[1]
+        assert len(at) == 3 and [a for _, a, _, _ in spans] == at, blob
+        assert all(i + len(part) - 4 <= z <= i + len(part) for i, (_, _, z, _) in zip(at, spans)), blob
+        assert part not in S.masked(text, spans)
+
+
 def test_masking():
     assert S.masked("a 12345 b", [("hex", 2, 5), ("hex", 3, 7)]) == "a [SECRET] b"[:10] + " b"
     assert S.masked("abc", []) == "abc"
