@@ -2,7 +2,8 @@
 
 The text itself is scanned first; those findings are the base. Then a work
 list unwraps layers until nothing new appears: URL escapes and Unicode escapes
-of a whole layer, base64 runs inside it, and compressed data inside those. A
+of a whole layer, base64 runs inside it (also wrapped over lines, and at any
+place of a run), and compressed data in any decoded layer. A
 layer whose content was seen before at the same place is not unwrapped again
 (cycles end); equal content at another place is. Each
 layer keeps where its letters came from, so a finding in it is reported at the
@@ -11,7 +12,6 @@ place in the original text that encodes it.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -46,6 +46,17 @@ _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-
                      r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 _ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)|(&#[^;]+;)")
 _BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:(?:\r?\n|(?:\\r)?\\n)[ \t]*+[A-Za-z0-9+/_-]++)+")
+_BREAK = re.compile(r"(?:\r?\n|(?:\\r)?\\n)[ \t]*")
+#: What a layer must have to hold another one.
+_MORE = re.compile(r"[A-Za-z0-9+/_-]{16}|%[0-9A-Fa-f]{2}|\\[uUxn]|&#|[A-Za-z0-9+/_-]\r?\n[ \t]*[A-Za-z0-9+/_-]")
+_LATIN = re.compile("[\x00-\xff]+")
+#: Compressed data by its first bytes.
+_PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
+_FORMATS = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor),
+            (b"\xfd7zXZ", lzma.LZMADecompressor), (b"x", zlib.decompressobj))
+#: Compressed bytes unpacked at a time.
+PIECE = 1 << 16
 
 
 def findings(text: str) -> list[tuple[str, int, int]]:
@@ -61,12 +72,15 @@ def findings(text: str) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A decoded text; ``start[i]``, ``end[i]`` delimit what encodes letter i in the original (None: itself)."""
+    """A decoded text; ``start[i]``, ``end[i]`` delimit what encodes letter i in the original (None: itself).
+    All letters of a ``flat`` one (compressed content) have one place, written as 0, 0."""
 
-    def __init__(self, text: str, start=None, end=None, path: str = ""):
-        self.text, self.start, self.end, self.path = text, start, end, path
+    def __init__(self, text: str, start=None, end=None, path: str = "", flat: bool = False):
+        self.text, self.start, self.end, self.path, self.flat = text, start, end, path, flat
 
     def origin(self, a: int, z: int) -> tuple[int, int]:
+        if self.flat:
+            return 0, 0
         return (a, z) if self.start is None else (int(self.start[a:z].min()), int(self.end[a:z].max()))
 
     def places(self) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +92,7 @@ class Layer:
     def key(self) -> bytes:
         """Equal for equal letters from equal places."""
         h = hashlib.sha256(self.text.encode("utf-8", "surrogatepass"))
-        for at in self.places():
+        for at in () if self.flat else self.places():
             h.update(np.ascontiguousarray(at, np.int64))
         return h.digest()
 
@@ -88,6 +102,8 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode, step: str) -> Layer | N
     matches = [(m, got) for m in pattern.finditer(layer.text) if (got := decode(m.group())) is not None]
     if not matches:
         return None
+    if layer.flat:
+        return Layer(pattern.sub(lambda m: decode(m.group())[0], layer.text), path=f"{layer.path}/{step}", flat=True)
     start, end = layer.places()
     text, s, e, at = [], [], [], 0
     for m, (new, a, z) in matches:
@@ -130,91 +146,199 @@ def _unicode(run: str):
     return "".join(chr(0xFFFD if 0xD800 <= u < 0xE000 else u) for u in units), a, z
 
 
-def inflate(raw: bytes) -> tuple[bytes | None, bool]:
-    """Decompressed content of zlib, gzip, bzip2 or xz data, and whether it was too large."""
-    for magic, make in ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor),
-                        (b"\xfd7zXZ", lzma.LZMADecompressor), (b"\x78", zlib.decompressobj)):
-        if raw.startswith(magic):
-            try:
-                d = make()
-                out = d.decompress(raw, LAYER_LIMIT + 1)
-            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-                return None, False
-            return (None, True) if len(out) > LAYER_LIMIT else (out or None, False)
-    return None, False
-
+def _bytes(run: str):
+    raw = bytes.fromhex(run.replace("%", ""))
+    return raw.decode("latin-1"), range(0, 3 * len(raw), 3), range(3, 3 * len(raw) + 1, 3)
 
-def _readable(raw: bytes) -> str | None:
-    """The bytes as text, if they are UTF-8 without control characters."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if re.search("[\x00-\x08\x0e-\x1f\x7f]", text) else text
 
+def inflate(raw: bytes, at: int = 0) -> tuple[bytes | None, int, bool]:
+    """Decompressed content of the zlib, gzip, bzip2 or xz data at ``at`` with the members
+    that follow it at once, the place after them, and whether it was too large.
 
-def _base64(layer: Layer) -> tuple[list[Layer], int]:
-    """Layers in the base64 runs of a layer, unpacked if compressed; and how many were too large."""
-    out, oversized = [], 0
-    for m in _BASE64.finditer(layer.text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
-            continue
+    Data that ends early gives what there is of it; the place is then ``at``.
+    """
+    magic, make = next(f for f in _FORMATS if raw.startswith(f[0], at))
+    out, size, end = [], 0, at
+    while end == at or magic != b"x" and raw.startswith(magic, end):
+        d, begin = make(), end
         try:
-            raw = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        a, z = layer.origin(m.start(), m.end())
-        unpacked, step = raw, f"{layer.path}/base64"
-        seen = set()
-        while True:  # compressed data may be compressed again
-            inner, large = inflate(unpacked)
+            while end < len(raw) and not d.eof:
+                out.append(d.decompress(raw[end:end + PIECE], LAYER_LIMIT + 1 - size))
+                size, end = size + len(out[-1]), end + PIECE
+                if size > LAYER_LIMIT:
+                    return None, at, True
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            return b"".join(out) or None, begin, False
+        if not d.eof:
+            return b"".join(out) or None, begin, False
+        end = min(end, len(raw)) - len(d.unused_data)
+    return b"".join(out) or None, end, False
+
+
+def _streams(raw: bytes) -> tuple[list[tuple[int, int, bytes]], bytes, int]:
+    """``(first, last, content)`` of compressed data anywhere in ``raw``, ``raw`` with zeros for what was unpacked
+    to its end (it may be stored as it is), and how many were too large."""
+    out, oversized, at, rest = [], 0, 0, raw
+    while m := _PACKED.search(raw, at):
+        content, end, large = inflate(raw, m.start())
+        oversized += large
+        if content:
+            out.append((m.start(), end if end > m.start() else len(raw), content))
+            if end > m.start():
+                rest = rest if isinstance(rest, bytearray) else bytearray(raw)
+                rest[m.start():end] = bytes(end - m.start())
+        at = max(end, m.start() + 2)
+    return out, bytes(rest), oversized
+
+
+def _readable(raw: bytes) -> str:
+    """The bytes as text: UTF-8, or else a letter per byte; control characters stay."""
+    try:
+        return raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
+def _runs(text: str):
+    """``(letters, places)`` of the base64 runs: within a line, and joined where a line break or ``\\n`` wraps them."""
+    for m in _BASE64.finditer(text):
+        yield m.group().rstrip("="), [m.span()]
+    if "\n" in text or "\\n" in text:
+        for m in _WRAPPED.finditer(text):
+            ends = [m.start(), *(x for b in _BREAK.finditer(m.group()) for x in (m.start() + b.start(), m.start() + b.end())), m.end()]
+            spans = list(zip(ends[::2], ends[1::2]))
+            if sum(z - a for a, z in spans) >= 16:
+                yield "".join(text[a:z] for a, z in spans), spans
+
+
+def _base64(layer: Layer) -> tuple[list[Layer], list[tuple], int]:
+    """Layers in the base64 runs of a layer, compressed contents ``(first, last, path, content)``, and how many
+    of these were too large. A run may hold other letters before the encoded ones, so each of the four
+    alignments is decoded."""
+    out, packed, oversized = [], [], 0
+    for letters, spans in _runs(layer.text):
+        plain, where = letters.replace("-", "+").replace("_", "/"), None
+        for k in range(4):
+            n = len(plain) - k
+            n -= n % 4 == 1
+            raw = binascii.a2b_base64(plain[k:k + n] + "=" * (-n % 4))
+            streams, raw, large = _streams(raw)
             oversized += large
-            if inner is None or hashlib.sha256(inner).digest() in seen:
-                break
-            seen.add(hashlib.sha256(inner).digest())
-            unpacked, step = inner, f"{step}/inflate"
-        text = _readable(unpacked)
-        if text is None:
-            continue
-        if unpacked is not raw:
-            out.append(Layer(text, np.full(len(text), a), np.full(len(text), z), step))
-            continue
-        at = np.concatenate(([0], np.cumsum([len(c.encode()) for c in text])))  # bytes before each letter
-        start, end = layer.places()
-        first = m.start() + at[:-1] * 4 // 3
-        last = m.start() + np.minimum((at[1:] * 4 + 2) // 3, len(run)) - 1
-        out.append(Layer(text, start[first], end[last], step))
+            text = _readable(raw)
+            more = findings(text) or _MORE.search(text)
+            if not streams and not more:
+                continue
+            if layer.flat:
+                packed += [(0, 0, f"{layer.path}/base64/inflate", c) for _, _, c in streams]
+                out += [Layer(text, path=f"{layer.path}/base64", flat=True)] if more else []
+                continue
+            if where is None:
+                where = np.concatenate([np.arange(a, z) for a, z in spans])
+                start, end = (p[where] for p in layer.places())
+
+            def letter_of(first, last):  # letters of the run that encode bytes first to last
+                return k + first * 4 // 3, k + np.minimum((last * 4 + 2) // 3, n) - 1
+
+            for i, j, content in streams:
+                a, z = letter_of(i, j)
+                packed.append((int(start[a:z + 1].min()), int(end[a:z + 1].max()), f"{layer.path}/base64/inflate", content))
+            if more:
+                wide = len(text) < len(raw)  # letters of more than one byte
+                at = np.concatenate(([0], np.cumsum([len(c.encode()) for c in text]))) if wide else np.arange(len(raw) + 1)
+                a, z = letter_of(at[:-1], at[1:])
+                out.append(Layer(text, start[a], end[z], f"{layer.path}/base64"))
+    return out, packed, oversized
+
+
+def _packed_letters(layer: Layer) -> tuple[list[tuple], int]:
+    """Compressed contents ``(first, last, path, content)`` in a layer whose letters stand for bytes."""
+    out, oversized = [], 0
+    for m in _LATIN.finditer(layer.text):
+        streams, _, large = _streams(m.group().encode("latin-1"))
+        oversized += large
+        out += [(*layer.origin(m.start() + i, m.start() + j), f"{layer.path}/inflate", c) for i, j, c in streams]
     return out, oversized
 
 
-def scan(text: str) -> tuple[list, list, int]:
-    """Base findings, all findings ``(kind, start, end, path of the layer)``, and layers that were too large.
-
-    Findings of one kind and place count once, at the layer reached first.
-    """
-    base = findings(text)
-    every = {f: "" for f in base}
-    work, oversized = deque([Layer(text)]), 0
+def _unwrap(root: Layer) -> tuple[dict, list[tuple], int]:
+    """Findings in a layer and all layers inside it, with the path of the layer reached first; the compressed
+    contents met (not unpacked further), and how many were too large."""
+    every = {(kind, *root.origin(a, z)): root.path for kind, a, z in reversed(findings(root.text))}
+    work, packed, oversized = deque([root]), [], 0
     seen = set()  # layers by content and place: equal blobs at two places are two layers
-    within: dict[str, list] = {}  # findings of each distinct content
     while work:
         layer = work.popleft()
-        inner, large = _base64(layer)
+        inner, got, large = _base64(layer)
+        packed += got
         oversized += large
+        in_bytes = []  # layers whose letters may be compressed bytes
         if "%" in layer.text:
             inner.append(_replaced(layer, _URL, _url, "url"))
+            if inner[-1] is not None and _PACKED.search(
+                    _URL.sub(lambda m: _bytes(m.group())[0], layer.text).encode("latin-1", "replace")):
+                in_bytes.append(_replaced(layer, _URL, _bytes, "url"))
         if "\\" in layer.text or "&#" in layer.text:
             inner.append(_replaced(layer, _ESCAPE, _unicode, "unicode"))
+            in_bytes += [inner[-1]] if inner[-1] is not None else []
+        for new in in_bytes:
+            got, large = _packed_letters(new)
+            packed += got
+            oversized += large
         for new in inner:
             if new is None or (key := new.key()) in seen:
                 continue
             seen.add(key)
             work.append(new)
-            if new.text not in within:
-                within[new.text] = findings(new.text)
-            for kind, a, z in within[new.text]:
+            for kind, a, z in findings(new.text):
                 every.setdefault((kind, *new.origin(a, z)), new.path)
+    return every, packed, oversized
+
+
+def scan(text: str) -> tuple[list, list, int]:
+    """Base findings, all findings ``(kind, start, end, path of the layer)``, and layers that were too large.
+
+    Findings of one kind and place count once, at the layer reached first. What
+    is in compressed data has the place of all of it; equal contents are
+    unwrapped once and count wherever they stand.
+    """
+    base = findings(text)
+    every, packed, oversized = _unwrap(Layer(text))
+    contents: dict[bytes, tuple] = {}  # kinds with their paths in each content, and the contents inside it
+
+    def known(found):
+        out = []
+        for a, z, path, content in found:
+            digest = hashlib.sha256(content).digest()
+            out.append((a, z, path, digest))
+            if digest not in contents:
+                contents[digest] = ([], [])
+                work.append((digest, content))
+        return out
+
+    work: deque = deque()
+    roots = known(packed)
+    del packed
+    while work:
+        digest, content = work.popleft()
+        streams, rest, more = _streams(content)
+        found, inner, large = _unwrap(Layer(_readable(rest), flat=True))
+        oversized += large + more
+        kinds, inside = contents[digest]
+        kinds += [(kind, path) for (kind, *_), path in found.items()]
+        inside += [(path, d) for _, _, path, d in known([(0, 0, "/inflate", c) for _, _, c in streams] + inner)]
+    reached: dict[bytes, list] = {}
+    for a, z, path, digest in roots:
+        if digest not in reached:
+            reached[digest], seen, at = [], {digest}, deque([("", digest)])
+            while at:
+                before, d = at.popleft()
+                reached[digest] += [(kind, before + p) for kind, p in contents[d][0]]
+                for p, inner in contents[d][1]:
+                    if inner not in seen:
+                        seen.add(inner)
+                        at.append((before + p, inner))
+        for kind, p in reached[digest]:
+            every.setdefault((kind, a, z), path + p)
     order = lambda f: (f[1], KINDS.index(f[0]), f[2])
     return sorted(base, key=order), [(*f, every[f]) for f in sorted(every, key=order)], oversized
 

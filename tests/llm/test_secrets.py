@@ -108,6 +108,70 @@ def test_equal_blobs_are_found_at_every_place():
         assert part not in S.masked(text, spans)
 
 
+def covers(text, blob):
+    """The findings that lie within ``blob``."""
+    a = text.index(blob)
+    return [f for f in S.scan(text)[1] if a <= f[1] and f[2] <= a + len(blob)]
+
+
+def wrapped(raw, width=76, mark="\n"):
+    e = b64(raw)
+    return mark.join(e[i:i + width] for i in range(0, len(e), width))
+
+
+def noise(n, seed=7):
+    return random.Random(seed).randbytes(n)
+
+
+def test_base64_wrapped_over_lines():
+    lines = "".join(f"line {i} of no interest {i * i}; " for i in range(40))
+    for mark in ("\n", "\r\n", "\n    ", "\\n"):
+        blob = wrapped(gzip.compress((lines + SECRET).encode()), mark=mark)
+        assert any(f[3] == "/base64/inflate" for f in covers(f"a {blob} b", blob)), mark
+        for shift in range(40, 60):  # a secret across a line break
+            blob = wrapped(b"~" * shift + SECRET.encode() + b"~" * 30, mark=mark)
+            t = f"-----BEGIN KEY-----\n{blob}\n-----END KEY-----"
+            start, end = min(f[1] for f in covers(t, blob)), max(f[2] for f in covers(t, blob))
+            clean = t[start:end].replace(mark, "")
+            assert len(clean) >= len(b64(SECRET.encode()).rstrip("=")), (mark, shift)
+
+
+def test_base64_beside_other_letters_of_its_alphabet():
+    for pack in (bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        blob = b64(pack(SECRET.encode())).rstrip("=")
+        for before in ("https://h.example/dl/", "x/", "ab/", "abc/", "abcd/", "id-", "key_a_", "q"):
+            assert covers(f"{before}{blob} z", blob), (pack, before)
+            assert covers(f"{before}{blob}/tail-x z", blob + "/tail-x"), (pack, before)
+
+
+def test_binary_content_with_a_clear_secret():
+    tar = b"name.txt" + b"\0" * 500 + SECRET.encode() + b"\0" * 400
+    for raw in (tar, noise(99) + b"\xff\n" + SECRET.encode() + b"\n" + noise(50), noise(40) + b"\0" + KEY.encode() + b"\0"):
+        for pack in (bytes, gzip.compress, bz2.compress):
+            blob = b64(pack(raw))
+            assert covers(f"a {blob} b", blob), pack
+
+
+def test_members_and_compressed_data_in_any_layer():
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        blob = b64(pack(b"first") + pack(b" member password=hun") + pack(b"ter2secret"))
+        assert [(k, p) for k, _, _, p in covers(f"a {blob} b", blob)] == [("assign", "/base64/inflate")], pack
+    blob = b64(noise(20) + zlib.compress(SECRET.encode()) + b"gap" + gzip.compress(KEY.encode()))
+    assert {f[0] for f in covers(f"a {blob} b", blob)} == {"assign", "access"}
+    for pack in (gzip.compress, zlib.compress, bz2.compress):
+        raw = pack(SECRET.encode())
+        for blob, path in (("".join(f"%{b:02x}" for b in raw), "/url/inflate"), (urllib.parse.quote(raw, safe=""), "/url/inflate"),
+                           ("".join(f"\\x{b:02x}" for b in raw), "/unicode/inflate")):
+            assert ("assign", path) in [(f[0], f[3]) for f in covers(f"\u4e2d {blob} b", blob)], (pack, path)
+
+
+def test_equal_compressed_contents_inside_each_other():
+    inner = b64(gzip.compress(SECRET.encode(), mtime=0))
+    outer = b64(gzip.compress(f"{inner} {inner}".encode(), mtime=0))
+    text = f"{outer} x {inner} y {outer}"
+    assert [text[a:z] for _, a, z, _ in S.scan(text)[1]] == [outer.rstrip("="), inner.rstrip("="), outer.rstrip("=")]
+
+
 def test_masking():
     assert S.masked("a 12345 b", [("hex", 2, 5), ("hex", 3, 7)]) == "a [SECRET] b"[:10] + " b"
     assert S.masked("abc", []) == "abc"
