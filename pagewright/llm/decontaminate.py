@@ -1,12 +1,13 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items that share a seed, five words in a row, are
-candidates. A candidate's words are tiled: the longest common run that is not
+Three words in a row, the least tile, are a seed. A document is a candidate for
+an item if the seeds they share hold 80 % of the item's words; no tiling covers
+more. A candidate's words are tiled: the longest common run that is not
 covered yet, on either side, is marked again and again until none of three
 words or more is left. Karp-Rabin hashes of runs of one length find the
 matches, each is compared word by word before it counts, and the length goes
 down from the longest. An item whose words are covered to 80 % is leaked, in
-whatever order the pieces stand.
+whatever order the pieces stand. Items of one or two words are looked for whole.
 
 The benchmark goes to the tasks in blocks of bounded size; documents pass the
 blocks one after the other, so nothing is shuffled and no benchmark is too
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from .common import arrow_schema, slices, table, text_column
 
-SEED_WORDS, TILE_WORDS, COVERAGE = 5, 3, 0.8
+TILE_WORDS, COVERAGE = 3, 0.8
 #: Letters of benchmark text sent to the tasks at a time.
 BLOCK_LETTERS = 32 << 20
 
@@ -99,52 +100,60 @@ class Block:
         names = {w for _, ws in self.items for w in ws}
         self.number = {w: n for n, w in enumerate(sorted(names))}
         self.items = [(i, [self.number[w] for w in ws]) for i, ws in self.items]
-        pairs = [(h, n) for n, (_, ids) in enumerate(self.items) if len(ids) >= SEED_WORDS
-                 for h in self.seeds(np.array(ids))[1].tolist()]
-        pairs = sorted(set(pairs))
-        self.hash = np.array([h for h, _ in pairs], np.uint64)
-        self.of = np.array([n for _, n in pairs], np.int64)
+        self.size = np.array([len(ids) for _, ids in self.items], np.int64)
+        # all items in a row, a -1 after each
+        row = np.array([x for _, ids in self.items for x in (*ids, -1)], np.int64)
+        self.owner = np.repeat(np.arange(len(self.items)), self.size + 1)
+        place, h = self.seeds(row)
+        order = np.argsort(h, kind="stable")
+        self.hash, self.place = h[order], place[order]
         # items too short for a seed are looked for whole
         self.short = {}
         for n, (_, ids) in enumerate(self.items):
-            if TILE_WORDS <= len(ids) < SEED_WORDS:
+            if 0 < len(ids) < TILE_WORDS:
                 self.short.setdefault(tuple(ids), []).append(n)
 
     @staticmethod
     def seeds(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and hashes of the seeds made of known words only."""
-        n = len(ids) - SEED_WORDS + 1
+        n = len(ids) - TILE_WORDS + 1
         if n < 1:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         known = np.concatenate(([0], np.cumsum(ids >= 0)))
-        at = np.flatnonzero(known[SEED_WORDS:] - known[:-SEED_WORDS] == SEED_WORDS)
+        at = np.flatnonzero(known[TILE_WORDS:] - known[:-TILE_WORDS] == TILE_WORDS)
         h = np.zeros(len(at), np.uint64)
-        for k in range(SEED_WORDS):
+        for k in range(TILE_WORDS):
             h = (h ^ ids[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(31)
         return at, h
 
-    def candidates(self, ids: np.ndarray) -> set[int]:
-        out = set()
+    def candidates(self, ids: np.ndarray) -> list[int]:
+        """Items whose words are covered by the seeds of ``ids`` as far as a leak needs."""
         _, h = self.seeds(ids)
-        if len(h) and len(self.hash):
-            h = np.unique(h)
-            a, z = np.searchsorted(self.hash, h), np.searchsorted(self.hash, h, "right")
-            for i in np.flatnonzero(a < z):
-                out.update(self.of[a[i]:z[i]].tolist())
-        if self.short:
-            known = ids.tolist()
-            for size in {len(k) for k in self.short}:
-                for i in range(len(known) - size + 1):
-                    out.update(self.short.get(tuple(known[i:i + size]), ()))
-        return out
+        h = np.unique(h)
+        a, z = np.searchsorted(self.hash, h), np.searchsorted(self.hash, h, "right")
+        n = (z - a)[a < z]
+        if not len(n):
+            return []
+        at = np.repeat(a[a < z] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        words = np.unique(self.place[at][:, None] + np.arange(TILE_WORDS))
+        items, covered = np.unique(self.owner[words], return_counts=True)
+        return items[covered / self.size[items] >= COVERAGE].tolist()
+
+    def whole(self, ids: np.ndarray) -> list[int]:
+        """Items shorter than a seed that stand in ``ids``."""
+        if not self.short:
+            return []
+        known = ids.tolist()
+        return sorted(n for size in {len(k) for k in self.short}
+                      for part in set(zip(*(known[i:] for i in range(size)))) for n in self.short.get(part, ()))
 
     def leaks(self, text: str) -> list[tuple]:
         """``(item_id, coverage)`` of each item that ``text`` covers."""
         get = self.number.get
         ids = np.array([get(w, -1) for w in words_of(text)], np.int64)
-        out = []
-        for n in sorted(self.candidates(ids)):
+        out = [(self.items[n][0], 1.0) for n in self.whole(ids)]
+        for n in self.candidates(ids):
             key, item = self.items[n]
             share = sum(t[0] for t in tiles(item, _shared_only(ids, item))) / len(item)
             if share >= COVERAGE:
@@ -166,8 +175,9 @@ def _shared_only(ids: np.ndarray, item: list[int]) -> list[int]:
 def leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], block_letters: int = BLOCK_LETTERS) -> DataFrame:
     """``keep`` and ``leaks`` (array of ``item_id, coverage``, by item_id) of each row of ``docs``.
 
-    Null and empty texts leak nothing; items with null text or fewer than
-    ``TILE_WORDS`` words are in no document. Repeated rows and items come back
+    Null and empty texts leak nothing; items with null text or no word are in
+    no document, items of fewer than ``TILE_WORDS`` words are where their words
+    stand in a row. Repeated rows and items come back
     repeated. An empty benchmark leaves every array empty.
     """
     found = T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType),

@@ -89,3 +89,42 @@ def test_documents_match_brute_force(spark, sf):
                     want.add((r.doc_id, i, round(share, 9)))
     got = {(r.doc_id, r.item_id, round(r.coverage, 9)) for r in D.op7_decontaminate(spark, sf).collect()}
     assert got == want and want
+
+
+def test_short_pieces_match_brute_force_without_seeds():
+    """Every item is tiled against every document; no candidate filter."""
+    rng = random.Random(3)
+    names = range(400)
+    text = lambda words: " ".join(f"w{w}" for w in words)
+    items = [rng.choices(names, k=rng.randrange(1, 30)) for _ in range(40)]
+    docs = []
+    for item in items:
+        at, pieces = 0, []
+        while at < len(item):
+            n = rng.choice([3, 3, 4])
+            pieces.append(item[at:at + n])
+            at += n
+        rng.shuffle(pieces)
+        docs.append([w for p in pieces for w in [*p, rng.choice(names)]])
+        docs.append([rng.choice(names) if i % 5 == 4 else w for i, w in enumerate(item)])  # coverage 0.8 at least
+        docs.append(rng.choices(names, k=20))
+    block = D.Block([(n, text(item)) for n, item in enumerate(items)])
+    gated = found = 0
+    for doc in docs:
+        want = []
+        for n, item in enumerate(items):
+            least = min(3, len(item))
+            share = sum(t[0] for t in brute_tiles(item, doc, least)) / len(item) if len(item) > 2 else float(
+                any(doc[i:i + len(item)] == item for i in range(len(doc))))
+            if share >= 0.8:
+                want.append((n, share))
+                grams = {tuple(doc[i:i + 5]) for i in range(len(doc) - 4)}
+                gated += len(item) >= 5 and not any(tuple(item[k:k + 5]) in grams for k in range(len(item) - 4))
+        assert sorted(block.leaks(text(doc))) == want
+        found += len(want)
+    assert gated > 20 and found > gated
+
+
+def test_items_of_one_or_two_words(spark):
+    got = coverages(spark, ["say Two words here", "words two", "alone", None], [(1, "two words"), (2, "alone"), (2, "alone"), (3, "?")])
+    assert got == {0: [(1, 1.0)], 1: [], 2: [(2, 1.0), (2, 1.0)], 3: []}
