@@ -9,19 +9,20 @@ anything is shuffled, so no page list is ever gathered. A class is valid if it
 is in at least half of the host's pages and its tokens close as they open.
 Valid classes nest by their paths into the host's template.
 
-A slot is an element of the template that is in each of its pages once. The
-main slots of a host are its ``article`` or ``main`` elements, else containers
-named like one, else the deepest container that holds three quarters of the
-text. Text outside the main
-slots is left out, and so are menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles inside them. A page without the
-template's main slots is judged alone by the same rules.
+A line of text is a token too, told apart by its letters and the element that
+holds it. It is template if it is in the class of that element (the element says
+the same wherever it stands), in three different pages at least. All other text
+varies. The main text of a page is its ``article`` or ``main`` elements, else the
+containers named like one; else it is all varying text, with the containers that hold it. Menus,
+headers, footers, sidebars, notices, adverts, forms, comments, scripts and
+styles are left out. In a page without varying text, all text counts as such.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,8 +33,10 @@ from pyspark.sql import types as T
 
 from .common import arrow_schema, slices, table, text_column, written
 
-#: Share of a host's pages that a template token is in, and of its text that a main slot holds.
+#: Share of a host's pages that a template token is in, and of a page's varying text that named slots hold.
 FREQUENT, MAIN_SHARE = 0.5, 0.75
+#: Pages of different content that a line of the template is in.
+DIFFERENT = 3
 #: (host, token) sums a task keeps before passing them on.
 KEPT_TOKENS = 200_000
 
@@ -65,7 +68,7 @@ _HOST = re.compile(r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class Element:
-    __slots__ = ("name", "path", "depth", "out", "main", "sign")
+    __slots__ = ("name", "path", "depth", "out", "main", "sign", "rank", "holder", "outer")
 
     def __init__(self, name: str, parent: Element | None, attrs: str):
         marks = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)] if attrs else []
@@ -79,6 +82,14 @@ class Element:
         #: 2: article or main, 1: named like one, 0: another container, -1: none
         self.main = (2 if name in ("article", "main") or "main" in words.split() else -1 if name not in CONTAINERS
                      else 1 if _MAIN.search(words) else 0)
+        self.rank = max(self.main, parent.rank if parent else -1)
+        #: path of the nearest block, and the next container around this element
+        self.holder = self.path if name in BLOCK or not parent else parent.holder
+        self.outer = parent and parent.box()
+
+    def box(self) -> Element | None:
+        """The nearest container, the page itself apart."""
+        return self if self.name in CONTAINERS and self.name not in ("html", "body") else self.outer
 
 
 def events(page: str) -> Iterator[tuple]:
@@ -133,52 +144,61 @@ def events(page: str) -> Iterator[tuple]:
     yield from pop_to(0, False)
 
 
-def blocks(page: str, slots: set[int] | None = None) -> list[str]:
-    """Text of the blocks inside the main slots: references decoded, white space as one space, trimmed, none empty.
+def lines(page: str) -> Iterator[tuple[str, int, Element | None]]:
+    """Text, token and innermost element of each block outside of what is left out: references decoded, white
+    space as one space, trimmed, none empty."""
+    parts: list[str] = []
+    first, begun = None, False  # element of the first letters
 
-    ``slots`` are paths of the host's template; if the page has none of them,
-    its own ``article`` or ``main`` elements, else those named like one, else
-    the whole page.
-    """
-    out: dict[object, list[str]] = {}
-    line: dict[object, list[str]] = {}
-    inside: dict[object, int] = {"template": 0, 2: 0, 1: 0}
-    seen: set = set()
-
-    def flush():
-        for k, parts in line.items():
-            text = " ".join("".join(map(html.unescape, parts)).split())
-            if text:
-                out.setdefault(k, []).append(text)
-        line.clear()
+    def line():
+        nonlocal begun
+        begun = False
+        text = " ".join("".join(map(html.unescape, parts)).split())
+        parts.clear()
+        if text:
+            yield text, xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), first.holder if first else 0) >> 1, first
 
     for kind, *args in events(page):
         if kind == "text":
             raw, stack = args
             if stack and stack[-1].out:
                 continue
-            for k in ("page", *(k for k, d in inside.items() if d)):
-                line.setdefault(k, []).append(raw)
-        elif kind == "break":
-            if args[0] in BLOCK:
-                flush()
-            elif line:
-                for parts in line.values():
-                    parts.append(" ")
-        else:
-            e, step = args[0], 1 if kind == "open" else -1
-            if e.name in BLOCK:
-                flush()
-            if not e.out:
-                for k, is_slot in (("template", slots and e.path in slots), (2, e.main == 2), (1, e.main >= 1)):
-                    if is_slot:
-                        inside[k] += step
-                        seen.add(k)
-    flush()
-    for k in ("template", 2, 1):
-        if k in seen and k in out:
-            return out[k]
-    return out.get("page", []) if not seen else next((out[k] for k in (2, 1, "page") if k in out), [])
+            if not begun and not raw.isspace():
+                first, begun = stack[-1] if stack else None, True
+            parts.append(raw)
+        elif kind == "break" and args[0] not in BLOCK:
+            if parts:
+                parts.append(" ")
+        elif kind == "break" or args[0].name in BLOCK:
+            yield from line()
+    yield from line()
+
+
+def blocks(page: str, fixed: set[int] | None = None) -> list[str]:
+    """Lines of the main text.
+
+    ``fixed`` are the tokens of the host's template lines. Without a host, the
+    page's own ``article`` or ``main`` elements are its main text, else what is
+    named like one, else the whole page.
+    """
+    found = [(text, token, e, e.rank if e else -1) for text, token, e in lines(page)]
+    varying = [x for x in found if x[1] not in (fixed or ())] or found
+    for rank in (2, 1):
+        share = sum(len(x[0]) for x in varying if x[3] >= rank)
+        if share:
+            return [x[0] for x in found if x[3] >= rank]
+    if len(varying) == len(found):
+        return [x[0] for x in found]
+    tokens = {x[1] for x in varying}
+    boxes = {id(x[2].box()) for x in varying if x[2] and x[2].box()}
+
+    def held(e: Element | None) -> bool:
+        box = e.box() if e else None
+        while box is not None and id(box) not in boxes:
+            box = box.outer
+        return box is not None
+
+    return [x[0] for x in found if x[1] in tokens or held(x[2])]
 
 
 def host_of(url: str | None) -> str:
@@ -188,17 +208,18 @@ def host_of(url: str | None) -> str:
 
 def page_tokens(page: str) -> dict[tuple[int, bool], list]:
     """Per (path, closing tag): occurrences, letters of the subtree outside of what is left out,
-    depth, rank as a main element and whether it is left out."""
+    depth, rank as a main element, whether it is left out, and None; or, per line that all elements of
+    its path have in this page, with the path that holds it."""
     found: dict[tuple[int, bool], list] = {}
     for kind, *args in events(page):
         if kind == "open":
             e = args[0]
             t = found.get((e.path, False))
             if t is None:
-                t = found[(e.path, False)] = [0, 0, e.depth, e.main, e.out]
+                t = found[(e.path, False)] = [0, 0, e.depth, e.main, e.out, None]
             t[0] += 1
         elif kind == "close" and args[1]:
-            t = found.setdefault((args[0].path, True), [0, 0, args[0].depth, args[0].main, args[0].out])
+            t = found.setdefault((args[0].path, True), [0, 0, args[0].depth, args[0].main, args[0].out, None])
             t[0] += 1
         elif kind == "text":
             raw, stack = args
@@ -206,11 +227,17 @@ def page_tokens(page: str) -> dict[tuple[int, bool], list]:
                 size = len(raw) - raw.count(" ")
                 for path in {e.path for e in stack}:
                     found[(path, False)][1] += size
+    times = Counter((token, e.holder, len(text)) for text, token, e in lines(page) if e)
+    for (token, holder, size), n in times.items():
+        if n == found[(holder, False)][0]:  # others are in another class than their element
+            found[(token, False)] = [n, n * size, found[(holder, False)][2], -1, False, holder]
     return found
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """``host, path, closing, v1, v2, pages, times, letters, depth, main, out``: a row per token of a host.
+    """``host, path, closing, v1, v2, pages, times, letters, depth, main, out, holder, contents``: a row per token
+    of a host. Lines have the path that holds them as ``holder`` and hashes of up to ``DIFFERENT`` contents of
+    pages that have them.
 
     ``v1, v2`` stand for the occurrence vector. Pages are told apart by
     page_id and content, so repeated rows count like one more equal page.
@@ -220,7 +247,8 @@ def tokens(pages: DataFrame) -> DataFrame:
                          T.StructField("v2", T.LongType()), T.StructField("pages", T.LongType()),
                          T.StructField("times", T.LongType()), T.StructField("letters", T.LongType()),
                          T.StructField("depth", T.LongType()), T.StructField("main", T.LongType()),
-                         T.StructField("out", T.BooleanType())])
+                         T.StructField("out", T.BooleanType()), T.StructField("holder", T.LongType()),
+                         T.StructField("contents", T.ArrayType(T.LongType()))])
     arrow = arrow_schema(full)
     half = (1 << 62) - 1  # sums wrap here, in tasks and in Spark alike
 
@@ -236,14 +264,17 @@ def tokens(pages: DataFrame) -> DataFrame:
             for i, url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_column(b, "html")):
                 host = host_of(url)
                 key = xxhash.xxh64_intdigest(page.encode("utf-8", "replace"), (i or 0) & ((1 << 64) - 1))
-                for (path, closing), (n, letters, depth, main, out) in page_tokens(page).items():
+                content = xxhash.xxh64_intdigest(page.encode("utf-8", "replace")) >> 1
+                for (path, closing), (n, letters, depth, main, out, holder) in page_tokens(page).items():
                     h = xxhash.xxh64_intdigest(n.to_bytes(8, "little"), key)
-                    t = sums.setdefault((host, path, closing), [0, 0, 0, 0, 0, depth, main, out])
+                    t = sums.setdefault((host, path, closing), [0, 0, 0, 0, 0, depth, main, out, holder, []])
                     t[0] = (t[0] + (h & half)) & half
                     t[1] = (t[1] + (h >> 2)) & half
                     t[2] += 1
                     t[3] += n
                     t[4] += letters
+                    if holder is not None and content not in t[9]:
+                        t[9] = sorted([*t[9], content])[:DIFFERENT]
             if len(sums) > KEPT_TOKENS:
                 yield flush()
         if sums:
@@ -254,18 +285,19 @@ def tokens(pages: DataFrame) -> DataFrame:
     return (part.groupBy("host", "path", "closing")
             .agg(add("v1").alias("v1"), add("v2").alias("v2"), F.sum("pages").alias("pages"), F.sum("times").alias("times"),
                  F.sum("letters").alias("letters"), F.min("depth").alias("depth"), F.max("main").alias("main"),
-                 F.max("out").alias("out"))
+                 F.max("out").alias("out"), F.max("holder").alias("holder"),
+                 F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("contents")))), 1, DIFFERENT).alias("contents"))
             .withColumns({c: F.pmod(F.col(c), F.lit(half + 1).cast("decimal(38,0)")).cast("long") for c in ("v1", "v2")}))
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, t: DataFrame | None = None) -> DataFrame:
     """The template tokens of each host, with their class and whether they are a slot.
 
     A class has the ``size`` of its token set. Valid are classes in half of the
     host's pages or more in which every closing tag has its opening tag (an
-    element may have no closing tag at all).
+    element may have no closing tag at all). ``t`` are the tokens, if there are any yet.
     """
-    t = written(tokens(pages), "tokens")  # a row per token of a host, read by every step below
+    t = (written(tokens(pages), "tokens") if t is None else t).filter("holder is null")
     page_count = (pages.select(_host("url").alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
     both = (t.groupBy("host", "path").agg(
         *(F.max(F.when(~F.col("closing"), F.col(c))).alias(c) for c in ("v1", "v2", "pages", "times", "letters", "depth")),
@@ -281,17 +313,13 @@ def _host(url: str):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def main_slots(template: DataFrame) -> DataFrame:
-    """``host, slots``: paths of the main slots; hosts without any have no row."""
-    slots = template.filter("slot")
-    best = slots.groupBy("host").agg(F.max("main").alias("rank"), F.max("letters").alias("all"))
-    ranked = slots.join(best, "host")
-    named = ranked.filter((F.col("rank") > 0) & (F.col("main") == F.col("rank")))
-    deep = (ranked.filter((F.col("rank") == 0) & (F.col("main") == 0) & (F.col("all") > 0)
-                          & (F.col("letters") >= MAIN_SHARE * F.col("all")))
-            .groupBy("host").agg(F.max_by("path", F.struct("depth", "path")).alias("path")))
-    return (named.select("host", "path").union(deep).groupBy("host")
-            .agg(F.array_sort(F.collect_list("path")).alias("slots")))
+def fixed_lines(pages: DataFrame) -> DataFrame:
+    """``host, fixed``: tokens of the lines in each host's template; hosts without any have no row."""
+    t = written(tokens(pages), "tokens")  # a row per token of a host, read by every step below
+    text = (t.filter("holder is not null").filter(F.size("contents") >= DIFFERENT)
+            .select("host", F.col("path").alias("token"), F.col("holder").alias("path"), "v1", "v2"))
+    return (text.join(templates(pages, t).select("host", "path", "v1", "v2"), ["host", "path", "v1", "v2"])
+            .groupBy("host").agg(F.array_sort(F.collect_list("token")).alias("fixed")))
 
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
@@ -301,17 +329,17 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     host, belongs to the host "". Repeated rows come back repeated.
     """
     # a written table has a known size, by which Spark chooses to send it or to shuffle the pages
-    slots = written(main_slots(templates(pages)).toDF("__host", "__slots"), "slots")
+    fixed = written(fixed_lines(pages).toDF("__host", "__fixed"), "fixed")
     cols = list(dict.fromkeys([*keep, "html"]))
-    rows = (pages.select(*cols, _host("url").alias("__h")).join(slots, F.col("__h") == F.col("__host"), "left")
-            .select(*cols, "__slots"))
+    rows = (pages.select(*cols, _host("url").alias("__h")).join(fixed, F.col("__h") == F.col("__host"), "left")
+            .select(*cols, "__fixed"))
     full = T.StructType([rows.schema[c] for c in keep] + [T.StructField("text", T.StringType())])
     arrow = arrow_schema(full)
 
     def run(batches):
         for b in slices(batches):
-            found = ["\n".join(blocks(page, set(s or ()))) for page, s in
-                     zip(text_column(b, "html"), b.column(b.schema.get_field_index("__slots")).to_pylist())]
+            found = ["\n".join(blocks(page, set(f or ()))) for page, f in
+                     zip(text_column(b, "html"), b.column(b.schema.get_field_index("__fixed")).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in keep]
                                              + [pa.array(found, pa.string())], schema=arrow)
 

@@ -68,6 +68,22 @@ def test_a_page_without_the_template_is_judged_alone(spark):
     assert got[9] == "other" and got[1] == ("text 1 " * 21).strip()
 
 
+def texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in H.extract(df, ["page_id"]).collect()}
+
+
+def test_text_of_the_template_is_left_out_without_names(spark):
+    body = ("<body><div class=qa><p>Lesen Sie auch unsere Hinweise</p></div><p class=qb>Stets gleich</p><div class=qc><p>@</p><p>@</p></div>"
+            "<div class=qd>Diskussion der Leser</div></body>")
+    got = texts(spark, site(body, 6))
+    assert all(got[i] == "\n".join([("text %d " % i * (20 + i)).strip()] * 2) for i in range(6))
+    # the same text in two pages only isn't a template, and a page of nothing else keeps it
+    assert "Hinweise" in texts(spark, site(body, 2))[0]
+    same = [(i, "http://b.example/", f"<body><script>{i}</script><div><p>same</p></div></body>") for i in range(5)]
+    assert set(texts(spark, same).values()) == {"same"}
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     rows = [(i, "http://a.example/", "<body><nav>n</nav><article><p>same</p></article></body>") for i in range(20)]
     got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), ["page_id"]).collect()
