@@ -13,7 +13,8 @@ A line of text is a token too, told apart by its letters and the element that
 holds it. It is template if it is in the class of that element (the element says
 the same wherever it stands), in three different pages at least. All other text
 varies. The main text of a page is its ``article`` or ``main`` elements, else the
-containers named like one; else it is all varying text, with the containers that hold it. Menus,
+containers named like one, if they hold three quarters of the page's varying
+text; else it is all varying text, with the containers that hold it. Menus,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts and
 styles are left out. In a page without varying text, all text counts as such.
 """
@@ -179,13 +180,14 @@ def blocks(page: str, fixed: set[int] | None = None) -> list[str]:
 
     ``fixed`` are the tokens of the host's template lines. Without a host, the
     page's own ``article`` or ``main`` elements are its main text, else what is
-    named like one, else the whole page.
+    named like one if it holds most, else the whole page.
     """
     found = [(text, token, e, e.rank if e else -1) for text, token, e in lines(page)]
     varying = [x for x in found if x[1] not in (fixed or ())] or found
+    size = sum(len(x[0]) for x in varying)
     for rank in (2, 1):
         share = sum(len(x[0]) for x in varying if x[3] >= rank)
-        if share:
+        if share and (share >= MAIN_SHARE * size or fixed is None and rank == 2):
             return [x[0] for x in found if x[3] >= rank]
     if len(varying) == len(found):
         return [x[0] for x in found]

@@ -84,6 +84,24 @@ def test_text_of_the_template_is_left_out_without_names(spark):
     assert set(texts(spark, same).values()) == {"same"}
 
 
+def test_small_named_slots_don_t_hide_the_article(spark):
+    for name in ("entry-meta", "post-date"):
+        got = texts(spark, site(f"<body><div class={name}>on day @</div><div class=txt><p>@</p><p>@</p><p>@</p><p>@</p></div></body>", 4))
+        assert all(t.count("\n") == 4 and t.count(f"text {i} ") >= 4 * 19 for i, t in got.items()), name
+    assert H.blocks("<div class=post-date>today</div><div class=txt><p>a long text of many words</p></div>") == [
+        "today", "a long text of many words"]
+
+
+def test_varying_text_beside_the_largest_container_stays(spark):
+    body = "<body><div class=top>Site</div><div class=lead>lead @</div><div class=txt><p>@</p><p>@</p><p>@</p><p>@</p></div></body>"
+    got = texts(spark, site(body, 5))
+    assert all(t.startswith(f"lead text {i}") and "Site" not in t and t.count("\n") == 4 for i, t in got.items())
+    # one very long page doesn't decide for the others
+    rows = site("<body><div class=xa><p>@</p></div><div class=xb><p>@</p></div></body>", 4)
+    rows.append((9, "http://a.example/9", "<body><div class=xa><p>short</p></div><div class=xb><p>" + "long " * 50_000 + "</p></div></body>"))
+    assert all(t.count("\n") == 1 for t in texts(spark, rows).values())
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     rows = [(i, "http://a.example/", "<body><nav>n</nav><article><p>same</p></article></body>") for i in range(20)]
     got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), ["page_id"]).collect()
