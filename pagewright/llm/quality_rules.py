@@ -8,10 +8,9 @@ by chance, so the bound on a squared distance grows by ``bins / (8 n ln 2)``,
 its expectation for n draws, and texts below a minimum length aren't compared.
 
 References are the mean histograms over all documents long enough that pass
-the base rules; every document weighs the same. Candidates for common words
-come from bounded per-task counters: a word with a share above ``LEAST_SHARE``
-of all words has it in one task at least and is found there; the candidates are
-then counted exactly.
+the base rules; every document weighs the same. The words of these documents
+are counted exactly: tasks add them up in parts of bounded size, one shuffle
+adds up the parts.
 """
 
 from __future__ import annotations
@@ -29,9 +28,8 @@ from pyspark.sql import types as T
 from .common import arrow_schema, slices, table, text_column, written
 
 COMMON_WORDS = 64
-CANDIDATES = 4 * COMMON_WORDS
-COUNTERS = 50_000
-LEAST_SHARE = 1 / 20_000
+#: Distinct (lang, word) counts a task keeps before passing them on.
+KEPT_WORDS = 200_000
 #: Shorter texts aren't compared; nor do they enter the references.
 MIN_WORDS, MIN_CHARS = 50, 200
 #: Largest distances of kept texts, apart from chance.
@@ -111,30 +109,37 @@ def _bare(words: list[str]) -> list[str]:
     return [w.strip(".,;:!?\"'()") for w in map(str.lower, words)]
 
 
+def _enters(text: str, words: list[str]) -> bool:
+    """Whether a text of these words is long enough for a reference and passes the base rules."""
+    return len(words) >= MIN_WORDS and len(text) >= MIN_CHARS and not base_fails(len(words), repeated_words(words))
+
+
 def common_candidates(docs: DataFrame) -> list[str]:
-    """Words that may be among the ``COMMON_WORDS`` most common of a language."""
+    """The ``COMMON_WORDS`` most common words of each language, in the documents that enter its reference."""
 
     def run(batches):
         seen: dict[str, Counter] = {}
-        total: Counter = Counter()
+
+        def flush():
+            rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in
+                                               zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))], ["lang", "w", "n"])
+
         for b in slices(batches):
             for text, lang in zip(text_column(b, "text"), b.column(1).to_pylist()):
-                c, words = seen.setdefault(lang, Counter()), _bare(_WORD.findall(text))
-                c.update(words)
-                total[lang] += len(words)
-                if len(c) > 2 * COUNTERS:  # take the next largest count off every word
-                    least = np.partition(np.fromiter(c.values(), np.int64, len(c)), len(c) - COUNTERS)[len(c) - COUNTERS - 1]
-                    seen[lang] = Counter({w: n - int(least) for w, n in c.items() if n > least})
-        rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()
-                if n + total[lang] / COUNTERS >= LEAST_SHARE * total[lang]]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in
-                                              zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))], ["lang", "w", "n"])
+                words = _WORD.findall(text)
+                if _enters(text, words):
+                    seen.setdefault(lang, Counter()).update(_bare(words))
+            if sum(map(len, seen.values())) > KEPT_WORDS:
+                yield flush()
+        if seen:
+            yield flush()
 
     found = (docs.select("text", "lang").filter("lang is not null").mapInArrow(run, "lang string, w string, n long")
              .groupBy("lang", "w").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
-    top = found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= CANDIDATES)
+    top = found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= COMMON_WORDS)
     return sorted(r.w for r in top.select("w").distinct().collect())
 
 

@@ -95,6 +95,18 @@ def test_verdicts_match_plain_distances(judged):
     assert got[0].char_distance == pytest.approx(mine, abs=1e-9)
 
 
+def test_common_words_of_a_flat_language_are_counted_exactly(spark):
+    """Every word is rare, and rows fall into tasks in different ways."""
+    rng = random.Random(5)
+    common = [f"c{k:02}" for k in range(Q.COMMON_WORDS)]
+    words = [w for w in common for _ in range(5)] + [f"u{k}" for k in range(300_000)] + [f"d{k}" for k in range(2_000)] * 4
+    rng.shuffle(words)
+    rows = [(i, " ".join(words[i::300]), "xx") for i in range(300)]
+    rows += [(1000 + i, "short c00", "xx") for i in range(50)] + [(2000, "again and " * 500, "xx"), (2001, "other " * 300, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert Q.common_candidates(docs.repartition(1)) == Q.common_candidates(docs.repartition(5)) == common
+
+
 def test_odd_rows(odd_docs, no_docs, spark):
     own = odd_docs.toDF(*[f"c{i}" if c == "lang" and i < 9 else c for i, c in enumerate(odd_docs.columns)])
     got = Q.quality(own, ["doc_id"])
