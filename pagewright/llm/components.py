@@ -1,13 +1,55 @@
-"""Connected components over an edge table by alternating large and small stars."""
+"""Connected components: forests inside a task, and alternating stars over an edge table."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
 
+class Forest:
+    """Groups of the numbers 0 to n - 1 that links have joined so far; a group's root is its smallest number.
+
+    :meth:`join` gives back only the links that joined two groups, n - 1 at
+    most, so what a task sends on is never more than its rows.
+    """
+
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+
+    def roots(self, x: np.ndarray) -> np.ndarray:
+        r = self.up[x]
+        while True:
+            above = self.up[r]
+            if (above == r).all():
+                break
+            r = self.up[above]
+        self.up[x] = r
+        return r
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The positions of those links a[i], b[i] that joined two groups."""
+        at = np.flatnonzero(self.roots(a) != self.roots(b))
+        if not len(at):
+            return at
+        kept, up = [], self.up
+
+        def root(x):
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for i in at.tolist():
+            x, y = root(a[i]), root(b[i])
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                kept.append(i)
+        return np.array(kept, np.int64)
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over canonical edges ``a < b``.
 

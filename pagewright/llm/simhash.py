@@ -11,7 +11,9 @@ grid point are compared by Manhattan distance, then exactly by bits.
 
 Rows with equal fingerprints are one class from the start, so copies never
 meet each other in the join. A grid point with more than ``HOT_POINT``
-fingerprints is dealt over pairs of blocks in a second pass.
+fingerprints is dealt over pairs of blocks in a second pass, as many as keep a
+pair of blocks at ``HOT_POINT`` fingerprints. A task joins what it compares
+into a forest and sends only the links that joined two of its groups.
 """
 
 from __future__ import annotations
@@ -27,13 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import byte_column, row_per_input, table, written
-from .components import components
+from .components import Forest, components
 
 SEED = 42
 #: Fingerprints of a grid point that one task compares; more go to the second pass.
 HOT_POINT = 20_000
-#: Blocks that a hot grid point is dealt into.
-HOT_BLOCKS = 16
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -110,28 +110,27 @@ def near(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
     return ok
 
 
-def _links_in(runs_of: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between fingerprints of equal grid point; ``runs_of`` is sorted."""
-    out_a, out_b, lag = [], [], 1
-    live = np.arange(len(fp) - 1)
+def _links_in(points: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between fingerprints of equal grid point that join all that are near each other; ``points`` is sorted.
+
+    Pairs that earlier links have joined aren't compared, and no more links
+    come out than there are different fingerprints.
+    """
+    own, at = np.unique(fp, return_inverse=True)
+    forest, out = Forest(len(own)), []
+    live, lag = np.arange(len(fp) - 1), 1
     while len(live):
         live = live[live + lag < len(fp)]
-        live = live[runs_of[live] == runs_of[live + lag]]
-        a, b = fp[live], fp[live + lag]
-        ok = near(a, b, distance)
-        out_a.append(a[ok])
-        out_b.append(b[ok])
+        live = live[points[live] == points[live + lag]]
+        a, b = at[live], at[live + lag]
+        apart = np.flatnonzero(forest.roots(a) != forest.roots(b))
+        a, b = a[apart], b[apart]
+        ok = near(own[a], own[b], distance)
+        a, b = a[ok], b[ok]
+        out.append(np.stack([a, b])[:, forest.join(a, b)])
         lag += 1
-    return np.concatenate([*out_a, np.empty(0, np.uint64)]), np.concatenate([*out_b, np.empty(0, np.uint64)])
-
-
-def _forest(a: np.ndarray, b: np.ndarray, seen: set) -> tuple[list, list]:
-    """Links not yet sent by this task."""
-    x, y = np.minimum(a, b).view(np.int64).tolist(), np.maximum(a, b).view(np.int64).tolist()
-    new = [p for p in dict.fromkeys(zip(x, y)) if p not in seen]
-    if len(seen) < 1 << 17:
-        seen.update(new)
-    return [p[0] for p in new], [p[1] for p in new]
+    a, b = np.concatenate([*out, np.empty((2, 0), np.int64)], axis=1)
+    return own[a].view(np.int64), own[b].view(np.int64)
 
 
 _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
@@ -142,8 +141,8 @@ def _compare(distance: int, hot: int):
     """Links of the sorted rows ``point, fp``; those of a point with over ``hot`` rows come back with the point set."""
     fields = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("point", pa.int64())])
 
-    def done(points, fp, seen):
-        a, b = _forest(*_links_in(points, fp, distance), seen)
+    def done(points, fp):
+        a, b = _links_in(points, fp, distance)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()),
                                            pa.nulls(len(a), pa.int64())], schema=fields)
 
@@ -152,7 +151,6 @@ def _compare(distance: int, hot: int):
         return pa.RecordBatch.from_arrays([pa.array(x), pa.array(x), pa.array(np.full(len(x), point))], schema=fields)
 
     def run(batches):
-        seen: set = set()
         points, fp = np.empty(0, np.int64), np.empty(0, np.uint64)
         flood = None  # the hot point whose rows pass straight through
         for batch in batches:
@@ -169,15 +167,15 @@ def _compare(distance: int, hot: int):
             cut = int(np.searchsorted(points, points[-1])) if len(points) else 0
             head, tail = (points[:cut], fp[:cut]), (points[cut:], fp[cut:])
             points, fp = tail
-            yield from of_whole(*head, seen)
+            yield from of_whole(*head)
             if len(points) > hot:
                 flood = int(points[0])
                 yield set_aside(flood, fp)
                 points, fp = points[:0], fp[:0]
         if len(points):
-            yield from of_whole(points, fp, seen)
+            yield from of_whole(points, fp)
 
-    def of_whole(points, fp, seen):
+    def of_whole(points, fp):
         if not len(points):
             return
         at = np.flatnonzero(np.concatenate(([True], points[1:] != points[:-1])))
@@ -186,32 +184,35 @@ def _compare(distance: int, hot: int):
             yield set_aside(int(points[at[i]]), fp[at[i]:at[i] + size[i]])
         keep = np.repeat((size > 1) & (size <= hot), size)
         if keep.any():
-            yield done(points[keep], fp[keep], seen)
+            yield done(points[keep], fp[keep])
 
     return run
 
 
 def _compare_blocks(distance: int):
-    """Links of one hot point between two blocks of its fingerprints (or within one)."""
+    """Links of one hot point between two blocks of its fingerprints (or within one) that join all that are near."""
 
     def run(key, tab):
         fp = tab.column("fp").to_numpy().view(np.uint64)
-        blk = tab.column("block").to_numpy()
-        left, right = fp[blk == key[1].as_py()], fp[blk == key[2].as_py()]
-        seen: set = set()
+        block = tab.column("block").to_numpy()
+        left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        forest, out = Forest(len(fp)), []
         for x in left:
-            hit = right[np.bitwise_count(right ^ x) <= distance]
-            seen.update((int(min(p, q)), int(max(p, q))) for p, q in
-                        zip(np.full(len(hit), x).view(np.int64), hit.view(np.int64)) if p != q)
-        return pa.table({"a": pa.array([p for p, _ in seen], pa.int64()), "b": pa.array([q for _, q in seen], pa.int64())})
+            hit = right[np.bitwise_count(fp[right] ^ fp[x]) <= distance]
+            a = np.full(len(hit), x)
+            out.append(np.stack([a, hit])[:, forest.join(a, hit)])
+        a, b = np.concatenate([*out, np.empty((2, 0), np.int64)], axis=1)
+        return pa.table({"a": pa.array(fp[a].view(np.int64)), "b": pa.array(fp[b].view(np.int64))})
 
     return run
 
 
 def links(fps: DataFrame, distance: int = 4, hot: int = HOT_POINT) -> DataFrame:
-    """``a, b``: pairs of different fingerprints ``fp`` at ``distance`` bits or fewer.
+    """``a, b``: pairs of different fingerprints ``fp`` at ``distance`` bits or fewer, such that every
+    two fingerprints that near are joined by a chain of pairs.
 
-    ``fps`` has distinct fingerprints. Pairs may repeat.
+    ``fps`` has distinct fingerprints. A task sends at most as many pairs as
+    it has fingerprints; pairs may repeat.
     """
     radius = -(-(distance // 2) // 2)
     grid = pa.schema([("point", pa.int64()), ("fp", pa.int64())])
@@ -231,9 +232,10 @@ def links(fps: DataFrame, distance: int = 4, hot: int = HOT_POINT) -> DataFrame:
     aside = found.filter("point is not null")
     if aside.limit(1).count() == 0:
         return near_pairs
-    block = F.pmod(F.xxhash64("a"), F.lit(HOT_BLOCKS)).cast("int")
-    dealt = (aside.select("point", F.col("a").alias("fp"), block.alias("block"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(HOT_BLOCKS - 1))))
+    size = aside.groupBy("point").agg(F.ceil(F.count(F.lit(1)) / (hot / 2)).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
+    dealt = (aside.join(size, "point").select("point", F.col("a").alias("fp"), block.alias("block"), "blocks")
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")))
     blocks = dealt.groupBy("point", "lo", "hi").applyInArrow(_compare_blocks(distance), "a long, b long")
     return near_pairs.union(blocks)

@@ -48,8 +48,22 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
+def joined(pairs, nodes):
+    """Smallest member of each node's group."""
+    root = {x: x for x in nodes}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in pairs:
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    return {x: top(x) for x in nodes}
+
+
 @pytest.mark.parametrize("distance,hot", [(4, S.HOT_POINT), (4, 3), (1, S.HOT_POINT), (2, 5), (6, S.HOT_POINT)])
-def test_links_are_all_pairs_within_the_distance(spark, distance, hot):
+def test_links_join_all_that_are_within_the_distance(spark, distance, hot):
     rng = random.Random(distance)
     fps = {rng.getrandbits(64) for _ in range(150)}
     for f in list(fps):
@@ -60,7 +74,21 @@ def test_links_are_all_pairs_within_the_distance(spark, distance, hot):
     want = {frozenset((signed(a), signed(b))) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= distance}
     df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
     got = {frozenset(r) for r in S.links(df, distance, hot).collect()}
-    assert got == want
+    nodes = [signed(f) for f in fps]
+    assert got <= want and joined(got, nodes) == joined(want, nodes)
+
+
+def test_a_large_group_sends_few_links(spark):
+    rng = random.Random(1)
+    centre = rng.getrandbits(64)
+    fps = {centre ^ sum(1 << b for b in rng.sample(range(64), 2)) for _ in range(3000)}
+    df = spark.createDataFrame([(signed(f),) for f in fps], "fp long").repartition(4)
+    points = df.mapInArrow(lambda it: it, "fp long").count()
+    for hot in (S.HOT_POINT, 100):
+        got = S.links(df, 4, hot)
+        assert len(set(joined((tuple(r) for r in got.collect()), [signed(f) for f in fps]).values())) == 1
+        # a fingerprint enters 50 grid points; a hot point's rows enter each pair of its blocks
+        assert got.count() < 60 * points * max(1, 2 * points // hot)
 
 
 def test_components_match_a_search(spark):

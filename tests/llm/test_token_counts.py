@@ -3,13 +3,12 @@ import random
 from pagewright.llm import token_counts as C
 
 
-def brute(word, scores):
-    """(score, tokens) of the best split by plain dynamic programming over the whole word."""
-    t = C.Trie(scores)
+def brute(word, scores, byte):
+    """Tokens of the best split by plain dynamic programming over the whole word; ``byte`` is the score of a byte."""
     best = [(0.0, 0)]
     for end in range(1, len(word) + 1):
         n = len(word[end - 1].encode())
-        ways = [(best[end - 1][0] + n * t.byte, -(best[end - 1][1] + n))]
+        ways = [(best[end - 1][0] + n * byte, -(best[end - 1][1] + n))]
         ways += [(best[b][0] + scores[word[b:end]], -(best[b][1] + 1)) for b in range(end) if word[b:end] in scores]
         score, tokens = max(ways)
         best.append((score, -tokens))
@@ -21,10 +20,10 @@ def test_counts_match_plain_dynamic_programming(monkeypatch):
     scores = {"".join(rng.choices("abc", k=rng.randrange(1, 5))): -float(rng.randrange(1, 9)) for _ in range(25)}
     words = ["".join(rng.choices("abcé", k=rng.randrange(0, 20))) for _ in range(800)] + ["ab" * 60, "aéb" * 40]
     t = C.Trie(scores)
-    assert [t.count(w) for w in words] == [brute(w, scores) for w in words]
+    assert [t.count(w) for w in words] == [brute(w, scores, t.byte) for w in words]
     monkeypatch.setattr(C, "NODES", 30)
     t = C.Trie(scores)
-    assert [t.count(w) for w in words] == [brute(w, scores) for w in words]
+    assert [t.count(w) for w in words] == [brute(w, scores, t.byte) for w in words]
 
 
 def test_shared_prefixes_are_computed_once():
@@ -37,13 +36,14 @@ def test_shared_prefixes_are_computed_once():
 
 def test_rows(spark, odd_docs, no_docs, sf):
     scores = C.pieces(C.VOCABULARY)
+    byte = C.Trie(scores).byte
     got = C.token_counts(odd_docs, ["doc_id", "ids", "text"]).collect()
     assert len(got) == odd_docs.count()
     for r in got:
         if not r.text or len(r.text) < 1000:
             words = C._WORD.findall(r.text or "")
-            assert (r.n_pretokens, r.n_tokens) == (len(words), sum(brute(C.MARK + w, scores) for w in words))
+            assert (r.n_pretokens, r.n_tokens) == (len(words), sum(brute(C.MARK + w, scores, byte) for w in words))
     assert C.token_counts(no_docs, ["doc_id"]).count() == 0
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").limit(30).collect()}
     query = {r.doc_id: r for r in C.op3_token_counts(spark, sf).collect()}
-    assert all(query[i].n_tokens == sum(brute(C.MARK + w, scores) for w in C._WORD.findall(t)) for i, t in docs.items())
+    assert all(query[i].n_tokens == sum(brute(C.MARK + w, scores, byte) for w in C._WORD.findall(t)) for i, t in docs.items())
