@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op6_bpe
 from .decontaminate import op7_decontaminate
+from .fill_in_middle import OP12_SQL, op12_fill_in_middle
 from .html_extract import op10_html_extract
 from .quality_classifier import op9_quality_classifier
 from .quality_rules import op5_quality_rules
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_html_extract": op10_html_extract,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLE: dict[str, str] = {
     "op4_warc": OP4_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
