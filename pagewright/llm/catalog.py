@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op6_bpe
+from .centroid_clustering import OP11_SQL, op11_centroid_clustering
 from .decontaminate import op7_decontaminate
 from .fill_in_middle import OP12_SQL, op12_fill_in_middle
 from .html_extract import op10_html_extract
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_html_extract": op10_html_extract,
+    "op11_centroid_clustering": op11_centroid_clustering,
     "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLE: dict[str, str] = {
     "op4_warc": OP4_SQL,
+    "op11_centroid_clustering": OP11_SQL,
     "op12_fill_in_middle": OP12_SQL,
 }

@@ -1,0 +1,112 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from pagewright.llm import centroid_clustering as K
+
+
+def brute_nearest(v, centroids):
+    return min((sum((a - b) ** 2 for a, b in zip(v, c)), i) for i, c in enumerate(centroids))[::-1]
+
+
+def brute(rows, k, rounds, seed):
+    """Plain k-means over Python integers: {position: (cluster, distance)}, centroids."""
+    kept = {i: [math.floor(256 * x) if abs(x) < 1e300 else 256 * int(x) for x in e] for i, (_, e) in enumerate(rows)
+            if e is not None and len(e) == 64 and all(x is not None and math.isfinite(x) for x in e)}
+    order = sorted(kept, key=lambda i: (hashlib.sha256(f"{seed}:{'' if rows[i][0] is None else rows[i][0]}".encode()).hexdigest(), rows[i][1]))
+    centroids = [kept[i] for i in order[:k]]
+    for r in range(rounds + 1):
+        own = {i: brute_nearest(v, centroids) for i, v in kept.items()}
+        if r == rounds or not kept:
+            return own, centroids
+        for c in range(len(centroids)):
+            members = [kept[i] for i in own if own[i][0] == c]
+            if members:
+                centroids[c] = [sum(x) // len(members) for x in zip(*members)]
+
+
+def test_transform_keeps_distances():
+    assert (K.HADAMARD @ K.HADAMARD.T == 64 * np.eye(64, dtype=np.int64)).all()
+    changes = (np.diff(K.HADAMARD, axis=1) != 0).sum(1).tolist()
+    assert changes == list(range(64))
+
+
+@pytest.mark.parametrize("scale", [3, 200, 1 << 20, 1 << 30, 1 << 70])
+def test_search_is_exact_with_ties(scale):
+    rng = random.Random(scale)
+    wide = scale > 1 << 20
+    v = [[rng.randrange(-scale, scale + 1) for _ in range(64)] for _ in range(60)]
+    c = v[:5] + [[rng.randrange(-scale, scale + 1) for _ in range(64)] for _ in range(10)] + v[:5]
+    v += [[(a + b) // 2 for a, b in zip(c[6], c[9])], [0] * 64]
+    kind = object if wide else np.int64
+    own, far = K.nearest(np.array(v, kind), np.array(c, kind))
+    assert list(zip(own.tolist(), far.tolist())) == [brute_nearest(x, c) for x in v]
+
+
+def test_worse_centroids_go_early():
+    steps = []
+    rng = np.random.default_rng(0)
+    c = rng.integers(-200, 200, (40, 64))
+    v = c[rng.integers(0, 40, 500)] + rng.integers(-5, 6, (500, 64))
+    original = np.minimum.reduceat
+    try:
+        class Counting:
+            reduceat = staticmethod(lambda x, at: steps.append(len(x)) or original(x, at))
+            __call__ = staticmethod(np.minimum)
+        K.np = type("N", (), {**{n: getattr(np, n) for n in dir(np) if not n.startswith("__")}, "minimum": Counting()})
+        K.nearest(v, c)
+    finally:
+        K.np = np
+    assert steps[0] == 500 * 40 and steps[-1] < 600
+
+
+def as_rows(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("k,rounds", [(7, 5), (3, 0), (50, 2)])
+def test_clusters_match_brute_force(spark, k, rounds):
+    rng = random.Random(k)
+    middle = [[rng.uniform(-1, 1) for _ in range(64)] for _ in range(5)]
+    rows = [(i, [x + rng.gauss(0, .2) for x in rng.choice(middle)]) for i in range(300)]
+    rows += rows[:3] + [(None, rows[5][1]), (900, [0.0] * 63), (901, None), (902, [0.0] * 63 + [None]),
+                        (903, [0.0] * 63 + [float("nan")]), (904, [float("-inf")] + [0.0] * 63), (905, [])]
+    got, centroids = K.centroid_clusters(as_rows(spark, rows).repartition(5), k, rounds, 2)
+    want, want_centroids = brute(rows, k, rounds, 2)
+    assert centroids.tolist() == want_centroids
+    key = lambda x: (x[0] is None, x)
+    assert sorted(((r.vec_id, r.cluster, r.distance) for r in got.collect()), key=key) == sorted(
+        ((rows[i][0], *w) for i, w in want.items()), key=key)
+    inertia = sum(d for _, d in want.values())
+    assert {r.inertia for r in got.collect()} == {inertia}
+    assert all(r.cluster_inertia == sum(d for c, d in want.values() if c == r.cluster) for r in got.collect())
+
+
+def test_large_components(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) * 10.0 ** rng.choice([0, 5, 9]) for _ in range(64)]) for i in range(40)]
+    got, centroids = K.centroid_clusters(as_rows(spark, rows), 4, 3, 2)
+    want, want_centroids = brute(rows, 4, 3, 2)
+    assert centroids.tolist() == want_centroids
+    small = lambda d: d if d < 1 << 63 else None
+    assert {r.vec_id: (r.cluster, r.distance) for r in got.collect()} == {rows[i][0]: (c, small(d)) for i, (c, d) in want.items()}
+
+
+def test_few_and_no_vectors(spark):
+    rows = [(1, [0.5] * 64), (1, [0.5] * 64), (2, [-0.5] * 64)]
+    got, centroids = K.centroid_clusters(as_rows(spark, rows))
+    assert len(centroids) == 3 and [r.distance for r in got.collect()] == [0, 0, 0]
+    for none in ([], [(1, None)]):
+        got, centroids = K.centroid_clusters(as_rows(spark, none))
+        assert got.count() == 0 and len(centroids) == 0
+    odd = as_rows(spark, rows).selectExpr("*", "'x' cluster", "'y' distance", "'z' inertia")
+    assert K.centroid_clusters(odd)[0].columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia"]
+
+
+def test_query_without_vectors(spark, tmp_path):
+    as_rows(spark, []).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = K.op11_centroid_clustering(spark, str(tmp_path))
+    assert got.count() == 0 and "centroid_sha256" in got.columns
