@@ -7,6 +7,7 @@ from .centroid_clustering import OP11_SQL, op11_centroid_clustering
 from .decontaminate import op7_decontaminate
 from .fill_in_middle import OP12_SQL, op12_fill_in_middle
 from .html_extract import op10_html_extract
+from .minhash import OP13_SQL, op13_minhash
 from .quality_classifier import op9_quality_classifier
 from .quality_rules import op5_quality_rules
 from .secrets import op1_secrets
@@ -28,10 +29,12 @@ QUERIES = {
     "op10_html_extract": op10_html_extract,
     "op11_centroid_clustering": op11_centroid_clustering,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_minhash": op13_minhash,
 }
 
 ORACLE: dict[str, str] = {
     "op4_warc": OP4_SQL,
     "op11_centroid_clustering": OP11_SQL,
     "op12_fill_in_middle": OP12_SQL,
+    "op13_minhash": OP13_SQL,
 }
