@@ -17,10 +17,11 @@ from ..schemas import FAILED, SUCCESS
 from .embed import MODEL
 
 
-def index_documents(pages: DataFrame, model: str = MODEL) -> DataFrame:
+def index_documents(pages: DataFrame, model: str = MODEL, unique: bool = False) -> DataFrame:
     """Index rows for pages that have an embedding; of rows that repeat a
-    page_id the latest ``updated_at`` counts (then the greatest row)."""
-    pages = latest(pages)
+    page_id the latest ``updated_at`` counts (then the greatest row).
+    ``unique`` says that no page_id repeats, which saves sorting wide rows."""
+    pages = pages if unique else latest(pages)
     return pages.filter(F.col("embedding").isNotNull()).select(
         "page_id", "doc_id", pad5("page_number").alias("page_number"), "status",
         "gcs_path", "gcs_pdf_path", "extracted_text", "summary", "embedding",

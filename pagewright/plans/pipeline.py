@@ -30,6 +30,7 @@ from ..operators import stats as A
 from ..schemas import ACTIVE, COMPLETED, FAILED, RUN_LOG, RUNNING, STAGES
 from ..session import drop_temporary, new_run_id, temporary_count, work_path
 from ..sources.files import scan_with_errors
+from .manifest import Manifest, fingerprint, fingerprint_of, of_files
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -95,14 +96,60 @@ class RunContext:
     buckets: int = 0
     events: list = field(default_factory=list)
     entries: list = field(default_factory=list)
+    #: Markers of a run that can be started again, None for one that can't.
+    manifest: Manifest | None = None
+    #: Fingerprints of inputs and tables by name, and the tables read back from an earlier attempt.
+    prints: dict = field(default_factory=dict)
+    reused: list = field(default_factory=list)
 
     @classmethod
     def create(cls, spark: SparkSession, now, run_id: str | None = None,
                fallback_dir: str | None = None, buckets: int | None = None):
+        """A new run or, if a run ``run_id`` was started before, its continuation.
+
+        A continued run keeps the first attempt's ``now`` and bucket count.
+        Runs without a ``run_id`` get one and can't be continued; they take no
+        fingerprints.
+        """
         rid = run_id or new_run_id()
         root = work_path(spark, rid, fallback=fallback_dir)
         n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return cls(spark, root, now, run_id=rid, buckets=n)
+        if run_id is None:
+            return cls(spark, root, now, run_id=rid, buckets=n)
+        manifest = Manifest(spark, root)
+        set_up = manifest.settings()
+        if set_up is None:
+            at = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+            set_up = {"now": spark.range(1).select(at.cast("string")).first()[0], "buckets": n}
+            manifest.set_up(set_up)
+        ctx = cls(spark, root, F.lit(set_up["now"]).cast("timestamp_ntz"), run_id=rid, buckets=set_up["buckets"],
+                  manifest=manifest)
+        ctx.events = [(*e[:3], dt.datetime.fromisoformat(e[3]), *e[4:]) for e in manifest.events()]
+        return ctx
+
+    def input(self, name: str, df: DataFrame | None, columns: list[str] | None = None) -> None:
+        """Take the fingerprint of an input table that stages name in ``uses``."""
+        if self.manifest is None:
+            return
+        if df is None:
+            self.prints[name] = fingerprint_of("none")
+        else:
+            self.prints[name] = of_files(df) if name == "files" else fingerprint(df, columns)
+
+    def stage(self, name: str, make, uses=(), params=None) -> DataFrame:
+        """The table ``name``: read back if it was made before from equal ``uses``
+        with equal ``params``, else written from ``make()`` and marked whole."""
+        if self.manifest is None:
+            return self.save(name, make())
+        mine = self.prints[name] = fingerprint_of(name, params, [self.prints[u] for u in uses])
+        if self.manifest.committed(name) == mine:
+            self.reused.append(name)
+            out = self.tables[name] = self.spark.read.parquet(os.path.join(self.root, name))
+            return out
+        self.manifest.drop(name)
+        out = self.save(name, make())
+        self.manifest.commit(name, mine)
+        return out
 
     def save(self, name: str, df: DataFrame, bucket_by: str | None = None) -> DataFrame:
         path = os.path.join(self.root, name)
@@ -124,7 +171,10 @@ class RunContext:
             total: int | None = None, processed: int | None = None):
         """Append a run event (a handful per run, kept on the driver)."""
         ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self.events.append((len(self.events) + 1, status, stage, ts, total, processed, error))
+        event = (len(self.events) + 1, status, stage, ts, total, processed, error)
+        self.events.append(event)
+        if self.manifest:
+            self.manifest.append(event[0], [*event[:3], ts.isoformat(), *event[4:]])
 
     def run_log(self) -> DataFrame:
         return self.save("run_log", self.spark.createDataFrame(self.events, RUN_LOG))
@@ -144,32 +194,38 @@ def sync(ctx: RunContext, files: DataFrame | None, registry: DataFrame, pages: D
     is then not read here.
     """
     out = {}
+    ctx.input("registry_before", registry)
+    ctx.input("pages_before", pages, [*PageState.STATUS, "updated_at"])
+    ctx.input("scan_errors", scan_errors)
     # one pass over the bytes; unreadable files (NULL content) become scan
     # errors, not deletions
     if scan is None:
-        scanned = ctx.save("scan_all", scan_with_errors(files))
+        ctx.input("files", files)
+        scanned = ctx.stage("scan_all", lambda: scan_with_errors(files), ["files"])
     else:
+        ctx.input("scan", scan)
         err = F.col("error") if "error" in scan.columns else F.lit(None).cast("string")
-        scanned = ctx.save("scan_all", scan.select("path", "content_hash", "doc_id", "length",
-                                                     err.alias("error")))
+        scanned = ctx.stage("scan_all", lambda: scan.select("path", "content_hash", "doc_id", "length",
+                                                            err.alias("error")), ["scan"])
     own_errors = scanned.filter(F.col("error").isNotNull()).select("path", "error")
     scan_errors = own_errors if scan_errors is None else own_errors.unionByName(scan_errors.select("path", "error"))
     scan = scanned.filter(F.col("error").isNull()).drop("error").join(scan_errors.select("path"), "path", "left_anti")
     if target is not None:
-        plan = ctx.save("mirror_plan", MR.mirror_plan(scan, target, scan_errors))
+        ctx.input("target", target)
+        plan = ctx.stage("mirror_plan", lambda: MR.mirror_plan(scan, target, scan_errors),
+                         ["scan_all", "scan_errors", "target"])
         out["mirror_counts"] = MR.mirror_plan_counts(plan)
     before = temporary_count()
     if mode == "strict":
-        changes = ctx.save("changes", D.detect_changes_strict(scan, registry, scan_errors))
-        new_reg = U.apply_changes_strict(registry, changes, ctx.now)
+        found, apply = (lambda: D.detect_changes_strict(scan, registry, scan_errors)), U.apply_changes_strict
     elif mode == "compat":
-        changes = ctx.save("changes", D.detect_changes(scan, registry))
-        new_reg = U.apply_changes(registry, changes, ctx.now)
+        found, apply = (lambda: D.detect_changes(scan, registry)), U.apply_changes
     else:
         raise ValueError(f"unknown sync mode {mode}")
-    new_reg = ctx.save("registry", new_reg)
+    changes = ctx.stage("changes", found, ["scan_all", "scan_errors", "registry_before"], mode)
+    new_reg = ctx.stage("registry", lambda: apply(registry, changes, ctx.now), ["registry_before", "changes"])
     drop_temporary(ctx.spark, before)
-    flips = ctx.save("page_status_flips", U.page_status_flips(pages, new_reg))
+    flips = ctx.stage("page_status_flips", lambda: U.page_status_flips(pages, new_reg), ["pages_before", "registry"])
     state = PageState(pages)
     state.patch(flips.select("page_id", F.lit(0).cast("long").alias("seq"), F.col("_new_status").alias("status"),
                              F.lit(ctx.now).cast("timestamp_ntz").alias("updated_at")
@@ -186,36 +242,61 @@ class PageState:
     """The page table of earlier runs, rows registered since, and a log of patches.
 
     A run appends to the log and never rewrites the table: what it writes is
-    as large as what changed. :meth:`narrow` has the status columns with the
-    patches so far (queues read only those), :meth:`view` everything.
+    as large as what changed. :meth:`open_up` writes the status columns of the
+    open pages (ACTIVE, some stage not done); queues read only these, and
+    :meth:`settle` writes them again after a stage, so that a stage folds no
+    patches but its own. :meth:`narrow` has the status columns of all pages,
+    :meth:`view` everything.
     """
 
     STATUS = ("page_id", "doc_id", "status", *STAGES)
 
     def __init__(self, base: DataFrame):
         self.base, self.log = base, None
+        self.closed, self.open, self.since = None, base.select(*self.STATUS), None
 
     def add(self, rows: DataFrame) -> None:
+        """New pages, all of them open."""
         self.base = self.base.unionByName(rows)
+        self.open = self._patched(self.open, self.since).unionByName(rows.select(*self.STATUS))
+        self.since = None
 
     def patch(self, patches: DataFrame) -> None:
         self.log = patches if self.log is None else self.log.unionByName(patches, allowMissingColumns=True)
+        self.since = patches if self.since is None else self.since.unionByName(patches, allowMissingColumns=True)
 
-    def _patched(self, base: DataFrame, clear_errors: bool = False) -> DataFrame:
-        if self.log is None:
+    def _patched(self, base: DataFrame, log: DataFrame | None, clear_errors: bool = False) -> DataFrame:
+        if log is None:
             return base
-        kept = [c for c in self.log.columns if c == "seq" or c in base.columns]
-        return U.patch_pages(base, self.log.select(*kept), clear_errors)
+        kept = [c for c in log.columns if c == "seq" or c in base.columns]
+        return U.patch_pages(base, log.select(*kept), clear_errors)
 
     def narrow(self) -> DataFrame:
-        return self._patched(self.base.select(*self.STATUS))
+        rows = self._patched(self.open, self.since)
+        return rows if self.closed is None else self.closed.unionByName(rows)
+
+    def open_up(self, write) -> None:
+        """``write`` (a table writer) puts down the open pages; only these are patched from now on."""
+        waiting = (F.col("status") == ACTIVE) & ~A.all_done()
+        rows = self.narrow()
+        self.closed = rows.filter(~F.coalesce(waiting, F.lit(False)))
+        self.open, self.since = write(lambda: rows.filter(waiting)), None
+
+    def settle(self, write, everywhere: bool = False) -> None:
+        """``write`` puts down the open pages with the patches since the last time;
+        ``everywhere`` says that closed pages may have patches, too."""
+        rows = self._patched(self.open, self.since)
+        if everywhere and self.closed is not None:
+            self.closed = self._patched(self.closed, self.since)
+        self.open, self.since = write(lambda: rows), None
 
     def of(self, ids: DataFrame, *columns: str) -> DataFrame:
         """``page_id`` and ``columns`` of the pages in ``ids``."""
-        return self._patched(self.base.select("page_id", *columns).join(ids.select("page_id"), "page_id", "left_semi"))
+        return self._patched(self.base.select("page_id", *columns).join(ids.select("page_id"), "page_id", "left_semi"),
+                             self.log)
 
     def view(self, clear_errors: bool = False) -> DataFrame:
-        return self._patched(self.base, clear_errors)
+        return self._patched(self.base, self.log, clear_errors)
 
 
 def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages: DataFrame,
@@ -238,6 +319,12 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
     (``paths -> path, content``, e.g. ``read_contents``) let an incremental
     run read the bytes of changed and newly split files only; ``scan_errors``
     (``path, error``) are files that the caller could not read.
+
+    Called again on the context of a named run that failed, it reads back the
+    tables of finished stages and goes on after the last of them, provided
+    that the inputs are the same rows; a plug-in counts as the same while its
+    module and name are. ``files`` with ``length`` and ``modificationTime``
+    are compared by these and not by their bytes.
     """
     try:
         out = _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn,
@@ -254,20 +341,35 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
     return out
 
 
+def _named(fn) -> str | None:
+    return None if fn is None else f"{getattr(fn, '__module__', '')}.{getattr(fn, '__qualname__', type(fn).__qualname__)}"
+
+
 def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, summary_fn,
                 embed_fn, opts, clear_errors, scan=None, contents=None, scan_errors=None):
     ctx.log(RUNNING, "sync")
     s = sync(ctx, files, registry, pages, mode=mode, scan=scan, scan_errors=scan_errors)
     reg, state = s["registry"], s["state"]
+    ctx.input("payload_before", payload, ["page_id", "doc_id", "page_number", "gcs_pdf_path"])
+    ctx.input("index_before", index, ["page_id", "model"])
+
+    def status(name: str, *uses: str):
+        return lambda rows: ctx.stage(f"status_{name}", rows, uses)
+
+    state.open_up(status("sync", "pages_before", "page_status_flips"))
 
     # split: ACTIVE documents without pages, content read once by path
     ctx.log(RUNNING, "split")
-    todo = W.queue_split(reg, state.base)
-    # binary file contents are read as UTF-8 text (string input is unchanged)
-    source = contents(todo.select("path")) if contents is not None else files.select("path", "content")
-    docs = todo.join(source, "path", "inner") \
-        .select("doc_id", "path", F.col("content").cast("string").alias("content"))
-    split = ctx.save("split", PG.paginate(docs))
+
+    def split_pages():
+        todo = W.queue_split(reg, state.base)
+        # binary file contents are read as UTF-8 text (string input is unchanged)
+        source = contents(todo.select("path")) if contents is not None else files.select("path", "content")
+        docs = todo.join(source, "path", "inner") \
+            .select("doc_id", "path", F.col("content").cast("string").alias("content"))
+        return PG.paginate(docs)
+
+    split = ctx.stage("split", split_pages, ["registry", "pages_before", "scan_all"])
     pay = split.select("page_id", "doc_id", "page_number", "gcs_pdf_path", "text")
     if payload is not None:
         pay = payload.select(*pay.columns).join(split.select("page_id"), "page_id", "left_anti") \
@@ -275,28 +377,52 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     # the split queue holds documents without pages, so none is there yet
     state.add(PG.new_page_rows(split, ctx.now))
 
-    def done(name: str, res: DataFrame, stage: str, value_col: str | None, seq: int):
-        state.patch(U.stage_patches(ctx.save(f"{name}_results", res), stage, value_col, seq, ctx.now))
+    def done(name: str, make, stage: str, value_col: str | None, seq: int, uses: list[str], fn=None):
+        """Write a stage's results, which are its patches, and the status columns after them."""
+        before = "status_sync" if seq == 1 else f"status_{('extract', 'summary', 'embed')[seq - 2]}"
+        res = ctx.stage(f"{name}_results", make, [before, "split", "payload_before", *uses], _named(fn))
+        state.patch(U.stage_patches(res, stage, value_col, seq, ctx.now))
+        # of a new model's index queue, some pages were done before
+        state.settle(status(name, before, "split", f"{name}_results"), everywhere=stage == "indexed" and index is not None)
 
     ctx.log(RUNNING, "extract")
-    q = W.queue(state.narrow(), "extract").select("page_id")
-    done("extract", EX.extract(q.join(pay.select("page_id", F.col("text").alias("payload")), "page_id"),
-                               extract_fn, **opts), "extracted", "extracted_text", 1)
+
+    def extracted():
+        q = W.queue(state.open, "extract").select("page_id")
+        return EX.extract(q.join(pay.select("page_id", F.col("text").alias("payload")), "page_id"), extract_fn, **opts)
+
+    done("extract", extracted, "extracted", "extracted_text", 1, [], extract_fn)
 
     ctx.log(RUNNING, "summary")
-    q = ctx.save("summary_queue", W.queue(state.narrow(), "summary").select("page_id"))
-    done("summary", SI.situate(q, pay, summary_fn=summary_fn, **opts), "summarized", "summary", 2)
+
+    def summarized():
+        return SI.situate(W.queue(state.open, "summary").select("page_id"), pay, summary_fn=summary_fn, **opts)
+
+    done("summary", summarized, "summarized", "summary", 2, [], summary_fn)
 
     ctx.log(RUNNING, "embed")
-    q = W.queue(state.narrow(), "embed").select("page_id")
-    done("embed", EM.embed(state.of(q, "summary", "extracted_text"), embed_fn, **opts), "embedded", "embedding", 3)
+
+    def embedded():
+        q = W.queue(state.open, "embed").select("page_id")
+        return EM.embed(state.of(q, "summary", "extracted_text"), embed_fn, **opts)
+
+    done("embed", embedded, "embedded", "embedding", 3, ["extract_results", "summary_results"], embed_fn)
 
     ctx.log(RUNNING, "index")
-    narrow = state.narrow()
-    waiting = W.queue(narrow, "index") if index is None else W.queue_index_for_model(narrow, index, EM.MODEL)
+    made = ["status_embed", "split", "extract_results", "summary_results", "embed_results", "index_before"]
+    waiting = ctx.stage("index_queue", lambda: (
+        W.queue(state.open, "index") if index is None
+        else W.queue_index_for_model(state.narrow(), index, EM.MODEL)).select("page_id"), made)
+    # repeated ids are rare, and seen on the short rows; only then are the wide ones sorted
+    unique = not waiting.groupBy("page_id").count().filter("count > 1").limit(1).count()
     wide = state.of(waiting, *[c for c in state.base.columns if c != "page_id"])
-    rows = ctx.save("index_rows", IX.index_documents(wide))
-    done("index", IX.index_results(IX.latest(wide.select("page_id", "embedding", "updated_at"))), "indexed", None, 4)
+    rows = ctx.stage("index_rows", lambda: IX.index_documents(wide, unique=unique), made)
+
+    def indexed():
+        one = wide.select("page_id", "embedding", "updated_at")
+        return IX.index_results(one if unique else IX.latest(one))
+
+    done("index", indexed, "indexed", None, 4, made)
 
     s.update(pages=state.view(clear_errors), payload=pay, index=IX.upsert_index(index, rows),
              stats=A.processing_stats(state.narrow()), complete=A.processing_complete(state.narrow()))

@@ -68,6 +68,48 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _store(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, wherever Spark can write; readers see the old text or the new, never a part."""
+    fs, p = _store(spark, path)
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, p):  # stores that don't rename onto a file
+        fs.delete(p, False)
+        if not fs.rename(part, p):
+            raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if it isn't there."""
+    fs, p = _store(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove one small file, if it is there."""
+    fs, p = _store(spark, path)
+    fs.delete(p, False)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of small files, none if it isn't there."""
+    fs, p = _store(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 
