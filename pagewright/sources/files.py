@@ -3,7 +3,8 @@
 Two inputs are accepted: a directory tree read with Spark's ``binaryFile``
 source, or a caller's manifest DataFrame ``path, content``. The file source
 skips zero-length files and names starting with ``_`` or ``.``; such files
-can only be scanned through a manifest.
+can only be scanned through a manifest. Files beyond the source's 2 GiB are
+hashed chunk by chunk by the tasks themselves (:mod:`.storage`).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash, doc_hash
+from . import storage
 
 PDF_GLOB = "*.[pP][dD][fF]"
 
@@ -48,17 +50,28 @@ def read_tree(spark: SparkSession, root: str, glob: str = PDF_GLOB, skip_bad: bo
     return raw.withColumn("path", rel)
 
 
-def _limit(spark: SparkSession, max_bytes: int | None) -> int:
-    return max_bytes or int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
+def _limit(spark: SparkSession, max_bytes: int | None = None) -> int:
+    """Bytes of the longest file that ``binaryFile`` gives as a row."""
+    own = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
+    return min(own, max_bytes) if max_bytes else own
 
 
-def _hashed(listing: DataFrame, files: DataFrame, limit: int) -> DataFrame:
-    """Every row of ``listing`` with the hashes of its content in ``files``,
-    or the error: longer than ``limit`` bytes, or listed but not readable."""
+def _hashed(listing: DataFrame, files: DataFrame, root: str, max_bytes: int | None) -> DataFrame:
+    """Every row of ``listing`` with the hashes of its content, or the error:
+    longer than ``max_bytes``, or listed but not readable.
+
+    ``files`` has the contents that fit a row; longer files are read by tasks
+    in chunks.
+    """
+    limit = _limit(listing.sparkSession)
+    large = F.col("length") > limit
+    wanted = F.lit(True) if max_bytes is None else F.col("length") <= max_bytes
+    none = F.lit(None).cast("string")
     read = files.select("path", content_hash("content").alias("content_hash"),
-                        doc_hash("content", "path").alias("doc_id"))
-    error = (F.when(F.col("length") > limit, F.format_string("file larger than %d bytes", F.lit(limit)))
-             .when(F.col("content_hash").isNull(), F.lit("unreadable")))
+                        doc_hash("content", "path").alias("doc_id"), none.alias("read_error"))
+    read = read.unionByName(storage.hash_files(listing.filter(large & wanted), root))
+    error = (F.when(~wanted, F.format_string("file larger than %d bytes", F.lit(max_bytes)))
+             .when(F.col("content_hash").isNull(), F.coalesce("read_error", F.lit("unreadable"))))
     return listing.join(read, "path", "left").select(
         "path", "content_hash", "doc_id", "length", "modificationTime", error.alias("error"))
 
@@ -67,14 +80,14 @@ def scan_tree(spark: SparkSession, root: str, max_bytes: int | None = None,
               glob: str = PDF_GLOB) -> DataFrame:
     """S4 on storage: ``path, content_hash, doc_id, length, modificationTime, error``.
 
-    One row per listed file. A file above ``max_bytes`` (default: the
-    session's binaryFile limit) is not read, a file that fails to read stops
-    nothing; both have an ``error`` and NULL hashes.
+    One row per listed file. Files up to the session's binaryFile limit are
+    rows of that source, longer ones are hashed in chunks. A file above
+    ``max_bytes`` is not read, a file that fails to read stops nothing; both
+    have an ``error`` and NULL hashes.
     """
-    limit = _limit(spark, max_bytes)
     listing = read_tree(spark, root, glob).select("path", "length", "modificationTime")
-    readable = read_tree(spark, root, glob, skip_bad=True).filter(F.col("length") <= limit)
-    return _hashed(listing, readable, limit)
+    readable = read_tree(spark, root, glob, skip_bad=True).filter(F.col("length") <= _limit(spark, max_bytes))
+    return _hashed(listing, readable, root, max_bytes)
 
 
 def scan_manifest(files: DataFrame) -> DataFrame:
@@ -111,10 +124,11 @@ def read_contents(spark: SparkSession, root: str, paths: DataFrame, max_bytes: i
                   glob: str = PDF_GLOB) -> DataFrame:
     """``path, content`` for those of the relative ``paths`` that are below ``root``.
 
-    The tree is listed without bytes and joined with ``paths``. The wanted
-    files' range of lengths and modification times is pushed into the
-    reader, which opens no file outside it; the rest is a semi-join. Files
-    changed since the last run are a narrow range of times.
+    The tree is listed without bytes and joined with ``paths``. Ranges of
+    lengths and modification times that cover the wanted files are pushed
+    into the reader, which opens no file outside them; the rest is a
+    semi-join. Files beyond the binaryFile limit are left out, see
+    :func:`.storage.read_chunks`.
     """
     listing = read_tree(spark, root, glob).select("path", "length", "modificationTime")
     wanted = (listing.filter(F.col("length") <= _limit(spark, max_bytes))
@@ -122,14 +136,49 @@ def read_contents(spark: SparkSession, root: str, paths: DataFrame, max_bytes: i
     return _read_wanted(spark, root, wanted, glob)
 
 
-def _read_wanted(spark: SparkSession, root: str, wanted: DataFrame, glob: str) -> DataFrame:
-    lo, hi, short, long = wanted.agg(F.min("modificationTime"), F.max("modificationTime"),
-                                     F.min("length"), F.max("length")).first()
+#: Ranges that a read pushes down, and the equal steps of time from which they are put together.
+RANGES, STEPS = 32, 4096
+
+
+def cover(wanted: DataFrame, ranges: int = RANGES, steps: int = STEPS) -> list[tuple]:
+    """At most ``ranges`` disjoint spans of time that hold all of ``wanted``:
+    (first and last modificationTime, least and greatest length) each.
+
+    The whole span is cut into ``steps``; the files of a step are summed up
+    by Spark, and neighbours with the smallest gaps between them are merged
+    until few enough are left.
+    """
+    lo, hi = wanted.agg(F.min("modificationTime"), F.max("modificationTime")).first()
     if lo is None:
+        return []
+    micros = F.unix_micros(F.col("modificationTime")) - F.unix_micros(F.lit(lo))
+    width = int((hi - lo).total_seconds() * 1e6) // steps + 1
+    found = (wanted.groupBy(F.floor(micros / width).alias("step"))
+             .agg(F.min("modificationTime"), F.max("modificationTime"), F.min("length"), F.max("length"))
+             .orderBy("step").collect())
+    spans = [tuple(r)[1:] for r in found]
+    gaps = sorted((spans[i][0] - spans[i - 1][1] for i in range(1, len(spans))), reverse=True)[:ranges - 1]
+    out: list[tuple] = []
+    left = len(gaps)
+    for s in spans:
+        if out and (not left or s[0] - out[-1][1] < gaps[-1]):
+            t = out[-1]
+            out[-1] = (t[0], s[1], min(t[2], s[2]), max(t[3], s[3]))
+        else:
+            left -= bool(out)
+            out.append(s)
+    return out
+
+
+def _read_wanted(spark: SparkSession, root: str, wanted: DataFrame, glob: str) -> DataFrame:
+    near = None
+    for first, last, short, long in cover(wanted):
+        one = (F.col("modificationTime").between(F.lit(first), F.lit(last))) & F.col("length").between(short, long)
+        near = one if near is None else near | one
+    if near is None:
         return spark.createDataFrame([], "path string, content binary")
-    near = read_tree(spark, root, glob, skip_bad=True).filter(
-        F.col("modificationTime").between(F.lit(lo), F.lit(hi)) & F.col("length").between(short, long))
-    return near.join(wanted.select("path"), "path", "left_semi").select("path", "content")
+    rows = read_tree(spark, root, glob, skip_bad=True).filter(near)
+    return rows.join(wanted.select("path"), "path", "left_semi").select("path", "content")
 
 
 def scan_tree_incremental(spark: SparkSession, root: str, previous: DataFrame | None,
@@ -141,7 +190,6 @@ def scan_tree_incremental(spark: SparkSession, root: str, previous: DataFrame |
     that row's hashes; the others are read and hashed. Output as
     :func:`scan_tree`: keep it as the next run's ``previous``.
     """
-    limit = _limit(spark, max_bytes)
     listing = read_tree(spark, root, glob).select("path", "length", "modificationTime")
     cols = ["path", "content_hash", "doc_id", "length", "modificationTime"]
     none = F.lit(None).cast("string")
@@ -152,5 +200,5 @@ def scan_tree_incremental(spark: SparkSession, root: str, previous: DataFrame |
         kept = listing.join(previous.filter(F.col("content_hash").isNotNull()).select(*cols),
                             ["path", "length", "modificationTime"], "inner").select(*cols)
     todo = listing.join(kept.select("path"), "path", "left_anti")
-    fresh = _read_wanted(spark, root, todo.filter(F.col("length") <= limit), glob)
-    return kept.withColumn("error", none).unionByName(_hashed(todo, fresh, limit))
+    fresh = _read_wanted(spark, root, todo.filter(F.col("length") <= _limit(spark, max_bytes)), glob)
+    return kept.withColumn("error", none).unionByName(_hashed(todo, fresh, root, max_bytes))
