@@ -104,6 +104,15 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, False)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name; its parent is made if needed, an existing target is an error."""
+    fs, p = _store(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(p, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of small files, none if it isn't there."""
     fs, p = _store(spark, path)
