@@ -30,6 +30,7 @@ from ..sources import files as FS
 from ..sources import fixtures as fx
 from ..sources.registry import registry_snapshot
 from ..streaming import incremental as INC
+from ..streaming import watch as WA
 from . import pipeline as PL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -487,3 +488,13 @@ def _incremental_ingest(spark, sf):
     files = d.select(fx.base_path(d).alias("path"), F.col("text").alias("content"))
     return INC.ingest_files(spark, files, os.path.join(ctx.root, "registry"),
                             os.path.join(ctx.root, "_stream_checkpoint"), fx.run_ts())
+
+
+@register("watch_events")
+def _watch_events(spark, sf):
+    """The stream is run after each poll, on the state that the last one left."""
+    folder = os.path.join(run_context(spark).root, "watch")
+    for n, listing in enumerate(fx.polls(spark, sf), start=1):
+        WA.write_poll(listing, folder, 1000 * n)
+        events = WA.follow(spark, folder)
+    return WA.with_moves(events).drop("error")

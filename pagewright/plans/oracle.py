@@ -539,6 +539,27 @@ ORACLE["incremental_ingest"] = q(f"""
 SELECT sha256(text || bp) AS doc_id, bp AS path, sha256(text) AS content_hash, 'ACTIVE' AS status,
        {RUN} AS created_at, {RUN} AS updated_at FROM docs_bp""")
 
+# each poll compared with the one before: by path, then deleted and new files of one content by order of path
+ORACLE["watch_events"] = q("""
+SELECT path, 'MODIFIED' AS event, content_hash, doc_id, old_content_hash, old_doc_id, seen_ms, CAST(NULL AS VARCHAR) AS old_path
+FROM steps WHERE content_hash <> old_content_hash
+UNION ALL
+SELECT coalesce(c.path, g.path), CASE WHEN g.path IS NULL THEN 'NEW' WHEN c.path IS NULL THEN 'DELETED' ELSE 'MOVED' END,
+       c.content_hash, c.doc_id, g.old_content_hash, g.old_doc_id, coalesce(c.seen_ms, g.seen_ms),
+       CASE WHEN c.path IS NOT NULL THEN g.path END
+FROM (SELECT *, row_number() OVER (PARTITION BY seen_ms, content_hash ORDER BY path) AS n FROM steps WHERE old_doc_id IS NULL) c
+FULL JOIN (SELECT *, row_number() OVER (PARTITION BY seen_ms, old_content_hash ORDER BY path) AS n FROM steps WHERE doc_id IS NULL) g
+  ON g.seen_ms = c.seen_ms AND g.old_content_hash = c.content_hash AND g.n = c.n""",
+    """listed AS (
+  SELECT t AS poll, path, sha256(content) AS content_hash, sha256(content || path) AS doc_id FROM (
+    SELECT t, CASE WHEN t > 1 AND doc_id % 10 = 1 THEN 'moved/' || bp ELSE bp END AS path,
+           CASE WHEN t > 1 AND doc_id % 10 = 3 THEN text || ' edited' ELSE text END AS content
+    FROM docs_bp, range(1, 4) r(t) WHERE doc_id % 10 <> (CASE t WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 6 END)) f)""",
+    """steps AS (
+  SELECT coalesce(b.path, a.path) AS path, b.content_hash, b.doc_id, a.content_hash AS old_content_hash,
+         a.doc_id AS old_doc_id, CAST(1000 * coalesce(b.poll, a.poll + 1) AS BIGINT) AS seen_ms
+  FROM (SELECT * FROM listed WHERE poll < 3) a FULL JOIN listed b ON b.path = a.path AND b.poll = a.poll + 1)""")
+
 # ---- embedding vectors (exact: integer counts, IEEE double division, float cast) ----------
 
 ORACLE["embed_pages"] = q("""

@@ -168,3 +168,26 @@ def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(page_id("doc_id", "n").alias("page_id"), "doc_id",
                     F.col("n").cast("int").alias("page_number"),
                     F.col("pdf_path").alias("gcs_pdf_path"), "text")
+
+
+def polls(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three listings of one tree, ``path, length, modified, content_hash, doc_id``.
+
+    Every document is in them. Between the first and the second, of ten ids
+    one is added, one moved, one edited, one deleted and one touched without
+    a change of content; before the third, the deleted one is back and
+    another one gone. ``doc_id % 10`` only says what happens to a file.
+    """
+    d = table(spark, sf_dir, "documents")
+    r, bp = d["doc_id"] % 10, base_path(d)
+
+    def listed(there: Column, path: Column, text: Column, modified: Column) -> DataFrame:
+        return (d.filter(there).select(path.alias("path"), text.alias("content"), modified.alias("modified"))
+                .select("path", F.octet_length("content").cast("long").alias("length"), "modified",
+                        content_hash("content").alias("content_hash"), doc_hash("content", "path").alias("doc_id")))
+
+    moved = F.when(r == 1, F.concat(F.lit("moved/"), bp)).otherwise(bp)
+    edited = F.when(r == 3, F.concat(d["text"], F.lit(" edited"))).otherwise(d["text"])
+    at = F.when(r.isin(3, 5), F.lit(2)).otherwise(F.lit(1)).cast("long")
+    return [listed(r != 2, bp, d["text"], F.lit(1).cast("long")), listed(r != 4, moved, edited, at),
+            listed(r != 6, moved, edited, at)]

@@ -125,7 +125,7 @@ def write_poll(listing: DataFrame, folder: str, seen_ms: int) -> None:
     none = F.lit(None).cast("string")
     rows = listing.select("path", "length", "modified",
                           *(F.col(c) if c in listing.columns else none.alias(c) for c in ("content_hash", "doc_id")))
-    beat = spark.createDataFrame([(_BEAT, None, None, None, None)], rows.schema).coalesce(1)
+    beat = spark.createDataFrame([(_BEAT, None, None, None, None)], T.StructType(LISTING.fields[:-1])).coalesce(1)
     part = os.path.join(folder, "staged", new_run_id())
     (rows.union(beat).withColumn("seen", F.timestamp_millis(F.lit(seen_ms))).write.parquet(part))
     rename(spark, part, os.path.join(folder, "polls", f"poll-{seen_ms:016d}"))
