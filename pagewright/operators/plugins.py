@@ -8,12 +8,17 @@ alone, and a row that still raises is returned with its error text, so one
 bad page never stops a stage. A page that the plug-in leaves out is FAILED; a
 page it returns twice, or was never given, is an error of its batch. Results are keyed by ``page_id``, so a task
 retried after a lost executor writes the same keys again.
+
+Calls of a slow service can overlap: a task keeps up to ``in_flight`` of them
+open and passes results on as they come, in any order. It holds no more input
+than the open calls and one Arrow batch.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -22,13 +27,20 @@ from ..functions.text import status_from_error
 
 
 def run_plugin(df: DataFrame, fn: Callable, value_type: T.DataType,
-               retry_wait_s: float = 0.0, max_concurrency: int | None = None) -> DataFrame:
+               retry_wait_s: float = 0.0, max_concurrency: int | None = None, in_flight: int = 1,
+               call_rows: int | None = None, attempts: int = 1) -> DataFrame:
     """Apply ``fn`` to ``df`` batch-wise; output ``page_id, value, error, status``.
 
-    ``retry_wait_s``: pause before a failed batch is retried row by row (the
-    reference waits 60 s after a failed page). ``max_concurrency`` caps how
-    many tasks call the service at once.
+    ``retry_wait_s``: pause before a failed call is retried row by row (the
+    reference waits 60 s after a failed page), and before each further try.
+    ``attempts``: tries of a row on its own; the last error is its result.
+    ``max_concurrency`` caps how many tasks call the service at once,
+    ``in_flight`` how many calls one task has open (their product is the
+    service's load). ``call_rows``: rows of one call, by default an Arrow
+    batch. With ``in_flight`` above 1, ``fn`` runs in threads.
     """
+    if in_flight < 1 or attempts < 1 or (call_rows is not None and call_rows < 1):
+        raise ValueError("in_flight, attempts and call_rows are 1 or more")
     schema = T.StructType([T.StructField("page_id", T.StringType(), False),
                            T.StructField("value", value_type, True),
                            T.StructField("error", T.StringType(), True)])
@@ -47,24 +59,42 @@ def run_plugin(df: DataFrame, fn: Callable, value_type: T.DataType,
                 out = lost if out.empty else pd.concat([out, lost], ignore_index=True)
             return out
 
-        for pdf in batches:
-            try:
-                yield call(pdf)
-                continue
-            except Exception:  # noqa: BLE001 - errors become values
+        def alone(one):
+            """One row, tried again until it succeeds or ``attempts`` are used up."""
+            for _ in range(attempts):
                 if retry_wait_s:
                     time.sleep(retry_wait_s)
-            parts = []
-            for i in range(len(pdf)):
-                one = pdf.iloc[i:i + 1]
                 try:
-                    parts.append(call(one))
-                except Exception as e:  # noqa: BLE001
-                    parts.append(pd.DataFrame({"page_id": one["page_id"].values,
-                                               "value": [None],
-                                               "error": [f"{type(e).__name__}: {e}"]}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+                    return call(one)
+                except Exception as e:  # noqa: BLE001 - errors become values
+                    error = f"{type(e).__name__}: {e}"
+            return pd.DataFrame({"page_id": one["page_id"].values, "value": [None], "error": [error]})
+
+        def work(pdf):
+            try:
+                return call(pdf)
+            except Exception:  # noqa: BLE001 - errors become values
+                return pd.concat([alone(pdf.iloc[i:i + 1]) for i in range(len(pdf))], ignore_index=True)
+
+        def parts():
+            for pdf in batches:
+                step = call_rows or max(1, len(pdf))
+                for i in range(0, len(pdf), step):
+                    yield pdf.iloc[i:i + step].reset_index(drop=True)
+
+        if in_flight == 1:
+            yield from map(work, parts())
+            return
+        with ThreadPoolExecutor(in_flight) as pool:
+            open_calls = set()
+            for part in parts():
+                if len(open_calls) >= in_flight:
+                    ended, open_calls = wait(open_calls, return_when=FIRST_COMPLETED)
+                    yield from (c.result() for c in ended)
+                open_calls.add(pool.submit(work, part))
+            while open_calls:
+                ended, open_calls = wait(open_calls, return_when=FIRST_COMPLETED)
+                yield from (c.result() for c in ended)
 
     src = df.repartition(max_concurrency) if max_concurrency else df
     out = src.mapInPandas(apply, schema)
