@@ -30,6 +30,7 @@ from ..operators import stats as A
 from ..schemas import ACTIVE, COMPLETED, FAILED, RUN_LOG, RUNNING, STAGES
 from ..session import drop_temporary, new_run_id, temporary_count, work_path
 from ..sources.files import scan_with_errors
+from ..sources.index_sink import IndexClient, write_index
 from .manifest import Manifest, fingerprint, fingerprint_of, of_files
 
 
@@ -304,7 +305,7 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
                  mode: str = "strict", extract_fn=None, summary_fn=None, embed_fn=None,
                  plugin_opts: dict | None = None, clear_error_on_success: bool = False,
                  scan: DataFrame | None = None, contents=None,
-                 scan_errors: DataFrame | None = None) -> dict:
+                 scan_errors: DataFrame | None = None, sink: IndexClient | None = None) -> dict:
     """Detect, split, extract, situate, embed, index.
 
     ``payload``: page objects of earlier runs (``page_id, doc_id,
@@ -324,12 +325,14 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
     tables of finished stages and goes on after the last of them, provided
     that the inputs are the same rows; a plug-in counts as the same while its
     module and name are. ``files`` with ``length`` and ``modificationTime``
-    are compared by these and not by their bytes.
+    are compared by these and not by their bytes. ``sink`` is an index service:
+    the run's index rows are staged there by tasks and published as a whole
+    before any page is marked as indexed.
     """
     try:
         out = _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn,
                           summary_fn, embed_fn, plugin_opts or {}, clear_error_on_success,
-                          scan, contents, scan_errors)
+                          scan, contents, scan_errors, sink)
     except Exception as e:
         ctx.log(FAILED, error=f"{type(e).__name__}: {e}")
         ctx.run_log()
@@ -346,7 +349,7 @@ def _named(fn) -> str | None:
 
 
 def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, summary_fn,
-                embed_fn, opts, clear_errors, scan=None, contents=None, scan_errors=None):
+                embed_fn, opts, clear_errors, scan=None, contents=None, scan_errors=None, sink=None):
     ctx.log(RUNNING, "sync")
     s = sync(ctx, files, registry, pages, mode=mode, scan=scan, scan_errors=scan_errors)
     reg, state = s["registry"], s["state"]
@@ -418,6 +421,13 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     wide = state.of(waiting, *[c for c in state.base.columns if c != "page_id"])
     rows = ctx.stage("index_rows", lambda: IX.index_documents(wide, unique=unique), made)
 
+    if sink is not None:
+        def sent():
+            write_index(rows, sink, ctx.run_id)
+            return rows.agg(F.count(F.lit(1)).alias("n"))
+
+        ctx.stage("index_sent", sent, ["index_rows"], type(sink).__qualname__)
+
     def indexed():
         one = wide.select("page_id", "embedding", "updated_at")
         return IX.index_results(one if unique else IX.latest(one))
