@@ -147,17 +147,18 @@ def stage_patches(results: DataFrame, stage: str, value_col: str | None, seq: in
     return results.select(*cols)
 
 
-def page_status_flips(pages: DataFrame, registry: DataFrame) -> DataFrame:
-    """``page_id, status`` for pages whose document status differs.
+def page_status_flips(pages: DataFrame, registry: DataFrame, keep: tuple = ()) -> DataFrame:
+    """``page_id, _new_status`` (and ``keep``) for pages whose document status differs.
 
     Computed on the narrow ``(page_id, doc_id, status)`` projection, so the
     join by ``doc_id`` never moves page text or vectors.
     """
     docs = registry.select("doc_id", F.col("status").alias("_d"))
-    narrow = pages.select("page_id", "doc_id", "status").join(docs, "doc_id", "inner")
+    narrow = pages.select("page_id", "doc_id", "status", *keep).join(docs, "doc_id", "inner")
     flip = (F.col("_d").isin(*DOC_STATUSES) & F.col("status").isin(*DOC_STATUSES)
             & (F.col("_d") != F.col("status")))
-    return narrow.filter(flip).select("page_id", F.col("_d").alias("_new_status"))
+    kept = [c for c in ("status", *keep) if keep]
+    return narrow.filter(flip).select("page_id", F.col("_d").alias("_new_status"), *kept)
 
 
 def sync_page_status(pages: DataFrame, registry: DataFrame, now) -> DataFrame:

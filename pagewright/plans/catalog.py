@@ -266,6 +266,24 @@ def _stage_progress(spark, sf):
     return A.stage_progress(fx.pages_f3(spark, sf))
 
 
+def kept_counts(spark, sf):
+    """Status counts of the page state, brought up to date by the pages that patches changed."""
+    pages = fx.pages_f3(spark, sf).select("page_id", *A.STATUSES)
+    patches = extraction_patches(spark, sf).select("page_id", "seq", "extracted")
+    before = pages.join(patches.select("page_id"), "page_id", "left_semi")
+    return A.add_counts(A.status_counts(pages), A.count_change(before, U.patch_pages(before, patches)))
+
+
+@register("status_counts")
+def _status_counts(spark, sf):
+    return kept_counts(spark, sf)
+
+
+@register("stage_progress_kept")
+def _stage_progress_kept(spark, sf):
+    return A.stage_progress(kept_counts(spark, sf), "n")
+
+
 @register("first_n_pages")
 def _first_n_pages(spark, sf):
     return PG.first_n_pages(fx.pages_f3(spark, sf)).select(

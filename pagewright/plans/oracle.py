@@ -381,6 +381,17 @@ FROM pages_f3 p LEFT JOIN folded f ON f.page_id = p.page_id""",
       arg_max(updated_at, seq) FILTER (WHERE updated_at IS NOT NULL) AS updated_at
       FROM patches GROUP BY page_id)""")
 
+# the whole state counted after the patches
+_PATCHED = [ORACLE["patch_pages"][len(q("")):].split("\nSELECT p.page_id, coalesce(f.extracted_text")[0].lstrip(", \n"),
+            """patched AS (SELECT p.* REPLACE (coalesce(f.extracted, p.extracted) AS extracted)
+  FROM pages_f3 p LEFT JOIN folded f ON f.page_id = p.page_id)"""]
+ORACLE["status_counts"] = q("""
+SELECT status, extracted, summarized, embedded, indexed, CAST(count(*) AS BIGINT) AS n FROM patched GROUP BY ALL""", *_PATCHED)
+
+ORACLE["stage_progress_kept"] = q(" UNION ALL ".join(
+    f"SELECT '{s}' AS stage, {s} AS stage_status, CAST(count(*) AS BIGINT) AS n FROM patched WHERE status = 'ACTIVE' GROUP BY {s}"
+    for s in STAGE_OF.values()), *_PATCHED)
+
 _FLIPPED = """flipped AS (
   SELECT p.*, r.status AS d_status,
          coalesce(r.status IN ('ACTIVE', 'INACTIVE') AND p.status IN ('ACTIVE', 'INACTIVE')

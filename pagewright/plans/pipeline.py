@@ -27,7 +27,7 @@ from ..operators import pages as PG
 from ..operators import queues as W
 from ..operators import situate as SI
 from ..operators import stats as A
-from ..schemas import ACTIVE, COMPLETED, FAILED, RUN_LOG, RUNNING, STAGES
+from ..schemas import ACTIVE, COMPLETED, FAILED, RUN_LOG, RUNNING, STAGES, SUCCESS
 from ..session import drop_temporary, new_run_id, temporary_count, work_path
 from ..sources.files import scan_with_errors
 from ..sources.index_sink import IndexClient, write_index
@@ -226,13 +226,14 @@ def sync(ctx: RunContext, files: DataFrame | None, registry: DataFrame, pages: D
     changes = ctx.stage("changes", found, ["scan_all", "scan_errors", "registry_before"], mode)
     new_reg = ctx.stage("registry", lambda: apply(registry, changes, ctx.now), ["registry_before", "changes"])
     drop_temporary(ctx.spark, before)
-    flips = ctx.stage("page_status_flips", lambda: U.page_status_flips(pages, new_reg), ["pages_before", "registry"])
+    flips = ctx.stage("page_status_flips", lambda: U.page_status_flips(pages, new_reg, STAGES),
+                      ["pages_before", "registry"])
     state = PageState(pages)
     state.patch(flips.select("page_id", F.lit(0).cast("long").alias("seq"), F.col("_new_status").alias("status"),
                              F.lit(ctx.now).cast("timestamp_ntz").alias("updated_at")
                              if not isinstance(ctx.now, Column) else ctx.now.alias("updated_at")))
     out.update(scan=scan, changes=changes, change_counts=D.change_counts(changes),
-               registry=new_reg, state=state, pages=state.view(),
+               registry=new_reg, state=state, pages=state.view(), flips=flips,
                page_status_counts=U.sync_page_status_counts(
                    flips.select(F.col("_new_status").alias("status"), F.lit(True).alias("_flip"))),
                stats=A.processing_stats(state.narrow()))
@@ -305,7 +306,8 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
                  mode: str = "strict", extract_fn=None, summary_fn=None, embed_fn=None,
                  plugin_opts: dict | None = None, clear_error_on_success: bool = False,
                  scan: DataFrame | None = None, contents=None,
-                 scan_errors: DataFrame | None = None, sink: IndexClient | None = None) -> dict:
+                 scan_errors: DataFrame | None = None, sink: IndexClient | None = None,
+                 counts: DataFrame | None = None) -> dict:
     """Detect, split, extract, situate, embed, index.
 
     ``payload``: page objects of earlier runs (``page_id, doc_id,
@@ -327,19 +329,20 @@ def run_pipeline(ctx: RunContext, files: DataFrame, registry: DataFrame, pages:
     module and name are. ``files`` with ``length`` and ``modificationTime``
     are compared by these and not by their bytes. ``sink`` is an index service:
     the run's index rows are staged there by tasks and published as a whole
-    before any page is marked as indexed.
+    before any page is marked as indexed. ``counts`` are the status counts
+    that the last run returned for ``pages``: this run then adds what it
+    changed to them and doesn't count the whole table again.
     """
     try:
         out = _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn,
                           summary_fn, embed_fn, plugin_opts or {}, clear_error_on_success,
-                          scan, contents, scan_errors, sink)
+                          scan, contents, scan_errors, sink, counts)
     except Exception as e:
         ctx.log(FAILED, error=f"{type(e).__name__}: {e}")
         ctx.run_log()
         raise
     total = out["registry"].filter(F.col("status") == ACTIVE).count()
-    open_docs = out["state"].narrow().filter((F.col("status") == ACTIVE) & ~A.all_done()).select("doc_id").distinct().count()
-    ctx.log(COMPLETED, total=total, processed=total - open_docs)
+    ctx.log(COMPLETED, total=total, processed=total - out["open_docs"].count())
     out["run_state"] = U.run_state(ctx.run_log())
     return out
 
@@ -349,7 +352,7 @@ def _named(fn) -> str | None:
 
 
 def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, summary_fn,
-                embed_fn, opts, clear_errors, scan=None, contents=None, scan_errors=None, sink=None):
+                embed_fn, opts, clear_errors, scan=None, contents=None, scan_errors=None, sink=None, counts=None):
     ctx.log(RUNNING, "sync")
     s = sync(ctx, files, registry, pages, mode=mode, scan=scan, scan_errors=scan_errors)
     reg, state = s["registry"], s["state"]
@@ -415,7 +418,7 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     made = ["status_embed", "split", "extract_results", "summary_results", "embed_results", "index_before"]
     waiting = ctx.stage("index_queue", lambda: (
         W.queue(state.open, "index") if index is None
-        else W.queue_index_for_model(state.narrow(), index, EM.MODEL)).select("page_id"), made)
+        else W.queue_index_for_model(state.narrow(), index, EM.MODEL)).select(*PageState.STATUS), made)
     # repeated ids are rare, and seen on the short rows; only then are the wide ones sorted
     unique = not waiting.groupBy("page_id").count().filter("count > 1").limit(1).count()
     wide = state.of(waiting, *[c for c in state.base.columns if c != "page_id"])
@@ -434,8 +437,24 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
 
     done("index", indexed, "indexed", None, 4, made)
 
-    s.update(pages=state.view(clear_errors), payload=pay, index=IX.upsert_index(index, rows),
-             stats=A.processing_stats(state.narrow()), complete=A.processing_complete(state.narrow()))
+    # pages that were done and only missing in this model's index
+    stale = waiting.filter(F.col("indexed") == SUCCESS)
+    again = stale.drop("indexed").join(ctx.tables["index_results"].select("page_id", F.col("status").alias("indexed")), "page_id")
+    ctx.input("counts_before", counts)
+
+    def counted():
+        flips = s["flips"]
+        return A.add_counts(
+            A.status_counts(pages) if counts is None else counts,
+            A.count_change(flips, flips.withColumn("status", F.col("_new_status"))),
+            A.count_change(ctx.tables["status_sync"], state.open), A.count_change(stale, again))
+
+    now = ctx.stage("status_counts", counted,
+                    ["counts_before", "pages_before", "page_status_flips", "status_sync", "status_index", "index_queue", "index_results"])
+    open_docs = state.open.filter((F.col("status") == ACTIVE) & ~A.all_done()).select("doc_id").union(
+        again.filter(F.col("indexed") != SUCCESS).select("doc_id")).distinct()
+    s.update(pages=state.view(clear_errors), payload=pay, index=IX.upsert_index(index, rows), counts=now,
+             open_docs=open_docs, stats=A.processing_stats(now, "n"), complete=A.processing_complete(now, "n"))
     return s
 
 
