@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -271,6 +272,9 @@ class PageState:
         if log is None:
             return base
         kept = [c for c in log.columns if c == "seq" or c in base.columns]
+        says = [F.col(c).isNotNull() for c in kept if c not in ("page_id", "seq", "updated_at")]
+        if says and "updated_at" not in base.columns:  # patches of other columns only
+            log = log.filter(reduce(Column.__or__, says))
         return U.patch_pages(base, log.select(*kept), clear_errors)
 
     def narrow(self) -> DataFrame:
@@ -432,10 +436,11 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
         ctx.stage("index_sent", sent, ["index_rows"], type(sink).__qualname__)
 
     def indexed():
-        one = wide.select("page_id", "embedding", "updated_at")
-        return IX.index_results(one if unique else IX.latest(one))
+        # the pages with an index row have a vector; no wide row is read again
+        there = rows.select("page_id", F.lit(True).alias("embedding"))
+        return IX.index_results(waiting.select("page_id").distinct().join(there, "page_id", "left"))
 
-    done("index", indexed, "indexed", None, 4, made)
+    done("index", indexed, "indexed", None, 4, ["index_queue", "index_rows"])
 
     # pages that were done and only missing in this model's index
     stale = waiting.filter(F.col("indexed") == SUCCESS)
