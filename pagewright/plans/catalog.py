@@ -195,13 +195,13 @@ def _all_doc_ids(spark, sf):
 
 @register("exists_document")
 def _exists_document(spark, sf):
-    keys = fx.scan_f1(spark, sf).select("doc_id", "path")
+    keys = FS.scan_manifest(fx.present_files(spark, sf)).select("doc_id", "path")
     return Q.exists_document(keys, fx.registry_f2(spark, sf))
 
 
 @register("docs_by_content_hash")
 def _docs_by_content_hash(spark, sf):
-    return Q.docs_by_content_hash(fx.scan_f1(spark, sf), fx.registry_f2(spark, sf))
+    return Q.docs_by_content_hash(FS.scan_manifest(fx.present_files(spark, sf)), fx.registry_f2(spark, sf))
 
 
 @register("doc_id_by_content_hash")
@@ -329,7 +329,7 @@ def _apply_changes(spark, sf):
 
 @register("register_pages")
 def _register_pages(spark, sf):
-    s = fx.storage(spark, sf)
+    s = fx.present_files(spark, sf)
     docs = s.select(H.doc_hash("content", "path").alias("doc_id"), "path", "content")
     split = PG.paginate(docs)
     return PG.register_pages(fx.pages_f3(spark, sf), split, fx.run_ts())

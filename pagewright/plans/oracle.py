@@ -257,13 +257,16 @@ SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, embedding FROM embedding
 
 ORACLE["all_doc_ids"] = q("SELECT DISTINCT doc_id FROM registry")
 
+_PRESENT = """present AS (
+  SELECT CASE WHEN doc_id % 10 = 1 THEN 'moved/' || bp ELSE bp END AS path, text AS content FROM docs_bp)"""
+
 ORACLE["exists_document"] = q("""
 SELECT s.doc_id, s.path, EXISTS (SELECT 1 FROM registry r WHERE r.doc_id = s.doc_id) AS "exists"
-FROM scan s""")
+FROM (SELECT sha256(content || path) AS doc_id, path FROM present) s""", _PRESENT)
 
 ORACLE["docs_by_content_hash"] = q("""
 SELECT content_hash, doc_id, path FROM registry
-WHERE status = 'ACTIVE' AND content_hash IN (SELECT content_hash FROM scan)""")
+WHERE status = 'ACTIVE' AND content_hash IN (SELECT sha256(content) FROM present)""", _PRESENT)
 
 ORACLE["doc_id_by_content_hash"] = q("""
 SELECT content_hash, min(doc_id) AS doc_id FROM registry
@@ -356,7 +359,7 @@ SELECT * FROM pages_f3 UNION ALL
 SELECT page_id, doc_id, page_number, gcs_path, gcs_pdf_path, NULL, NULL, CAST(NULL AS FLOAT[]),
        'PENDING', 'PENDING', 'PENDING', 'PENDING', NULL, 'ACTIVE', {RUN}, {RUN}
 FROM split_all WHERE page_id NOT IN (SELECT page_id FROM pages_f3)""",
-    "docs_in AS (SELECT sha256(content || path) AS doc_id, path, content FROM storage)", _SPLIT_ALL)
+    _PRESENT, "docs_in AS (SELECT sha256(content || path) AS doc_id, path, content FROM present)", _SPLIT_ALL)
 
 ORACLE["patch_pages"] = q("""
 SELECT p.page_id, coalesce(f.extracted_text, p.extracted_text) AS extracted_text,

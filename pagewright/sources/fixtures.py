@@ -47,6 +47,14 @@ def storage(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(path.alias("path"), d["text"].alias("content"), d["n_chars"].alias("length")))
 
 
+def present_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file, a tenth of them moved and none deleted: ``path, content``."""
+    d = table(spark, sf_dir, "documents")
+    bp = base_path(d)
+    path = F.when(d["doc_id"] % 10 == 1, F.concat(F.lit("moved/"), bp)).otherwise(bp)
+    return d.select(path.alias("path"), d["text"].alias("content"))
+
+
 def all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a file, none deleted: ``path, content, length``."""
     d = table(spark, sf_dir, "documents")
