@@ -32,6 +32,7 @@ from ..sources.registry import registry_snapshot
 from ..streaming import incremental as INC
 from ..streaming import watch as WA
 from . import pipeline as PL
+from .state_table import StateTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -361,6 +362,18 @@ def _patch_pages(spark, sf):
         "page_id", "extracted_text", "extracted", "error_message", "updated_at")
 
 
+@register("compact_pages")
+def _compact_pages(spark, sf):
+    """The patches in a log, folded where a bucket has a patch on each third row."""
+    patches = extraction_patches(spark, sf)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in patches.schema)
+    table = StateTable.create(fx.pages_f3(spark, sf), columns, os.path.join(run_context(spark).root, "state"),
+                              int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table.append(patches, 1)
+    table.compact(1 / 3)
+    return table.read().select("page_id", "extracted_text", "extracted", "error_message", "updated_at")
+
+
 @register("sync_page_status")
 def _sync_page_status(spark, sf):
     synced = U.sync_page_status(fx.pages_f3(spark, sf), synced_registry(spark, sf), fx.run_ts())

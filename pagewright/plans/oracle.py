@@ -384,6 +384,8 @@ FROM pages_f3 p LEFT JOIN folded f ON f.page_id = p.page_id""",
       arg_max(updated_at, seq) FILTER (WHERE updated_at IS NOT NULL) AS updated_at
       FROM patches GROUP BY page_id)""")
 
+ORACLE["compact_pages"] = ORACLE["patch_pages"]
+
 # the whole state counted after the patches
 _PATCHED = [ORACLE["patch_pages"][len(q("")):].split("\nSELECT p.page_id, coalesce(f.extracted_text")[0].lstrip(", \n"),
             """patched AS (SELECT p.* REPLACE (coalesce(f.extracted, p.extracted) AS extracted)
