@@ -295,12 +295,13 @@ def class_roots(docs: DataFrame, rows: DataFrame, classes: DataFrame, words: int
                     .select("band", "cls", F.coalesce("root", "cls").alias("root")), "named-members")
     sign = (F.count(F.lit(1)), F.sum(F.xxhash64("cls").cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit(1), "cls")))
     short = F.xxhash64("root")
-    apart = (named.groupBy("band").agg(F.min(short).alias("lo"), F.max(short).alias("hi"),
-                                       *(s.alias(f"s{i}") for i, s in enumerate(sign)))
-             .filter("lo <> hi").groupBy("s0", "s1", "s2").agg(F.min("band").alias("band")).select("band"))
+    apart = written(named.groupBy("band").agg(F.min(short).alias("lo"), F.max(short).alias("hi"),
+                                              *(s.alias(f"s{i}") for i, s in enumerate(sign)))
+                    .filter("lo <> hi").groupBy("s0", "s1", "s2").agg(F.min("band").alias("band")).select("band"), "apart")
     rest = named.join(apart, "band").join(sets, "cls")
-    weight = (named.join(apart, "band").join(sets.select("cls", "n"), "cls").groupBy("band")
-              .agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks")))
+    # a short row a bucket, written so that Spark can split a large bucket's rows in the joins
+    weight = written(named.join(apart, "band").join(sets.select("cls", "n"), "cls").groupBy("band")
+                     .agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks")), "weights")
     own = F.pmod(F.xxhash64(F.lit(2), "cls"), F.col("blocks")).cast("int")
     dealt = (rest.join(weight, "band").select("band", own.alias("block"), "blocks", "cls", "root", "hashes")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
