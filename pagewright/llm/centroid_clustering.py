@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 from .common import table, written
 
 SIZE = 64
-#: Coefficients known after each step of the search.
-STEPS = (1, 4, 8, 16, 32, 64)
+#: Coefficients known after each step of the search; the first step is one product for all pairs.
+STEPS = (32, 48, 64)
 #: Below this, sums of squares of transformed differences fit 64-bit integers; larger components are Python integers.
 EXACT = 1 << 21
 _BATCH = 4096
@@ -65,11 +65,16 @@ def nearest(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.
     if vectors.dtype == object or centroids.dtype == object or np.abs(centroids).max(initial=0) >= EXACT:
         vectors, centroids = vectors.astype(object), centroids.astype(object)
     v, c = transform(vectors), transform(centroids)
-    n, k = len(v), len(c)
-    row, cen = np.repeat(np.arange(n), k), np.tile(np.arange(k), n)
-    so_far, at = np.zeros(n * k, v.dtype), 0
-    best = np.empty(n, v.dtype)
-    for upto in STEPS:
+    n, at = len(v), STEPS[0]
+    # the coarse step for all pairs at once: (x - y)^2 summed is x^2 + y^2 - 2xy
+    x, y = v[:, :at], c[:, :at]
+    table = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T)
+    first = table.argmin(1)
+    rest = v[:, at:] - c[first, at:]
+    best = table[np.arange(n), first] + (rest * rest).sum(1)
+    row, cen = np.nonzero((table <= best[:, None]).astype(bool))
+    so_far = table[row, cen]
+    for upto in STEPS[1:]:
         d = v[row, at:upto] - c[cen, at:upto]
         so_far = so_far + (d * d).sum(1)
         at = upto
@@ -79,8 +84,7 @@ def nearest(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.
         first = np.flatnonzero(so_far == np.repeat(low, np.diff(np.append(starts, len(row)))))
         first = first[np.unique(row[first], return_index=True)[1]]
         rest = v[row[first], upto:] - c[cen[first], upto:]
-        whole = so_far[first] + (rest * rest).sum(1)
-        best = whole if upto == STEPS[0] else np.minimum(best, whole)
+        best = np.minimum(best, so_far[first] + (rest * rest).sum(1))
         live = (so_far <= best[row]).astype(bool)
         row, cen, so_far = row[live], cen[live], so_far[live]
     # all 64 are in: what is left is each row's nearest, smaller numbers first

@@ -60,7 +60,7 @@ def test_worse_centroids_go_early():
         K.nearest(v, c)
     finally:
         K.np = np
-    assert steps[0] == 500 * 40 and steps[-1] < 600
+    assert steps[0] < 500 * 40 / 4 and steps[-1] < 600
 
 
 def as_rows(spark, rows):
