@@ -21,7 +21,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from pagewright.session import build_session, checkpoint_dir
     from pagewright.plans.catalog import QUERIES
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false"})
     checkpoint_dir(spark, os.environ.get("WORK_DIR"))  # else the session's warehouse
     print(f"# Physical plans of the registered queries\n\nGenerated by `scripts/plan_report.py {sf}` "
           f"(Spark {spark.version}, AQE final plans, 8 shuffle partitions). "
