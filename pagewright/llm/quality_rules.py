@@ -11,6 +11,11 @@ References are the mean histograms over all documents long enough that pass
 the base rules; every document weighs the same. The words of these documents
 are counted exactly: tasks add them up in parts of bounded size, one shuffle
 adds up the parts.
+
+Any number of languages works alike: their common words are a table, and what
+a task or the driver holds is the references of ``LANGUAGES`` of them. With
+more, documents are compared with one block of languages after the other, and
+the best of each text is kept.
 """
 
 from __future__ import annotations
@@ -34,8 +39,8 @@ KEPT_WORDS = 200_000
 MIN_WORDS, MIN_CHARS = 50, 200
 #: Largest distances of kept texts, apart from chance.
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.25
-#: More values of ``lang`` than this aren't languages; all documents then share one reference.
-LANGUAGES = 1000
+#: Languages (values of ``lang`` with a reference) whose references are held at a time, about.
+LANGUAGES = 500
 
 _WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 #: Characters counted as symbols, and the character classes by example.
@@ -114,8 +119,8 @@ def _enters(text: str, words: list[str]) -> bool:
     return len(words) >= MIN_WORDS and len(text) >= MIN_CHARS and not base_fails(len(words), repeated_words(words))
 
 
-def common_candidates(docs: DataFrame) -> list[str]:
-    """The ``COMMON_WORDS`` most common words of each language, in the documents that enter its reference."""
+def common_words(docs: DataFrame) -> DataFrame:
+    """``lang, w``: the ``COMMON_WORDS`` most common words of each language, in the documents that enter its reference."""
 
     def run(batches):
         seen: dict[str, Counter] = {}
@@ -139,8 +144,12 @@ def common_candidates(docs: DataFrame) -> list[str]:
     found = (docs.select("text", "lang").filter("lang is not null").mapInArrow(run, "lang string, w string, n long")
              .groupBy("lang", "w").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
-    top = found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= COMMON_WORDS)
-    return sorted(r.w for r in top.select("w").distinct().collect())
+    return found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= COMMON_WORDS).select("lang", "w")
+
+
+def common_candidates(common: DataFrame) -> list[str]:
+    """The different words of ``lang, w`` rows, which are a block of languages at most."""
+    return sorted(r.w for r in common.select("w").distinct().collect())
 
 
 def features(docs: DataFrame, candidates: list[str], keep: list[str]) -> DataFrame:
@@ -172,12 +181,6 @@ def features(docs: DataFrame, candidates: list[str], keep: list[str]) -> DataFra
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, full)
 
 
-def _language(rows: DataFrame) -> DataFrame:
-    if rows.select("lang").distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
-        return rows.withColumn("lang", F.lit("all"))
-    return rows
-
-
 def references(feats: DataFrame, candidates: int) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per language: mean class histogram, the ids of its common words, their mean shares and that of all others."""
     good = (feats.filter("lang is not null").filter((F.col("n_words") >= MIN_WORDS)
@@ -214,6 +217,7 @@ def references(feats: DataFrame, candidates: int) -> dict[str, tuple[np.ndarray,
     for lang, s in sorted(sums.items()):
         exact = s[1 + k + candidates:]
         ids = np.lexsort((np.arange(candidates), -exact))[:COMMON_WORDS]
+        ids = ids[exact[ids] > 0]  # words of other languages are no bins of this one
         share = s[1 + k:1 + k + candidates][ids] / s[0]
         out[lang] = (s[1:1 + k] / s[0], ids, np.append(share, max(0.0, 1 - share.sum())))
     return out
@@ -231,7 +235,8 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def compare(feats: DataFrame, refs: dict, keep: list[str]) -> DataFrame:
-    """``keep, base_failed, kept, language, char_distance, word_distance``: the language that explains a text best.
+    """``keep, base_failed, kept, language, char_distance, word_distance``: the language that explains a text best;
+    ``worst``: the larger of its distances by their bounds, 1 or less if it explains both.
 
     Texts below the minimum length, or without any reference, have null
     language and distances and are kept if the base rules pass.
@@ -239,7 +244,7 @@ def compare(feats: DataFrame, refs: dict, keep: list[str]) -> DataFrame:
     full = T.StructType([feats.schema[c] for c in keep] + [
         T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType()),
         T.StructField("language", T.StringType()), T.StructField("char_distance", T.DoubleType()),
-        T.StructField("word_distance", T.DoubleType())])
+        T.StructField("word_distance", T.DoubleType()), T.StructField("worst", T.DoubleType())])
     arrow = arrow_schema(full)
     k = len(CLASSES)
 
@@ -274,7 +279,7 @@ def compare(feats: DataFrame, refs: dict, keep: list[str]) -> DataFrame:
                 dist[0, better], dist[1, better] = np.sqrt(c[better]), np.sqrt(w[better])
             judged = (n >= MIN_WORDS) & (chars >= MIN_CHARS) & np.isfinite(best)
             out = [cols[c] for c in keep] + [pa.array(failed), pa.array(~failed & (~judged | (best <= 1)))]
-            out += [pa.array(np.where(judged, lang, None), pa.string()), *(pa.array(d, mask=~judged) for d in dist)]
+            out += [pa.array(np.where(judged, lang, None), pa.string()), *(pa.array(d, mask=~judged) for d in (*dist, best))]
             yield pa.RecordBatch.from_arrays(out, schema=arrow)
 
     return feats.mapInArrow(run, full)
@@ -286,11 +291,31 @@ def quality(docs: DataFrame, keep: list[str]) -> DataFrame:
     Null texts are empty and fail the base rules; a null ``lang`` is judged by
     the other documents' references. Repeated rows come back repeated.
     """
-    docs = _language(docs.select(*dict.fromkeys([*keep, "text", "lang"])))
-    candidates = common_candidates(docs)
-    feats = written(features(docs, candidates, list(dict.fromkeys([*keep, "lang"]))), "features")
-    refs = references(feats, len(candidates))
-    return compare(feats, refs, [*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+    docs = docs.select(*dict.fromkeys([*keep, "text", "lang"]))
+    counted = [*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    common = written(common_words(docs), "common-words")
+    blocks = -(-common.select("lang").distinct().count() // LANGUAGES)
+    if blocks <= 1:
+        candidates = common_candidates(common)
+        feats = written(features(docs, candidates, list(dict.fromkeys([*keep, "lang"]))), "features")
+        return compare(feats, references(feats, len(candidates)), counted).drop("worst")
+
+    # distances depend on the text alone: the best language of each text, over all blocks
+    key = {"__t1": F.xxhash64("text"), "__t2": F.xxhash64(F.lit(1), "text")}
+    block = F.pmod(F.xxhash64("lang"), F.lit(blocks))
+    found = None
+    for i in range(blocks):
+        candidates = common_candidates(common.filter(block == i))
+        feats = written(features(docs.withColumns(key), candidates, list(dict.fromkeys([*keep, "lang", *key]))), "features")
+        part = (compare(feats, references(feats.filter(block == i), len(candidates)), [*key]).filter("language is not null")
+                .select(*key, F.struct("worst", "language", "char_distance", "word_distance").alias("best")))
+        found = part if found is None else found.union(part)
+    best = written(found.groupBy(*key).agg(F.min("best").alias("best")), "best-languages")
+    base = compare(feats, {}, [*counted, *key]).select(*counted, *key, "base_failed")
+    fits = F.coalesce(F.col("best.worst") <= 1, F.lit(True))
+    return base.join(best, [*key], "left").select(
+        *counted, "base_failed", (~F.col("base_failed") & fits).alias("kept"), "best.language", "best.char_distance",
+        "best.word_distance")
 
 
 def op5_quality_rules(spark, sf_dir):
