@@ -86,3 +86,29 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, sf):
 def test_a_smaller_sample_still_scores_every_row(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     assert C.classify(docs, labels, ["doc_id"], sample_rows=40).count() == docs.count()
+
+
+def test_query_matches_brute_force(spark, sf):
+    """Statistics, folds, rules and scores row by row; only the fit, tested above, is the operator's."""
+    import math
+    import zlib
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality is not None}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i, _ in docs}
+    stats = {i: list(map(float, C.statistics_of(t or ""))) for i, t in docs}
+    known = sorted(i for i, _ in docs if i in labels and not held[i])
+    e = C.fit(np.array([stats[i] for i in known]), np.array([float(labels[i]) for i in known]))
+    assert e.rules
+
+    def score(x):
+        margin = e.intercept
+        for rule, w in zip(e.rules, e.weights):
+            if all((x[b.statistic] > b.value) == b.above for b in rule):
+                margin += w
+        return 1 / (1 + math.exp(-margin))
+
+    got = C.op9_quality_classifier(spark, sf).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert r.score == pytest.approx(score(stats[r.doc_id]), abs=1e-9)
+        assert r.held_out == held[r.doc_id] and r.predicted == int(r.score >= 0.3)
