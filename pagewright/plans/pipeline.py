@@ -30,7 +30,7 @@ from ..operators import situate as SI
 from ..operators import stats as A
 from ..schemas import ACTIVE, COMPLETED, FAILED, RUN_LOG, RUNNING, STAGES, SUCCESS
 from ..session import drop_temporary, new_run_id, temporary_count, work_path
-from ..sources.files import scan_with_errors
+from ..sources.files import read_tree, scan_tree, scan_with_errors
 from ..sources.index_sink import IndexClient, write_index
 from .manifest import Manifest, fingerprint, fingerprint_of, of_files
 
@@ -241,6 +241,26 @@ def sync(ctx: RunContext, files: DataFrame | None, registry: DataFrame, pages: D
     return out
 
 
+def mirror(ctx: RunContext, source_root: str, target_root: str, max_concurrency: int | None = None) -> dict:
+    """S9 from tree to tree: scan both, plan, carry the plan out.
+
+    Returns ``plan``, ``counts`` (per action) and ``outcome`` (a row per file
+    that had work). Sources that can't be read are ERROR in the plan and keep
+    their target. On a named run that died, finished steps are read back, and
+    a copy that was done already is seen by its hash.
+    """
+    ctx.input("files", read_tree(ctx.spark, source_root))
+    source = ctx.stage("mirror_source", lambda: scan_tree(ctx.spark, source_root), ["files"], source_root)
+    ctx.input("files", read_tree(ctx.spark, target_root))
+    target = ctx.stage("mirror_target", lambda: scan_tree(ctx.spark, target_root), ["files"], target_root)
+    bad = F.col("error").isNotNull()
+    plan = ctx.stage("mirror_plan", lambda: MR.mirror_plan(source.filter(~bad), target, source.filter(bad)),
+                     ["mirror_source", "mirror_target"])
+    path = os.path.join(ctx.root, "mirror_outcome")
+    outcome = MR.apply_mirror(plan, source_root, target_root, path, source, max_concurrency)
+    return {"plan": plan, "counts": MR.mirror_plan_counts(plan), "outcome": outcome}
+
+
 class PageState:
     """The page table of earlier runs, rows registered since, and a log of patches.
 

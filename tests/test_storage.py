@@ -155,6 +155,22 @@ def test_mirror_is_applied(spark, tmp_path):
     assert {r.action for r in plan()[0].collect()} == {"SKIP"}
 
 
+def test_a_mirror_run(spark, tmp_path):
+    from pagewright.plans import pipeline as PL
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    tree(src, {f"d{i % 3}/f{i}.pdf": b"%d" % i * 100 for i in range(12)})
+    tree(dst, {"d0/f0.pdf": b"0" * 100, "d1/f1.pdf": b"old", "x/gone.pdf": b"g"})
+    run = f"mirror-{os.urandom(8).hex()}"
+    out = PL.mirror(PL.RunContext.create(spark, "2024-06-01 00:00:00", run_id=run), src, dst)
+    assert {r.action: r.n for r in out["counts"].collect()} == {"SKIP": 1, "UPDATE": 1, "COPY": 10, "DELETE": 1}
+    assert out["outcome"].filter("status = 'DONE'").count() == 12 and contents(dst) == contents(src)
+    # the target has changed, so only the source's scan is read back
+    ctx = PL.RunContext.create(spark, "2024-06-01 00:00:00", run_id=run)
+    out = PL.mirror(ctx, src, dst)
+    assert ctx.reused == ["mirror_source"] and out["outcome"].count() == 0
+    assert {r.action: r.n for r in out["counts"].collect()} == {"SKIP": 12}
+
+
 def test_a_changed_source_leaves_the_target(spark, tmp_path):
     src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
     tree(src, {"x.pdf": b"now"})
