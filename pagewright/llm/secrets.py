@@ -7,7 +7,9 @@ place of a run), and compressed data in any decoded layer. A
 layer whose content was seen before at the same place is not unwrapped again
 (cycles end); equal content at another place is. Each
 layer keeps where its letters came from, so a finding in it is reported at the
-place in the original text that encodes it.
+place in the original text that encodes it. Escapes more than ``STEPS`` deep are
+undone in one pass, so that a long chain of them takes time with its length.
+Compressed data is read window by window, whatever it unpacks to.
 """
 
 from __future__ import annotations
@@ -31,9 +33,10 @@ from .common import arrow_schema, slices, table, text_column
 
 #: Kinds in the order in which findings at one place are listed.
 KINDS = ("assign", "access", "hex")
-#: Letters or bytes of one unwrapped layer at most; larger ones (decompression
-#: bombs) are counted in ``oversized`` instead of being read into memory.
-LAYER_LIMIT = 64 << 20
+#: Unpacked bytes scanned at a time, and how far the next ones overlap them.
+WINDOW, OVERLAP = 8 << 20, 1 << 20
+#: Escapes of escapes that are layers of their own; all deeper ones are one layer.
+STEPS = 8
 
 _KEY = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
 _ASSIGN = re.compile(f"({_KEY})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -53,10 +56,17 @@ _MORE = re.compile(r"[A-Za-z0-9+/_-]{16}|%[0-9A-Fa-f]{2}|\\[uUxn]|&#|[A-Za-z0-9+
 _LATIN = re.compile("[\x00-\xff]+")
 #: Compressed data by its first bytes.
 _PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
-_FORMATS = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor),
-            (b"\xfd7zXZ", lzma.LZMADecompressor), (b"x", zlib.decompressobj))
-#: Compressed bytes unpacked at a time.
+_FORMATS = ((b"\x1f\x8b", lambda: _Zlib(31)), (b"BZh", bz2.BZ2Decompressor),
+            (b"\xfd7zXZ", lzma.LZMADecompressor), (b"x", lambda: _Zlib(15)))
+#: Bytes read or unpacked at a time.
 PIECE = 1 << 16
+#: Letters of the longest start of compressed data.
+_MAGIC = 10
+#: A letter that no pattern and no encoding goes across.
+_NEUTRAL = re.compile(rb"[^A-Za-z0-9+/_.=:\"'\x20\t\r\n%\\\\&#;{}-]")
+_BLANKS = re.compile(rb"\x20{65,}|\t{65,}")
+#: One escape, and the letters of the longest.
+_NESTED, _LONGEST = re.compile(r"%[0-9A-Fa-f]{2}|" + _ESCAPE.pattern[3:-2]), 10
 
 
 def findings(text: str) -> list[tuple[str, int, int]]:
@@ -151,44 +161,150 @@ def _bytes(run: str):
     return raw.decode("latin-1"), range(0, 3 * len(raw), 3), range(3, 3 * len(raw) + 1, 3)
 
 
-def inflate(raw: bytes, at: int = 0) -> tuple[bytes | None, int, bool]:
-    """Decompressed content of the zlib, gzip, bzip2 or xz data at ``at`` with the members
-    that follow it at once, the place after them, and whether it was too large.
+class _Zlib:
+    """zlib with the interface of the other decompressors; damaged data is read to the damage before the error."""
 
-    Data that ends early gives what there is of it; the place is then ``at``.
-    """
-    magic, make = next(f for f in _FORMATS if raw.startswith(f[0], at))
-    out, size, end = [], 0, at
-    while end == at or magic != b"x" and raw.startswith(magic, end):
-        d, begin = make(), end
+    def __init__(self, bits: int):
+        self._d, self.needs_input, self._damaged = zlib.decompressobj(bits), True, False
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        if self._damaged:
+            raise zlib.error("damaged")
+        data = self._d.unconsumed_tail + data
+        before = self._d.copy()
         try:
-            while end < len(raw) and not d.eof:
-                out.append(d.decompress(raw[end:end + PIECE], LAYER_LIMIT + 1 - size))
-                size, end = size + len(out[-1]), end + PIECE
-                if size > LAYER_LIMIT:
-                    return None, at, True
-        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-            return b"".join(out) or None, begin, False
-        if not d.eof:
-            return b"".join(out) or None, begin, False
-        end = min(end, len(raw)) - len(d.unused_data)
-    return b"".join(out) or None, end, False
-
-
-def _streams(raw: bytes) -> tuple[list[tuple[int, int, bytes]], bytes, int]:
-    """``(first, last, content)`` of compressed data anywhere in ``raw``, ``raw`` with zeros for what was unpacked
-    to its end (it may be stored as it is), and how many were too large."""
-    out, oversized, at, rest = [], 0, 0, raw
+            out = self._d.decompress(data, most)
+        except zlib.error:
+            self._damaged, out = True, b""
+            while most:  # shorter and shorter steps up to the damage
+                now = before.copy()
+                try:
+                    got = now.decompress(data, most)
+                except zlib.error:
+                    most //= 2
+                    continue
+                if not got:
+                    break
+                out, before, data = out + got, now, now.unconsumed_tail
+            self.needs_input = False
+            return out
+        self.needs_input = len(out) < most and not self._d.unconsumed_tail
+        return out
+
+    eof = property(lambda self: self._d.eof)
+    unused_data = property(lambda self: self._d.unused_data)
+
+
+class Packed:
+    """zlib, gzip, bzip2 or xz data at ``at`` of ``source`` (bytes, or the ``Packed`` whose content holds
+    it) with the members that follow it at once. The content is not kept but unpacked anew for each reader.
+
+    Data that ends early or is damaged gives what there is of it (bzip2 and xz up to
+    ``PIECE`` bytes before the damage). After the content was read, ``end`` is the
+    place after the last whole member (``at`` if there is none) and ``short`` tells whether the source ended first.
+    """
+
+    def __init__(self, source: bytes | Packed, at: int):
+        self.source, self.at, self.end, self.short = source, at, at, False
+        h, self.size = hashlib.sha256(), 0
+        for piece in self.pieces():
+            h.update(piece)
+            self.size += len(piece)
+        self.digest = h.digest()
+
+    def _input(self):
+        if isinstance(self.source, bytes):
+            for i in range(self.at, len(self.source), PIECE):
+                yield self.source[i:i + PIECE]
+            return
+        skip = self.at
+        for piece in self.source.pieces():
+            if skip < len(piece):
+                yield piece[skip:]
+            skip = max(0, skip - len(piece))
+
+    def pieces(self):
+        """The content, at most ``PIECE`` bytes at a time."""
+        feed = self._input()
+        data = next(feed, b"")
+        while len(data) < _MAGIC and (more := next(feed, b"")):
+            data += more
+        magic, make = next(f for f in _FORMATS if data.startswith(f[0]))
+        d, read, self.end, self.short = make(), len(data), self.at, False
+        while True:
+            try:
+                out = d.decompress(data, PIECE)
+            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                return
+            if out:
+                yield out
+            data = b""
+            if d.eof:
+                data = d.unused_data
+                while len(data) < len(magic) and (more := next(feed, b"")):
+                    data, read = data + more, read + len(more)
+                self.end = self.at + read - len(data)
+                if magic == b"x" or not data.startswith(magic):
+                    return
+                d = make()
+            elif d.needs_input:
+                data = next(feed, b"")
+                read += len(data)
+                if not data:
+                    self.short = True
+                    return
+
+    def windows(self):
+        """``(compressed data in it, text)`` of the content, ``WINDOW`` bytes at a time. The text begins with the end of
+        the window before, from a neutral letter on if there is one; long runs of blanks are cut short before
+        that, since findings may go across any number of them."""
+        pieces, carry, offset, until, head = self.pieces(), b"", 0, 0, 0
+        buffer, size, last = [], 0, False
+        while not last:
+            piece = next(pieces, None)
+            if piece is not None:
+                buffer.append(piece)
+                size += len(piece)
+                if size < WINDOW:
+                    continue
+            last, raw = piece is None, b"".join(buffer)
+            streams, rest = _streams(raw, None if last else self, offset, until)
+            until = max([until, *(offset + z for _, z, _ in streams)])
+            text = carry + rest[head:]
+            if offset or not last:
+                text = _BLANKS.sub(lambda m: m[0][:64], text)
+            yield [one for *_, one in streams], _readable(text)
+            m = _NEUTRAL.search(text, max(0, len(text) - OVERLAP), max(0, len(text) - OVERLAP // 2))
+            carry = text[m.end() if m else -OVERLAP:]
+            head = min(_MAGIC, len(raw))
+            buffer, size, offset = [raw[len(raw) - head:]], head, offset + len(raw) - head
+
+
+def _streams(raw: bytes, whole: Packed | None = None, offset: int = 0,
+             until: int = 0) -> tuple[list[tuple[int, int, Packed]], bytes]:
+    """``(first, last, data)`` of compressed data anywhere in ``raw``, and ``raw`` with zeros for what was unpacked
+    to its end (it may be stored as it is).
+
+    If ``raw`` is not the end of the content of ``whole``, in which it begins at ``offset``, data that goes on after
+    ``raw`` is read from there. Data that began earlier goes up to ``until``.
+    """
+    out, at, rest = [], max(0, until - offset), raw
+    if at:
+        rest = bytearray(raw)
+        rest[:at] = bytes(min(at, len(raw)))
     while m := _PACKED.search(raw, at):
-        content, end, large = inflate(raw, m.start())
-        oversized += large
-        if content:
-            out.append((m.start(), end if end > m.start() else len(raw), content))
-            if end > m.start():
+        one, a = Packed(raw, m.start()), m.start()
+        z = one.end
+        if one.short and whole is not None:
+            one = Packed(whole, offset + a)
+            z = one.end - offset
+        if one.size:
+            out.append((a, z if z > a else len(raw), one))
+            if z > a:
                 rest = rest if isinstance(rest, bytearray) else bytearray(raw)
-                rest[m.start():end] = bytes(end - m.start())
-        at = max(end, m.start() + 2)
-    return out, bytes(rest), oversized
+                rest[a:z] = bytes(min(z, len(raw)) - a)
+        at = max(z, a + 2)
+    return out, bytes(rest)
 
 
 def _readable(raw: bytes) -> str:
@@ -211,19 +327,17 @@ def _runs(text: str):
                 yield "".join(text[a:z] for a, z in spans), spans
 
 
-def _base64(layer: Layer) -> tuple[list[Layer], list[tuple], int]:
-    """Layers in the base64 runs of a layer, compressed contents ``(first, last, path, content)``, and how many
-    of these were too large. A run may hold other letters before the encoded ones, so each of the four
-    alignments is decoded."""
-    out, packed, oversized = [], [], 0
+def _base64(layer: Layer) -> tuple[list[Layer], list[tuple]]:
+    """Layers in the base64 runs of a layer, and compressed data ``(first, last, path, data)``. A run may hold
+    other letters before the encoded ones, so each of the four alignments is decoded."""
+    out, packed = [], []
     for letters, spans in _runs(layer.text):
         plain, where = letters.replace("-", "+").replace("_", "/"), None
         for k in range(4):
             n = len(plain) - k
             n -= n % 4 == 1
             raw = binascii.a2b_base64(plain[k:k + n] + "=" * (-n % 4))
-            streams, raw, large = _streams(raw)
-            oversized += large
+            streams, raw = _streams(raw)
             text = _readable(raw)
             more = findings(text) or _MORE.search(text)
             if not streams and not more:
@@ -247,43 +361,70 @@ def _base64(layer: Layer) -> tuple[list[Layer], list[tuple], int]:
                 at = np.concatenate(([0], np.cumsum([len(c.encode()) for c in text]))) if wide else np.arange(len(raw) + 1)
                 a, z = letter_of(at[:-1], at[1:])
                 out.append(Layer(text, start[a], end[z], f"{layer.path}/base64"))
-    return out, packed, oversized
+    return out, packed
 
 
-def _packed_letters(layer: Layer) -> tuple[list[tuple], int]:
-    """Compressed contents ``(first, last, path, content)`` in a layer whose letters stand for bytes."""
-    out, oversized = [], 0
+def _packed_letters(layer: Layer) -> list[tuple]:
+    """Compressed data ``(first, last, path, data)`` in a layer whose letters stand for bytes."""
+    out = []
     for m in _LATIN.finditer(layer.text):
-        streams, _, large = _streams(m.group().encode("latin-1"))
-        oversized += large
+        streams, _ = _streams(m.group().encode("latin-1"))
         out += [(*layer.origin(m.start() + i, m.start() + j), f"{layer.path}/inflate", c) for i, j, c in streams]
-    return out, oversized
+    return out
 
 
-def _unwrap(root: Layer) -> tuple[dict, list[tuple], int]:
-    """Findings in a layer and all layers inside it, with the path of the layer reached first; the compressed
-    contents met (not unpacked further), and how many were too large."""
+def _undone(layer: Layer) -> Layer:
+    """The layer with its escapes, and all that these make, undone in one pass; a byte is a letter."""
+    letters, first, last = [], [], []
+    openers: list[int] = []  # places of the letters in ``letters`` that may begin an escape
+    start, end = (None, None) if layer.flat else (p.tolist() for p in layer.places())
+    for i, c in enumerate(layer.text):
+        a, z = (0, 0) if start is None else (start[i], end[i])
+        while True:
+            letters.append(c)
+            first.append(a)
+            last.append(z)
+            if c in "%\\&":
+                openers.append(len(letters) - 1)
+                break
+            if not openers or len(letters) - openers[-1] > _LONGEST or not _NESTED.fullmatch("".join(letters[openers[-1]:])):
+                break
+            at = openers.pop()
+            escape = "".join(letters[at:])
+            c = chr(int(escape[1:], 16)) if escape[0] == "%" else _unicode(escape)[0]
+            a, z = min(first[at:]), max(last[at:])
+            del letters[at:], first[at:], last[at:]
+    places = () if layer.flat else (np.array(first, np.int64), np.array(last, np.int64))
+    return Layer("".join(letters), *places, path=f"{layer.path}/nested", flat=layer.flat)
+
+
+def _unwrap(root: Layer) -> tuple[dict, list[tuple]]:
+    """Findings in a layer and all layers inside it, with the path of the layer reached first, and the compressed
+    data met (not read)."""
     every = {(kind, *root.origin(a, z)): root.path for kind, a, z in reversed(findings(root.text))}
-    work, packed, oversized = deque([root]), [], 0
+    work, packed = deque([root]), []
     seen = set()  # layers by content and place: equal blobs at two places are two layers
     while work:
         layer = work.popleft()
-        inner, got, large = _base64(layer)
+        inner, got = _base64(layer)
         packed += got
-        oversized += large
         in_bytes = []  # layers whose letters may be compressed bytes
-        if "%" in layer.text:
-            inner.append(_replaced(layer, _URL, _url, "url"))
-            if inner[-1] is not None and _PACKED.search(
-                    _URL.sub(lambda m: _bytes(m.group())[0], layer.text).encode("latin-1", "replace")):
-                in_bytes.append(_replaced(layer, _URL, _bytes, "url"))
-        if "\\" in layer.text or "&#" in layer.text:
-            inner.append(_replaced(layer, _ESCAPE, _unicode, "unicode"))
-            in_bytes += [inner[-1]] if inner[-1] is not None else []
+        steps = layer.path.split("/")[-STEPS:]
+        if len(steps) == STEPS and {"url", "unicode"}.issuperset(steps):
+            if _URL.search(layer.text) or _ESCAPE.search(layer.text):
+                inner.append(_undone(layer))
+                in_bytes.append(inner[-1])
+        else:
+            if "%" in layer.text:
+                inner.append(_replaced(layer, _URL, _url, "url"))
+                if inner[-1] is not None and _PACKED.search(
+                        _URL.sub(lambda m: _bytes(m.group())[0], layer.text).encode("latin-1", "replace")):
+                    in_bytes.append(_replaced(layer, _URL, _bytes, "url"))
+            if "\\" in layer.text or "&#" in layer.text:
+                inner.append(_replaced(layer, _ESCAPE, _unicode, "unicode"))
+                in_bytes += [inner[-1]] if inner[-1] is not None else []
         for new in in_bytes:
-            got, large = _packed_letters(new)
-            packed += got
-            oversized += large
+            packed += _packed_letters(new)
         for new in inner:
             if new is None or (key := new.key()) in seen:
                 continue
@@ -291,56 +432,63 @@ def _unwrap(root: Layer) -> tuple[dict, list[tuple], int]:
             work.append(new)
             for kind, a, z in findings(new.text):
                 every.setdefault((kind, *new.origin(a, z)), new.path)
-    return every, packed, oversized
+    return every, packed
+
+
+def _inside(packed: Packed, kinds: dict):
+    """Fills ``kinds`` with the kinds found in a content and the path of the layer; yields the compressed data met."""
+    for streams, text in packed.windows():
+        found, inner = _unwrap(Layer(text, flat=True))
+        for (kind, *_), path in found.items():
+            kinds.setdefault(kind, path)
+        yield from [(0, 0, "/inflate", one) for one in streams] + inner
+
+
+def _explored(found: list[tuple], contents: dict) -> list[tuple]:
+    """``found`` with a digest for the data; ``contents`` gets, by digest, the kinds in each content and the data
+    inside it. A content is read to its end before the next one beside it is begun."""
+    out: list[tuple] = []
+    open_ = [(out, iter(found))]
+    while open_:
+        inside, more = open_[-1]
+        if (item := next(more, None)) is None:
+            open_.pop()
+            continue
+        a, z, path, one = item
+        inside.append((a, z, path, one.digest))
+        if one.digest not in contents:
+            contents[one.digest] = ({}, [])
+            kinds, deeper = contents[one.digest]
+            open_.append((deeper, _inside(one, kinds)))
+    return out
 
 
-def scan(text: str) -> tuple[list, list, int]:
-    """Base findings, all findings ``(kind, start, end, path of the layer)``, and layers that were too large.
+def scan(text: str) -> tuple[list, list]:
+    """Base findings, and all findings ``(kind, start, end, path of the layer)``.
 
     Findings of one kind and place count once, at the layer reached first. What
     is in compressed data has the place of all of it; equal contents are
     unwrapped once and count wherever they stand.
     """
     base = findings(text)
-    every, packed, oversized = _unwrap(Layer(text))
-    contents: dict[bytes, tuple] = {}  # kinds with their paths in each content, and the contents inside it
-
-    def known(found):
-        out = []
-        for a, z, path, content in found:
-            digest = hashlib.sha256(content).digest()
-            out.append((a, z, path, digest))
-            if digest not in contents:
-                contents[digest] = ([], [])
-                work.append((digest, content))
-        return out
-
-    work: deque = deque()
-    roots = known(packed)
-    del packed
-    while work:
-        digest, content = work.popleft()
-        streams, rest, more = _streams(content)
-        found, inner, large = _unwrap(Layer(_readable(rest), flat=True))
-        oversized += large + more
-        kinds, inside = contents[digest]
-        kinds += [(kind, path) for (kind, *_), path in found.items()]
-        inside += [(path, d) for _, _, path, d in known([(0, 0, "/inflate", c) for _, _, c in streams] + inner)]
+    every, packed = _unwrap(Layer(text))
+    contents: dict[bytes, tuple] = {}
+    roots = _explored(packed, contents)
     reached: dict[bytes, list] = {}
     for a, z, path, digest in roots:
         if digest not in reached:
             reached[digest], seen, at = [], {digest}, deque([("", digest)])
             while at:
                 before, d = at.popleft()
-                reached[digest] += [(kind, before + p) for kind, p in contents[d][0]]
-                for p, inner in contents[d][1]:
+                reached[digest] += [(kind, before + p) for kind, p in contents[d][0].items()]
+                for _, _, p, inner in contents[d][1]:
                     if inner not in seen:
                         seen.add(inner)
                         at.append((before + p, inner))
         for kind, p in reached[digest]:
             every.setdefault((kind, a, z), path + p)
     order = lambda f: (f[1], KINDS.index(f[0]), f[2])
-    return sorted(base, key=order), [(*f, every[f]) for f in sorted(every, key=order)], oversized
+    return sorted(base, key=order), [(*f, every[f]) for f in sorted(every, key=order)]
 
 
 def masked(text: str, spans: list, mark: str = "[SECRET]") -> str:
@@ -359,15 +507,17 @@ _DEEP = T.StructType([*_SPAN.fields, T.StructField("layer", T.StringType())])
 
 
 def secrets(docs: DataFrame, keep: list[str], mask: bool = False) -> DataFrame:
-    """``keep`` with ``base``, ``spans`` (arrays of kind, start, end and, for spans, layer) and ``oversized``.
+    """``keep`` with ``base`` and ``spans`` (arrays of kind, start, end and, for spans, layer).
 
     One output row per input row, repeated rows included. Null and empty texts
     have no findings. With ``mask`` also ``masked``, the text with all spans
-    replaced (null stays null).
+    replaced (null stays null). Columns not kept may have any name; a kept one
+    with the name of a result is an error.
     """
+    if clash := {"base", "spans", *["masked"] * mask}.intersection(keep):
+        raise ValueError(f"kept columns with the name of a result: {sorted(clash)}")
     full = T.StructType([docs.schema[c] for c in keep]
-                        + [T.StructField("base", T.ArrayType(_SPAN)), T.StructField("spans", T.ArrayType(_DEEP)),
-                           T.StructField("oversized", T.LongType())]
+                        + [T.StructField("base", T.ArrayType(_SPAN)), T.StructField("spans", T.ArrayType(_DEEP))]
                         + [T.StructField("masked", T.StringType())] * mask)
     arrow = arrow_schema(full)
 
@@ -380,7 +530,6 @@ def secrets(docs: DataFrame, keep: list[str], mask: bool = False) -> DataFrame:
                                  arrow.field("base").type))
             cols.append(pa.array([[dict(zip(("kind", "start", "end", "layer"), f)) for f in x[1]] for x in found],
                                  arrow.field("spans").type))
-            cols.append(pa.array([x[2] for x in found], pa.int64()))
             if mask:
                 null = b.column(b.schema.get_field_index("text")).is_null().to_pylist()
                 cols.append(pa.array([None if n else masked(t, x[1]) for t, x, n in zip(texts, found, null)], pa.string()))

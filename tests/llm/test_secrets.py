@@ -2,12 +2,17 @@ import base64
 import bz2
 import gzip
 import hashlib
+import html
 import lzma
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from pagewright.llm import secrets as S
 
 SECRET = "password=hunter2secret"
@@ -82,16 +87,100 @@ def test_nested_layers_in_any_order():
 
 def test_base_findings_stay_and_decoding_adds():
     t = "token=abc%41bcdef then token=abcdefgh"
-    base, every, _ = S.scan(t)
+    base, every = S.scan(t)
     assert base == [("assign", 23, 37)] and [f[:3] for f in every] == [("assign", 0, 17), ("assign", 23, 37)]
 
 
-def test_cycles_and_bombs_end(monkeypatch):
+def test_cycles_end():
     assert S.scan("%25" * 50)[1] == []
     nested = "%" + "25" * 8 + "41KIAABCDEFGHIJKLMNOP"
     assert [f[:3] for f in S.scan(nested)[1]] == [("access", 0, len(nested))]
-    monkeypatch.setattr(S, "LAYER_LIMIT", 1000)
-    assert S.scan("z " + b64(zlib.compress(b"a" * 5000)))[2] == 1
+
+
+def test_long_chains_of_escapes_take_linear_time():
+    for chain, more in (("%", "25"), ("\\u005c", "u005c"), ("&#38;", "#38;"), ("%5c", "x5c")):
+        last = {"%": "41", "\\u005c": "u0041", "&#38;": "#65;", "%5c": "x41"}[chain]
+        for n in (3, 7, 8, 9, 20, 40_000):
+            t = f"é {chain}{more * n}{last}KIAABCDEFGHIJKLMNOP y"
+            began = time.perf_counter()
+            assert ("access", 2, len(t) - 2) in {f[:3] for f in S.scan(t)[1]}, (chain, n)
+            assert time.perf_counter() - began < 10
+
+
+def test_layers_of_any_size():
+    for fill in (b"lorem, ipsum\n", b"\0", b" "):
+        long = fill * ((65 << 20) // len(fill))
+        blob = b64(gzip.compress(b"password=" + (b"hunter2secret" if fill != b" " else b"") + long + b"hunter2secret\n", 1))
+        assert [f[:3] for f in S.scan(f"a {blob} b")[1]] == [("assign", 2, 2 + len(blob.rstrip("=")))], fill
+
+
+def test_windows_find_what_one_window_finds(monkeypatch):
+    rng = random.Random(4)
+    words = [b"lorem ", b"ipsum, ", b"a1b2c3d4", b"\n", b"%41", b"\0\xff\x81", b" " * 90, b"token=token: abcdef", b"x=y; "]
+    whole, texts = [], []
+    for n in range(60):
+        parts = rng.choices(words, k=rng.randrange(1, 1500))
+        for _ in range(rng.randrange(3)):
+            body = b"".join(rng.choices(words, k=rng.randrange(1, 900))) + rng.choice([SECRET.encode(), KEY.encode(), b""])
+            pack = rng.choice([gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+            packed = pack(body)
+            if pack in (gzip.compress, zlib.compress) and rng.random() < 0.4:
+                packed = packed[:-9]  # damaged
+            parts.insert(rng.randrange(len(parts) + 1), b"!" + packed + b"!")
+        if rng.random() < 0.5:
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice([b", ", b"\xc3\xa9"]) + b64(SECRET.encode()).encode() + b",")
+        texts.append("a " + b64(rng.choice([gzip.compress, bz2.compress])(b"".join(parts))) + " b")
+        whole.append({f[:3] for f in S.scan(texts[-1])[1]})
+    monkeypatch.setattr(S, "WINDOW", 3000)
+    monkeypatch.setattr(S, "OVERLAP", 600)
+    monkeypatch.setattr(S, "PIECE", 500)
+    assert [{f[:3] for f in S.scan(t)[1]} for t in texts] == whole
+    assert sum(map(bool, whole)) > 20
+
+
+def test_a_content_that_holds_itself_ends(monkeypatch):
+    monkeypatch.setattr(S.Packed, "windows", lambda one: iter([([one], SECRET)]))
+    blob = b64(gzip.compress(b"x" * 50))
+    assert [f[0] for f in S.scan(f"a {blob} b")[1]] == ["assign"]
+
+
+def brute_kinds(text, depth=6):
+    """Kinds found in any layer, by plain unwrapping of whole layers without places."""
+    kinds = {k for k, *_ in brute_base(text)}
+    if not depth:
+        return kinds
+    inner = [urllib.parse.unquote(text), html.unescape(text), re.sub(r"\\u([0-9a-fA-F]{4})", lambda m: chr(int(m[1], 16)), text)]
+    for m in re.finditer("[A-Za-z0-9+/]{16,}={0,2}", text):
+        for k in range(4):
+            run = m[0].rstrip("=")[k:]
+            raw = base64.b64decode(run[:len(run) - (len(run) % 4 == 1)] + "=" * (-(len(run) - (len(run) % 4 == 1)) % 4))
+            for unpack in (gzip.decompress, zlib.decompress, bz2.decompress, lzma.decompress, bytes):
+                try:
+                    inner.append(unpack(raw).decode())
+                except Exception:  # not of this format
+                    continue
+    return kinds.union(*(brute_kinds(t, depth - 1) for t in set(inner) if t != text))
+
+
+def test_generated_nestings_match_a_plain_unwrapper():
+    rng = random.Random(5)
+    wraps = [lambda t: "".join(f"%{b:02x}" for b in t.encode()), lambda t: urllib.parse.quote(t),
+             lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: "".join(f"&#{ord(c)};" for c in t),
+             lambda t: b64(t.encode()), lambda t: b64(gzip.compress(t.encode())), lambda t: b64(zlib.compress(t.encode())),
+             lambda t: b64(bz2.compress(t.encode())), lambda t: t.replace("%", "%25")]
+    seen = set()
+    for _ in range(150):
+        inner = rng.choice([f"pre {SECRET} post", KEY, f"x {'0a1b2c' * 5} y", "secret: abc", "AKIAB"])
+        layer = inner
+        for _ in range(rng.randrange(1, 5)):
+            layer = rng.choice(wraps)(rng.choice(["", "say ", "1, 2"]) + layer + rng.choice(["", " end"]))
+        text = f"before, {layer} after"
+        spans = S.scan(text)[1]
+        want = brute_kinds(text)
+        assert want <= {f[0] for f in spans}, text
+        assert all(8 <= a < z <= len(text) - 6 for _, a, z, _ in spans)
+        seen |= want
+    assert seen == set(S.KINDS)
 
 
 def test_equal_blobs_are_found_at_every_place():
@@ -178,13 +267,16 @@ def test_masking():
 
 
 def test_rows(spark, odd_docs, no_docs):
-    own = odd_docs.drop("base", "spans")
+    own = odd_docs
+    for name in ("base", "spans", "masked"):
+        with pytest.raises(ValueError, match=name):
+            S.secrets(own.withColumn(name, F.lit(1)), ["doc_id", name], mask=True)
     got = S.secrets(own, ["doc_id", "ids"], mask=True).collect()
     assert len(got) == own.count()
     of = {r.doc_id: r for r in got if r.doc_id is not None}
     assert [f.kind for f in of[6].base] == ["assign"] and of[6].masked == "[SECRET] \U0001f600 é"
     assert of[0].masked is None and of[1].masked == "" and not of[0].spans
-    assert S.secrets(no_docs.drop("base", "spans"), ["doc_id"]).count() == 0
+    assert S.secrets(no_docs, ["doc_id"]).count() == 0
 
 
 def test_query(spark):
