@@ -10,8 +10,10 @@ down from the longest. An item whose words are covered to 80 % is leaked, in
 whatever order the pieces stand. Items of one or two words are looked for whole.
 
 The benchmark goes to the tasks in blocks of bounded size; documents pass the
-blocks one after the other, so nothing is shuffled and no benchmark is too
-large.
+blocks one after the other, so no document is shuffled. Equal items are one with
+a count, and items are dealt by a hash of id and text, so that neither repeated
+items nor a repeated id make a block larger. Between two blocks the documents are
+written, and the driver lets go of a block before it takes the next.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, slices, table, text_column
+from .common import arrow_schema, slices, table, text_column, written
 
 TILE_WORDS, COVERAGE = 3, 0.8
 #: Letters of benchmark text sent to the tasks at a time.
@@ -93,10 +95,11 @@ def _longest(item, in_item, doc, in_doc, least: int, most: int) -> int:
 
 
 class Block:
-    """Some items of the benchmark, ready to be searched."""
+    """Some items of the benchmark, ready to be searched: rows of ``item_id, text`` and how often they stand there."""
 
     def __init__(self, rows: list[tuple]):
-        self.items = [(i, words_of(t)) for i, t in rows]
+        self.times = [n for *_, n in rows]
+        self.items = [(i, words_of(t)) for i, t, _ in rows]
         names = {w for _, ws in self.items for w in ws}
         self.number = {w: n for n, w in enumerate(sorted(names))}
         self.items = [(i, [self.number[w] for w in ws]) for i, ws in self.items]
@@ -152,12 +155,12 @@ class Block:
         """``(item_id, coverage)`` of each item that ``text`` covers."""
         get = self.number.get
         ids = np.array([get(w, -1) for w in words_of(text)], np.int64)
-        out = [(self.items[n][0], 1.0) for n in self.whole(ids)]
+        out = [(self.items[n][0], 1.0) for n in self.whole(ids) for _ in range(self.times[n])]
         for n in self.candidates(ids):
             key, item = self.items[n]
             share = sum(t[0] for t in tiles(item, _shared_only(ids, item))) / len(item)
             if share >= COVERAGE:
-                out.append((key, share))
+                out += [(key, share)] * self.times[n]
         return out
 
 
@@ -178,25 +181,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], block_letters:
     Null and empty texts leak nothing; items with null text or no word are in
     no document, items of fewer than ``TILE_WORDS`` words are where their words
     stand in a row. Repeated rows and items come back
-    repeated. An empty benchmark leaves every array empty.
+    repeated. An empty benchmark leaves every array empty. Columns not kept may
+    have any name; a kept one named ``leaks`` or ``__leaks`` is an error.
     """
+    if clash := {"leaks", "__leaks"}.intersection(keep):
+        raise ValueError(f"kept columns with the name of a result: {sorted(clash)}")
     found = T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType),
                           T.StructField("coverage", T.DoubleType())])
-    bench = benchmark.select("item_id", "text").filter(F.length("text") > 0)
+    bench = benchmark.filter(F.length("text") > 0).groupBy("item_id", "text").agg(F.count("*").alias("times"))
     blocks = bench.agg((F.sum(F.length("text")) / block_letters).cast("int")).first()[0]
     blocks = (blocks or 0) + 1
     cols = list(dict.fromkeys([*keep, "text"]))
     out = docs.select(*cols).withColumn("__leaks", F.array().cast(T.ArrayType(found)))
     for k in range(blocks):
-        part = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        rows = [tuple(r) for r in part.collect()]  # one block of bounded size
-        cols_out = cols if k + 1 < blocks else keep
-        out = _through(out, rows, cols_out, found)
+        part = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        block = docs.sparkSession.sparkContext.broadcast(Block([tuple(r) for r in part.collect()]))
+        if k + 1 == blocks:
+            out = _through(out, block, keep, found)
+        else:
+            out = written(_through(out, block, cols, found), f"leaks-{k}")
+            block.destroy()
     return out.withColumn("leaks", F.array_sort("__leaks")).select(*keep, "leaks")
 
 
-def _through(df: DataFrame, rows: list, cols: list[str], found: T.StructType) -> DataFrame:
-    block = df.sparkSession.sparkContext.broadcast(Block(rows))
+def _through(df: DataFrame, block, cols: list[str], found: T.StructType) -> DataFrame:
     full = T.StructType([df.schema[c] for c in cols] + [T.StructField("__leaks", T.ArrayType(found))])
     arrow = arrow_schema(full)
 

@@ -1,5 +1,8 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from pagewright.llm import decontaminate as D
 
 
@@ -65,9 +68,23 @@ def test_blocks_and_repeats(spark):
     assert all({i, i * 3 % 40} <= {k for k, _ in one[i]} for i in range(40))
 
 
+def test_repeated_ids_and_items_spread_over_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(None, " ".join(rng.choices([f"w{k}" for k in range(80)], k=20))) for _ in range(60)] + [(7, ITEM)] * 500
+    texts = [f"x {t} y" for _, t in items[:60]] + [ITEM]
+    sizes, init = [], D.Block.__init__
+    monkeypatch.setattr(D.Block, "__init__", lambda block, rows: (sizes.append(sum(len(t) for _, t, _ in rows)), init(block, rows))[1])
+    got = coverages(spark, texts, items, block_letters=1000)
+    assert len(sizes) > 3 and max(sizes) < 3000
+    assert got[60] == [(7, 1.0)] * 500 and all(got[i] == [(None, 1.0)] for i in range(60))
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, "the cat sat on the mat")], "item_id long, text string")
-    got = D.leaks(odd_docs.drop("leaks"), bench, ["doc_id", "ids"])
+    for name in ("leaks", "__leaks"):
+        with pytest.raises(ValueError, match="leaks"):
+            D.leaks(odd_docs.withColumn(name, F.lit(1)), bench, ["doc_id", name])
+    got = D.leaks(odd_docs, bench, ["doc_id", "ids"])
     assert got.count() == odd_docs.count()
     assert sorted(r.doc_id for r in got.collect() if r.leaks) == [4, 4, 5]
     assert D.leaks(no_docs, bench, ["doc_id"]).count() == 0
@@ -113,7 +130,7 @@ def test_short_pieces_match_brute_force_without_seeds():
         docs.append([w for p in pieces for w in [*p, rng.choice(names)]])
         docs.append([rng.choice(names) if i % 5 == 4 else w for i, w in enumerate(item)])  # coverage 0.8 at least
         docs.append(rng.choices(names, k=20))
-    block = D.Block([(n, text(item)) for n, item in enumerate(items)])
+    block = D.Block([(n, text(item), 1) for n, item in enumerate(items)])
     gated = found = 0
     for doc in docs:
         want = []
