@@ -1,7 +1,10 @@
 """Scalar helpers against Python's own semantics on inline rows."""
 
 import hashlib
+import html.entities
 import os
+import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -125,3 +128,69 @@ def test_random_paths_follow_python_semantics(spark):
     for r in got:
         assert (r.parent, r.f) == py_split(r.path), r.path
         assert r.stem == (os.path.splitext(r.f)[0] or r.f), r.path
+
+
+def py_strip_hidden(page):
+    """A stack of open elements over the tags, letter ranges instead of pieces."""
+    tag = re.compile(r"<!--.*?-->|<(script|style)(?:\s[^>]*)?>.*?</\1\s*>|<(/?)(head|nav|footer)(?:\s[^>]*)?>", re.I | re.S)
+    drop, stack = bytearray(len(page)), []
+    for m in tag.finditer(page):
+        drop[m.start():m.end()] = b"\1" * (m.end() - m.start())
+        if m[3] and not m[2]:
+            stack.append((m[3].lower(), m.start()))
+        elif m[3]:
+            at = max((k for k, (name, _) in enumerate(stack) if name == m[3].lower()), default=None)
+            if at is not None:
+                drop[stack[at][1]:m.end()] = b"\1" * (m.end() - stack[at][1])
+                del stack[at:]
+    return "".join(c for c, d in zip(page, drop) if not d)
+
+
+def hidden_pages(n):
+    rng = random.Random(7)
+    bits = ["<nav>", "</nav>", "<NAV class='a'>", "<footer>", "</footer >", "<head>", "</head>", "<!-- <nav> -->", "<!-- note -->",
+            "<script>var a = '</nav>';</script>", "<style>p{}</style>", "text ", "more, ", "<p>", "</p>", "<header>", "a < b "]
+    return ["".join(rng.choices(bits, k=rng.randrange(1, 16))) for _ in range(n)]
+
+
+def test_hidden_elements_inside_each_other(spark):
+    pages = hidden_pages(1500) + ["<nav>a<nav>b</nav>c</nav>d", "", None]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    got = df.select("i", "h", T._strip_stacked(F.col("h")).alias("s"), T.strip_hidden(F.col("h")).alias("t"),
+                    F.col("h").rlike(T._STACKED).alias("stacked")).collect()
+    assert sum(bool(r.stacked) for r in got) > 500
+    for r in got:
+        if r.h is None:
+            assert r.s is None and r.t is None
+            continue
+        assert r.s == py_strip_hidden(r.h), r.h
+        if r.stacked:
+            assert r.t == r.s
+
+
+def test_pages_without_nesting_are_the_same_both_ways(spark, sf):
+    df = spark.read.parquet(f"{sf}/pages.parquet").select("html").dropDuplicates()
+    got = df.select(T._strip_stacked(F.col("html")).alias("s"), T._strip_flat(F.col("html")).alias("t")).collect()
+    assert got and all(r.s == r.t for r in got)
+
+
+def test_character_references(spark):
+    names = [n for n in html.entities.html5 if n.endswith(";")]
+    texts = [f"a &{n} b" for n in names] + [f"&#{k};x&#x{k:X};" for k in (9, 65, 128, 151, 233, 8364, 0x1F600, 0x10FFFF - 2)]
+    texts += ["&#38;amp; &amp;lt; &bogus; &amp &copy", "&#0;&#xD800;&#9999999;", "plain & simple", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(T.decode_references(F.col("t"))).collect()]
+    for t, g in zip(texts[:-4], got):
+        want = html.unescape(t)
+        assert g == want or "FFFD" in t, t
+    assert got[-4:] == ["&amp; &lt; &bogus; &amp &copy", "\ufffd\ufffd\ufffd", "plain & simple", ""]
+    page = spark.createDataFrame([("<p>caf&eacute; &#x2014; &amp;eacute; &#60;b&#62;</p>",)], "h string")
+    assert page.select(T.html_to_markdown("h")).first()[0] == "caf\u00e9 \u2014 &eacute; <b>"
+
+
+def test_nested_tables_and_hidden_blocks_in_a_page(spark):
+    page = ("<head><title>t</title></head><nav>menu<nav>sub</nav>still menu</nav><table><tr><td>a<table><tr><td>b</td></tr>"
+            "</table></td><td>c</td></tr></table><footer><footer>x</footer>y</footer>")
+    got = spark.createDataFrame([(page,)], "h string").select(T.html_to_markdown("h")).first()[0]
+    assert got.count("<table>") == got.count("</table>") == 2 and "menu" not in got and "y" not in got
+    assert got.index("a") < got.index("b") < got.index("c")
