@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, slices, table, text_column
+from .common import arrow_schema, no_clash, slices, table, text_column
 
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
@@ -156,8 +156,10 @@ def encode(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> Da
 
     Equal to the tokenizers library's ``encode(text, add_special_tokens=False)``
     over the whole text. Null and empty texts have no ids; the text of the
-    special token becomes its id.
+    special token becomes its id. Repeated rows come back repeated; columns
+    outside ``keep`` are ignored, one in ``keep`` named ``ids`` is an error.
     """
+    no_clash(keep, ["ids"])
     full = T.StructType([docs.schema[c] for c in keep]
                         + [T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
     arrow = arrow_schema(full)
@@ -175,7 +177,11 @@ def encode(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> Da
 
 
 def decode(rows: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
-    """``keep`` and ``decoded``: the text of ``ids``, special tokens included; null ids give an empty text."""
+    """``keep`` and ``decoded``: the text of ``ids``, special tokens included; null ids give an empty text.
+
+    A column in ``keep`` named ``decoded`` is an error.
+    """
+    no_clash(keep, ["decoded"])
     full = T.StructType([rows.schema[c] for c in keep] + [T.StructField("decoded", T.StringType())])
     arrow = arrow_schema(full)
 

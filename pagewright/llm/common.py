@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +41,12 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(i, n)
 
 
+def no_clash(keep: Iterable[str], results: Iterable[str]) -> None:
+    """A clear error if a kept column has the name (in any case, as Spark reads names) of a result or a step to it."""
+    if clash := sorted(set(map(str.lower, keep)) & set(map(str.lower, results))):
+        raise ValueError(f"kept columns have names of results: {clash}")
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

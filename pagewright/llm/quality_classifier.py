@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, slices, table, text_column, written
+from .common import arrow_schema, no_clash, slices, table, text_column, written
 from .quality_rules import CLASSES, character_classes, repeated_words
 from .toxicity import fold
 
@@ -196,7 +196,10 @@ def classify(docs: DataFrame, labels: DataFrame, keep: list[str], label: str = "
 
     Learns from labelled rows of folds 1 to 4; repeated labels of an id count
     once, the larger wins. Null texts are empty; repeated rows score alike.
+    Columns outside ``keep`` are ignored; one in ``keep`` that has the name of a
+    result or a statistic is an error.
     """
+    no_clash(keep, (*STATISTICS, "__y", "score", "predicted"))
     stats = written(statistics(docs, keep), "statistics")
     y = (labels.filter(fold() != 0).filter(F.col(label).isNotNull())
          .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("__y")))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, slices, table, text_column, written
+from .common import arrow_schema, no_clash, slices, table, text_column, written
 
 COMMON_WORDS = 64
 #: Distinct (lang, word) counts a task keeps before passing them on.
@@ -289,8 +289,12 @@ def quality(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep``, the base counts and the verdict of each row of ``docs`` (``text, lang``).
 
     Null texts are empty and fail the base rules; a null ``lang`` is judged by
-    the other documents' references. Repeated rows come back repeated.
+    the other documents' references. Repeated rows come back repeated. Columns
+    outside ``keep`` are ignored; one in ``keep`` that has the name of a result
+    or of a step to it is an error.
     """
+    no_clash(keep, ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "wid", "wn", "base_failed",
+                    "kept", "language", "char_distance", "word_distance", "worst", "best", "__t1", "__t2"))
     docs = docs.select(*dict.fromkeys([*keep, "text", "lang"]))
     counted = [*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     common = written(common_words(docs), "common-words")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import arrow_schema, slices, table, text_column
+from .common import arrow_schema, no_clash, slices, table, text_column
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
@@ -124,7 +124,12 @@ def trie(vocabulary: str) -> Trie:
 
 
 def token_counts(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
-    """``keep``, ``n_pretokens`` and ``n_tokens`` of each row's ``text``; null and empty texts have none of either."""
+    """``keep``, ``n_pretokens`` and ``n_tokens`` of each row's ``text``; null and empty texts have none of either.
+
+    Repeated rows come back repeated. Columns outside ``keep`` are ignored; one
+    in ``keep`` that has a result's name is an error.
+    """
+    no_clash(keep, ("n_pretokens", "n_tokens"))
     full = T.StructType([docs.schema[c] for c in keep] + [T.StructField("n_pretokens", T.LongType()),
                                                           T.StructField("n_tokens", T.LongType())])
     arrow = arrow_schema(full)
