@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,20 +63,27 @@ def token_buckets(text: Column | str) -> Column:
     return F.transform(tokens(text), bucket)
 
 
+#: Rows of an Arrow batch that are counted at once; only these have dense doubles.
+_DENSE_ROWS = 256
+
+
 def _unit_vectors_arrow(dim: int):
-    @F.pandas_udf("array<float>")
-    def unit_vectors(buckets: pd.Series) -> pd.Series:
-        # one Arrow batch at a time: scatter-add every (row, bucket) pair,
-        # then L2-normalise each row; no Python loop over tokens
+    @F.arrow_udf("array<float>")
+    def unit_vectors(buckets: pa.Array) -> pa.Array:
+        # a few rows at a time: count every (row, bucket) pair, then
+        # L2-normalise each row; no Python loop over tokens, no Python object
+        # per row, and nothing but the result is as long as the batch
         import numpy as np
-        lens = buckets.map(len).to_numpy()
-        flat = np.concatenate(buckets.to_numpy()).astype(np.int64) if lens.sum() else np.zeros(0, np.int64)
-        rows = np.repeat(np.arange(len(buckets)), lens)
-        dense = np.zeros((len(buckets), dim), dtype=np.float64)
-        np.add.at(dense, (rows, flat), 1.0)
-        norm = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
-        dense = np.divide(dense, norm, out=np.zeros_like(dense), where=norm > 0)
-        return pd.Series(list(dense.astype(np.float32)))
+        n, ends, flat = len(buckets), buckets.offsets.to_numpy(), buckets.values.to_numpy(zero_copy_only=False)
+        out = np.zeros((n, dim), dtype=np.float32)
+        for at in range(0, n, _DENSE_ROWS):
+            to = min(at + _DENSE_ROWS, n)
+            rows = np.repeat(np.arange(to - at), np.diff(ends[at:to + 1]))
+            pairs = rows * dim + flat[ends[at]:ends[to]]
+            dense = np.bincount(pairs, minlength=(to - at) * dim).reshape(-1, dim).astype(np.float64)
+            norm = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
+            out[at:to] = np.divide(dense, norm, out=np.zeros_like(dense), where=norm > 0)
+        return pa.ListArray.from_arrays(np.arange(0, (n + 1) * dim, dim, dtype=np.int32), pa.array(out.reshape(-1)))
 
     return unit_vectors
 
