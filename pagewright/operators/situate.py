@@ -18,7 +18,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,15 +78,15 @@ def best_sentence(text: str, low: str, weights: Counter) -> str | None:
     return best
 
 
-@F.pandas_udf(T.StringType())
-def _best_sentences(doc_id: pd.Series, text: pd.Series, low: pd.Series, context: pd.Series) -> pd.Series:
-    weights: dict = {}  # of the documents in this batch
-    out = []
-    for d, t, x, c in zip(doc_id, text, low, context):
-        if d not in weights:
-            weights[d] = token_weights([] if c is None else c)
-        out.append(best_sentence(t, x, weights[d]))
-    return pd.Series(out, dtype=object)
+@F.arrow_udf(T.StringType())
+def _best_sentences(doc_id: pa.Array, text: pa.Array, low: pa.Array, context: pa.Array) -> pa.Array:
+    """A document of the batch at a time: Python holds the weights of one, and of its rows one text."""
+    out, doc, weights = [None] * len(doc_id), None, None
+    for i in pc.sort_indices(doc_id).to_pylist():
+        if weights is None or doc_id[i] != doc:
+            doc, weights = doc_id[i], token_weights(context[i].as_py() or [])
+        out[i] = best_sentence(text[i].as_py(), low[i].as_py(), weights)
+    return pa.array(out, pa.string())
 
 
 def situate(targets: DataFrame, pages: DataFrame, n: int = CONTEXT_PAGES,
