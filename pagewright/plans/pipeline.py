@@ -391,19 +391,23 @@ def _run_stages(ctx, files, registry, pages, payload, index, mode, extract_fn, s
     # split: ACTIVE documents without pages, content read once by path
     ctx.log(RUNNING, "split")
 
+    # as short tables of their own: while they are small, the wide side stays where it is
+    todo = ctx.stage("split_queue", lambda: W.queue_split(reg, state.base), ["registry", "pages_before"])
+
     def split_pages():
-        todo = W.queue_split(reg, state.base)
         # binary file contents are read as UTF-8 text (string input is unchanged)
         source = contents(todo.select("path")) if contents is not None else files.select("path", "content")
         docs = todo.join(source, "path", "inner") \
             .select("doc_id", "path", F.col("content").cast("string").alias("content"))
         return PG.paginate(docs)
 
-    split = ctx.stage("split", split_pages, ["registry", "pages_before", "scan_all"])
+    split = ctx.stage("split", split_pages, ["split_queue", "scan_all"])
     pay = split.select("page_id", "doc_id", "page_number", "gcs_pdf_path", "text")
     if payload is not None:
-        pay = payload.select(*pay.columns).join(split.select("page_id"), "page_id", "left_anti") \
-            .unionByName(pay)
+        # of earlier page objects few are replaced: every stage reads the payload, and only their ids decide
+        replaced = ctx.stage("payload_replaced", lambda: payload.select("page_id").join(
+            split.select("page_id"), "page_id", "left_semi").distinct(), ["split", "payload_before"])
+        pay = payload.select(*pay.columns).join(replaced, "page_id", "left_anti").unionByName(pay)
     # the split queue holds documents without pages, so none is there yet
     state.add(PG.new_page_rows(split, ctx.now))
 
