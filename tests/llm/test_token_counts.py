@@ -1,5 +1,8 @@
 import random
 
+import pyarrow as pa
+import pytest
+
 from pagewright.llm import token_counts as C
 
 
@@ -34,6 +37,38 @@ def test_shared_prefixes_are_computed_once():
     assert len(steps) == 4  # a, ab, abc, abd
 
 
+@pytest.mark.parametrize("nodes, words", [(500_000, 1 << 14), (200, 50)])
+def test_new_pretokens_are_inserted_a_depth_at_a_time(monkeypatch, nodes, words):
+    monkeypatch.setattr(C, "NODES", nodes)
+    monkeypatch.setattr(C, "WORDS", words)
+    rng = random.Random(1)
+    letters = "abc\x00é\u2581漢\U0001f600"
+    scores = {"".join(rng.choices(letters, k=rng.randrange(1, 6))): -float(rng.randrange(1, 9)) for _ in range(60)}
+    new = ["".join(rng.choices(letters, k=rng.randrange(0, 12))) for _ in range(2000)] + ["ab漢" * n for n in range(18, 30)]
+    t, steps = C.Trie(scores), []
+    step = t._step
+    t._step = lambda w, b: steps.append(w) or step(w, b)
+    for _ in range(2):
+        assert t.counts(pa.array(new, pa.large_string())).tolist() == [brute(w, scores, t.byte) for w in new]
+    if nodes > 200:
+        assert len(steps) == C.LONGEST_KEPT // 3 * 3  # not one for every prefix, nor any in the second round
+
+
+def test_no_pieces():
+    t = C.Trie({})
+    assert t.counts(pa.array(["", "a", "é漢", "x" * 70], pa.large_string())).tolist() == [0, 1, 5, 70]
+
+
+def test_pretokens_are_the_words_of_each_text():
+    blanks = "\x20\t\n\x0b\x0c\r"
+    texts = ["x", None, "", blanks, "a b", "c", " d\t\te ", f"é{blanks}漢", "\xa0\x85\x1c\u2028 \x08\x0e\x00", "a", "", "b "]
+    for column in (pa.array(texts), pa.array(texts)[3:9], pa.array(texts, pa.large_string())[1:], pa.array(texts)[:0],
+                   pa.array([None, ""], pa.string())):
+        words, rows = C.pretokens(column)
+        words = words.to_pylist()
+        assert [words[a:z] for a, z in zip(rows[:-1], rows[1:])] == [C._WORD.findall(x or "") for x in column.to_pylist()]
+
+
 def test_rows(spark, odd_docs, no_docs, sf):
     scores = C.pieces(C.VOCABULARY)
     byte = C.Trie(scores).byte
